@@ -37,12 +37,21 @@ def depth_before(name: str) -> Column:
     return F.col(name + "_before")
 
 
+def _position(name: str) -> Column:
+    """A non-null axis position (nulls are filtered before).
+
+    A nullable one would make the optimizer add null filters to one side of a self-join only, and
+    the two sides would no longer share their shuffle.
+    """
+    return F.coalesce(F.col(name).cast("bigint"), F.lit(0).cast("bigint"))
+
+
 def _edges(df: DataFrame, keys: Sequence[str], name: str, names: Sequence[str]) -> DataFrame:
     one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
     edge = F.explode(
         F.array(
-            F.struct(F.col(START).cast("bigint").alias(AT), one.alias("d")),
-            F.struct(F.col(END).cast("bigint").alias(AT), (-one).alias("d")),
+            F.struct(_position(START).alias(AT), one.alias("d")),
+            F.struct(_position(END).alias(AT), (-one).alias("d")),
         )
     )
     return (
@@ -71,7 +80,7 @@ def sweep(
     is_point = F.lit(False)
     if points is not None:
         zero = F.lit(0).cast("bigint")
-        part = points.select(*keys, AT, *[zero.alias(n) for n in names])
+        part = points.select(*keys, _position(AT).alias(AT), *[zero.alias(n) for n in names])
         edges = edges.withColumn("_p", F.lit(0)).unionByName(part.withColumn("_p", F.lit(1)))
         is_point = F.col("_p") == 1
     grouped = edges.groupBy(*keys, AT).agg(

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-CHUNK_BITS = 20  # 2**20 ms is about 17 minutes
+CHUNK_BITS = 22  # 2**22 ms is about 70 minutes
 
 CHUNK = "_chunk"
 NEXT = "_next"
@@ -41,7 +41,8 @@ def running_totals(
     keys = list(keys)
     # A second scan of the same axis keeps the chunk column, and with it the partitioning.
     if CHUNK not in points.columns:
-        points = points.withColumn(CHUNK, F.shiftright(F.col(axis).cast("bigint"), bits))
+        # One explicit exchange feeds both the local totals and the summary below.
+        points = points.withColumn(CHUNK, F.shiftright(F.col(axis), bits)).repartition(*keys, CHUNK)
     points = points.drop(NEXT, LAST)
 
     by_chunk = Window.partitionBy(*keys, CHUNK).orderBy(axis)
