@@ -17,6 +17,7 @@ from spanweave.operators.intervals import (
     covered_before,
     depth,
     merge_intervals,
+    merged_edges,
     sweep,
 )
 from spanweave.operators.numbering import number_rows
@@ -69,21 +70,12 @@ def speaker_overlap(
     """Milliseconds each speaker shares with the target; speakers sharing none are kept.
 
     The overlap is the target's prefix length taken at the speaker's ends minus its starts, so the
-    target is never replicated per speaker and equal positions combine before the join.
+    target is never replicated per speaker.
     """
     keys = list(keys)
-    merged = merge_intervals(turns.select(*keys, "speaker_id", START, END), [*keys, "speaker_id"], bits)
-    edge = F.explode(
-        F.array(
-            F.struct(F.col(START).alias(AT), F.lit(-1).alias("w")),
-            F.struct(F.col(END).alias(AT), F.lit(1).alias("w")),
-        )
-    )
-    marks = (
-        merged.select(*keys, "speaker_id", edge.alias("e"))
-        .groupBy(*keys, "speaker_id", F.col("e." + AT).alias(AT))
-        .agg(F.sum("e.w").alias("w"))
-    )
+    by_speaker = [*keys, "speaker_id"]
+    edges = merged_edges(turns.select(*by_speaker, START, END), by_speaker, bits)
+    marks = edges.rows.select(*by_speaker, AT, (-F.col("d")).alias("w"))
     prefix = covered_before(target, marks.select(*keys, AT), keys, bits)
     return (
         marks.join(prefix, [*keys, AT])

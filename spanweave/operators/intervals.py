@@ -12,6 +12,7 @@ Touching intervals merge, but do not intersect. Keys must be non-null.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,23 +47,44 @@ def _position(name: str) -> Column:
     return F.coalesce(F.col(name).cast("bigint"), F.lit(0).cast("bigint"))
 
 
-def _edges(df: DataFrame, keys: Sequence[str], name: str, names: Sequence[str]) -> DataFrame:
-    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+@dataclass(frozen=True)
+class Edges:
+    """A set given by its edges: keys, ``at_ms`` and ``d`` (+1 where one opens, -1 where one closes).
+
+    What one sweep finds can enter the next one this way, without being paired into intervals.
+    """
+
+    rows: DataFrame
+
+
+def edges_of(df: DataFrame, keys: Sequence[str]) -> Edges:
+    """Edges of raw intervals."""
+    one = F.lit(1).cast("bigint")
     edge = F.explode(
         F.array(
             F.struct(_position(START).alias(AT), one.alias("d")),
             F.struct(_position(END).alias(AT), (-one).alias("d")),
         )
     )
-    return (
-        valid_intervals(df)
-        .select(*keys, edge.alias("e"))
-        .select(*keys, "e." + AT, *[(F.col("e.d") if n == name else zero).alias(n) for n in names])
+    return Edges(valid_intervals(df).select(*keys, edge.alias("e")).select(*keys, "e.at_ms", "e.d"))
+
+
+def changes(segments: DataFrame, keys: Sequence[str], state: Column, state_before: Column) -> Edges:
+    """Edges of the maximal intervals over which ``state`` holds."""
+    return Edges(
+        segments.where(state != state_before).select(
+            *keys, AT, F.when(state, 1).otherwise(-1).cast("bigint").alias("d")
+        )
     )
 
 
+def merged_edges(df: DataFrame, keys: Sequence[str], bits: int = CHUNK_BITS) -> Edges:
+    """Edges of the merged intervals."""
+    return changes(sweep({"a": df}, keys, bits=bits), keys, depth("a") > 0, depth_before("a") > 0)
+
+
 def sweep(
-    sets: Mapping[str, DataFrame],
+    sets: Mapping[str, DataFrame | Edges],
     keys: Sequence[str],
     points: DataFrame | None = None,
     bits: int = CHUNK_BITS,
@@ -73,17 +95,20 @@ def sweep(
     forces extra cuts.
     """
     keys, names = list(keys), list(sets)
-    edges: DataFrame | None = None
-    for name, df in sets.items():
-        part = _edges(df, keys, name, names)
-        edges = part if edges is None else edges.unionByName(part)
+    zero = F.lit(0).cast("bigint")
+    marks: DataFrame | None = None
+    for name, given in sets.items():
+        rows = (given if isinstance(given, Edges) else edges_of(given, keys)).rows
+        part = rows.select(
+            *keys, AT, *[(F.col("d") if n == name else zero).alias(n) for n in names]
+        )
+        marks = part if marks is None else marks.unionByName(part)
     is_point = F.lit(False)
     if points is not None:
-        zero = F.lit(0).cast("bigint")
         part = points.select(*keys, _position(AT).alias(AT), *[zero.alias(n) for n in names])
-        edges = edges.withColumn("_p", F.lit(0)).unionByName(part.withColumn("_p", F.lit(1)))
+        marks = marks.withColumn("_p", F.lit(0)).unionByName(part.withColumn("_p", F.lit(1)))
         is_point = F.col("_p") == 1
-    grouped = edges.groupBy(*keys, AT).agg(
+    grouped = marks.groupBy(*keys, AT).agg(
         *[F.sum(n).alias(n) for n in names],
         *([F.max("_p").alias("_p")] if points is not None else []),
     )
@@ -169,7 +194,7 @@ def merge_intervals(df: DataFrame, keys: Sequence[str], bits: int = CHUNK_BITS)
 
 
 def depth_at_least(
-    df: DataFrame, keys: Sequence[str], minimum: int, bits: int = CHUNK_BITS
+    df: DataFrame | Edges, keys: Sequence[str], minimum: int, bits: int = CHUNK_BITS
 ) -> DataFrame:
     """Maximal regions covered by ``minimum`` or more of the given intervals."""
     segments = sweep({"a": df}, keys, bits=bits)
@@ -218,21 +243,28 @@ def union(a: DataFrame, b: DataFrame, keys: Sequence[str], bits: int = CHUNK_BIT
 
 
 def partition_contaminated(
-    target: DataFrame, overlap: DataFrame, keys: Sequence[str], bits: int = CHUNK_BITS
+    target: DataFrame | Edges,
+    overlap: DataFrame | Edges,
+    keys: Sequence[str],
+    bits: int = CHUNK_BITS,
+    min_depth: int = 1,
 ) -> DataFrame:
-    """Merged target intervals, each flagged ``contaminated`` as a whole if any overlap touches it."""
+    """Merged target intervals, each flagged ``contaminated`` as a whole if any overlap touches it.
+
+    An overlap is where at least ``min_depth`` of the second set's intervals lie.
+    """
     segments = sweep({"t": target, "o": overlap}, keys, bits=bits)
     return runs(
         segments,
         keys,
         depth("t") > 0,
         depth_before("t") > 0,
-        {"contaminated": (depth("o") > 0, "max")},
+        {"contaminated": (depth("o") >= min_depth, "max")},
     )
 
 
 def covered_before(
-    cover: DataFrame, points: DataFrame, keys: Sequence[str], bits: int = CHUNK_BITS
+    cover: DataFrame | Edges, points: DataFrame, keys: Sequence[str], bits: int = CHUNK_BITS
 ) -> DataFrame:
     """``(keys, at_ms, covered_ms)``: length of the union of ``cover`` before each point."""
     keys = list(keys)

@@ -144,7 +144,8 @@ _MATCH = f"""{of("t0", "click")}, {merged("t", "t0")},
 {of("s0", *OTHERS, cols="session_id, speaker_id, start_ms, end_ms")},
 {merged("s", "s0", "session_id, speaker_id")},
 ov AS (SELECT s.session_id, s.speaker_id,
-  coalesce(sum(least(s.end_ms, t.end_ms) - greatest(s.start_ms, t.start_ms)), 0) AS ms
+  coalesce(sum(least(s.end_ms, t.end_ms) - greatest(s.start_ms, t.start_ms))
+    FILTER (t.session_id IS NOT NULL), 0) AS ms
   FROM s LEFT JOIN t ON s.session_id = t.session_id AND s.start_ms < t.end_ms AND t.start_ms < s.end_ms
   GROUP BY s.session_id, s.speaker_id),
 best AS (SELECT session_id, speaker_id, {big("ms", "overlap_ms")} FROM ov
@@ -484,7 +485,7 @@ r AS (SELECT *, total // 4 AS s, total * 3 // 4 AS e FROM q),
 u AS (SELECT *, s * 8 AS s0, e * 8 - s * 8 AS cnt FROM r),
 v AS (SELECT *, raw[2 * s0 + 1 : 2 * (s0 + cnt)] AS pcm FROM u),
 le AS (SELECT *, octet_length(pcm) AS b FROM v),
-w AS (SELECT *, 'target_f' || lpad(file_index::VARCHAR, greatest(3, length(file_index::VARCHAR)), '0') || '_' || lpad((s + file_index::BIGINT * 100)::VARCHAR, 9, '0')
+w AS (SELECT *, 'target_f' || lpad(file_index::VARCHAR, CAST(greatest(3, length(file_index::VARCHAR)) AS INTEGER), '0') || '_' || lpad((s + file_index::BIGINT * 100)::VARCHAR, 9, '0')
     || '-' || lpad((e + file_index::BIGINT * 100)::VARCHAR, 9, '0') || '.wav' AS name,
   'RIFF'::BLOB || unhex(LE1) || 'WAVEfmt '::BLOB || unhex('1000000001000100401f0000803e00000200100064617461')
     || unhex(LE2) || pcm AS wav FROM le)"""

@@ -68,9 +68,8 @@ def _of(df: DataFrame, *types: str) -> DataFrame:
 def clean_segments_per_user(spark, sf_dir):
     """Flagship: per user, click time free of any other simultaneous activity."""
     fx = v.intervals(spark, sf_dir)
-    by_speaker = iv.merge_intervals(fx, ["session_id", "speaker_id"])
-    crowded = iv.depth_at_least(by_speaker, USER, 2)
-    parts = iv.partition_contaminated(_of(fx, "click"), crowded, USER)
+    by_speaker = iv.merged_edges(fx, ["session_id", "speaker_id"])
+    parts = iv.partition_contaminated(_of(fx, "click"), by_speaker, USER, min_depth=2)
     judged = tl.edge_trim(parts, 50, 500)
     clean = ~F.col("contaminated")
     length = F.col("end_ms") - F.col("start_ms")
@@ -125,8 +124,7 @@ def interval_union(spark, sf_dir):
 @register
 def overlap_regions(spark, sf_dir):
     fx = v.intervals(spark, sf_dir)
-    merged = iv.merge_intervals(fx, ["session_id", "speaker_id"])
-    return iv.depth_at_least(merged, USER, 2)
+    return iv.depth_at_least(iv.merged_edges(fx, ["session_id", "speaker_id"]), USER, 2)
 
 
 @register
