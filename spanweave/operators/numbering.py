@@ -2,22 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temporary one only where none is configured."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    current = spark.sparkContext.getCheckpointDir()
-    if current is None:
-        folder = configured or tempfile.mkdtemp(prefix="spark-")
-        spark.sparkContext.setCheckpointDir(folder)
-        return configured or folder
-    return configured or current
+from spanweave.operators.lineage import materialize
 
 
 def number_rows(
@@ -26,16 +16,15 @@ def number_rows(
     """Number rows ``start, start+1, ...`` within ``keys`` by ``order``.
 
     Rows are range-partitioned on ``keys + order``, so a key of any size spreads over many tasks.
-    The sorted rows are checkpointed: range bounds come from sampling, and the counts below must
-    see the very partitions the positions were taken from. ``order`` should be unique in its key.
+    The placed rows are written out first: range bounds come from sampling, and the counts below
+    must see the very partitions the positions were taken from. ``order`` should be unique in its key.
     """
     keys, order = list(keys), list(order)
-    ensure_checkpoint_dir(df.sparkSession)
-    placed = (
+    placed = materialize(
         df.repartitionByRange(*keys, *order)
         .sortWithinPartitions(*keys, *order)
-        .withColumn("_pos", F.monotonically_increasing_id())
-        .checkpoint()
+        .withColumn("_pos", F.monotonically_increasing_id()),
+        "numbered",
     )
     part = F.shiftright("_pos", 33)  # partition number of monotonically_increasing_id
     counts = placed.groupBy(*keys, part.alias("_part")).agg(

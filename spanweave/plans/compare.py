@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from pathlib import PurePosixPath
 
@@ -12,6 +13,7 @@ from spanweave.functions.redaction import MIN_AUTO_TOKEN, detect_token, redact,
 from spanweave.operators import agreement as ag
 from spanweave.operators import audit as au
 from spanweave.operators import timeline as tl
+from spanweave.operators.lineage import materialize
 from spanweave.sources.logs import read_lines
 
 SESSION = list(tl.SESSION)
@@ -27,13 +29,23 @@ class Comparison:
     diff: DataFrame  # both / a / b / neither per column
 
 
-def compare(audit: DataFrame, turns: DataFrame, width: int = 100, ordinals: bool = False) -> Comparison:
-    """Line up each session's recorded segments with the best matching speaker's turns."""
+def compare(
+    audit: DataFrame,
+    turns: DataFrame,
+    width: int = 100,
+    ordinals: bool = False,
+    keep: Callable[[DataFrame], DataFrame] = materialize,
+) -> Comparison:
+    """Line up each session's recorded segments with the best matching speaker's turns.
+
+    ``keep`` is applied to the three tables that all others read: the segments, the match and the
+    lanes.
+    """
     width = max(1, int(width))
-    segments = au.extract_segments(audit)
+    segments = keep(au.extract_segments(audit))
     target = segments.select(*SESSION, "start_ms", "end_ms")
     spoken = turns.select(*SESSION, "speaker_id", "start_ms", "end_ms")
-    matched = ag.match_best_overlap(target, spoken)
+    matched = keep(ag.match_best_overlap(target, spoken))
     best = spoken.join(matched.select(*SESSION, "speaker_id"), [*SESSION, "speaker_id"], "left_semi")
     best = best.select(*SESSION, "start_ms", "end_ms")
 
@@ -44,7 +56,7 @@ def compare(audit: DataFrame, turns: DataFrame, width: int = 100, ordinals: bool
         .unionByName(lane(best, F.lit("matched")))
         .unionByName(lane(spoken, F.concat(F.lit("speaker:"), F.col("speaker_id"))))
     )
-    lanes = tl.bucket_lanes(rows, bounds, width)
+    lanes = keep(tl.bucket_lanes(rows, bounds, width))
     return Comparison(
         ag.segment_agreement(segments, best, ordinals=ordinals, order=("start_ms", "end_ms", "seq")),
         matched,

@@ -21,6 +21,7 @@ from spanweave.functions.vectors import vector_sha256
 from spanweave.operators import audit as au
 from spanweave.operators import identity as ident
 from spanweave.operators import registry as rg
+from spanweave.operators.lineage import materialize
 from spanweave.plans import stages as st
 
 # Names that must be registered, and the detector parameters recorded per clip.
@@ -317,27 +318,24 @@ def run_sessions(
     min_active_ms: int = st.MIN_SPEAKER_ACTIVE_MS,
     trim_ms: int = st.EDGE_TRIM_MS,
     min_clean_ms: int = st.MIN_CLEAN_MS,
-    reuse: st.Model | None = None,
+    keep: st.Model = materialize,
 ) -> SessionRun:
-    """All stages, lazily composed; ``models`` comes from :func:`run_gate`.
+    """All stages and the log; ``models`` comes from :func:`run_gate`.
 
-    ``reuse`` is applied to the few tables that several later stages read (model output, seeds,
-    segments): pass ``lambda df: df.checkpoint()`` on a cluster so that models run once. A session
-    that fails at enrollment ends its log with the failure; the others are unaffected.
+    Tables that several later steps read (speech, model output, seeds, segments) are written to the
+    shared folder, so that no model runs twice and each step has a small plan. A session that fails
+    at enrollment ends its log with the failure; the others are unaffected.
     """
-    keep = reuse or (lambda df: df)
-    pre = st.preprocess(clips, vad_segments)
+    pre = st.preprocess(clips, vad_segments, keep)
     enrolled = st.enroll(
-        pre, clicks, detections, lambda df: keep(embed_windows(df)),
-        face_threshold, sample_ms, seed_min_ms,
+        pre, clicks, detections, embed_windows, face_threshold, sample_ms, seed_min_ms, keep
     )
-    seeds = keep(enrolled.seeds)
     tracked = st.track(
-        pre.clips, seeds, lambda df: keep(infer(df)), lambda df: keep(embed_runs(df)),
-        window_ms, hop_ms, voice_threshold, min_active_ms,
+        pre.clips, enrolled.seeds, infer, embed_runs,
+        window_ms, hop_ms, voice_threshold, min_active_ms, keep,
     )
-    going = pre.clips.join(seeds.select("session_id"), st.SESSION, "left_semi")
-    judged = st.contaminate(tracked.target, tracked.overlap, going, trim_ms, min_clean_ms)
+    going = pre.clips.join(enrolled.seeds.select("session_id"), st.SESSION, "left_semi")
+    judged = st.contaminate(tracked.target, tracked.overlap, going, trim_ms, min_clean_ms, keep)
 
     records = _start_records(clips, models, environment or {}, seed)
     for part in (
@@ -349,5 +347,5 @@ def run_sessions(
         records = records.unionByName(part)
     when = stamp if stamp is not None else F.lit("1970-01-01T00:00:00.000Z")
     records = records.withColumn("audit", canonical_object({"timestamp_utc": json_string(when)}))
-    audit = au.chain_build(keep(records), ORDER)
+    audit = keep(au.chain_build(keep(records), ORDER))
     return SessionRun(pre, enrolled, tracked, judged, audit, enrolled.failures)

@@ -22,6 +22,12 @@ from spanweave.operators.clips import cut_clips
 
 Model = Callable[[DataFrame], DataFrame]
 
+
+def lazily(df: DataFrame) -> DataFrame:
+    """The default ``keep``: nothing is materialized."""
+    return df
+
+
 # Default parameters of a run.
 WINDOW_MS = 10000
 HOP_MS = 10000
@@ -32,7 +38,10 @@ MIN_CLEAN_MS = 500
 FILE = list(tl.FILE)
 SESSION = list(tl.SESSION)
 WINDOW = list(tl.WINDOW)
-_LENGTH = F.col("end_ms") - F.col("start_ms")
+
+
+def _length():
+    return F.col("end_ms") - F.col("start_ms")
 
 
 def _zero(name: str):
@@ -48,29 +57,30 @@ class Preprocessed:
     session_summary: DataFrame
 
 
-def preprocess(clips: DataFrame, vad_segments: DataFrame) -> Preprocessed:
+def preprocess(clips: DataFrame, vad_segments: DataFrame, keep: Model = lazily) -> Preprocessed:
     """Clock, speech maps and counts from clips and detector output in samples.
 
     ``clips``: session, file, ``sample_rate``, ``n_frames`` and any metadata.
-    ``vad_segments``: session, file, ``start_sample``, ``end_sample``.
+    ``vad_segments``: session, file, ``start_sample``, ``end_sample``. In every stage ``keep`` is
+    applied to the tables that are read more than once, e.g. ``materialize``.
     """
     timed = clips.withColumn("duration_ms", samples_to_ms("n_frames", "sample_rate"))
-    clock = tl.session_clock(timed)
+    clock = keep(tl.session_clock(timed))
     placed = timed.join(clock.select(*FILE, "offset_ms"), FILE)
     in_ms = vad_segments.join(clips.select(*FILE, "sample_rate"), FILE).select(
         *FILE,
         samples_to_ms("start_sample", "sample_rate").alias("start_ms"),
         samples_to_ms("end_sample", "sample_rate").alias("end_ms"),
     )
-    speech = iv.merge_intervals(in_ms, FILE)
-    speech_global = iv.merge_intervals(tl.to_global(speech, clock), SESSION)
+    speech = keep(iv.merge_intervals(in_ms, FILE))
+    speech_global = keep(iv.merge_intervals(tl.to_global(speech, clock), SESSION))
     per_file = speech.groupBy(*FILE).agg(
-        F.count(F.lit(1)).alias("n_segments"), F.sum(_LENGTH).alias("speech_ms")
+        F.count(F.lit(1)).alias("n_segments"), F.sum(_length()).alias("speech_ms")
     )
     file_summary = clock.join(per_file, FILE, "left").select(
         *FILE, "duration_ms", "offset_ms", _zero("n_segments"), _zero("speech_ms")
     )
-    spoken = speech_global.groupBy(*SESSION).agg(F.sum(_LENGTH).alias("speech_ms"))
+    spoken = speech_global.groupBy(*SESSION).agg(F.sum(_length()).alias("speech_ms"))
     session_summary = (
         tl.session_totals(timed)
         .join(spoken, SESSION, "left")
@@ -98,13 +108,14 @@ def enroll(
     threshold: float = ident.FACE_MATCH_THRESHOLD,
     sample_ms: int = ident.SAMPLE_MS,
     seed_min_ms: int = ident.SEED_MIN_MS,
+    keep: Model = lazily,
 ) -> Enrolled:
     """Target identity from clicks, clean windows, and the pooled voice seed.
 
     ``detections``: session, file, ``pts_ms``, ``box_idx``, box, ``score``, ``embedding`` (null when
     the embedder found no face). ``embed`` adds ``embedding`` to the windows of sessions that pass.
     """
-    resolved = ident.resolve_clicks(clicks, detections, carry=("score", "embedding"))
+    resolved = keep(ident.resolve_clicks(clicks, detections, carry=("score", "embedding")))
     missed = ident.click_failures(resolved)
     references = (
         resolved.groupBy(*SESSION)
@@ -115,11 +126,11 @@ def enroll(
         .where(F.col("target").isNotNull())
     )
     frames = ident.frame_identity(detections, references, threshold)
-    windows = ident.clean_windows(pre.speech, frames, sample_ms)
-    guard = ident.seed_guard(references, windows, seed_min_ms)
+    windows = keep(ident.clean_windows(pre.speech, frames, sample_ms))
+    guard = keep(ident.seed_guard(references, windows, seed_min_ms))
     passed = guard.where(F.col("reason").isNull()).select(*SESSION)
     vectors = embed(windows.join(passed, SESSION, "left_semi"))
-    seeds = ident.pool_vectors(vectors, SESSION)
+    seeds = keep(ident.pool_vectors(vectors, SESSION))
     failures = missed.unionByName(
         guard.where(F.col("reason").isNotNull()).select(*SESSION, "reason")
     )
@@ -148,6 +159,7 @@ def track(
     hop_ms: int = HOP_MS,
     threshold: float = ident.VOICE_MATCH_THRESHOLD,
     min_active_ms: int = MIN_SPEAKER_ACTIVE_MS,
+    keep: Model = lazily,
 ) -> Tracked:
     """Where the target speaks and where voices overlap, for sessions that have a seed.
 
@@ -158,14 +170,16 @@ def track(
         seeds.select(*SESSION), SESSION, "left_semi"
     )
     windows = tl.window_schedule(placed, window_ms, hop_ms).select(*WINDOW)
-    masks = infer(windows)
-    overlaps = tl.window_overlaps(masks)
+    masks = keep(infer(windows))
+    overlaps = keep(tl.window_overlaps(masks))
 
     runs = tl.mask_runs(tl.active_speakers(masks, min_active_ms))
     speaker = [*WINDOW, "speaker_idx"]
     pooled = ident.pool_vectors(embed(runs), speaker, strict=False)
-    matched = ident.match_identity(pooled, seeds, threshold).where(
-        F.col("target_speaker_idx").isNotNull()
+    matched = keep(
+        ident.match_identity(pooled, seeds, threshold).where(
+            F.col("target_speaker_idx").isNotNull()
+        )
     )
     chosen = matched.select(*WINDOW, F.col("target_speaker_idx").alias("speaker_idx"))
     target_runs = runs.join(chosen, speaker, "left_semi")
@@ -173,8 +187,8 @@ def track(
     shape = masks.groupBy(*WINDOW).agg(
         F.max("frame_ms").alias("frame_ms"), F.count(F.lit(1)).alias("n_speakers")
     )
-    spoken = target_runs.groupBy(*WINDOW).agg(F.sum(_LENGTH).alias("target_ms"))
-    crossed = overlaps.groupBy(*WINDOW).agg(F.sum(_LENGTH).alias("overlap_ms"))
+    spoken = target_runs.groupBy(*WINDOW).agg(F.sum(_length()).alias("target_ms"))
+    crossed = overlaps.groupBy(*WINDOW).agg(F.sum(_length()).alias("overlap_ms"))
     report = (
         windows.join(shape, WINDOW, "left")
         .join(matched, WINDOW, "left")
@@ -190,13 +204,13 @@ def track(
             _zero("overlap_ms"),
         )
     )
-    target = iv.merge_intervals(target_runs.select(*FILE, "start_ms", "end_ms"), FILE)
-    overlap = iv.merge_intervals(overlaps.select(*FILE, "start_ms", "end_ms"), FILE)
-    target_global = iv.merge_intervals(tl.to_global(target, placed), SESSION)
-    overlap_global = iv.merge_intervals(tl.to_global(overlap, placed), SESSION)
+    target = keep(iv.merge_intervals(target_runs.select(*FILE, "start_ms", "end_ms"), FILE))
+    overlap = keep(iv.merge_intervals(overlaps.select(*FILE, "start_ms", "end_ms"), FILE))
+    target_global = keep(iv.merge_intervals(tl.to_global(target, placed), SESSION))
+    overlap_global = keep(iv.merge_intervals(tl.to_global(overlap, placed), SESSION))
 
     def length_of(df: DataFrame, keys: list[str], name: str) -> DataFrame:
-        return df.groupBy(*keys).agg(F.sum(_LENGTH).alias(name))
+        return df.groupBy(*keys).agg(F.sum(_length()).alias(name))
 
     file_summary = (
         placed.select(*FILE)
@@ -231,6 +245,7 @@ def contaminate(
     clips: DataFrame,
     trim_ms: int = EDGE_TRIM_MS,
     min_clean_ms: int = MIN_CLEAN_MS,
+    keep: Model = lazily,
 ) -> Judged:
     """Drop every target segment that touches overlap, trim the others, drop what is then short.
 
@@ -242,7 +257,7 @@ def contaminate(
     clean = ~bad & F.col("kept")
     start = F.when(clean, F.col("trim_start_ms")).otherwise(F.col("start_ms"))
     end = F.when(clean, F.col("trim_end_ms")).otherwise(F.col("end_ms"))
-    segments = (
+    segments = keep(
         parts.join(clips.select(*FILE, "offset_ms"), FILE)
         .select(
             *FILE,
@@ -261,7 +276,7 @@ def contaminate(
     )
     cut = None
     if "pcm" in clips.columns:
-        cut = cut_clips(segments.where(F.col("decision") == "CLEAN"), clips)
+        cut = keep(cut_clips(segments.where(F.col("decision") == "CLEAN"), clips))
         segments = segments.join(
             cut.select(*FILE, "segment_start_ms", "name", "sha256"),
             [*FILE, "segment_start_ms"],

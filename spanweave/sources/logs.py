@@ -141,7 +141,16 @@ def read_audit(spark: SparkSession, path: str, strict: bool = False) -> tuple[Da
     records = parsed.where(F.col("error").isNull()).drop("error")
     if strict:
         fine = F.when(F.col("error").isNull(), F.col("session_id")).otherwise(
-            F.raise_error(F.concat_ws(" ", "session_id", "error"))
+            F.raise_error(
+                F.concat_ws(
+                    " ",
+                    "session_id",
+                    F.lit("line"),
+                    (F.col("position") + 1).cast("string"),
+                    F.lit("is"),
+                    "error",
+                )
+            )
         )
         records = parsed.withColumn("session_id", fine).drop("error")
     return records, bad.unionByName(empty).unionByName(foreign)
