@@ -307,31 +307,47 @@ def coverage(
 LEVEL_BITS = tuple(range(12, 41, 4))
 
 
-def _cells(df: DataFrame, levels: Sequence[int], probe_role: int) -> DataFrame:
-    """One row per grid cell an interval is registered in.
-
-    An interval's own grid is the finest whose cells are at least as long as it is, so it lies in
-    at most two cells there and in every coarser grid.
-    """
+def _own_level(levels: Sequence[int]) -> Column:
+    """The finest grid whose cells are at least as long as the interval."""
     length = F.col(END) - F.col(START)
     own = F.lit(levels[-1])
     for bits in reversed(levels[:-1]):
         own = F.when(length <= F.lit(1 << bits), F.lit(bits)).otherwise(own)
-    all_levels = F.array(*[F.lit(b) for b in levels])
-    owner_role = 1 - probe_role
-    # Role 0: the right side sits on its own grid, the left probes that grid and finer owners.
-    # Role 1: the reverse, strictly coarser so that equal grids meet once.
-    reach = (lambda b: b >= F.col("_own")) if probe_role == 0 else (lambda b: b > F.col("_own"))
+    return own
+
+
+def _levels_in_use(a: DataFrame, b: DataFrame, levels: Sequence[int]) -> tuple[list[int], list[int]]:
+    """Grids on which each side has intervals: at most ``len(levels)`` numbers per side."""
+    own = _own_level(levels)
+    side = lambda df, name: valid_intervals(df).select(own.alias("l"), F.lit(name).alias("s"))
+    found = side(a, "a").unionByName(side(b, "b")).distinct().collect()
+    return (
+        sorted(r["l"] for r in found if r["s"] == "a"),
+        sorted(r["l"] for r in found if r["s"] == "b"),
+    )
+
+
+def _cells(
+    df: DataFrame, levels: Sequence[int], visits: Sequence[int], probe_role: int
+) -> DataFrame:
+    """One row per grid cell an interval is registered in.
+
+    An interval sits on its own grid and visits the grids of longer intervals of the other side; it
+    lies in at most two cells of each. Role 0: the right side sits, the left visits, equal grids
+    included. Role 1: the reverse, equal grids excluded, so that every pair meets on one grid.
+    """
+    own = F.col("_own")
+    reach = (lambda b: b >= own) if probe_role == 0 else (lambda b: b > own)
     placed = F.concat(
         F.transform(
-            F.filter(all_levels, reach),
+            F.filter(F.array(*[F.lit(b) for b in visits]).cast("array<int>"), reach),
             lambda b: F.struct(F.lit(probe_role).alias("role"), b.alias("bits")),
         ),
-        F.array(F.struct(F.lit(owner_role).alias("role"), F.col("_own").alias("bits"))),
+        F.array(F.struct(F.lit(1 - probe_role).alias("role"), own.alias("bits"))),
     )
-    spread = df.withColumn("_own", own).select("*", F.explode(placed).alias("_g"))
-    cell = lambda c: F.call_function("shiftright", c, F.col("_g.bits"))
-    # An interval longer than the coarsest cell is in more than two cells there, still all of them.
+    spread = df.withColumn("_own", _own_level(levels)).select("*", F.explode(placed).alias("_g"))
+    cell = lambda c: F.call_function("shiftright", c.cast("bigint"), F.col("_g.bits"))
+    # Only an interval longer than the coarsest cell lies in more than two.
     return spread.select(
         *df.columns,
         F.col("_g.role").alias("_role"),
@@ -345,6 +361,7 @@ def overlap_join(
     b: DataFrame,
     keys: Sequence[str],
     levels: Sequence[int] = LEVEL_BITS,
+    measure_levels: bool = True,
 ) -> DataFrame:
     """All pairs of overlapping intervals, with the other columns of both sides.
 
@@ -352,19 +369,23 @@ def overlap_join(
     equi-join on (key, grid, cell): each pair meets on the grid of its longer member, so copies per
     row are bounded by the number of grids and not by interval length, and only neighbours of
     comparable scale are tested. AQE splits a cell that is still too full.
+
+    ``measure_levels`` first runs one aggregate over both sides to learn which grids are in use (a
+    handful of integers), and no row then visits a grid on which nobody sits.
     """
-    keys = list(keys)
+    keys, levels = list(keys), list(levels)
+    a_levels, b_levels = _levels_in_use(a, b, levels) if measure_levels else (levels, levels)
 
-    def side(df: DataFrame, prefix: str, role: int) -> DataFrame:
+    def side(df: DataFrame, prefix: str, visits: Sequence[int], role: int) -> DataFrame:
         rest = [c for c in df.columns if c not in keys]
-        cells = _cells(valid_intervals(df), levels, role)
+        cells = _cells(valid_intervals(df), levels, visits, role)
         return cells.select(
             *keys, "_role", "_bits", "_cell", *[F.col(c).alias(prefix + c) for c in rest]
         )
 
-    left, right = side(a, "a_", 0), side(b, "b_", 1)
+    left, right = side(a, "a_", b_levels, 0), side(b, "b_", a_levels, 1)
     first_common = F.call_function(
-        "shiftright", F.greatest("a_" + START, "b_" + START), F.col("_bits")
+        "shiftright", F.greatest("a_" + START, "b_" + START).cast("bigint"), F.col("_bits")
     )
     return (
         left.join(right, [*keys, "_role", "_bits", "_cell"])

@@ -111,9 +111,40 @@ def test_overlap_join_is_exact(spark, levels):
         if e > s and q > p and s < q and p < e
     )
     assert got == want
+    plain = iv.overlap_join(da, db, ["k"], levels, measure_levels=False)
+    assert plain.count() == len(want)
 
 
-def test_merge_plan_keeps_one_scan_of_each_shuffle(spark):
-    df = one(spark, [(0, 10), (5, 20)])
-    plan = iv.merge_intervals(df, ["k"])._jdf.queryExecution().executedPlan().toString()
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan
+def plan_of(df):
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return text.split("== Initial Plan ==")[0]
+
+
+def test_merge_reads_and_shuffles_its_input_once(spark, sf_dir):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    df = events.select(
+        F.col("user_id").alias("k"),
+        (F.col("event_id") * 10).alias("start_ms"),
+        (F.col("event_id") * 10 + 15).alias("end_ms"),
+    )
+    text = plan_of(iv.merge_intervals(df, ["k"], bits=6))
+    assert "CartesianProduct" not in text and "BroadcastNestedLoop" not in text
+    assert text.count("FileScan parquet") == 1
+    # edges, chunks, chunk summaries, border pieces; everything else reuses these
+    assert text.count(" Exchange hashpartitioning") == 4
+    assert text.count("ReusedExchange") >= 2
+    assert "ReadSchema: struct<event_id:bigint,user_id:bigint>" in text
+
+
+def test_no_chunk_exceeds_its_width_under_a_hot_key(spark):
+    """Many copies of the same few intervals in one key combine before anything is windowed."""
+    hot = spark.range(200_000).select(
+        F.lit("hot").alias("k"), (F.col("id") % 50).alias("start_ms"), (F.col("id") % 50 + 3).alias("end_ms")
+    )
+    seg = iv.sweep({"a": hot}, ["k"], bits=4)
+    widest = seg.groupBy("k", "_chunk").count().agg(F.max("count")).first()[0]
+    assert widest <= 16
+    assert grouped(iv.merge_intervals(hot, ["k"], bits=4)) == {"hot": [(0, 52)]}
+    deep = seg.agg(F.max("a_depth")).first()[0]
+    assert deep == 12_000
