@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanweave.functions.canonical import json_string
+from spanweave.functions.timecode import seconds_to_ms
 from spanweave.operators.timeline import SESSION
 
 _TURNS = (
@@ -49,6 +50,17 @@ def read_turns(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def turns_from_seconds(df: DataFrame) -> DataFrame:
+    """Model turns in float seconds (``start_s``, ``end_s``, ``speaker_id``) in milliseconds."""
+    rest = [c for c in df.columns if c not in ("start_s", "end_s", "speaker_id")]
+    return df.select(
+        *rest,
+        F.col("speaker_id").cast("string").alias("speaker_id"),
+        seconds_to_ms("start_s").alias("start_ms"),
+        seconds_to_ms("end_s").alias("end_ms"),
+    )
+
+
 def turns_documents(turns: DataFrame, keys: Sequence[str] = SESSION, schema: str = "turns-output-v1") -> DataFrame:
     """Turn documents as text lines: ``(keys, part, start_ms, end_ms, speaker_id, line)``.
 

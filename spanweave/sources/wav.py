@@ -78,3 +78,8 @@ def read_clips(
             "path", F.when(F.coalesce(ok, F.lit(False)), F.col("path")).otherwise(bad)
         ).drop("sample_width")
     return clips, errors
+
+
+def write_clips(cut: DataFrame, path: str) -> None:
+    """Store cut clips (``name``, ``wav``, ``sha256``) as Parquet, one folder per session."""
+    cut.write.mode("errorifexists").partitionBy("session_id").parquet(path)

@@ -132,7 +132,7 @@ def test_merge_reads_and_shuffles_its_input_once(spark, sf_dir):
     assert "CartesianProduct" not in text and "BroadcastNestedLoop" not in text
     assert text.count("FileScan parquet") == 1
     # edges, chunks, chunk summaries, border pieces; everything else reuses these
-    assert text.count(" Exchange hashpartitioning") == 4
+    assert text.count("+- Exchange hashpartitioning") == 4
     assert text.count("ReusedExchange") >= 2
     assert "ReadSchema: struct<event_id:bigint,user_id:bigint>" in text
 

@@ -154,9 +154,10 @@ def run_sessions(spark, sf_dir):
             F.lit(n).cast("bigint").alias("n_frames"), F.sha2(pcm, 256).alias("sha256"), pcm.alias("pcm"),
         )
     )
+    # Around every grid point at which speech starts, 110 ms of speech with the point in its middle.
+    first = int_div(F.col("start_ms"), F.lit(10))
     vad = v.speech(spark, sf_dir).select(
-        "session_id", "file_index", int_div(F.col("start_ms"), F.lit(10)).alias("start_sample"),
-        int_div(F.col("end_ms"), F.lit(10)).alias("end_sample"),
+        "session_id", "file_index", (first + 7).alias("start_sample"), (first + 18).alias("end_sample")
     )
     run = ss.run_sessions(
         clips, vad, _first_frame_clicks(faces), faces, _infer, _embed, _embed,

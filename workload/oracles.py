@@ -452,6 +452,14 @@ SELECT name, path, expected, actual, CASE WHEN actual IS NULL THEN 'MISSING' WHE
 UNION ALL
 SELECT name, NULL, '', NULL, 'REQUIRED' FROM need WHERE name NOT IN (SELECT name FROM reg)"""
 
+SQL["missing_names"] = f"""WITH {_REG}
+SELECT DISTINCT CASE WHEN toxic = 1 THEN 'doc' ELSE 'model' END || doc_id AS name FROM labels
+WHERE name NOT IN (SELECT name FROM reg)"""
+
+SQL["turns_from_seconds"] = """SELECT event_id, user_id::VARCHAR AS speaker_id,
+  CAST(round_even((value + 0.0005) * 1000.0, 0) AS BIGINT) AS start_ms,
+  CAST(round_even(value * 3 * 1000.0, 0) AS BIGINT) AS end_ms FROM events"""
+
 SQL["registry_documents"] = f"WITH {_REG} SELECT name, path, expected AS sha256 FROM reg"
 
 SQL["click_documents"] = """WITH c AS (SELECT o_orderkey::VARCHAR AS session_id, 0::INTEGER AS file_index,

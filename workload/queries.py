@@ -576,6 +576,26 @@ def verify_registry(spark, sf_dir):
     return rg.verify_registry(reg, rg.file_hashes(v.files(spark, sf_dir)), required)
 
 
+@register
+def missing_names(spark, sf_dir):
+    """Labelled documents by the names of a registry of models: those it does not hold."""
+    required = v.table(spark, sf_dir, "labels").select(
+        F.concat(
+            F.when(F.col("toxic") == 1, F.lit("doc")).otherwise(F.lit("model")), F.col("doc_id")
+        ).alias("name")
+    )
+    return rg.missing_names(required, v.registry(spark, sf_dir))
+
+
+@register
+def turns_from_seconds(spark, sf_dir):
+    turns = v.table(spark, sf_dir, "events").select(
+        "event_id", (F.col("value") + 0.0005).alias("start_s"), (F.col("value") * 3).alias("end_s"),
+        F.col("user_id").alias("speaker_id"),
+    )
+    return docs.turns_from_seconds(turns)
+
+
 @register
 def registry_documents(spark, sf_dir):
     """Registry JSON, one document per language and source row, parsed back to rows."""
