@@ -166,18 +166,36 @@ def frame_depth(masks: DataFrame, keys: Sequence[str] = WINDOW) -> DataFrame:
 def window_overlaps(masks: DataFrame, keys: Sequence[str] = WINDOW) -> DataFrame:
     """Overlap intervals inside each window.
 
-    A window holds no more rows here than one mask has frames, whatever the session's size.
+    Only active frames are shuffled; the frame axis of speaker 0 travels as one mark just past its
+    last frame. A window holds no more rows than one mask has frames, whatever the session's size.
     """
-    frames = frame_depth(masks, keys).where("overlapped")
-    by_window = Window.partitionBy(*keys, "frame_ms").orderBy("frame")
+    keys = [*keys, "frame_ms"]
+    marked = F.when(
+        F.col("speaker_idx") == 0, F.array_append("activity", F.lit(-1).cast("tinyint"))
+    ).otherwise(F.col("activity"))
+    by_window = Window.partitionBy(*keys)
+    frames = (
+        masks.select(*keys, F.posexplode(marked).alias("frame", "_on"))
+        .where(F.col("_on") != 0)
+        .groupBy(*keys, "frame")
+        .agg(
+            F.count_if(F.col("_on") > 0).alias("_depth"),
+            F.max(F.col("_on") < 0).alias("_mark"),
+        )
+        .where((F.col("_depth") >= 2) | F.col("_mark"))
+        .withColumn("_axis", F.min(F.when(F.col("_mark"), F.col("frame"))).over(by_window))
+        .where((F.col("_depth") >= 2) & (F.col("frame") < F.col("_axis")))
+    )
     start = F.col("window_start_ms")
     frame = F.col("frame_ms").cast("bigint")
     return (
-        frames.withColumn("_island", F.col("frame") - F.row_number().over(by_window))
-        .groupBy(*keys, "frame_ms", "_island")
+        frames.withColumn(
+            "_island", F.col("frame") - F.row_number().over(by_window.orderBy("frame"))
+        )
+        .groupBy(*keys, "_island")
         .agg(F.min("frame").alias("_f0"), F.max("frame").alias("_f1"))
         .select(
-            *keys,
+            *keys[:-1],
             (start + F.col("_f0") * frame).alias(START),
             (start + (F.col("_f1") + 1) * frame).alias(END),
         )

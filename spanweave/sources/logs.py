@@ -20,6 +20,15 @@ _RECORD = (
 _RECORD_NAMES = [f.split(" ")[0] for f in _RECORD.split(", ")]
 
 
+def session_of_file(path: Column) -> Column:
+    """Session of a log file: its ``session_id=...`` folder, else its name without suffixes."""
+    folder = F.regexp_extract(path, r"/session_id=([^/]+)/", 1)
+    stem = F.regexp_replace(
+        F.regexp_extract(path, r"([^/]+)$", 1), r"(\.manifest)?\.jsonl$|\.txt$", ""
+    )
+    return F.when(folder != "", F.url_decode(folder)).otherwise(F.url_decode(stem))
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """``(session_id, position, line)`` of every line of every log under ``path``, in file order.
 
@@ -35,11 +44,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_row"),
     )
-    folder = F.regexp_extract("_file", r"/session_id=([^/]+)/", 1)
-    stem = F.regexp_replace(
-        F.regexp_extract("_file", r"([^/]+)$", 1), r"(\.manifest)?\.jsonl$|\.txt$", ""
-    )
-    session = F.when(folder != "", F.url_decode(folder)).otherwise(F.url_decode(stem))
+    session = session_of_file(F.col("_file"))
     part = F.coalesce(
         F.regexp_extract("_file", r"/part-(\d+)-[^/]*$", 1).try_cast("bigint"), F.lit(0)
     )

@@ -1,5 +1,5 @@
 """Continuous verification of growing audit logs."""
 
-from spanweave.streaming.verify import read_audit_stream, verify_audit_stream
+from spanweave.streaming.verify import read_audit_stream, read_log_stream, verify_audit_stream
 
-__all__ = ["read_audit_stream", "verify_audit_stream"]
+__all__ = ["read_audit_stream", "read_log_stream", "verify_audit_stream"]

@@ -11,6 +11,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from spanweave.functions.canonical import GENESIS, sha256_hex
 from spanweave.operators.audit import _entry_sha
+from spanweave.sources.logs import parse_records, session_of_file
 
 AUDIT_SCHEMA = (
     "session_id string, seq bigint, operation string, payload string, audit string, "
@@ -30,12 +31,27 @@ def read_audit_stream(
     return reader.load(path)
 
 
+def read_log_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """Audit rows from JSON-lines logs growing under ``path``, by new part files per session."""
+    reader = spark.readStream.format("text").option("recursiveFileLookup", "true")
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    lines = reader.load(path).select(
+        session_of_file(F.col("_metadata.file_path")).alias("session_id"),
+        F.lit(0).cast("bigint").alias("position"),
+        F.col("value").alias("line"),
+    )
+    # Unreadable lines surface as a broken chain.
+    return parse_records(lines).drop("position", "error")
+
+
 def _advance(
     key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
 ) -> Iterator[pd.DataFrame]:
     index, prev = state.get if state.exists else (0, GENESIS)
     rows = pd.concat(list(batches)).sort_values("seq", kind="stable")
     found = []
+    rows["seq"] = rows["seq"].fillna(-1)
     for seq, stored_prev, entry, payload_ok, entry_ok in zip(
         rows["seq"], rows["prev_sha256"], rows["entry_sha256"], rows["payload_ok"], rows["entry_ok"]
     ):

@@ -1,7 +1,8 @@
 from pyspark.sql import functions as F
 
 from spanweave.operators import audit as au
-from spanweave.streaming import read_audit_stream, verify_audit_stream
+from spanweave.sources.logs import write_audit
+from spanweave.streaming import read_audit_stream, read_log_stream, verify_audit_stream
 from tests.test_audit import records
 
 
@@ -31,3 +32,21 @@ def test_stream_finds_what_the_batch_check_finds(spark, tmp_path):
     want = sorted(tuple(r) for r in au.chain_breaks(edited).collect())
     assert got == want and len(got) >= 5
     assert ("a", 3, 3, "payload hash mismatch") in got and ("c", 5, 6, "prev_sha256 mismatch") in got
+
+
+def test_stream_over_json_lines(spark, tmp_path):
+    chain = au.chain_build(records(spark, {"a": 6, "b": 5}), ["n"])
+    hit = (F.col("session_id") == "b") & (F.col("seq") == 2)
+    edited = chain.withColumn("operation", F.when(hit, "other").otherwise(F.col("operation")))
+    write_audit(edited, str(tmp_path / "log"))
+    query = (
+        verify_audit_stream(read_log_stream(spark, str(tmp_path / "log")))
+        .writeStream.format("parquet")
+        .option("path", str(tmp_path / "out"))
+        .option("checkpointLocation", str(tmp_path / "cp"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination(180)
+    got = [tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect()]
+    assert got == [("b", 2, 2, "entry hash mismatch")]
