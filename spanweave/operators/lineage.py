@@ -9,9 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a temporary folder only where none is configured."""
+    """The cluster's ``spark.checkpoint.dir``. Only a local master may do without: it gets a temporary
+    folder, which on a cluster other executors could not read."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", configured)
     return configured
