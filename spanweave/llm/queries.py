@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanweave.llm import bpe, language_id, quality_rules, simhash, token_files
+from spanweave.llm import bpe, language_id, lm_score, quality_rules, simhash, token_files
 from spanweave.operators.lineage import scratch_path
 
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,6 +72,13 @@ def op8_bpe(spark, sf_dir):
     )
 
 
+@register
+def op9_lm_score(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = lm_score.score(docs, training=_remainder("doc_id", 7) != 2)
+    return scored.withColumn("held_out", F.coalesce(_remainder("doc_id", 7) == 2, F.lit(False)))
+
+
 @register
 def op10_quality_rules(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
