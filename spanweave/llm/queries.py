@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanweave.llm import bpe, language_id, lm_score, quality_rules, simhash, token_files
+from spanweave.llm import (
+    bpe,
+    chat_format,
+    language_id,
+    lm_score,
+    mixing,
+    quality_kn,
+    quality_rules,
+    simhash,
+    token_files,
+)
 from spanweave.operators.lineage import scratch_path
 
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +52,41 @@ def op2_language_id(spark, sf_dir):
     return language_id.predict(docs.select("doc_id", "held_out", "text"), model).drop("text")
 
 
+@register
+def op3_chat_format(spark, sf_dir):
+    return chat_format.format_chats(_table(spark, sf_dir, "conversations"))
+
+
+SQL["op3_chat_format"] = """
+WITH distinct_turns AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
+     logs AS (
+       SELECT conv_id, list({'r': role, 't': text} ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS turns
+       FROM distinct_turns GROUP BY conv_id),
+     whole AS (SELECT turns, min(conv_id) AS conv_id, count(*) AS n_copies FROM logs GROUP BY turns),
+     prefixes AS (
+       SELECT DISTINCT turns[1:k] AS turns FROM (SELECT turns, unnest(range(1, len(turns))) AS k FROM whole)),
+     kept AS (SELECT * FROM whole ANTI JOIN prefixes USING (turns)),
+     numbered AS (
+       SELECT conv_id, n_copies, len(turns) AS n_turns, unnest(range(0, len(turns))) AS position, unnest(turns) AS u FROM kept)
+SELECT conv_id, position // 1024 AS part, n_turns, CAST(n_copies AS BIGINT) AS n_copies,
+       string_agg('<|' || coalesce(u.r, 'unknown') || '|>' || chr(10) || coalesce(u.t, '') || '<|end|>' || chr(10), '' ORDER BY position) AS text
+FROM numbered GROUP BY ALL
+"""
+
+
+def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents labelled good and not toxic."""
+    return _table(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0").select("doc_id")
+
+
+@register
+def op4_quality_classifier(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return quality_kn.classify(docs, trusted_ids(spark, sf_dir)).select(
+        "doc_id", "lang", "n_tokens", "log_prob", "perplexity", "threshold", "kept"
+    )
+
+
 @register
 def op5_simhash(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -60,6 +105,13 @@ def op6_token_files(spark, sf_dir):
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@register
+def op7_mixing(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    mixed = mixing.mix(docs)
+    return mixed.select("doc_id", "source", "lang", F.col("_topic").alias("topic"), "n_words", "probability", "sampled")
+
+
 @register
 def op8_bpe(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
