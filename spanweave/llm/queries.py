@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from spanweave.llm import (
     bpe,
     chat_format,
+    embedding_dedup,
     language_id,
     lm_score,
     mixing,
@@ -44,6 +45,30 @@ def _remainder(doc_id: str, n: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % n
 
 
+@register
+def op1_embedding_dedup(spark, sf_dir):
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+SQL["op1_embedding_dedup"] = """
+WITH RECURSIVE
+     v AS (
+       SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+       WHERE embedding IS NOT NULL AND list_bool_and([x IS NOT NULL AND isfinite(x) FOR x IN embedding])
+         AND list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])) > 0),
+     links AS (
+       SELECT a.vec_id AS src, b.vec_id AS dst FROM v a, v b
+       WHERE a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95),
+     reach AS (
+       SELECT vec_id AS node, vec_id AS met FROM embeddings
+       UNION SELECT r.node, l.dst FROM reach r JOIN links l ON l.src = r.met),
+     named AS (SELECT node, min(met) AS component_id FROM reach GROUP BY node),
+     counted AS (SELECT src, count(*) AS n FROM links GROUP BY src)
+SELECT node AS vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, node = component_id AS kept
+FROM named LEFT JOIN counted ON src = node
+"""
+
+
 @register
 def op2_language_id(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")

@@ -101,10 +101,10 @@ def fingerprints(df: DataFrame, text: str = "text", size: int = 3, lanes: int =
     return df.select(*names).mapInArrow(run, schema)
 
 
-def _distance(a: str, b: str, lanes: int) -> Column:
+def _distance(lanes: int) -> Column:
     total = F.lit(0)
     for i in range(lanes):
-        total = total + F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i]))
+        total = total + F.bit_count(F.col("x")[i].bitwiseXOR(F.col("y")[i]))
     return total
 
 
@@ -125,46 +125,42 @@ def similar_pairs(classes: DataFrame, lanes: int = 1, word_bits: int = 64, radiu
     """Verified links ``src, dst`` between different fingerprints ``fp`` (array) with ids ``id``.
 
     With one 64-bit word and radius 2 the links connect exactly the fingerprints that differ in at
-    most two bits: all that meet in a bucket link to its smallest one, from which none is further
+    most two bits: all that meet in a bucket link to its smallest id, from which none is further
     than 2 bits. With several words, fingerprints that share a whole word link to the smallest id
-    of that word, and those to each other through the balls; every link is verified to ``radius``.
+    of that word, and those to each other through the balls. Only ids travel with the variants;
+    what met is verified on whole fingerprints afterwards.
     """
     if lanes > 1 and word_bits > 56:
         raise ValueError("several words need room for their number: word_bits up to 56")
     flips = F.array(*[F.lit(0).cast("long")] + [F.lit(1 << b if b < 63 else -(1 << 63)).cast("long") for b in range(word_bits)])
-    member = F.struct("id", "fp")
-    by_word = classes.select("id", "fp", F.explode(_word_keys(lanes, word_bits)).alias("word"))
-    links = None
+    by_word = classes.select("id", F.explode(_word_keys(lanes, word_bits)).alias("word"))
+    same_word = None
     if lanes > 1:
         by_word = materialize(by_word, "simhash-words")
-        heads = by_word.groupBy("word").agg(F.min(member).alias("head"), F.count(F.lit(1)).alias("n"))
-        shared = by_word.join(heads.where("n > 1").select("word", "head"), "word").where("id <> head.id")
-        shared = shared.select("id", "fp", F.col("head.id").alias("to"), F.col("head.fp").alias("to_fp"))
-        links = shared.where(_distance("fp", "to_fp", lanes) <= radius).select(F.col("to").alias("src"), F.col("id").alias("dst"))
-        by_word = heads.select("head.id", "head.fp", "word")
+        heads = by_word.groupBy("word").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("n"))
+        many = heads.where("n > 1").select("word", "head")
+        same_word = by_word.join(many, "word").where("id <> head").select(F.col("head").alias("src"), F.col("id").alias("dst"))
+        by_word = heads.select(F.col("head").alias("id"), "word")
     buckets = (
-        by_word.select(F.struct("id", "fp").alias("member"), "word", F.explode(flips).alias("flip"))
-        .groupBy(F.col("word").bitwiseXOR(F.col("flip")).alias("variant"))
-        .agg(F.sort_array(F.collect_list("member")).alias("met"))  # at most word_bits + 1
+        by_word.select("id", F.explode(F.transform(flips, lambda f: F.col("word").bitwiseXOR(f))).alias("variant"))
+        .groupBy("variant")
+        .agg(F.sort_array(F.collect_list("id")).alias("met"))  # at most word_bits + 1
         .where(F.size("met") > 1)
     )
-    after = buckets.select(
-        F.explode(
-            F.flatten(
-                F.transform(
-                    F.slice("met", 2, word_bits + 1),
-                    lambda m, i: F.array(
-                        F.struct(F.col("met")[0].alias("a"), m.alias("b")),
-                        F.struct(F.get("met", i).alias("a"), m.alias("b")),
-                    ),
-                )
-            )
-        ).alias("pair")
-    ).select(
-        F.col("pair.a.id").alias("src"), F.col("pair.b.id").alias("dst"), F.col("pair.a.fp").alias("x"), F.col("pair.b.fp").alias("y")
+    # Each to the first and to the one before it.
+    chained = F.flatten(
+        F.transform(
+            F.slice("met", 2, word_bits + 1),
+            lambda m, i: F.array(
+                F.struct(F.col("met")[0].alias("src"), m.alias("dst")), F.struct(F.get("met", i).alias("src"), m.alias("dst"))
+            ),
+        )
     )
-    met = after.where(_distance("x", "y", lanes) <= radius).select("src", "dst")
-    return (met if links is None else met.unionByName(links)).distinct()
+    met = buckets.select(F.inline(chained))
+    pairs = (met if same_word is None else met.unionByName(same_word)).distinct()
+    first = classes.select(F.col("id").alias("src"), F.col("fp").alias("x"))
+    second = classes.select(F.col("id").alias("dst"), F.col("fp").alias("y"))
+    return pairs.join(first, "src").join(second, "dst").where(_distance(lanes) <= radius).select("src", "dst")
 
 
 def near_duplicates(
@@ -175,8 +171,10 @@ def near_duplicates(
     lanes: int = 1,
     word_bits: int = 64,
     radius: int = 2,
+    keep_text: bool = False,
 ) -> DataFrame:
-    """``df``'s rows with ``fingerprint`` (array), ``component_id`` and ``kept``.
+    """``df``'s rows (without the text, unless asked) with ``fingerprint`` (array), ``component_id``
+    and ``kept``.
 
     ``component_id`` is the smallest id reachable over links, the row's own included (null ids are
     passed over; it is null if there is no other). ``kept`` marks one row of each component: one with
@@ -184,9 +182,8 @@ def near_duplicates(
     Columns of ``df`` with these names are replaced. An empty table stays empty.
     """
     df = df.drop("fingerprint", "component_id", "kept")
-    marked = materialize(
-        fingerprints(df, text, size, lanes).withColumn("_row", F.monotonically_increasing_id()), "simhash"
-    )
+    marked = fingerprints(df, text, size, lanes).withColumn("_row", F.monotonically_increasing_id())
+    marked = materialize(marked if keep_text else marked.drop(text), "simhash")
     member = F.struct(F.col(doc_id).isNull().alias("no_id"), F.col(doc_id).alias("doc"), F.col("_row").alias("row"))
     classes = materialize(
         marked.groupBy("fingerprint").agg(F.min(member).alias("first"))
