@@ -244,7 +244,8 @@ def near_duplicates(
         "digest", "first", F.coalesce("component", "node").alias("component"), (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links")
     )
     heads = labelled.groupBy("component").agg(F.min("first").alias("head"))
-    by_digest = labelled.join(heads, "component").select("digest", "n_links", "head")
+    # As a plain table, so that a skewed join can split the other side.
+    by_digest = materialize(labelled.join(heads, "component").select("digest", "n_links", "head"), "vector-heads")
     return rows.join(by_digest, "digest", "left").select(
         "vec_id",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

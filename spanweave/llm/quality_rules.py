@@ -178,6 +178,7 @@ def judge(
         .where(F.col("n") > max_docs)
         .select("line")
     )
+    frequent = materialize(frequent, "quality-frequent")  # as a plain table, a skewed join can split the other side
     removed = on_shared.join(frequent, "line", "left_semi").groupBy("_row").agg(
         F.sum("words").alias("removed_words"), F.collect_set("key").alias("removed_keys")
     )

@@ -196,7 +196,8 @@ def near_duplicates(
         "fp", "first", F.coalesce("component", "id").alias("group")
     )
     heads = labelled.groupBy("group").agg(F.min("first").alias("head"))
-    by_print = labelled.select("fp", "group").join(heads, "group").select("fp", "head")
+    # As a plain table, so that a skewed join can split the other side.
+    by_print = materialize(labelled.select("fp", "group").join(heads, "group").select("fp", "head"), "simhash-heads")
     return (
         marked.join(by_print, marked["fingerprint"] == by_print["fp"])
         .select(
