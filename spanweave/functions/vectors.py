@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -34,11 +35,22 @@ def l2_norm(v: Column) -> Column:
     return F.sqrt(F.aggregate(_doubles(v), F.lit(0.0), lambda acc, x: acc + x * x))
 
 
+def _once(fields: dict[str, Column], use: Callable[[Column], Column]) -> Column:
+    """``use`` of a struct whose fields are computed once.
+
+    An expression named inside a lambda over elements would be computed again for each element.
+    """
+    bound = F.struct(*[c.alias(n) for n, c in fields.items()])
+    return F.element_at(F.transform(F.array(bound), use), 1)
+
+
 def l2_normalize(v: Column) -> Column:
-    """Unit vector; a zero vector stays as it is."""
+    """Unit vector; a zero vector stays as it is. Linear in the dimension."""
     v = _doubles(v)
-    norm = l2_norm(v)
-    return F.when(norm != 0, F.transform(v, lambda x: x / norm)).otherwise(v)
+    return _once(
+        {"v": v, "norm": l2_norm(v)},
+        lambda s: F.when(s["norm"] != 0, F.transform(s["v"], lambda x: x / s["norm"])).otherwise(s["v"]),
+    )
 
 
 def cosine(a: Column, b: Column) -> Column:
@@ -74,10 +86,18 @@ def masked_mean(features: Column, valid_samples: Column) -> Column:
     """Mean over the frames backed by real samples of an ``ARRAY<ARRAY<FLOAT>>``."""
     features = features.cast(T.ArrayType(T.ArrayType(T.DoubleType())))
     keep = feature_frames(valid_samples, F.size(features)).cast("int")
-    zero = F.transform(F.element_at(features, 1), lambda x: F.lit(0.0))
-    total = F.aggregate(
-        F.slice(features, F.lit(1), keep),
-        zero,
-        lambda acc, row: F.zip_with(acc, row, lambda p, q: p + q),
+
+    def total(s: Column) -> Column:
+        return F.aggregate(
+            F.slice(s["rows"], F.lit(1), s["keep"]),
+            F.transform(F.element_at(s["rows"], 1), lambda x: F.lit(0.0)),
+            lambda acc, row: F.zip_with(acc, row, lambda p, q: p + q),
+        )
+
+    return _once(
+        {"rows": features, "keep": keep},
+        lambda s: _once(
+            {"total": total(s), "keep": s["keep"]},
+            lambda t: F.transform(t["total"], lambda x: x / t["keep"]),
+        ),
     )
-    return F.transform(total, lambda x: x / keep)

@@ -6,6 +6,7 @@ import hashlib
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,58 +62,56 @@ def ordered_fold(
 def chain_build(
     records: DataFrame, order: Sequence[str], session: str = "session_id"
 ) -> DataFrame:
-    """Number and hash-chain each session's records in ``order`` (unique within the session).
+    """Number and hash-chain each session's records in ``order``.
 
     ``records``: session, order columns, ``operation``, ``payload`` and ``audit`` (canonical text).
-    Payloads are hashed in parallel first; the serial fold sees only short strings and the payloads
-    rejoin on the unique order columns.
+    Nulls come first; records of equal order follow each other by their content. A null payload is
+    hashed as ``null``, a null operation or audit block as ``chain_breaks`` reads them. Payloads
+    are hashed in parallel first and only pass through the serial fold.
     """
     order = list(order)
-    narrow = records.select(
-        session, *order, "operation", "audit", sha256_hex(F.col("payload")).alias("payload_sha256")
+    body = ["operation", "payload", "audit"]
+    hashed = records.select(
+        session, *order, *body, sha256_hex(F.coalesce("payload", F.lit("null"))).alias("payload_sha256")
     )
+    ties = [c for c in ("payload_sha256", "operation", "audit") if c not in order]
     links = T.StructType(
-        [narrow.schema[c] for c in (session, *order)]
-        + [
-            T.StructField("seq", T.LongType()),
-            T.StructField("prev_sha256", T.StringType()),
-            T.StructField("payload_sha256", T.StringType()),
-            T.StructField("entry_sha256", T.StringType()),
-        ]
+        [hashed.schema[session], T.StructField("seq", T.LongType())]
+        + [hashed.schema[c] for c in body]
+        + [T.StructField(c, T.StringType()) for c in ("prev_sha256", "payload_sha256", "entry_sha256")]
     )
 
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, seq, prev = None, 0, GENESIS
-        for pdf in batches:
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, seq, prev = object(), 0, GENESIS
+        for batch in batches:
+            column = lambda c: batch.column(c).to_pylist()  # noqa: E731, B023
             seqs, prevs, entries = [], [], []
             for key, op, audit, payload_sha in zip(
-                pdf[session], pdf["operation"], pdf["audit"], pdf["payload_sha256"]
+                column(session), column("operation"), column("audit"), column("payload_sha256")
             ):
                 if key != current:
                     current, seq, prev = key, 0, GENESIS
-                text = f"{prev}{payload_sha}{seq}{op}{audit}"
+                text = f"{prev}{payload_sha}{seq}{op or ''}{'{}' if audit is None else audit}"
                 entry = hashlib.sha256(text.encode("utf-8")).hexdigest()
                 seqs.append(seq)
                 prevs.append(prev)
                 entries.append(entry)
                 seq, prev = seq + 1, entry
-            out = pdf[[session, *order]].copy()
-            out["seq"], out["prev_sha256"] = seqs, prevs
-            out["payload_sha256"], out["entry_sha256"] = pdf["payload_sha256"], entries
-            yield out
-
-    chained = ordered_fold(narrow, session, order, fold, links)
-    body = records.select(session, *order, "operation", "payload", "audit")
-    return body.join(chained, [session, *order]).select(
-        session,
-        "seq",
-        "operation",
-        "payload",
-        "audit",
-        "prev_sha256",
-        "payload_sha256",
-        "entry_sha256",
-        F.when(F.col("seq") == 0, F.lit(DEFAULT_SCHEMA)).alias("schema"),
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(session),
+                    pa.array(seqs, pa.int64()),
+                    *(batch.column(c) for c in body),
+                    pa.array(prevs, pa.string()),
+                    batch.column("payload_sha256"),
+                    pa.array(entries, pa.string()),
+                ],
+                links.names,
+            )
+
+    placed = hashed.repartition(session).sortWithinPartitions(session, *order, *ties)
+    return placed.mapInArrow(fold, links).withColumn(
+        "schema", F.when(F.col("seq") == 0, F.lit(DEFAULT_SCHEMA))
     )
 
 
@@ -321,7 +320,10 @@ def extract_segments(audit: DataFrame, keys: Sequence[str] = SESSION) -> DataFra
     """
     body = unwrap_record(F.col("operation"), F.col("payload"))
     field = lambda name: F.get_json_object("_body", "$." + name)
-    whole = lambda name: _python_int(field(name))
+    kind = lambda name: F.schema_of_variant(
+        F.try_variant_get(F.try_parse_json("_body"), "$." + name, "variant")
+    )
+    whole = lambda name: _python_int(field(name), kind(name) == "STRING")
     names = F.json_object_keys("_body")
     extra = [c for c in ("seq",) if c in audit.columns]
     has_duration = F.array_contains(names, "duration_ms")
@@ -344,10 +346,14 @@ def extract_segments(audit: DataFrame, keys: Sequence[str] = SESSION) -> DataFra
     )
 
 
-def _python_int(text: Column) -> Column:
-    """A JSON scalar as an integer the way ``int()`` reads it: numbers truncate, else null."""
+def _python_int(text: Column, quoted: Column) -> Column:
+    """A JSON scalar as an integer the way ``int()`` reads it, else null.
+
+    Numbers truncate, booleans are 1 and 0; a string must hold a whole number.
+    """
     return (
-        F.when(text.isin("true", "false"), (text == "true").cast("bigint"))
-        .when(text.rlike(r"^\s*[+-]?\d+\s*$"), F.trim(text).try_cast("bigint"))
+        F.when(text.rlike(r"^\s*[+-]?\d+\s*$"), F.trim(text).try_cast("bigint"))
+        .when(F.coalesce(quoted, F.lit(False)), F.lit(None))
+        .when(text.isin("true", "false"), (text == "true").cast("bigint"))
         .otherwise(text.try_cast("double").try_cast("bigint"))
     )

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spanweave.functions.geometry import box_area, box_iou, point_in_box
 from spanweave.functions.vectors import cosine, is_target, l2_normalize
 from spanweave.operators.intervals import END, START, overlap_join
-from spanweave.operators.numbering import number_rows
+from spanweave.operators.salting import salted_join
 from spanweave.operators.timeline import FILE, SESSION, WINDOW, sample_points
 
 FRAME = ("session_id", "file_index", "pts_ms")
@@ -24,9 +27,12 @@ MIN_BOX_IOU = 0.30
 NO_WINDOWS = "no clean single-target enrollment windows found"
 TOO_SHORT = "clean enrollment audio below seed_min_ms"
 CLICK_MISSED = "speaking_click did not land on any detected face"
+NO_CLICK = "session has no speaking click"
+NO_EMBEDDING = "clicked face has no embedding"
 
 _BOX = ("x1", "y1", "x2", "y2")
 _HALF_BITS = 26
+_POOL_SALTS = 64
 
 
 def pool_vectors(
@@ -35,33 +41,24 @@ def pool_vectors(
     """Unit mean of each key's unit vectors (``embedding``, plus ``n_vectors``).
 
     Components are summed as two fixed-point integers (26 + 26 fraction bits), which are exact and
-    free of order: the pooled vector, and its checksum, do not depend on partitioning. Sums combine
-    map-side to one row per component, so a key's vectors are never gathered.
+    free of order: the pooled vector, and its checksum, do not depend on partitioning. Each batch
+    sends one array of sums per key; these few are added in two steps, so that a key with many batches
+    is not gathered at once.
     """
     keys = list(keys)
-    scale = F.lit(float(1 << _HALF_BITS))
-    parts = (
-        vectors.where(F.col(embedding).isNotNull())
-        .select(*keys, l2_normalize(F.col(embedding)).alias("_v"))
-        .select(*keys, F.size("_v").alias("_dim"), F.posexplode("_v").alias("_i", "_x"))
-        .withColumn("_hi", F.rint(F.col("_x") * scale))
-        .groupBy(*keys, "_i")
-        .agg(
-            F.sum(F.col("_hi").cast("bigint")).alias("_hi"),
-            F.sum(F.rint((F.col("_x") * scale - F.col("_hi")) * scale).cast("bigint")).alias("_lo"),
-            F.count(F.lit(1)).alias("_n"),
-            F.min("_dim").alias("_min"),
-            F.max("_dim").alias("_max"),
-        )
-    )
-    mean = (F.col("_hi").cast("double") / scale + F.col("_lo").cast("double") / scale / scale) / F.col("_n")
-    gathered = parts.groupBy(*keys).agg(  # one row per component: bounded by the dimension
-        F.array_sort(F.collect_list(F.struct(F.col("_i"), mean.alias("m")))).alias("_c"),
-        F.max("_n").alias("n_vectors"),
-        F.min("_min").alias("_min_dim"),
-        F.max("_max").alias("_max_dim"),
+    unit = vectors.where(F.col(embedding).isNotNull()).select(*keys, l2_normalize(F.col(embedding)).alias("_v"))
+    schema = T.StructType(
+        [unit.schema[k] for k in keys]
+        + [T.StructField(c, T.LongType()) for c in ("_n", "_min", "_max")]
+        + [T.StructField(c, T.ArrayType(T.LongType())) for c in ("_hi", "_lo")]
     )
-    pooled = l2_normalize(F.transform("_c", lambda c: c["m"]))
+    sums = unit.mapInArrow(_partial_sums(keys), schema)
+    spread = [*keys, F.pmod(F.spark_partition_id(), F.lit(_POOL_SALTS)).alias("_salt")]
+    total = _added(_added(sums, spread).drop("_salt"), keys)
+    scale = float(1 << _HALF_BITS)
+    mean = F.zip_with("_hi", "_lo", lambda h, lo: (h.cast("double") / scale + lo.cast("double") / scale / scale) / F.col("_n"))
+    gathered = total.select(*keys, mean.alias("_c"), F.col("_n").alias("n_vectors"), F.col("_min").alias("_min_dim"), F.col("_max").alias("_max_dim"))
+    pooled = l2_normalize(F.col("_c"))
     if strict:
         pooled = F.when(F.col("_min_dim") == F.col("_max_dim"), pooled).otherwise(
             F.raise_error(F.lit("enrollment vectors have inconsistent dimension"))
@@ -69,6 +66,66 @@ def pool_vectors(
     return gathered.select(*keys, pooled.alias("embedding"), "n_vectors")
 
 
+def _partial_sums(keys: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Sums of the fixed-point parts of a batch's vectors by key; shorter vectors count as padded."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scale = float(1 << _HALF_BITS)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            numbered = table.select(keys).append_column("_at", pa.array(np.arange(len(table))))
+            groups = numbered.group_by(keys).aggregate([("_at", "list")])
+            column = batch.column("_v")
+            lengths = column.value_lengths().to_numpy().astype(np.int64)
+            flat = column.flatten().to_numpy(zero_copy_only=False)
+            starts = np.cumsum(lengths) - lengths
+            out = {c: [] for c in ("_n", "_min", "_max", "_hi", "_lo")}
+            for rows in groups.column("_at_list").to_pylist():
+                own = lengths[rows]
+                values = np.zeros((len(rows), int(own.max())))
+                for i, (at, n) in enumerate(zip(starts[rows], own)):
+                    values[i, :n] = flat[at : at + n]
+                scaled = values * scale
+                high = np.rint(scaled)
+                out["_n"].append(len(rows))
+                out["_min"].append(int(own.min()))
+                out["_max"].append(int(own.max()))
+                out["_hi"].append(high.astype(np.int64).sum(axis=0))
+                out["_lo"].append(np.rint((scaled - high) * scale).astype(np.int64).sum(axis=0))
+            columns = [groups.column(k).combine_chunks() for k in keys]
+            columns += [pa.array(out[c], pa.int64()) for c in ("_n", "_min", "_max")]
+            columns += [pa.array(out[c], pa.list_(pa.int64())) for c in ("_hi", "_lo")]
+            yield pa.RecordBatch.from_arrays(columns, [*keys, *out])
+
+    return run
+
+
+def _added(sums: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
+    """Element-wise totals of the sums of each key."""
+    names = [k for k in keys if isinstance(k, str)] + (["_salt"] if any(isinstance(k, Column) for k in keys) else [])
+    zero = F.array_repeat(F.lit(0).cast("bigint"), F.col("_max").cast("int"))
+
+    def total(part: str) -> Column:
+        return F.aggregate(
+            F.col("_parts"),
+            zero,
+            lambda acc, s: F.zip_with(acc, s[part], lambda x, y: x + F.coalesce(y, F.lit(0).cast("bigint"))),
+        )
+
+    return (
+        sums.groupBy(*keys)
+        .agg(
+            F.sum("_n").alias("_n"),
+            F.min("_min").alias("_min"),
+            F.max("_max").alias("_max"),
+            F.collect_list(F.struct("_hi", "_lo")).alias("_parts"),
+        )
+        .select(*names, "_n", "_min", "_max", total("_hi").alias("_hi"), total("_lo").alias("_lo"))
+    )
+
+
 def match_identity(
     vectors: DataFrame,
     seeds: DataFrame,
@@ -79,13 +136,14 @@ def match_identity(
 ) -> DataFrame:
     """Per group, the index whose vector best matches the session's seed at the threshold or above.
 
-    Ties go to the lowest index; groups without a match yield ``(null, 0.0)``. The argmax is a
-    plain aggregate, so it combines before the shuffle.
+    Ties go to the lowest index; groups without a match yield ``(null, 0.0)``. The join is salted by
+    group, so a session of any size is spread, and the argmax is a partial aggregate.
     """
     group, seed_keys = list(group), list(seed_keys)
-    scored = vectors.join(
-        seeds.select(*seed_keys, F.col("embedding").alias("_seed")), seed_keys, "left"
-    ).withColumn("_c", cosine(F.col("embedding"), F.col("_seed")))
+    one = seeds.select(*seed_keys, F.col("embedding").alias("_seed"))
+    scored = salted_join(vectors, one, seed_keys, [*group, idx], "left").withColumn(
+        "_c", cosine(F.col("embedding"), F.col("_seed"))
+    )
     hit = F.when(F.col("_c") >= threshold, F.struct(F.col("_c").alias("c"), (-F.col(idx)).alias("i")))
     return (
         scored.select(*group, hit.alias("_hit"))
@@ -100,9 +158,11 @@ def match_identity(
 
 
 def assign_box_index(detections: DataFrame, frame: Sequence[str] = FRAME) -> DataFrame:
-    """``box_idx``: 0-based position of a box in its frame's canonical order (eager step)."""
+    """``box_idx``: 0-based position of a box in its frame's canonical order. A frame holds few boxes."""
     order = [*_BOX, *(["score"] if "score" in detections.columns else [])]
-    return number_rows(detections, frame, order, "box_idx", start=0)
+    return detections.withColumn(
+        "box_idx", F.row_number().over(Window.partitionBy(*frame).orderBy(*order)).cast("bigint") - 1
+    )
 
 
 def resolve_clicks(
@@ -114,7 +174,8 @@ def resolve_clicks(
 ) -> DataFrame:
     """The smallest box containing each click (inclusive), or nulls; one row per click.
 
-    A click pairs with the boxes of its own frame only, and the argmin is a partial aggregate.
+    A click pairs with the boxes of its own frame only, and the argmin is a partial aggregate. Equal
+    clicks are resolved once and given back as often as they came.
     ``carry`` names further detection columns to bring along.
     """
     frame, ties = list(frame), list(tie_break)
@@ -127,12 +188,15 @@ def resolve_clicks(
     rank = F.struct(area.alias("area"), *[b(t).alias("t_" + t) for t in ties])
     click_cols = clicks.columns
     best = (
-        clicks.join(boxes, frame, "left")
-        .groupBy(*click_cols)
+        clicks.groupBy(*click_cols)
+        .agg(F.count(F.lit(1)).alias("_times"))
+        .join(boxes, frame, "left")
+        .groupBy(*click_cols, "_times")
         .agg(
             F.min_by("_box", F.when(inside, rank)).alias("_best"),
             F.count("_box").alias("n_boxes"),
         )
+        .withColumn("_again", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_times"))))
     )
     return best.select(*click_cols, *[F.col("_best." + c).alias(c) for c in keep], "n_boxes")
 
@@ -144,6 +208,24 @@ def click_failures(resolved: DataFrame) -> DataFrame:
     )
 
 
+def target_failures(sessions: DataFrame, resolved: DataFrame) -> DataFrame:
+    """Why a session has no target, one row each; sessions with a target are absent."""
+    speaking = resolved.where(F.col("kind") == "speaking")
+    seen = speaking.groupBy(*SESSION).agg(
+        F.max(F.col("embedding").isNotNull()).alias("_known"), F.min(F.col("x1").isNull()).alias("_missed")
+    )
+    reason = (
+        F.when(F.col("_known").isNull(), NO_CLICK).when(F.col("_missed"), CLICK_MISSED).otherwise(NO_EMBEDDING)
+    )
+    return (
+        sessions.select(*SESSION)
+        .distinct()
+        .join(seen, SESSION, "left")
+        .where(~F.coalesce("_known", F.lit(False)))
+        .select(*SESSION, reason.alias("reason"))
+    )
+
+
 def associate_boxes(
     boxes: DataFrame,
     others: DataFrame,
@@ -210,7 +292,8 @@ def frame_identity(
     without a vector counts as present and not the target.
     """
     frame, seed_keys = list(frame), list(seed_keys)
-    scored = detections.join(references.select(*seed_keys, "target", "anti"), seed_keys)
+    one = references.select(*seed_keys, "target", "anti")
+    scored = salted_join(detections, one, seed_keys, frame)
     hit = F.coalesce(
         is_target(
             cosine(F.col("embedding"), F.col("target")),

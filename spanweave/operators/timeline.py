@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from spanweave.functions.timecode import int_div
 from spanweave.operators.intervals import END, START
 from spanweave.operators.scan import CHUNK_BITS, running_totals, total_col
+from spanweave.operators.salting import salted_join
 
 SESSION = ("session_id",)
 FILE = ("session_id", "file_index")
@@ -251,7 +252,7 @@ def bucket_lanes(
     first = F.least(ceil_div((a + 1) * w, span) - 1, ceil_div(a * w, span))
     last = F.least(w - 1, ceil_div(b * w, span) - 1)
     marks = (
-        intervals.join(bounds, keys)
+        salted_join(intervals, bounds, keys, [lane, START, END])
         .where((span > 0) & (F.col(END) > F.col(START)) & (b > 0) & (a < span))
         .select(*keys, lane, first.alias("_first"), last.alias("_last"))
         .where("_first <= _last")

@@ -14,7 +14,7 @@ from spanweave.operators import agreement as ag
 from spanweave.operators import audit as au
 from spanweave.operators import timeline as tl
 from spanweave.operators.lineage import materialize
-from spanweave.sources.logs import read_lines
+from spanweave.sources.logs import has_text, read_lines
 
 SESSION = list(tl.SESSION)
 
@@ -76,7 +76,7 @@ def sanitize(
     a token, or with a detected one too short to be replaced safely, is left out and reported.
     """
     first = (
-        lines.where(F.trim("line") != "")
+        lines.where(has_text(F.col("line")))
         .groupBy(*SESSION)
         .agg(F.min_by("line", "position").alias("_first"))
     )

@@ -117,6 +117,7 @@ def enroll(
     """
     resolved = keep(ident.resolve_clicks(clicks, detections, carry=("score", "embedding")))
     missed = ident.click_failures(resolved)
+    lacking = ident.target_failures(pre.clips, resolved).join(missed.select(*SESSION), SESSION, "left_anti")
     references = (
         resolved.groupBy(*SESSION)
         .agg(
@@ -131,7 +132,7 @@ def enroll(
     passed = guard.where(F.col("reason").isNull()).select(*SESSION)
     vectors = embed(windows.join(passed, SESSION, "left_semi"))
     seeds = keep(ident.pool_vectors(vectors, SESSION))
-    failures = missed.unionByName(
+    failures = missed.unionByName(lacking).unionByName(
         guard.where(F.col("reason").isNotNull()).select(*SESSION, "reason")
     )
     return Enrolled(

@@ -26,7 +26,14 @@ def session_of_file(path: Column) -> Column:
     stem = F.regexp_replace(
         F.regexp_extract(path, r"([^/]+)$", 1), r"(\.manifest)?\.jsonl$|\.txt$", ""
     )
-    return F.when(folder != "", F.url_decode(folder)).otherwise(F.url_decode(stem))
+    # A plus sign is itself: only %XX stands for something else here.
+    decode = lambda c: F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+    return F.when(folder != "", decode(folder)).otherwise(decode(stem))
+
+
+def has_text(line: Column) -> Column:
+    """Whether a line holds more than white space."""
+    return line.rlike(r"(?U)\S")
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -109,7 +116,7 @@ def parse_records(lines: DataFrame) -> DataFrame:
             yield out
 
     return (
-        lines.where(F.trim("line") != "")
+        lines.where(has_text(F.col("line")))
         .select(F.col("session_id").cast("string"), "position", "line")
         .mapInPandas(parse, schema)
     )
@@ -129,9 +136,15 @@ def read_audit(spark: SparkSession, path: str, strict: bool = False) -> tuple[Da
             "reason"
         ),
     )
+    # A file of no bytes has no line, so that logs are listed by their files.
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    logs = files.select(session_of_file(F.col("path")).alias("session_id")).distinct()
+    lineless = logs.join(lines.select("session_id"), "session_id", "left_anti").select(
+        "session_id", F.lit("log is empty").alias("reason")
+    )
     empty = (
         lines.groupBy("session_id")
-        .agg(F.max(F.trim("line") != "").alias("_any"))
+        .agg(F.max(has_text(F.col("line"))).alias("_any"))
         .where(~F.col("_any"))
         .select("session_id", F.lit("log is empty").alias("reason"))
     )
@@ -158,7 +171,7 @@ def read_audit(spark: SparkSession, path: str, strict: bool = False) -> tuple[Da
             )
         )
         records = parsed.withColumn("session_id", fine).drop("error")
-    return records, bad.unionByName(empty).unionByName(foreign)
+    return records, bad.unionByName(empty).unionByName(lineless).unionByName(foreign)
 
 
 def record_line() -> Column:
