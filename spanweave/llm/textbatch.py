@@ -15,18 +15,20 @@ SPACE_TABLE = np.isin(np.arange(256), np.frombuffer(SPACES, np.uint8))
 
 def text_buffer(column: pa.Array) -> tuple[bytes, np.ndarray]:
     """The texts' UTF-8 bytes end to end and n + 1 offsets into them; a null counts as empty."""
-    column = pc.fill_null(column.cast(pa.large_string()), "")
+    column = pc.fill_null(column, "") if column.null_count else column
     if len(column) == 0:
         return b"", np.zeros(1, np.int64)
     _, offsets, data = column.buffers()
-    starts = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
-    raw = data.to_pybytes()[starts[0] : starts[-1]] if data is not None else b""
+    width = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    starts = np.frombuffer(offsets, width)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    raw = data.slice(starts[0], starts[-1] - starts[0]).to_pybytes() if data is not None else b""
     return raw, starts - starts[0]
 
 
 def slices(batch: pa.RecordBatch, name: str, budget: int) -> Iterator[pa.RecordBatch]:
     """Parts of a batch whose texts hold about ``budget`` bytes; one text is never cut."""
-    _, offsets = text_buffer(batch.column(name))
+    sizes = pc.fill_null(pc.binary_length(batch.column(name)), 0).to_numpy(zero_copy_only=False)
+    offsets = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
     start = 0
     while start < batch.num_rows:
         stop = int(np.searchsorted(offsets, offsets[start] + budget, side="right")) - 1
