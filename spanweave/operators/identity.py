@@ -220,7 +220,7 @@ def target_failures(sessions: DataFrame, resolved: DataFrame) -> DataFrame:
     return (
         sessions.select(*SESSION)
         .distinct()
-        .join(seen, SESSION, "left")
+        .join(seen, list(SESSION), "left")
         .where(~F.coalesce("_known", F.lit(False)))
         .select(*SESSION, reason.alias("reason"))
     )

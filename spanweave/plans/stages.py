@@ -117,7 +117,7 @@ def enroll(
     """
     resolved = keep(ident.resolve_clicks(clicks, detections, carry=("score", "embedding")))
     missed = ident.click_failures(resolved)
-    lacking = ident.target_failures(pre.clips, resolved).join(missed.select(*SESSION), SESSION, "left_anti")
+    lacking = ident.target_failures(pre.clips, resolved).join(missed.select(*SESSION), list(SESSION), "left_anti")
     references = (
         resolved.groupBy(*SESSION)
         .agg(

@@ -138,7 +138,7 @@ def read_audit(spark: SparkSession, path: str, strict: bool = False) -> tuple[Da
     )
     # A file of no bytes has no line, so that logs are listed by their files.
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    logs = files.select(session_of_file(F.col("path")).alias("session_id")).distinct()
+    logs = files.select(session_of_file(F.col("_metadata.file_path")).alias("session_id")).distinct()
     lineless = logs.join(lines.select("session_id"), "session_id", "left_anti").select(
         "session_id", F.lit("log is empty").alias("reason")
     )
