@@ -21,14 +21,14 @@ _RECORD_NAMES = [f.split(" ")[0] for f in _RECORD.split(", ")]
 
 
 def session_of_file(path: Column) -> Column:
-    """Session of a log file: its ``session_id=...`` folder, else its name without suffixes."""
+    """Session of a log file's URI: its ``session_id=...`` folder, else its name without suffixes."""
     folder = F.regexp_extract(path, r"/session_id=([^/]+)/", 1)
     stem = F.regexp_replace(
         F.regexp_extract(path, r"([^/]+)$", 1), r"(\.manifest)?\.jsonl$|\.txt$", ""
     )
+    name = F.when(folder != "", folder).otherwise(stem)
     # A plus sign is itself: only %XX stands for something else here.
-    decode = lambda c: F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
-    return F.when(folder != "", decode(folder)).otherwise(decode(stem))
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
 
 
 def has_text(line: Column) -> Column:
@@ -136,9 +136,11 @@ def read_audit(spark: SparkSession, path: str, strict: bool = False) -> tuple[Da
             "reason"
         ),
     )
-    # A file of no bytes has no line, so that logs are listed by their files.
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    logs = files.select(session_of_file(F.col("_metadata.file_path")).alias("session_id")).distinct()
+    # A file of no bytes has no line and is in no scan, so that logs are taken from the file listing,
+    # which the reader has made at the driver anyway.
+    listed = spark.read.option("recursiveFileLookup", "true").text(path).inputFiles()
+    files = spark.createDataFrame([(f,) for f in listed], "path string")
+    logs = files.select(session_of_file(F.col("path")).alias("session_id")).distinct()
     lineless = logs.join(lines.select("session_id"), "session_id", "left_anti").select(
         "session_id", F.lit("log is empty").alias("reason")
     )
