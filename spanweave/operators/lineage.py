@@ -8,6 +8,24 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_written: list[str] = []
+
+
+def discard_written(spark: SparkSession, read_by: DataFrame) -> None:
+    """Delete the tables that ``materialize`` has written so far and that ``read_by`` does not read.
+
+    For the owner of a chain of jobs: once a job's result is written, nothing needs its tables.
+    """
+    used = read_by.inputFiles()
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in list(_written):
+        folder = path.rpartition("/")[2]
+        if not any(f"/{folder}/" in file for file in used):
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
+            _written.remove(path)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The cluster's ``spark.checkpoint.dir``. Only a local master may do without: it gets a temporary
     folder, which on a cluster other executors could not read."""
@@ -33,4 +51,5 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    _written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
