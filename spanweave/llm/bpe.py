@@ -34,8 +34,8 @@ from spanweave.llm.textbatch import (
 )
 
 #: Bytes of text that a worker encodes at once, and fragments whose ids it keeps.
-BATCH_BYTES = 2 << 20
-KEPT_FRAGMENTS = 300_000
+BATCH_BYTES = 1 << 20
+KEPT_FRAGMENTS = 200_000
 
 
 def byte_alphabet() -> dict[str, int]:

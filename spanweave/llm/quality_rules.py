@@ -43,7 +43,7 @@ MAX_DOCS_PER_LINE = 20
 MIN_WORDS_LEFT = 0.3
 #: From this share of words on lines found elsewhere, a document counts as a copy.
 COPY_SHARE = 0.5
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 19
 
 _DIGITS = re.compile(r"[0-9]")
 

@@ -19,6 +19,7 @@ from spanweave.llm import (
     simhash,
     token_files,
 )
+from spanweave.llm.textbatch import short_batches
 from spanweave.operators.lineage import scratch_path
 
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +39,7 @@ def tokenizer_path(name: str) -> str:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    short_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

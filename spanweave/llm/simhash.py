@@ -28,7 +28,7 @@ from spanweave.operators.lineage import materialize
 #: Fixed value: seed of the shingles' XXH64.
 SEED = 42
 #: Bytes of text fingerprinted at once.
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 19
 #: Odd constant that sets the lanes of a long fingerprint apart (2^64 over the golden ratio).
 LANE_STEP = 0x9E3779B97F4A7C15
 
@@ -141,8 +141,11 @@ def similar_pairs(classes: DataFrame, lanes: int = 1, word_bits: int = 64, radiu
         many = heads.where("n > 1").select("word", "head")
         same_word = by_word.join(many, "word").where("id <> head").select(F.col("head").alias("src"), F.col("id").alias("dst"))
         by_word = heads.select(F.col("head").alias("id"), "word")
+    # Dealt out before they are grouped: nearly all variants are alone, so that grouping on both sides of
+    # the shuffle would cost memory and save nothing.
     buckets = (
         by_word.select("id", F.explode(F.transform(flips, lambda f: F.col("word").bitwiseXOR(f))).alias("variant"))
+        .repartition("variant")
         .groupBy("variant")
         .agg(F.sort_array(F.collect_list("id")).alias("met"))  # at most word_bits + 1
         .where(F.size("met") > 1)

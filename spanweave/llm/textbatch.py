@@ -7,12 +7,24 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 #: The bytes between words, everywhere in this subpackage.
 SPACES = b" \t\n\x0b\x0c\r"
 SPACE_TABLE = np.isin(np.arange(256), np.frombuffer(SPACES, np.uint8))
 
 
+#: Rows of an Arrow batch that holds texts.
+BATCH_ROWS = 1000
+
+
+def short_batches(spark: SparkSession) -> None:
+    """Make the session's Arrow batches short enough for long texts, if they are not."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def text_buffer(column: pa.Array) -> tuple[bytes, np.ndarray]:
     """The texts' UTF-8 bytes end to end and n + 1 offsets into them; a null counts as empty."""
     column = pc.fill_null(column, "") if column.null_count else column
