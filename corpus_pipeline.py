@@ -17,18 +17,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanweave.llm import bpe, mixing, quality_kn, quality_rules, queries, simhash
-from spanweave.operators.lineage import scratch_path
+from spanweave.llm.textbatch import short_batches
+from spanweave.operators.lineage import discard_written, scratch_path
 
 SHINGLE_WORDS, LANES, WORD_BITS, MAX_BITS = 5, 4, 32, 39
 
 
+def _begin(spark: SparkSession, docs: DataFrame) -> None:
+    """A stage begins when the one before has written its result and needs its tables no more."""
+    short_batches(spark)
+    discard_written(spark, docs)
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _begin(spark, docs)
     judged = quality_kn.classify(docs, queries.trusted_ids(spark, sf_dir), keep_text=True)
     return judged.where("kept").select(*docs.columns)
 
 
 def rule_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Equal rows share a verdict, so that it is found again by what it was made from."""
+    _begin(spark, docs)
     text_hash = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
     verdicts = (
         quality_rules.judge(docs).where("kept")
@@ -47,15 +56,18 @@ def rule_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _begin(spark, docs)
     found = simhash.near_duplicates(docs, size=SHINGLE_WORDS, lanes=LANES, word_bits=WORD_BITS, radius=MAX_BITS, keep_text=True)
     return found.where("kept").select(*docs.columns)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _begin(spark, docs)
     return mixing.mix(docs).where("sampled").select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _begin(spark, docs)
     return bpe.encode_and_decode(docs, queries.tokenizer_path("byte_bpe_50k.json")).select(
         "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded"
     )
