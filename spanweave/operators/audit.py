@@ -26,6 +26,12 @@ REQUIRED_OPERATIONS = (
     "output_hash", "session_end",
 )
 SEGMENT_OPERATION = "layer3_segment"
+# Why a record fails a check, in the order of the checks.
+BAD_SCHEMA = "unexpected schema"
+BAD_PAYLOAD = "payload hash mismatch"
+BAD_PREVIOUS = "prev_sha256 mismatch"
+BAD_ENTRY = "entry hash mismatch"
+BAD_SEQ = "seq out of order"
 NULL_TYPE_TEXT = "None"
 
 
@@ -173,12 +179,12 @@ def chain_breaks(
     reason = (
         F.when(
             (F.col("index") == 0) & ~F.coalesce("schema", F.lit(SCHEMA_SUFFIX)).endswith(SCHEMA_SUFFIX),
-            "unexpected schema",
+            BAD_SCHEMA,
         )
-        .when(~F.col("_payload_ok"), "payload hash mismatch")
-        .when(~F.col("prev_sha256").eqNullSafe(F.col("_prev")), "prev_sha256 mismatch")
-        .when(~entry.eqNullSafe(F.col("entry_sha256")), "entry hash mismatch")
-        .when(~F.col("seq").eqNullSafe(F.col("index")), "seq out of order")
+        .when(~F.col("_payload_ok"), BAD_PAYLOAD)
+        .when(~F.col("prev_sha256").eqNullSafe(F.col("_prev")), BAD_PREVIOUS)
+        .when(~entry.eqNullSafe(F.col("entry_sha256")), BAD_ENTRY)
+        .when(~F.col("seq").eqNullSafe(F.col("index")), BAD_SEQ)
     )
     return checked.select(*keys, "index", "seq", reason.alias("reason")).where(
         F.col("reason").isNotNull()

@@ -10,7 +10,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from spanweave.functions.canonical import GENESIS, sha256_hex
-from spanweave.operators.audit import _entry_sha
+from spanweave.operators.audit import (
+    BAD_ENTRY,
+    BAD_PAYLOAD,
+    BAD_PREVIOUS,
+    BAD_SCHEMA,
+    BAD_SEQ,
+    SCHEMA_SUFFIX,
+    _entry_sha,
+)
 from spanweave.sources.logs import parse_records, session_of_file
 
 AUDIT_SCHEMA = (
@@ -19,10 +27,12 @@ AUDIT_SCHEMA = (
 )
 _OUT = "session_id {key}, index bigint, seq bigint, reason string"
 _STATE = "index bigint, prev_sha256 string"
+# Files of a micro-batch: what a session's step holds is a part of these.
+MAX_FILES = 64
 
 
 def read_audit_stream(
-    spark: SparkSession, path: str, schema: str = AUDIT_SCHEMA, max_files: int | None = None
+    spark: SparkSession, path: str, schema: str = AUDIT_SCHEMA, max_files: int | None = MAX_FILES
 ) -> DataFrame:
     """Audit rows appended as Parquet under ``path``."""
     reader = spark.readStream.schema(schema).format("parquet")
@@ -31,7 +41,7 @@ def read_audit_stream(
     return reader.load(path)
 
 
-def read_log_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+def read_log_stream(spark: SparkSession, path: str, max_files: int | None = MAX_FILES) -> DataFrame:
     """Audit rows from JSON-lines logs growing under ``path``, by new part files per session."""
     reader = spark.readStream.format("text").option("recursiveFileLookup", "true")
     if max_files:
@@ -52,17 +62,18 @@ def _advance(
     rows = pd.concat(list(batches)).sort_values("seq", kind="stable")
     found = []
     rows["seq"] = rows["seq"].fillna(-1)
-    for seq, stored_prev, entry, payload_ok, entry_ok in zip(
-        rows["seq"], rows["prev_sha256"], rows["entry_sha256"], rows["payload_ok"], rows["entry_ok"]
-    ):
-        if not payload_ok:
-            reason = "payload hash mismatch"
+    columns = ("seq", "prev_sha256", "entry_sha256", "schema_ok", "payload_ok", "entry_ok")
+    for seq, stored_prev, entry, schema_ok, payload_ok, entry_ok in zip(*[rows[c] for c in columns]):
+        if index == 0 and not schema_ok:
+            reason = BAD_SCHEMA
+        elif not payload_ok:
+            reason = BAD_PAYLOAD
         elif stored_prev != prev:
-            reason = "prev_sha256 mismatch"
+            reason = BAD_PREVIOUS
         elif not entry_ok:
-            reason = "entry hash mismatch"
+            reason = BAD_ENTRY
         elif seq != index:
-            reason = "seq out of order"
+            reason = BAD_SEQ
         else:
             reason = None
         if reason:
@@ -75,7 +86,7 @@ def _advance(
 def verify_audit_stream(stream: DataFrame) -> DataFrame:
     """Violations of each session's chain, with the index and reason ``chain_breaks`` would give.
 
-    Both hashes are recomputed on the JVM before the stateful step, which then sees six short
+    Both hashes are recomputed on the JVM before the stateful step, which then sees seven short
     columns per record and keeps only (records seen, last hash) per session. Records of one
     micro-batch are put in ``seq`` order; a gap or a late record is a violation and is not waited
     for, so the trigger's size bounds what a session's step holds.
@@ -86,6 +97,7 @@ def verify_audit_stream(stream: DataFrame) -> DataFrame:
         "seq",
         "prev_sha256",
         "entry_sha256",
+        F.coalesce("schema", F.lit(SCHEMA_SUFFIX)).endswith(SCHEMA_SUFFIX).alias("schema_ok"),
         payload_sha.eqNullSafe(F.col("payload_sha256")).alias("payload_ok"),
         _entry_sha(
             F.col("prev_sha256"), payload_sha, F.col("seq"), F.col("operation"), F.col("audit")

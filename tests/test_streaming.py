@@ -12,6 +12,7 @@ def test_stream_finds_what_the_batch_check_finds(spark, tmp_path):
     edited = (
         chain.withColumn("payload", F.when(hit("a", 3), '{"k":777}').otherwise(F.col("payload")))
         .withColumn("audit", F.when(hit("a", 9), "{}").otherwise(F.col("audit")))
+        .withColumn("schema", F.when(hit("b", 0), "other").otherwise(F.col("schema")))
         .where(~hit("c", 5))
         .checkpoint()
     )
@@ -31,6 +32,7 @@ def test_stream_finds_what_the_batch_check_finds(spark, tmp_path):
     got = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect())
     want = sorted(tuple(r) for r in au.chain_breaks(edited).collect())
     assert got == want and len(got) >= 5
+    assert ("b", 0, 0, au.BAD_SCHEMA) in got
     assert ("a", 3, 3, "payload hash mismatch") in got and ("c", 5, 6, "prev_sha256 mismatch") in got
 
 

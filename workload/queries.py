@@ -541,11 +541,8 @@ def canonical_strings(spark, sf_dir):
 
 @register
 def redact_text(spark, sf_dir):
-    d = v.table(spark, sf_dir, "documents").join(
-        v.table(spark, sf_dir, "documents").select(
-            "doc_id", F.when(F.col("lang") == "en", "the").otherwise("de").alias("token")
-        ),
-        "doc_id",
+    d = v.table(spark, sf_dir, "documents").withColumn(
+        "token", F.when(F.col("lang") == "en", "the").otherwise("de")
     )
     text = redact(F.col("text"), F.col("token"), "[x]")
     return d.select(
