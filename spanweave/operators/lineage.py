@@ -11,19 +11,23 @@ from pyspark.sql import DataFrame, SparkSession
 _written: list[str] = []
 
 
-def discard_written(spark: SparkSession, read_by: DataFrame) -> None:
-    """Delete the tables that ``materialize`` has written so far and that ``read_by`` does not read.
+def tables_written() -> int:
+    """How many tables ``materialize`` has written in this driver."""
+    return len(_written)
+
+
+def discard_written(spark: SparkSession, since: int, read_by: DataFrame) -> None:
+    """Delete the tables that ``materialize`` wrote after ``since`` and that ``read_by`` does not read.
 
     For the owner of a chain of jobs: once a job's result is written, nothing needs its tables.
     """
     used = read_by.inputFiles()
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for path in list(_written):
+    for path in _written[since:]:
         folder = path.rpartition("/")[2]
         if not any(f"/{folder}/" in file for file in used):
             place = jvm.org.apache.hadoop.fs.Path(path)
             place.getFileSystem(conf).delete(place, True)
-            _written.remove(path)
 
 
 def scratch_root(spark: SparkSession) -> str:
