@@ -18,19 +18,25 @@ from pyspark.sql import functions as F
 
 from spanweave.llm import bpe, mixing, quality_kn, quality_rules, queries, simhash
 from spanweave.llm.textbatch import short_batches
-from spanweave.operators.lineage import discard_written, scratch_path
+from spanweave.operators.lineage import discard_written, scratch_path, tables_written
 
 SHINGLE_WORDS, LANES, WORD_BITS, MAX_BITS = 5, 4, 32, 39
 
 
-def _begin(spark: SparkSession, docs: DataFrame) -> None:
+_before = 0
+
+
+def _begin(spark: SparkSession, docs: DataFrame, first: bool = False) -> None:
     """A stage begins when the one before has written its result and needs its tables no more."""
+    global _before
     short_batches(spark)
-    discard_written(spark, docs)
+    if not first:
+        discard_written(spark, _before, docs)
+    _before = tables_written()
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    _begin(spark, docs)
+    _begin(spark, docs, first=True)
     judged = quality_kn.classify(docs, queries.trusted_ids(spark, sf_dir), keep_text=True)
     return judged.where("kept").select(*docs.columns)
 
