@@ -243,8 +243,8 @@ def near_duplicates(
     labelled = nodes.join(grouped, "node", "left").join(counts, "node", "left").select(
         "digest", "first", F.coalesce("component", "node").alias("component"), (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links")
     )
-    heads = labelled.groupBy("component").agg(F.min("first").alias("head"))
-    # As a plain table, so that a skewed join can split the other side.
+    # As plain tables, so that skewed joins can split the other side.
+    heads = materialize(labelled.groupBy("component").agg(F.min("first").alias("head")), "vector-groups")
     by_digest = materialize(labelled.join(heads, "component").select("digest", "n_links", "head"), "vector-heads")
     return rows.join(by_digest, "digest", "left").select(
         "vec_id",

@@ -198,8 +198,8 @@ def near_duplicates(
     labelled = classes.join(grouped, classes["id"] == grouped["node"], "left").select(
         "fp", "first", F.coalesce("component", "id").alias("group")
     )
-    heads = labelled.groupBy("group").agg(F.min("first").alias("head"))
-    # As a plain table, so that a skewed join can split the other side.
+    # As plain tables, so that skewed joins can split the other side.
+    heads = materialize(labelled.groupBy("group").agg(F.min("first").alias("head")), "simhash-groups")
     by_print = materialize(labelled.select("fp", "group").join(heads, "group").select("fp", "head"), "simhash-heads")
     return (
         marked.join(by_print, marked["fingerprint"] == by_print["fp"])
