@@ -7,8 +7,8 @@ variant can be met by 65 different fingerprints at most: copies are collapsed be
 bounded by construction, whatever the size of a group of copies.
 
 A fingerprint may be longer than the word it is searched by: 256 bits are searched as eight words of
-32, each with its own ball, and collisions are verified on all 256 bits. That finds less similar texts
-than one 64-bit word can.
+32, each with its own ball, and every pair that meets is verified on all 256 bits. That finds less
+similar texts than one 64-bit word can.
 """
 
 from __future__ import annotations
@@ -16,9 +16,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanweave.llm.components import connected_components
@@ -31,6 +32,8 @@ SEED = 42
 BATCH_BYTES = 1 << 19
 #: Odd constant that sets the lanes of a long fingerprint apart (2^64 over the golden ratio).
 LANE_STEP = 0x9E3779B97F4A7C15
+#: Fingerprints in a group of the search by several words, on average; pairs verified at once.
+MEMBERS, CHUNK = 8192, 1 << 16
 
 
 def shingle_hashes(raw: bytes, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -101,24 +104,79 @@ def fingerprints(df: DataFrame, text: str = "text", size: int = 3, lanes: int =
     return df.select(*names).mapInArrow(run, schema)
 
 
-def _distance(lanes: int) -> Column:
-    total = F.lit(0)
-    for i in range(lanes):
-        total = total + F.bit_count(F.col("x")[i].bitwiseXOR(F.col("y")[i]))
-    return total
+def _words(prints: np.ndarray, n_words: int) -> list[tuple[np.ndarray, int]]:
+    """The bits of n x lanes fingerprints cut into words of about equal length: values and bits of each."""
+    bits = np.unpackbits(np.ascontiguousarray(prints, "<u8").view(np.uint8), axis=1, bitorder="little")
+    edges = np.linspace(0, bits.shape[1], n_words + 1).astype(int)
+    return [(bits[:, a:b].astype(np.uint64) @ (np.uint64(1) << np.arange(b - a, dtype=np.uint64)), int(b - a)) for a, b in zip(edges[:-1], edges[1:])]
 
 
-def _word_keys(lanes: int, word_bits: int) -> Column:
-    """The fingerprint cut into words; a short word carries its number, so that words stay apart."""
-    if word_bits == 64:
-        return F.array(*[F.col("fp")[i] for i in range(lanes)])
-    per_lane, mask = 64 // word_bits, (1 << word_bits) - 1
-    parts = []
-    for i in range(lanes):
-        for j in range(per_lane):
-            value = F.shiftrightunsigned(F.col("fp")[i], j * word_bits).bitwiseAND(F.lit(mask))
-            parts.append(value.bitwiseOR(F.lit((i * per_lane + j) << word_bits)))
-    return F.array(*parts)
+def spanning_links(prints: np.ndarray, low: np.ndarray, own: np.ndarray, low_bits: int, side: np.ndarray, radius: int) -> list[tuple[int, int]]:
+    """Positions of verified links that connect what all verified links between these rows connect.
+
+    Rows meet in the variants of ``low``; a row that is not ``own`` came by a flipped bit and has one. All
+    pairs that meet are verified, but for those connected already and, if there are two sides, those of one side.
+    """
+    n = len(prints)
+    flipped = np.flatnonzero(own)
+    who = np.concatenate([np.arange(n)] + [flipped] * low_bits)
+    keys = np.concatenate([low] + [low[flipped] ^ (np.uint64(1) << np.uint64(b)) for b in range(low_bits)])
+    order = np.argsort(keys, kind="stable")
+    keys, who = keys[order], who[order]
+    parent, links = list(range(n)), []
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = i = parent[parent[i]]
+        return i
+
+    def verify(a: np.ndarray, b: np.ndarray) -> bool:
+        close = np.bitwise_count(prints[a] ^ prints[b]).sum(axis=1, dtype=np.int64) <= radius
+        before = len(links)
+        for i, j in zip(a[close].tolist(), b[close].tolist()):
+            x, y = root(i), root(j)
+            if x != y:
+                parent[x] = y
+                links.append((i, j))
+        return len(links) > before
+
+    def bounds() -> tuple[np.ndarray, np.ndarray]:
+        starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        return starts, np.diff(np.append(starts, len(keys)))
+
+    # First each bucket's first against the others: that connects most buckets of near copies.
+    starts, lengths = bounds()
+    head = np.repeat(who[starts], lengths)
+    for i in range(0, len(who), CHUNK):
+        a, b = head[i : i + CHUNK], who[i : i + CHUNK]
+        verify(a[a != b], b[a != b])
+    # Then all pairs of the buckets that are not connected as a whole.
+    two_sides, shift = bool((side != side[0]).any()), 0
+    fresh = False
+    at = None
+    while len(keys):
+        if not fresh:
+            label = np.array([root(i) for i in range(n)])
+            starts, lengths = bounds()
+            mixed_up = np.minimum.reduceat(label[who], starts) != np.maximum.reduceat(label[who], starts)
+            left = np.repeat(mixed_up & (lengths > shift + 1), lengths)
+            keys, who, fresh, found = keys[left], who[left], True, False
+            if not len(keys):
+                break
+            starts, lengths = bounds()
+            end, at = np.repeat(starts + lengths, lengths), np.arange(len(keys))
+        shift += 1
+        at = at[at + shift < end[at]]
+        if not len(at):
+            break
+        for i in range(0, len(at), CHUNK):
+            a, b = who[at[i : i + CHUNK]], who[at[i : i + CHUNK] + shift]
+            ask = label[a] != label[b]
+            if two_sides:
+                ask &= side[a] != side[b]
+            found |= verify(a[ask], b[ask])
+        fresh = not (found and shift % 16 == 0)
+    return links
 
 
 def similar_pairs(classes: DataFrame, lanes: int = 1, word_bits: int = 64, radius: int = 2) -> DataFrame:
@@ -126,44 +184,93 @@ def similar_pairs(classes: DataFrame, lanes: int = 1, word_bits: int = 64, radiu
 
     With one 64-bit word and radius 2 the links connect exactly the fingerprints that differ in at
     most two bits: all that meet in a bucket link to its smallest id, from which none is further
-    than 2 bits. With several words, fingerprints that share a whole word link to the smallest id
-    of that word, and those to each other through the balls. Only ids travel with the variants;
-    what met is verified on whole fingerprints afterwards.
+    than 2 bits. With several words, all pairs that meet are verified on whole fingerprints, and of the
+    links those are given that connect the same fingerprints as all do.
     """
-    if lanes > 1 and word_bits > 56:
-        raise ValueError("several words need room for their number: word_bits up to 56")
-    flips = F.array(*[F.lit(0).cast("long")] + [F.lit(1 << b if b < 63 else -(1 << 63)).cast("long") for b in range(word_bits)])
-    by_word = classes.select("id", F.explode(_word_keys(lanes, word_bits)).alias("word"))
-    same_word = None
-    if lanes > 1:
-        by_word = materialize(by_word, "simhash-words")
-        heads = by_word.groupBy("word").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("n"))
-        many = heads.where("n > 1").select("word", "head")
-        same_word = by_word.join(many, "word").where("id <> head").select(F.col("head").alias("src"), F.col("id").alias("dst"))
-        by_word = heads.select(F.col("head").alias("id"), "word")
+    if lanes > 1 or word_bits < 64:
+        return _links_by_words(classes, lanes, word_bits, radius)
+    flips = F.array(*[F.lit(0).cast("long")] + [F.lit(1 << b if b < 63 else -(1 << 63)).cast("long") for b in range(64)])
     # Dealt out before they are grouped: nearly all variants are alone, so that grouping on both sides of
     # the shuffle would cost memory and save nothing.
     buckets = (
-        by_word.select("id", F.explode(F.transform(flips, lambda f: F.col("word").bitwiseXOR(f))).alias("variant"))
+        classes.select("id", F.col("fp")[0].alias("word"))
+        .select("id", F.explode(F.transform(flips, lambda f: F.col("word").bitwiseXOR(f))).alias("variant"))
         .repartition("variant")
         .groupBy("variant")
-        .agg(F.sort_array(F.collect_list("id")).alias("met"))  # at most word_bits + 1
+        .agg(F.sort_array(F.collect_list("id")).alias("met"))  # at most 65
         .where(F.size("met") > 1)
     )
     # Each to the first and to the one before it.
     chained = F.flatten(
         F.transform(
-            F.slice("met", 2, word_bits + 1),
+            F.slice("met", 2, 65),
             lambda m, i: F.array(
                 F.struct(F.col("met")[0].alias("src"), m.alias("dst")), F.struct(F.get("met", i).alias("src"), m.alias("dst"))
             ),
         )
     )
-    met = buckets.select(F.inline(chained))
-    pairs = (met if same_word is None else met.unionByName(same_word)).distinct()
-    first = classes.select(F.col("id").alias("src"), F.col("fp").alias("x"))
-    second = classes.select(F.col("id").alias("dst"), F.col("fp").alias("y"))
-    return pairs.join(first, "src").join(second, "dst").where(_distance(lanes) <= radius).select("src", "dst")
+    pairs = buckets.select(F.inline(chained)).distinct()
+    first = classes.select(F.col("id").alias("src"), F.col("fp")[0].alias("x"))
+    second = classes.select(F.col("id").alias("dst"), F.col("fp")[0].alias("y"))
+    distance = F.bit_count(F.col("x").bitwiseXOR(F.col("y")))
+    return pairs.join(first, "src").join(second, "dst").where(distance <= radius).select("src", "dst")
+
+
+def _links_by_words(classes: DataFrame, lanes: int, word_bits: int, radius: int) -> DataFrame:
+    """A group has the fingerprints with the same top bits of a word, and those that get them by one
+    flipped bit; the variants of the bits below are made inside the group. So a fingerprint moves once
+    per top bit and not once per variant. A large group is dealt into pieces and each pair of pieces is a group."""
+    n_words = -(-64 * lanes // word_bits)
+    n = classes.count()
+    top = 0
+    while top < 64 * lanes // n_words and n * (1 + top) > MEMBERS << top:
+        top += 1
+    names = [f"f{i}" for i in range(lanes)]
+
+    def groups(prints: np.ndarray) -> Iterator[np.ndarray]:
+        for w, (word, bits) in enumerate(_words(prints, n_words)):
+            own = (word >> np.uint64(bits - top)).astype(np.int64) if top else np.zeros(len(word), np.int64)
+            for flip in [0, *(1 << b for b in range(top))]:
+                yield (own ^ flip) | (w << 40)
+
+    def prints_of(batch: pa.RecordBatch) -> np.ndarray:
+        return batch.column("fp").flatten().to_numpy().reshape(-1, lanes).view(np.uint64)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prints = prints_of(batch)
+            columns = [pa.array(prints[:, i].view(np.int64)) for i in range(lanes)] if len(prints) else []
+            for group in groups(prints) if len(prints) else ():
+                yield pa.RecordBatch.from_arrays([pa.array(group), batch.column("id"), *columns], ["group", "id", *names])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                group, members = np.unique(np.concatenate(list(groups(prints_of(batch)))), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(group), pa.array(members)], ["group", "n"])
+
+    table = classes.select(F.col("id").cast("long").alias("id"), "fp")
+    placed = table.mapInArrow(place, f"group long, id long, {', '.join(f'{c} long' for c in names)}")
+    sizes = table.mapInArrow(count, "group long, n long").groupBy("group").agg(F.sum("n").alias("n"))
+    # Pieces grow with the root of the group, so that copies do too.
+    length = F.greatest(F.lit(2 * MEMBERS), F.ceil(4 * F.sqrt("n")))
+    large = materialize(sizes.where(F.col("n") > 2 * MEMBERS).select("group", F.ceil(F.col("n") / length).alias("pieces")), "simhash-large")
+    dealt = placed.join(large, "group", "left").withColumn("pieces", F.coalesce("pieces", F.lit(1)))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64(F.lit("piece"), "id"), "pieces"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)))
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        prints = np.stack([group[c].to_numpy() for c in names], axis=1).view(np.uint64)
+        key, ids = int(group["group"].iloc[0]), group["id"].to_numpy()
+        word, bits = _words(prints, n_words)[key >> 40]
+        low_bits = bits - top
+        own = (word >> np.uint64(low_bits)) == np.uint64(key & (1 << 40) - 1) if top else np.ones(len(word), bool)
+        low = word & np.uint64((1 << low_bits) - 1)
+        at = np.array(spanning_links(prints, low, own, low_bits, group["own"].to_numpy(), radius), np.int64).reshape(-1, 2)
+        return pd.DataFrame({"src": ids[at].min(axis=1), "dst": ids[at].max(axis=1)})
+
+    pairs = dealt.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")).drop("pieces", "other")
+    return pairs.groupBy("group", "lo", "hi").applyInPandas(compare, "src long, dst long").distinct()
 
 
 def near_duplicates(

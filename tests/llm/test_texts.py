@@ -164,6 +164,39 @@ def test_simhash_finds_every_ball(spark):
     assert brute.components(ids, links) == brute.components(ids, close)
 
 
+def long_prints(spark, prints):
+    """A table of 256-bit fingerprints, numbered in order."""
+    rows = [(i, [int(x) for x in np.array([(p >> (64 * k)) % 2**64 for k in range(4)], np.uint64).view(np.int64)]) for i, p in enumerate(prints)]
+    return spark.createDataFrame(rows, "id long, fp array<long>")
+
+
+def close_pairs(prints, radius):
+    return {(a, b) for b in range(len(prints)) for a in range(b) if (prints[a] ^ prints[b]).bit_count() <= radius}
+
+
+def flipped(rng, value, bits):
+    for b in bits:
+        value ^= 1 << b
+    return value
+
+
+@pytest.mark.parametrize("members", [8192, 16])
+def test_simhash_verifies_pairs_that_their_head_is_far_from(spark, monkeypatch, members):
+    """All share one word with the smallest id and each is too far from it; among each other pairs are close."""
+    monkeypatch.setattr(simhash, "MEMBERS", members)
+    rng = random.Random(11)
+    head = rng.getrandbits(256)
+    prints = [head]
+    for _ in range(20):
+        far = flipped(rng, head, rng.sample(range(32, 256), 90))
+        prints += [far, flipped(rng, far, rng.sample(range(32, 256), 35)), flipped(rng, far, rng.sample(range(32, 256), 30))]
+    links = [(r.src, r.dst) for r in simhash.similar_pairs(long_prints(spark, prints), 4, 32, 39).collect()]
+    close = close_pairs(prints, 39)
+    assert set(links) <= close and len(close) >= 40
+    ids = list(range(len(prints)))
+    assert brute.components(ids, links) == brute.components(ids, close)
+
+
 def test_simhash_on_odd_rows(odd, empty):
     got = simhash.near_duplicates(odd, keep_text=True).collect()
     assert len(got) == len(odd_rows())
