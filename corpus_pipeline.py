@@ -8,7 +8,7 @@
 
 Near copies are found on five-word shingles. A similarity of 0.8 between shingle sets is a cosine of
 2 * 0.8 / 1.8, an angle of 27 degrees, and 39 differing bits of 256; fingerprints of that length are
-searched by eight words of 32 bits.
+searched by words of at most 32 bits, short enough that no pair within 39 bits is missed.
 """
 
 from __future__ import annotations

@@ -6,9 +6,10 @@ together, and whatever meets is verified. With r = 1 a 64-bit fingerprint has 65
 variant can be met by 65 different fingerprints at most: copies are collapsed before, so buckets are
 bounded by construction, whatever the size of a group of copies.
 
-A fingerprint may be longer than the word it is searched by: 256 bits are searched as eight words of
-32, each with its own ball, and every pair that meets is verified on all 256 bits. That finds less
-similar texts than one 64-bit word can.
+A fingerprint may be longer than the word it is searched by, and the radius larger. It is then cut into so
+many words that within the radius one of them differs in at most two bits: 39 of 256 bits take 14 words of
+18 or 19. Each word has its own ball, and every pair that meets is verified on all 256 bits. That finds
+less similar texts than one 64-bit word can.
 """
 
 from __future__ import annotations
@@ -184,10 +185,12 @@ def similar_pairs(classes: DataFrame, lanes: int = 1, word_bits: int = 64, radiu
 
     With one 64-bit word and radius 2 the links connect exactly the fingerprints that differ in at
     most two bits: all that meet in a bucket link to its smallest id, from which none is further
-    than 2 bits. With several words, all pairs that meet are verified on whole fingerprints, and of the
-    links those are given that connect the same fingerprints as all do.
+    than 2 bits. Else fingerprints are cut into words of at most ``word_bits``, and so many that two
+    fingerprints within ``radius`` differ in at most two bits of one and meet there. All pairs that meet are
+    verified on whole fingerprints, and of the links those are given that connect the same fingerprints as
+    all do; so they connect exactly the fingerprints within ``radius``.
     """
-    if lanes > 1 or word_bits < 64:
+    if lanes > 1 or word_bits < 64 or radius > 2:
         return _links_by_words(classes, lanes, word_bits, radius)
     flips = F.array(*[F.lit(0).cast("long")] + [F.lit(1 << b if b < 63 else -(1 << 63)).cast("long") for b in range(64)])
     # Dealt out before they are grouped: nearly all variants are alone, so that grouping on both sides of
@@ -220,7 +223,10 @@ def _links_by_words(classes: DataFrame, lanes: int, word_bits: int, radius: int)
     """A group has the fingerprints with the same top bits of a word, and those that get them by one
     flipped bit; the variants of the bits below are made inside the group. So a fingerprint moves once
     per top bit and not once per variant. A large group is dealt into pieces and each pair of pieces is a group."""
-    n_words = -(-64 * lanes // word_bits)
+    # Of so many words one differs in at most two bits, whatever pair is within the radius.
+    n_words = max(-(-64 * lanes // word_bits), radius // 3 + 1)
+    if n_words > 64 * lanes:
+        raise ValueError(f"{radius} bits are too many for fingerprints of {64 * lanes}")
     n = classes.count()
     top = 0
     while top < 64 * lanes // n_words and n * (1 + top) > MEMBERS << top:

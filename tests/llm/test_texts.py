@@ -6,6 +6,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tests.llm import brute
 from tokenizers import Tokenizer
 
@@ -197,6 +198,21 @@ def test_simhash_verifies_pairs_that_their_head_is_far_from(spark, monkeypatch,
     assert brute.components(ids, links) == brute.components(ids, close)
 
 
+@pytest.mark.parametrize(("lanes", "word_bits", "radius"), [(4, 32, 39), (1, 64, 7)])
+def test_simhash_reaches_the_whole_radius(spark, lanes, word_bits, radius):
+    """Pairs at up to the radius, their bits dealt evenly over the words."""
+    rng = random.Random(7)
+    prints = []
+    for i in range(40):
+        base = rng.getrandbits(64 * lanes)
+        step = 64 * lanes // (radius + 1)
+        spread = [b * step + rng.randrange(step) for b in range(radius + (i % 2))]
+        prints += [base, flipped(rng, base, spread)]
+    table = long_prints(spark, prints).withColumn("fp", F.slice("fp", 1, lanes))
+    links = {(r.src, r.dst) for r in simhash.similar_pairs(table, lanes, word_bits, radius).collect()}
+    assert links == close_pairs(prints, radius) and len(links) >= 20
+
+
 def test_simhash_on_odd_rows(odd, empty):
     got = simhash.near_duplicates(odd, keep_text=True).collect()
     assert len(got) == len(odd_rows())
