@@ -4,9 +4,10 @@ Lines are normalised (lower case, digits as 0, white space as single spaces) and
 host; a shuffle counts in how many distinct documents of the host each occurs. Lines above the limit
 are removed, and a document of which too little is left is rejected.
 
-Copies are one document here: equal texts count once, and texts that mostly consist of lines which also
+Copies are one document here: equal texts count once, and texts that nearly all consist of lines which also
 stand elsewhere count once per smallest such line. Without that, the lines of an article with a
-thousand copies would count as boilerplate and all its copies would go.
+thousand copies would count as boilerplate and all its copies would go. A text with more of its own, as a
+page with a menu and a licence around it, is a document of its own.
 """
 
 from __future__ import annotations
@@ -41,8 +42,9 @@ MAX_REPEAT_PERCENT = 50
 MAX_DOCS_PER_LINE = 20
 #: A document of which a smaller share of words is left is rejected.
 MIN_WORDS_LEFT = 0.3
-#: From this share of words on lines found elsewhere, a document counts as a copy.
-COPY_SHARE = 0.5
+#: From this share of words on lines found elsewhere, a document counts as a copy. Above what frequent lines
+#: make of a document that is rejected for them, or depleted documents would count as copies.
+COPY_SHARE = 0.9
 BATCH_BYTES = 1 << 19
 
 _DIGITS = re.compile(r"[0-9]")

@@ -364,6 +364,16 @@ def test_lines_of_many_documents_go(spark):
     assert all(got[400 + i].kept for i in range(40))
 
 
+def test_pages_that_share_boilerplate_are_different_documents(spark):
+    rng = random.Random(8)
+    menu = sentences(rng, 9)
+    rows = [(i, "h", "\n".join([*menu[:5], *sentences(rng, 3), *menu[5:]])) for i in range(60)]
+    got = quality_rules.judge(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()
+    keys = {quality_rules.line_key(x.encode()) for x in menu}
+    assert len(got) == 60
+    assert all(set(r.removed_keys) == keys and 4 * r.words_left == r.n_words and not r.kept for r in got)
+
+
 def test_removed_lines_leave_the_text(spark):
     keys = [quality_rules.line_key(b"Drop  me 7")]
     df = spark.createDataFrame([(1, "keep\ndrop me 3\n\nkeep too", keys), (2, None, keys), (3, "drop me 1", [])], "doc_id long, text string, removed_keys array<long>")
