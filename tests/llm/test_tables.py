@@ -239,6 +239,19 @@ def test_classifier_rejects_noise(spark):
     assert quality_kn.classify(df.limit(0), trusted).count() == 0
 
 
+def test_classifier_keeps_languages_without_trusted_documents(spark):
+    rng = random.Random(12)
+    word = lambda mark: mark + str(rng.randint(1, 60))
+    text = lambda mark: " ".join(word(mark) for _ in range(40))
+    rows = [(i, text("a"), "en") for i in range(400)] + [(1000 + i, text("b"), None if i % 2 else "rare") for i in range(60)]
+    rows += [(2000, text("z"), "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    trusted = spark.createDataFrame([(i,) for i in [*range(400), *range(1000, 1006)]], "doc_id long")
+    got = {r.doc_id: r for r in quality_kn.classify(df, trusted).collect()}
+    assert all(got[1000 + i].kept and got[1000 + i].threshold is None for i in range(60))
+    assert not got[2000].kept and got[0].threshold is not None
+
+
 MIXED = "doc_id long, text string, source string, lang string, probability double, tokens int"
 
 
