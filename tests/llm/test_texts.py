@@ -205,8 +205,8 @@ def test_simhash_reaches_the_whole_radius(spark, lanes, word_bits, radius):
     prints = []
     for i in range(40):
         base = rng.getrandbits(64 * lanes)
-        step = 64 * lanes // (radius + 1)
-        spread = [b * step + rng.randrange(step) for b in range(radius + (i % 2))]
+        n = radius + i % 2
+        spread = [b * 64 * lanes // n for b in range(n)]
         prints += [base, flipped(rng, base, spread)]
     table = long_prints(spark, prints).withColumn("fp", F.slice("fp", 1, lanes))
     links = {(r.src, r.dst) for r in simhash.similar_pairs(table, lanes, word_bits, radius).collect()}
