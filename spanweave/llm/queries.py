@@ -14,8 +14,11 @@ from spanweave.llm import (
     language_id,
     lm_score,
     mixing,
+    prefix_trie,
     quality_kn,
     quality_rules,
+    resampling,
+    sentencepiece_bpe,
     simhash,
     token_files,
 )
@@ -47,6 +50,14 @@ def _remainder(doc_id: str, n: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % n
 
 
+def _crc32_sql(digits: str) -> str:
+    """Unsigned CRC-32 in SQL of the bytes whose hexadecimal digits ``digits`` gives: eight steps a byte."""
+    byte = f"CAST('0x' || {digits}[2*i+1:2*i+2] AS BIGINT)"
+    steps = f"flatten([[{byte}, 0, 0, 0, 0, 0, 0, 0] FOR i IN range(0, len({digits}) // 2)])"
+    one = "xor(xor(c, b) // 2, CASE WHEN xor(c, b) % 2 = 1 THEN 3988292384 ELSE 0 END)"
+    return f"xor(list_reduce({steps}, lambda c, b: {one}, CAST(4294967295 AS BIGINT)), 4294967295)"
+
+
 @register
 def op1_embedding_dedup(spark, sf_dir):
     return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
@@ -162,3 +173,94 @@ def op9_lm_score(spark, sf_dir):
 def op10_quality_rules(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return quality_rules.judge(docs).select("doc_id", *quality_rules.MEASURES, "base_failed", "kept")
+
+
+@register
+def op11_sentencepiece(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = sentencepiece_bpe.encode_and_decode(docs, tokenizer_path("piece_bpe_32k.model"))
+    return done.select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+@register
+def op12_prefix_trie(spark, sf_dir):
+    nodes = prefix_trie.conversation_trie(_table(spark, sf_dir, "conversations"))
+    return nodes.select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves",
+        F.col("saved_words").alias("saved_tokens"), "ends_sha256",
+    )
+
+SQL["op12_prefix_trie"] = f"""
+WITH turns AS (
+       SELECT conv_id AS c, {{'r': coalesce(role, ''), 't': coalesce(text, '')}} AS u,
+              row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+       FROM conversations WHERE conv_id IS NOT NULL),
+     logs AS (SELECT c, list(u ORDER BY i) AS own, hex(encode(CAST(c AS VARCHAR))) AS digits FROM turns GROUP BY c),
+     taken AS (SELECT c, own, c - c % 20 AS head, {_crc32_sql("digits")} % 4 AS h FROM logs),
+     convs AS (
+       SELECT a.c, list_concat(coalesce(b.own, [])[1:a.h], a.own[a.h+1:]) AS s
+       FROM taken a LEFT JOIN logs b ON b.c = a.head),
+     prefixes AS (SELECT c, d, s[1:d] AS s, len(s) = d AS last FROM (SELECT *, unnest(range(0, len(s) + 1)) AS d FROM convs)),
+     nodes AS (
+       SELECT min(c) AS conv_id, d, s, count(*) AS n_convs,
+              sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (last), '')) AS ends_sha256
+       FROM prefixes GROUP BY d, s),
+     children AS (SELECT d - 1 AS d, s[1:d-1] AS s, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL),
+     alone AS (
+       SELECT nodes.*, coalesce(n, 0) AS n_children, n IS NULL AS leaf,
+              (n_convs - 1) * CASE WHEN d = 0 THEN 0 ELSE len(regexp_extract_all(s[d].t, '[^\\x20\\x09-\\x0D]+')) END AS saved
+       FROM nodes LEFT JOIN children USING (d, s)),
+     sums AS (
+       SELECT k AS d, s[1:k] AS s, count(*) FILTER (leaf) AS n_leaves, sum(saved) AS saved_tokens
+       FROM (SELECT *, unnest(range(0, d + 1)) AS k FROM alone) GROUP BY k, s[1:k])
+SELECT a.conv_id, CAST(a.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, a.n_convs, a.n_children,
+       n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, a.ends_sha256
+FROM alone a JOIN sums USING (d, s) LEFT JOIN nodes p ON p.d = a.d - 1 AND p.s = a.s[1:a.d-1]
+"""
+
+
+@register
+def op13_resampling(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    drawn = resampling.resample(docs, _table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+_WORDS_SQL = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+SQL["op13_resampling"] = f"""
+WITH docs AS (SELECT doc_id, {_WORDS_SQL} AS w FROM documents),
+     target AS (SELECT {_WORDS_SQL} AS w FROM benchmark),
+     grams AS (
+       SELECT doc_id, w[i+1] AS g FROM (SELECT *, unnest(range(0, len(w))) AS i FROM docs)
+       UNION ALL SELECT doc_id, w[i+1] || ' ' || w[i+2] FROM (SELECT *, unnest(range(0, len(w) - 1)) AS i FROM docs)
+       UNION ALL SELECT doc_id, w[i+1] || ' ' || w[i+2] || ' ' || w[i+3] FROM (SELECT *, unnest(range(0, len(w) - 2)) AS i FROM docs)),
+     wanted AS (
+       SELECT w[i+1] AS g FROM (SELECT *, unnest(range(0, len(w))) AS i FROM target)
+       UNION ALL SELECT w[i+1] || ' ' || w[i+2] FROM (SELECT *, unnest(range(0, len(w) - 1)) AS i FROM target)
+       UNION ALL SELECT w[i+1] || ' ' || w[i+2] || ' ' || w[i+3] FROM (SELECT *, unnest(range(0, len(w) - 2)) AS i FROM target)),
+     raw_counts AS (SELECT g, count(*) AS n FROM grams GROUP BY g),
+     target_counts AS (SELECT g, count(*) AS n FROM wanted GROUP BY g),
+     digits AS (SELECT g, hex(encode(g)) AS x FROM (SELECT g FROM raw_counts UNION SELECT g FROM target_counts)),
+     bucketed AS MATERIALIZED (SELECT g, {_crc32_sql("x")} % 10000 AS bucket FROM digits),
+     s AS (SELECT bucket, sum(n) AS s FROM raw_counts JOIN bucketed USING (g) GROUP BY bucket),
+     t AS (SELECT bucket, sum(n) AS t FROM target_counts JOIN bucketed USING (g) GROUP BY bucket),
+     gains AS (
+       SELECT bucket, CAST(floor(1000 * ln(
+                (CAST(coalesce(t, 0) AS DOUBLE) + 1) * ((SELECT coalesce(CAST(sum(s) AS DOUBLE), 0) FROM s) + 10000)
+                / ((CAST(coalesce(s, 0) AS DOUBLE) + 1) * ((SELECT coalesce(CAST(sum(t) AS DOUBLE), 0) FROM t) + 10000)))) AS BIGINT) AS gain
+       FROM s FULL JOIN t USING (bucket)),
+     weights AS (
+       SELECT doc_id, count(*) AS n_features, CAST(sum(gain) AS BIGINT) AS weight
+       FROM grams JOIN bucketed USING (g) JOIN gains USING (bucket) GROUP BY doc_id),
+     scored AS (
+       SELECT doc_id, len(w) >= 20 AS may, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+              coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || sha256('42:' || doc_id)[1:8] AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+       FROM docs LEFT JOIN weights USING (doc_id)),
+     ranked AS (SELECT *, row_number() OVER (PARTITION BY may ORDER BY score DESC, doc_id) AS r, count(*) FILTER (may) OVER () AS n FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN may AND r <= 5 * n // 100 THEN r END AS rank FROM ranked
+"""
