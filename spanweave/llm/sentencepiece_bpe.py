@@ -13,6 +13,7 @@ apart there, mostly into words, and a worker remembers the ids of the fragments
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -24,9 +25,9 @@ from pyspark.sql import types as T
 from spanweave.llm.textbatch import binary_array, gather_spans, slices
 
 #: Bytes of text that a worker encodes at once.
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 22
 #: Fragments and pairs of pieces that a worker remembers in each of two generations.
-KEPT_FRAGMENTS, KEPT_PAIRS = 100_000, 300_000
+KEPT_FRAGMENTS, KEPT_PAIRS = 200_000, 300_000
 #: Characters whose matches are held at once while a fragment is walked.
 WINDOW = 4096
 #: The mark that stands for a space, a fixed value of the library.
@@ -71,6 +72,8 @@ class Vocabulary:
         self.bos, self.eos = sp.bos_id(), sp.eos_id()
         self.longest = max(map(len, self.ids))
         self._check_scores()
+        # The next shorter match at the place of a longer one; a single character always matches.
+        self.shorter = {p: next(n for n in range(len(p) - 1, 0, -1) if n == 1 or p[:n] in self.ids) for p in self.ids if len(p) > 1}
         self.automaton = ahocorasick.Automaton()
         for piece in self.ids:
             if len(piece) > 1:
@@ -111,50 +114,54 @@ class Vocabulary:
             return found
 
 
-class _Matches:
-    """Lengths of the pieces that start at a position, ascending, found window by window."""
+class LongestMatches:
+    """How long the longest piece is that starts at a position; found window by window."""
 
     def __init__(self, vocabulary: Vocabulary, text: str):
         self.vocabulary, self.text, self.windows = vocabulary, text, {}
 
-    def at(self, position: int) -> list[int]:
+    def __getitem__(self, position: int) -> int:
         number, offset = divmod(position, WINDOW)
         if number not in self.windows:
             if len(self.windows) > 1:  # backtracking stays within a few pieces
                 self.windows.pop(max(self.windows, key=lambda n: abs(n - number)))
             begin = number * WINDOW
             part = self.text[begin : begin + WINDOW + self.vocabulary.longest - 1]
-            found = [[1] for _ in range(min(WINDOW, len(self.text) - begin))]
-            for end, length in self.vocabulary.automaton.iter(part):
-                if end - length + 1 < len(found):
-                    found[end - length + 1].append(length)
-            self.windows[number] = found
+            self.windows[number] = longest_matches(self.vocabulary, part)
         return self.windows[number][offset]
 
 
+def longest_matches(vocabulary: Vocabulary, text: str) -> list[int]:
+    found = [1] * len(text)
+    for end, length in vocabulary.automaton.iter(text):  # ends ascend, so a longer match comes later
+        found[end - length + 1] = length
+    return found
+
+
 def encode_fragment(vocabulary: Vocabulary, text: str) -> list[str]:
     """The pieces of a normalised text; a character without a piece is a piece of its own."""
-    matches, n = _Matches(vocabulary, text), len(text)
+    n, pairs, shorter = len(text), vocabulary.pairs, vocabulary.shorter
+    longest = longest_matches(vocabulary, text) if n <= WINDOW else LongestMatches(vocabulary, text)
     failed = bytearray(n + 1)
     pieces: list[str] = []
-    position, retry = 0, 0  # retry: only matches shorter than this, where a piece was given up
-    while position < n:
-        before = pieces[-1] if pieces else ""
-        for length in reversed(matches.at(position)):
-            if retry and length >= retry or failed[position + length]:
-                continue
-            piece = text[position : position + length]
-            if vocabulary.compatible(before, piece):
+    position, length, before = 0, longest[0], ""
+    while True:
+        piece, end = text[position : position + length], position + length
+        if not failed[end]:
+            fits = pairs.get((before, piece))
+            if fits or fits is None and vocabulary.compatible(before, piece):
                 pieces.append(piece)
-                position, retry = position + length, 0
-                break
-        else:
+                if end == n:
+                    return pieces
+                position, length, before = end, longest[end], piece
+                continue
+        while length == 1:  # nothing shorter here: the piece before is given up as well
             failed[position] = 1
-            if not pieces:
-                raise AssertionError("every text has an encoding")
-            retry = len(pieces.pop())
-            position -= retry
-    return pieces
+            piece = pieces.pop()
+            length = len(piece)
+            position -= length
+        before = pieces[-1] if pieces else ""
+        length = shorter[piece]
 
 
 def char_cuts(pieces) -> np.ndarray:
@@ -178,17 +185,23 @@ class BacktrackingCodec:
         self.known = Remembered(KEPT_FRAGMENTS)
 
     def ids_of(self, piece: str) -> list[int]:
+        """A piece without an id is one character and becomes its bytes."""
         found = self.vocabulary.ids.get(piece)
         return [found] if found is not None else [self.vocabulary.byte_ids[b] for b in piece.encode()]
 
-    def fragment(self, raw: bytes) -> np.ndarray:
+    def fragment(self, raw: bytes) -> bytes:
+        """The ids of a fragment (in UTF-32), 32 bits each."""
         try:
             return self.known[raw]
         except KeyError:
             pieces = encode_fragment(self.vocabulary, raw.decode("utf-32-le"))
-            ids = np.array([i for piece in pieces for i in self.ids_of(piece)], np.int32)
-            self.known.keep(raw, ids)
-            return ids
+            try:
+                ids = [self.vocabulary.ids[piece] for piece in pieces]
+            except KeyError:
+                ids = [i for piece in pieces for i in self.ids_of(piece)]
+            found = array("i", ids).tobytes()
+            self.known.keep(raw, found)
+            return found
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, with begin and end ids, and n + 1 offsets into them."""
@@ -207,10 +220,10 @@ class BacktrackingCodec:
         if len(bounds) > 1:
             coded = binary_array(raw, bounds * 4).dictionary_encode()
             parts = [self.fragment(f) for f in coded.dictionary.to_pylist()]
-            sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+            sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
             at = coded.indices.to_numpy()
             lengths = sizes[at]
-            flat = gather_spans(np.concatenate(parts), (np.cumsum(sizes) - sizes)[at], lengths)
+            flat = gather_spans(np.frombuffer(b"".join(parts), np.int32), (np.cumsum(sizes) - sizes)[at], lengths)
         else:
             flat, lengths = np.zeros(0, np.int32), np.zeros(0, np.int64)
         ends = np.concatenate([[0], np.cumsum(lengths)])[np.searchsorted(bounds, offsets)]

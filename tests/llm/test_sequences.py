@@ -55,10 +55,18 @@ def test_backtracking_takes_back_pieces():
         text = "".join(rng.choice("aenrst") for _ in range(12))
         pieces = sentencepiece_bpe.encode_fragment(own, text)
         assert pieces == own.merge(list(text))
-        taken_back += len(pieces[0]) < max(sentencepiece_bpe._Matches(own, text).at(0))
+        taken_back += len(pieces[0]) < sentencepiece_bpe.longest_matches(own, text)[0]
     assert taken_back > 20
 
 
+def test_matches_by_windows(monkeypatch):
+    own = sentencepiece_bpe.codec(MODEL).vocabulary
+    text = "".join(random.Random(3).choice("aenrst") for _ in range(4000))
+    whole = sentencepiece_bpe.encode_fragment(own, text)
+    monkeypatch.setattr(sentencepiece_bpe, "WINDOW", 5)
+    assert sentencepiece_bpe.encode_fragment(own, text) == whole
+
+
 def test_remembered_forgets_the_oldest():
     kept = sentencepiece_bpe.Remembered(2)
     for key in "abcd":
