@@ -509,6 +509,11 @@ _CUT = _CUT.replace("LE1", _le("b + 36")).replace("LE2", _le("b"))
 SQL["cut_clips"] = f"""WITH {_CUT}
 SELECT session_id, file_index, name, octet_length(wav) AS n_bytes, sha256(wav) AS sha256 FROM w"""
 
+SQL["export_wav_files"] = SQL["cut_clips"]
+
+SQL["slices_from_files"] = f"""WITH {_CUT}
+SELECT session_id, file_index, b // 2 AS valid_samples, sha256(pcm) AS sha256 FROM w"""
+
 SQL["parse_wavs"] = f"""WITH {_CUT}
 SELECT name AS path, 8000 AS sample_rate, 1 AS channels, b // 2 AS n_frames,
   (b // 2 * 1000 + 4000) // 8000 AS duration_ms, sha256(wav) AS sha256 FROM w"""

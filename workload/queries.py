@@ -37,9 +37,11 @@ from spanweave.operators import identity as ident
 from spanweave.operators import intervals as iv
 from spanweave.operators import registry as rg
 from spanweave.operators import timeline as tl
+from spanweave.operators.lineage import scratch_path
 from spanweave.operators.numbering import number_rows
 from spanweave.sources import documents as docs
-from spanweave.sources import wav
+from spanweave.sources import media, wav
+from spanweave.sources.logs import session_of_file
 from workload import views as v
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -663,6 +665,45 @@ def parse_wavs(spark, sf_dir):
     return clips.select("path", "sample_rate", "channels", "n_frames", "duration_ms", "sha256")
 
 
+def _wav_index(spark, sf_dir):
+    """Every document clip written as a WAV file, and the index of these files."""
+    clips = v.pcm_clips(spark, sf_dir)
+    whole = clips.select(
+        "session_id",
+        F.format_string("clip%d.wav", "file_index").alias("name"),
+        cl.wav_bytes(F.col("pcm"), F.col("sample_rate"), F.col("channels")).alias("wav"),
+    )
+    root = scratch_path(spark, "wav")
+    media.write_wav_files(whole, root)
+    index, _ = media.read_clip_index(spark, root, v.PCM_RATE, digest=False)
+    return index.select(
+        session_of_file(F.col("path")).alias("session_id"),
+        F.regexp_extract("path", r"clip(\d+)\.wav$", 1).cast("int").alias("file_index"),
+        *index.columns,
+    )
+
+
+@register
+def export_wav_files(spark, sf_dir):
+    """Segments cut out of WAV files into new WAV files; the table of what was written."""
+    written = media.write_clips_from_files(
+        _segments(spark, sf_dir), _wav_index(spark, sf_dir), scratch_path(spark, "wav-clips")
+    )
+    number = F.regexp_extract("name", r"^target_f(\d+)_", 1).cast("int")
+    return written.select("session_id", number.alias("file_index"), "name", "n_bytes", "sha256")
+
+
+@register
+def slices_from_files(spark, sf_dir):
+    """Slices of PCM read from WAV files by byte ranges."""
+    intervals = _segments(spark, sf_dir).select(
+        "session_id", "file_index", F.col("start_local_ms").alias("start_ms"),
+        F.col("end_local_ms").alias("end_ms"),
+    )
+    found = media.slices_from_files(intervals, _wav_index(spark, sf_dir))
+    return found.select("session_id", "file_index", "valid_samples", F.sha2("slice", 256).alias("sha256"))
+
+
 @register
 def slice_batches(spark, sf_dir):
     """A stand-in model over padded slice batches: the number and sum of the valid samples."""
