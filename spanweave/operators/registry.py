@@ -33,18 +33,22 @@ def verify_registry(
     actual: DataFrame,
     required: Sequence[str] | DataFrame = (),
     strict: bool = False,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
     """``(name, path, expected, actual, status)`` for every registered or required name.
 
     Status: ``OK``, ``MISSING`` (no file), ``NO-HASH`` (blank expectation), ``MISMATCH`` or
     ``REQUIRED`` (a required name that is not registered). ``strict`` raises on the first problem.
+    With ``keys`` there is one registry per key, and ``required`` is a table of keys and names.
     """
+    keys = list(keys)
     expected = F.lower(F.coalesce("expected", F.lit("")))
     got = F.lower("actual")
     checked = (
-        registry.select("name", "path", F.col("sha256").alias("expected"))
+        registry.select(*keys, "name", "path", F.col("sha256").alias("expected"))
         .join(actual.select("path", F.col("sha256").alias("actual")), ["path"], "left")
         .select(
+            *keys,
             "name",
             "path",
             expected.alias("expected"),
@@ -60,7 +64,8 @@ def verify_registry(
         if not required:
             return _enforce(checked) if strict else checked
         required = registry.sparkSession.createDataFrame([(n,) for n in required], "name string")
-    absent = missing_names(required, registry).select(
+    absent = missing_names(required, registry, keys).select(
+        *keys,
         "name",
         F.lit(None).cast("string").alias("path"),
         F.lit("").alias("expected"),
@@ -71,9 +76,10 @@ def verify_registry(
     return _enforce(report) if strict else report
 
 
-def missing_names(required: DataFrame, present: DataFrame) -> DataFrame:
-    """Required names that are not present."""
-    return required.select("name").distinct().join(present.select("name"), ["name"], "left_anti")
+def missing_names(required: DataFrame, present: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Required names that are not present, by key."""
+    on = [*keys, "name"]
+    return required.select(*on).distinct().join(present.select(*on), on, "left_anti")
 
 
 def _enforce(report: DataFrame) -> DataFrame:

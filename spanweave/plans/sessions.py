@@ -39,7 +39,72 @@ class SessionRun:
     tracked: st.Tracked
     judged: st.Judged
     audit: DataFrame
-    failures: DataFrame
+    failures: DataFrame  # session_id, reason
+    gate: Gate | None  # None: the run was not verified
+
+
+@dataclass(frozen=True)
+class Gate:
+    verdicts: DataFrame  # session_id, n_models, n_problems, passed, models (JSON of a session that passed)
+    problems: DataFrame  # session_id, name, path, status
+
+
+def gate_sessions(
+    sessions: DataFrame,
+    registry: DataFrame,
+    actual: DataFrame,
+    required: Sequence[str] = REQUIRED_MODELS,
+) -> Gate:
+    """Which sessions may run: every registered file has its hash and every required name is registered.
+
+    ``registry``: ``name, path, sha256``, for all sessions, or with ``session_id`` one per session;
+    ``actual``: ``path, sha256`` of the files there are. A session without a registry does not pass.
+    A registry is one document, so a session has few rows of it.
+    """
+    keys = [c for c in st.SESSION if c in registry.columns]
+    ids = sessions.select(*st.SESSION).distinct()
+    names = F.explode(F.array(*[F.lit(n) for n in required]))
+    if not required:
+        needed = ()
+    elif keys:
+        needed = ids.select(*keys, names.alias("name"))
+    else:
+        needed = tuple(required)
+    report = rg.verify_registry(registry, actual, needed, keys=keys)
+    bad = F.col("status") != "OK"
+    models = F.array_sort(F.collect_list(F.struct("name", F.col("actual").alias("sha256"))))
+    found = report.groupBy(*keys).agg(
+        F.count_if(~bad).alias("n_models"), F.count_if(bad).alias("n_problems"), F.to_json(models).alias("models")
+    )
+    problems = report.where(bad).select(*keys, "name", "path", "status")
+    if keys:
+        verdicts = ids.join(found, keys, "left")
+        problems = problems.join(ids, keys, "left_semi")
+    else:
+        # One verdict, and few problems, for every session.
+        every = ids.withColumn("_all", F.lit(True))
+        verdicts = every.join(found.withColumn("_all", F.lit(True)), "_all").drop("_all")
+        problems = every.join(problems.withColumn("_all", F.lit(True)), "_all").drop("_all")
+    passed = (F.coalesce("n_problems", F.lit(1)) == 0) & (F.col("n_models") > 0)
+    zero = F.lit(0).cast("bigint")
+    return Gate(
+        verdicts.select(
+            *st.SESSION,
+            F.coalesce("n_models", zero).alias("n_models"),
+            F.coalesce("n_problems", zero).alias("n_problems"),
+            F.coalesce(passed, F.lit(False)).alias("passed"),
+            F.when(passed, F.col("models")).alias("models"),
+        ),
+        problems.select(*st.SESSION, "name", "path", "status"),
+    )
+
+
+def gate_failures(gate: Gate) -> DataFrame:
+    """``session_id, reason`` of the sessions that may not run: how many problems, and the first."""
+    first = gate.problems.groupBy(*st.SESSION).agg(F.min(F.struct("name", "status", "path")).alias("_p"))
+    stopped = gate.verdicts.where(~F.col("passed")).join(first, st.SESSION, "left")
+    text = F.concat_ws(" ", F.lit("models not verified:"), F.col("n_problems").cast("string"), F.lit("failing,"), "_p.status", "_p.name", "_p.path")
+    return stopped.select(*st.SESSION, F.when(F.col("_p").isNull(), "models not verified: nothing registered").otherwise(text).alias("reason"))
 
 
 def run_gate(
@@ -99,16 +164,19 @@ def _const(value) -> Column:
     return F.lit(canonical_text(value))
 
 
-def _start_records(clips: DataFrame, models: str, environment: Mapping, seed: int) -> DataFrame:
+def _start_records(clips: DataFrame, gate: Gate | None, environment: Mapping, seed: int) -> DataFrame:
+    """A session that the gate stops has its start alone; an unverified one has no checksum record."""
     sessions = clips.groupBy("session_id").agg(
         F.count(F.lit(1)).alias("n_inputs"), F.max("sample_rate").alias("sample_rate")
     )
     start = _record(
         sessions, 0, "session_start", {"seed": _const(seed), **_ints("n_inputs", "sample_rate")}
     )
-    env = _record(sessions, 1, "environment", {k: _const(x) for k, x in environment.items()})
-    gate = _record(sessions, 2, "model_checksums", {"models": F.lit(models)})
-    return start.unionByName(env).unionByName(gate)
+    going = sessions if gate is None else sessions.join(gate.verdicts.where("passed"), st.SESSION)
+    env = _record(going, 1, "environment", {k: _const(x) for k, x in environment.items()})
+    if gate is None:
+        return start.unionByName(env)
+    return start.unionByName(env).unionByName(_record(going, 2, "model_checksums", {"models": F.col("models")}))
 
 
 def _preprocess_records(pre: st.Preprocessed) -> DataFrame:
@@ -306,7 +374,10 @@ def run_sessions(
     infer: st.Model,
     embed_windows: st.Model,
     embed_runs: st.Model,
-    models: str = "[]",
+    registry: DataFrame | None = None,
+    hashes: DataFrame | None = None,
+    required: Sequence[str] = REQUIRED_MODELS,
+    unverified: bool = False,
     environment: Mapping | None = None,
     stamp: Column | None = None,
     seed: int = 0,
@@ -320,13 +391,32 @@ def run_sessions(
     trim_ms: int = st.EDGE_TRIM_MS,
     min_clean_ms: int = st.MIN_CLEAN_MS,
     keep: st.Model = materialize,
+    clips_to: str | None = None,
 ) -> SessionRun:
-    """All stages and the log; ``models`` comes from :func:`run_gate`.
+    """The gate, all stages and the log.
+
+    ``registry`` and ``hashes`` go to :func:`gate_sessions` before any model runs. A session that does not
+    pass is in no later step, its log ends after ``session_start``, and it is in ``failures``. Running
+    without a registry takes ``unverified=True``, and such a log lacks ``model_checksums``, so it never
+    counts as complete.
 
-    Tables that several later steps read (speech, model output, seeds, segments) are written to the
+    ``clips`` carries ``pcm``, or is an index of WAV files (``sources.media``) that are read by ranges;
+    with ``clips_to`` the clean clips are then written there as WAV files. Tables that several later steps read (speech, model output, seeds, segments) are written to the
     shared folder, so that no model runs twice and each step has a small plan. A session that fails
     at enrollment ends its log with the failure; the others are unaffected.
     """
+    if (registry is None) != (hashes is None):
+        raise ValueError("registry and hashes belong together")
+    if (registry is None) != unverified:
+        raise ValueError("give a registry and hashes, or unverified=True to run models that nobody checked")
+    gate, every = None, clips
+    if registry is not None:
+        found = gate_sessions(clips, registry, hashes, required)
+        gate = Gate(keep(found.verdicts), keep(found.problems))
+        passed = gate.verdicts.where("passed").select(*st.SESSION)
+        clips, vad_segments, clicks, detections = (
+            df.join(passed, st.SESSION, "left_semi") for df in (clips, vad_segments, clicks, detections)
+        )
     pre = st.preprocess(clips, vad_segments, keep)
     enrolled = st.enroll(
         pre, clicks, detections, embed_windows, face_threshold, sample_ms, seed_min_ms, keep
@@ -336,9 +426,9 @@ def run_sessions(
         window_ms, hop_ms, voice_threshold, min_active_ms, keep,
     )
     going = pre.clips.join(enrolled.seeds.select("session_id"), st.SESSION, "left_semi")
-    judged = st.contaminate(tracked.target, tracked.overlap, going, trim_ms, min_clean_ms, keep)
+    judged = st.contaminate(tracked.target, tracked.overlap, going, trim_ms, min_clean_ms, keep, clips_to)
 
-    records = _start_records(clips, models, environment or {}, seed)
+    records = _start_records(every, gate, environment or {}, seed)
     for part in (
         _preprocess_records(pre),
         _enroll_records(enrolled, face_threshold, sample_ms, seed_min_ms),
@@ -349,4 +439,7 @@ def run_sessions(
     when = stamp if stamp is not None else F.lit("1970-01-01T00:00:00.000Z")
     records = records.withColumn("audit", canonical_object({"timestamp_utc": json_string(when)}))
     audit = keep(au.chain_build(keep(records), ORDER))
-    return SessionRun(pre, enrolled, tracked, judged, audit, enrolled.failures)
+    failures = enrolled.failures
+    if gate is not None:
+        failures = failures.unionByName(gate_failures(gate))
+    return SessionRun(pre, enrolled, tracked, judged, audit, failures, gate)

@@ -18,7 +18,8 @@ from spanweave.operators import audit as au
 from spanweave.operators import identity as ident
 from spanweave.operators import intervals as iv
 from spanweave.operators import timeline as tl
-from spanweave.operators.clips import cut_clips
+from spanweave.operators.clips import clip_name, cut_clips
+from spanweave.sources import media
 
 Model = Callable[[DataFrame], DataFrame]
 
@@ -235,7 +236,7 @@ def track(
 @dataclass(frozen=True)
 class Judged:
     segments: DataFrame  # every target segment with its decision; clean ones with name and sha256
-    clips: DataFrame | None  # WAV bytes of the clean ones
+    clips: DataFrame | None  # WAV bytes of the clean ones, or the files written
     file_summary: DataFrame
     session_summary: DataFrame  # totals and output fingerprint
 
@@ -247,11 +248,13 @@ def contaminate(
     trim_ms: int = EDGE_TRIM_MS,
     min_clean_ms: int = MIN_CLEAN_MS,
     keep: Model = lazily,
+    clips_to: str | None = None,
 ) -> Judged:
     """Drop every target segment that touches overlap, trim the others, drop what is then short.
 
-    Works per file, on local time. ``clips`` carries ``offset_ms`` and ``pcm``; without ``pcm`` no
-    clips are cut and there is no fingerprint.
+    Works per file, on local time. ``clips`` carries ``offset_ms`` and ``pcm``, or the places of a WAV
+    index (``sources.media``); without either no clips are cut and there is no fingerprint. From an
+    index, ``clips_to`` writes WAV files there instead of returning their bytes.
     """
     parts = tl.edge_trim(iv.partition_contaminated(target, overlap, FILE), trim_ms, min_clean_ms)
     bad = F.col("contaminated")
@@ -278,6 +281,20 @@ def contaminate(
     cut = None
     if "pcm" in clips.columns:
         cut = keep(cut_clips(segments.where(F.col("decision") == "CLEAN"), clips))
+    elif "data_offset" in clips.columns:
+        kept = segments.where(F.col("decision") == "CLEAN")
+        if clips_to is None:
+            cut = keep(media.clips_from_files(kept, clips))
+        else:
+            files = media.write_clips_from_files(kept, clips, clips_to)
+            name = clip_name(F.col("file_index"), F.col("start_global_ms"), F.col("end_global_ms"))
+            key = F.col("session_id").cast("string")
+            cut = (
+                kept.withColumns({"name": name, "_key": key})
+                .join(files.withColumnRenamed("session_id", "_key"), ["_key", "name"])
+                .drop("_key")
+            )
+    if cut is not None:
         segments = segments.join(
             cut.select(*FILE, "segment_start_ms", "name", "sha256"),
             [*FILE, "segment_start_ms"],

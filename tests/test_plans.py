@@ -131,9 +131,11 @@ def run(spark):
     detections = spark.createDataFrame(det, DET)
     s0 = [0 <= f < 100 or 150 <= f < 250 for f in range(300)]
     s1 = [175 <= f < 225 for f in range(300)]
+    registry = spark.createDataFrame([("m", "p", "00")], "name string, path string, sha256 string")
+    hashes = spark.createDataFrame([("p", "00")], "path string, sha256 string")
     out = ss.run_sessions(
         clips, vad, clicks, detections, mask_model([s0, s1]), voice(0, 3000), voice(0, 3000),
-        models='[{"name":"m","sha256":"00"}]', environment={"offline_env": {}},
+        registry=registry, hashes=hashes, required=["m"], environment={"offline_env": {}},
     )
     return out, out.audit
 
@@ -199,3 +201,90 @@ def test_gate_halts_on_a_problem(spark):
     assert '"name":"m"' in ss.run_gate(good, hashes, ["m"])
     with pytest.raises(ValueError, match="REQUIRED"):
         ss.run_gate(good, hashes)
+
+
+REGISTRY = "session_id string, name string, path string, sha256 string"
+
+
+def test_gate_by_session(spark):
+    sessions = spark.createDataFrame([(s,) for s in ["good", "bad", "none", "good"]], "session_id string")
+    registry = spark.createDataFrame(
+        [("good", "m", "p", "AA"), ("good", "n", "q", "bb"), ("bad", "m", "p", "ab"), ("bad", "x", "gone", ""), ("other", "m", "p", "1")],
+        REGISTRY,
+    )
+    hashes = spark.createDataFrame([("p", "aa"), ("q", "bb")], "path string, sha256 string")
+    gate = ss.gate_sessions(sessions, registry, hashes, ["m", "n"])
+    got = {r.session_id: (r.n_models, r.n_problems, r.passed) for r in gate.verdicts.collect()}
+    assert got == {"good": (2, 0, True), "bad": (0, 3, False), "none": (0, 2, False)}
+    models = {r.session_id: r.models for r in gate.verdicts.collect()}
+    assert models == {"good": '[{"name":"m","sha256":"aa"},{"name":"n","sha256":"bb"}]', "bad": None, "none": None}
+    assert sorted(tuple(r) for r in gate.problems.select("session_id", "name", "status").collect()) == [
+        ("bad", "m", "MISMATCH"), ("bad", "n", "REQUIRED"), ("bad", "x", "MISSING"),
+        ("none", "m", "REQUIRED"), ("none", "n", "REQUIRED"),
+    ]
+    reasons = {r.session_id: r.reason for r in ss.gate_failures(gate).collect()}
+    assert reasons["bad"] == "models not verified: 3 failing, MISMATCH m p" and set(reasons) == {"bad", "none"}
+    # Nothing required and nothing registered is no verification either.
+    empty = ss.gate_sessions(sessions, registry.limit(0), hashes, [])
+    assert {r.passed for r in empty.verdicts.collect()} == {False}
+    assert {r.reason for r in ss.gate_failures(empty).collect()} == {"models not verified: nothing registered"}
+    one = ss.gate_sessions(sessions, registry.where("session_id = 'good'").drop("session_id"), hashes, ["m"])
+    assert [r.passed for r in one.verdicts.collect()] == [True] * 3 and one.problems.count() == 0
+    none = ss.gate_sessions(sessions, registry.where("session_id = 'bad'").drop("session_id"), hashes, [])
+    assert [r.n_problems for r in none.verdicts.collect()] == [2] * 3 and none.problems.count() == 6
+
+
+def test_no_run_without_verification(spark, run):
+    with pytest.raises(ValueError, match="unverified"):
+        ss.run_sessions(*[None] * 7)
+    with pytest.raises(ValueError, match="belong together"):
+        ss.run_sessions(*[None] * 7, registry=1)
+    with pytest.raises(ValueError, match="unverified"):
+        ss.run_sessions(*[None] * 7, registry=1, hashes=1, unverified=True)
+
+
+def test_a_stopped_session_runs_no_model(spark):
+    clips = spark.createDataFrame([(s, 0, "clip0.wav", 16000, 1, 96000, "sha", bytearray(PCM)) for s in ("ok", "stopped")], CLIPS)
+    vad = spark.createDataFrame([(s, 0, 0, 64000) for s in ("ok", "stopped")], VAD)
+    clicks = spark.createDataFrame([(s, "speaking", 0, 150, 150, 1000) for s in ("ok", "stopped")], CLICK)
+    registry = spark.createDataFrame([("ok", "m", "p", "00"), ("stopped", "m", "p", "01")], REGISTRY)
+    hashes = spark.createDataFrame([("p", "00")], "path string, sha256 string")
+    seen = []
+
+    def watched(df):
+        seen.extend(r.session_id for r in df.select("session_id").distinct().collect())
+        return voice(0, 3000)(df)
+
+    faces = [(s, 0, pts, 0, 120, 120, 180, 180, 0.9, T) for s in ("ok", "stopped") for pts in [1000, *range(125, 4000, 250)]]
+    out = ss.run_sessions(
+        clips, vad, clicks, spark.createDataFrame(faces, DET),
+        mask_model([[True] * 200]), watched, voice(0, 3000), registry=registry, hashes=hashes, required=["m"], seed_min_ms=100,
+    )
+    logged = {(r.session_id, r.operation) for r in out.audit.collect()}
+    assert {o for s, o in logged if s == "stopped"} == {"session_start"} and ("ok", "model_checksums") in logged
+    assert {r.session_id: r.reason for r in out.failures.collect()}["stopped"] == "models not verified: 1 failing, MISMATCH m p"
+    assert set(seen) == {"ok"}
+
+
+def test_contaminate_from_files(spark, tmp_path):
+    """Clips cut from an index of files equal those cut from PCM in a table."""
+    from spanweave.operators.clips import wav_bytes
+    from spanweave.sources import media
+
+    cols = "session_id string, file_index int, start_ms bigint, end_ms bigint"
+    target = spark.createDataFrame([("s", 0, a, b) for a, b in [(0, 2000), (3000, 5000), (5500, 5800)]], cols)
+    overlap = spark.createDataFrame([("s", 0, 3500, 4500)], cols)
+    clips = spark.createDataFrame(
+        [("s", 0, 100, 16000, 1, bytearray(PCM)), ("t", 0, 0, 16000, 1, bytearray(PCM))],
+        "session_id string, file_index int, offset_ms bigint, sample_rate int, channels int, pcm binary",
+    )
+    whole = clips.select("session_id", F.lit("clip.wav").alias("name"), wav_bytes(F.col("pcm"), F.col("sample_rate"), F.col("channels")).alias("wav"))
+    media.write_wav_files(whole, str(tmp_path / "in"))
+    index, _ = media.read_clip_index(spark, str(tmp_path / "in"))
+    index = index.drop("sample_rate", "channels").withColumn("session_id", F.regexp_extract("path", "session_id=(.)/", 1)).join(clips.drop("pcm"), "session_id")
+    rows = lambda df, *c: sorted(tuple(r) for r in df.select(*c).collect())
+    want = st.contaminate(target, overlap, clips)
+    for out in (st.contaminate(target, overlap, index), st.contaminate(target, overlap, index, clips_to=str(tmp_path / "out"))):
+        assert rows(out.session_summary, "*") == rows(want.session_summary, "*")
+        assert rows(out.clips, "name", "sha256", "segment_start_ms") == rows(want.clips, "name", "sha256", "segment_start_ms")
+    assert len(list((tmp_path / "out").rglob("target_*.wav"))) == 1

@@ -118,3 +118,19 @@ FROM recs WHERE (session_id % 5 IN (0, 1, 3) AND seq = 7) OR (session_id % 5 = 2
 SQL["audit_stream"] = SQL["chain_breaks"]
 
 
+
+SQL["gate_sessions"] = """WITH files AS (SELECT doc_id, lang || '/' || doc_id || '.txt' AS path, sha256(text) AS sha FROM documents),
+m AS (SELECT s_suppkey AS session_id, unnest(['eend_m2f', 'insightface', 'wavlm', 'yolov8']) AS name,
+  unnest(range(0, 4)) AS i FROM supplier),
+r AS (SELECT session_id, name, files.path AS p, sha,
+    CASE WHEN session_id % 7 = 1 AND i = 3 THEN 'lost.bin' ELSE files.path END AS path,
+    CASE WHEN session_id % 7 = 3 AND i = 3 THEN reverse(sha) ELSE sha END AS expected
+  FROM m JOIN files ON doc_id = session_id % 50 + i WHERE NOT (session_id % 7 = 5 AND i = 3)),
+c AS (SELECT session_id, name, path, sha, CASE WHEN path <> p THEN 'MISSING' WHEN expected <> sha THEN 'MISMATCH' ELSE 'OK' END AS status FROM r
+  UNION ALL SELECT session_id, name, NULL, NULL, 'REQUIRED' FROM m WHERE session_id % 7 = 5 AND i = 3)
+SELECT session_id, count(*) FILTER (status = 'OK') AS n_models, count(*) FILTER (status <> 'OK') AS n_problems,
+  count(*) FILTER (status <> 'OK') = 0 AS passed,
+  CASE WHEN count(*) FILTER (status <> 'OK') = 0 THEN
+    '[' || string_agg('{"name":"' || name || '","sha256":"' || sha || '"}', ',' ORDER BY name) || ']' END AS models,
+  coalesce(string_agg(concat_ws(' ', status, name, path), ',' ORDER BY status, name, path) FILTER (status <> 'OK'), '') AS problems
+FROM c GROUP BY session_id"""

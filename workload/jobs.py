@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from spanweave.functions.canonical import canonical_object, json_string
 from spanweave.functions.timecode import int_div
 from spanweave.operators import audit as au
+from spanweave.operators import registry as rg
 from spanweave.operators import timeline as tl
 from spanweave.operators.lineage import materialize, scratch_path
 from spanweave.plans import compare as cp
@@ -141,6 +142,45 @@ def enroll_sessions(spark, sf_dir):
     )
 
 
+def _models(spark, sf_dir):
+    """``(registry, hashes)``: documents as model files, and for every supplier a registry of four.
+
+    One supplier in seven expects another hash, one in seven lacks a name, one names a lost file.
+    """
+    hashes = rg.file_hashes(v.files(spark, sf_dir))
+    listed = v.table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("session_id"), F.posexplode(F.array(*map(F.lit, ss.REQUIRED_MODELS))).alias("i", "name")
+    )
+    docs = v.table(spark, sf_dir, "documents")
+    files = docs.select(
+        F.col("doc_id").alias("_doc"), F.format_string("%s/%d.txt", "lang", "doc_id").alias("path"),
+        F.sha2(F.encode("text", "UTF-8"), 256).alias("sha256"),
+    )
+    kind, last = F.col("session_id") % 7, F.col("i") == 3
+    registry = listed.withColumn("_doc", F.col("session_id") % 50 + F.col("i")).join(files, "_doc").where(~((kind == 5) & last))
+    return (
+        registry.select(
+            "session_id", "name",
+            F.when((kind == 1) & last, F.lit("lost.bin")).otherwise(F.col("path")).alias("path"),
+            F.when((kind == 3) & last, F.reverse("sha256")).otherwise(F.upper("sha256")).alias("sha256"),
+        ),
+        hashes,
+    )
+
+
+@register
+def gate_sessions(spark, sf_dir):
+    """The verdict on every session's models, with its problems in one text."""
+    gate = ss.gate_sessions(
+        v.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("session_id")), *_models(spark, sf_dir)
+    )
+    problem = F.concat_ws(" ", "status", "name", "path")
+    listed = gate.problems.groupBy("session_id").agg(F.array_join(F.array_sort(F.collect_list(problem)), ",").alias("problems"))
+    return gate.verdicts.join(listed, "session_id", "left").select(
+        "session_id", "n_models", "n_problems", "passed", "models", F.coalesce("problems", F.lit("")).alias("problems")
+    )
+
+
 @register
 def run_sessions(spark, sf_dir):
     """The whole run, one session per supplier: records per operation and whether the log is sound."""
@@ -161,7 +201,7 @@ def run_sessions(spark, sf_dir):
     )
     run = ss.run_sessions(
         clips, vad, _first_frame_clicks(faces), faces, _infer, _embed, _embed,
-        face_threshold=0.9, seed_min_ms=500,
+        *_models(spark, sf_dir), face_threshold=0.9, seed_min_ms=500,
     )
     sound = au.chain_verify(run.audit).select("session_id", "valid")
     complete = au.log_completeness(run.audit).select("session_id", "complete")
