@@ -33,9 +33,10 @@ BAD_PREVIOUS = "prev_sha256 mismatch"
 BAD_ENTRY = "entry hash mismatch"
 BAD_SEQ = "seq out of order"
 NULL_TYPE_TEXT = "None"
+_TAIL = "_tail"
 
 
-def _entry_sha(prev: Column, payload_sha: Column, seq: Column, op: Column, audit: Column) -> Column:
+def entry_sha256(prev: Column, payload_sha: Column, seq: Column, op: Column, audit: Column) -> Column:
     return sha256_hex(
         F.concat(
             prev,
@@ -65,11 +66,19 @@ def ordered_fold(
     )
 
 
+def chain_tails(audit: DataFrame, session: str = "session_id") -> DataFrame:
+    """``session, n_records, tail_sha256``: what a chain needs to be continued."""
+    last = F.max_by("entry_sha256", "seq")
+    return audit.groupBy(session).agg((F.max("seq") + 1).alias("n_records"), last.alias("tail_sha256"))
+
+
 def chain_build(
-    records: DataFrame, order: Sequence[str], session: str = "session_id"
+    records: DataFrame, order: Sequence[str], session: str = "session_id", tails: DataFrame | None = None
 ) -> DataFrame:
     """Number and hash-chain each session's records in ``order``.
 
+    With ``tails`` (of :func:`chain_tails`) the chains of sessions that have one go on there.
+
     ``records``: session, order columns, ``operation``, ``payload`` and ``audit`` (canonical text).
     Nulls come first; records of equal order follow each other by their content. A null payload is
     hashed as ``null``, a null operation or audit block as ``chain_breaks`` reads them. Payloads
@@ -91,18 +100,24 @@ def chain_build(
         current, seq, prev = object(), 0, GENESIS
         for batch in batches:
             column = lambda c: batch.column(c).to_pylist()  # noqa: E731, B023
-            seqs, prevs, entries = [], [], []
-            for key, op, audit, payload_sha in zip(
-                column(session), column("operation"), column("audit"), column("payload_sha256")
+            seqs, prevs, entries, stored = [], [], [], []
+            for key, op, audit, payload_sha, at in zip(
+                column(session), column("operation"), column("audit"), column("payload_sha256"), column(_TAIL)
             ):
                 if key != current:
                     current, seq, prev = key, 0, GENESIS
+                stored.append(at is not None)
+                if stored[-1]:  # the tail comes before the records that follow it
+                    seq, prev = at, payload_sha
+                    continue
                 text = f"{prev}{payload_sha}{seq}{op or ''}{'{}' if audit is None else audit}"
                 entry = hashlib.sha256(text.encode("utf-8")).hexdigest()
                 seqs.append(seq)
                 prevs.append(prev)
                 entries.append(entry)
                 seq, prev = seq + 1, entry
+            if any(stored):
+                batch = batch.filter(pa.array([not x for x in stored], pa.bool_()))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(session),
@@ -115,7 +130,16 @@ def chain_build(
                 links.names,
             )
 
-    placed = hashed.repartition(session).sortWithinPartitions(session, *order, *ties)
+    hashed = hashed.withColumn(_TAIL, F.lit(None).cast("bigint"))
+    if tails is not None:
+        ends = tails.select(
+            F.col(session).cast(hashed.schema[session].dataType).alias(session),
+            F.col("tail_sha256").alias("payload_sha256"), F.col("n_records").alias(_TAIL),
+        )
+        hashed = hashed.unionByName(ends, allowMissingColumns=True)
+    placed = hashed.repartition(session).sortWithinPartitions(
+        session, F.col(_TAIL).isNull(), *order, *ties
+    )
     return placed.mapInArrow(fold, links).withColumn(
         "schema", F.when(F.col("seq") == 0, F.lit(DEFAULT_SCHEMA))
     )
@@ -173,7 +197,7 @@ def chain_breaks(
     checked = (
         local.join(carry, [*keys, CHUNK]).withColumn("_prev", prev).withColumn("index", index)
     )
-    entry = _entry_sha(
+    entry = entry_sha256(
         F.col("_prev"), F.col("_payload_sha"), F.col("seq"), F.col("operation"), F.col("audit")
     )
     reason = (

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+import logging
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spanweave.functions.canonical import canonical_object, canonical_text, json_string, json_value
-from spanweave.operators.audit import SCHEMA_SUFFIX
+from spanweave.functions.canonical import canonical_object, canonical_text, json_string, json_value, sha256_hex
+from spanweave.operators.audit import SCHEMA_SUFFIX, chain_build, chain_tails, entry_sha256
+from spanweave.operators.lineage import materialize
 from spanweave.operators.timeline import SESSION
 
 _RECORD = (
@@ -20,15 +22,24 @@ _RECORD = (
 _RECORD_NAMES = [f.split(" ")[0] for f in _RECORD.split(", ")]
 
 
-def session_of_file(path: Column) -> Column:
-    """Session of a log file's URI: its ``session_id=...`` folder, else its name without suffixes."""
+def _decoded(name: Column) -> Column:
+    # A plus sign is itself: only %XX stands for something else here.
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+
+
+def session_of_file(path: Column, uri: bool = True) -> Column:
+    """Session of a log file: its ``session_id=...`` folder, else its name without suffixes.
+
+    Folder names are escaped when they are written; a file's URI (``_metadata.file_path``) escapes all
+    names once more, a plain ``path`` does not.
+    """
     folder = F.regexp_extract(path, r"/session_id=([^/]+)/", 1)
     stem = F.regexp_replace(
         F.regexp_extract(path, r"([^/]+)$", 1), r"(\.manifest)?\.jsonl$|\.txt$", ""
     )
-    name = F.when(folder != "", folder).otherwise(stem)
-    # A plus sign is itself: only %XX stands for something else here.
-    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+    if uri:
+        folder, stem = _decoded(folder), _decoded(stem)
+    return F.when(folder != "", _decoded(folder)).otherwise(stem)
 
 
 def has_text(line: Column) -> Column:
@@ -36,10 +47,10 @@ def has_text(line: Column) -> Column:
     return line.rlike(r"(?U)\S")
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
+def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``(session_id, position, line)`` of every line of every log under ``path``, in file order.
 
-    Large files stay splittable: a line's place is (part number in the file's name, file, block
+    Large files stay splittable: a line's place is (append, part number in the file's name, file, block
     offset, order within the block). ``position`` orders lines within a log and is unique; blank lines are
     counted. One log is a file, or a folder ``session_id=...`` of ordered part files.
     """
@@ -52,20 +63,23 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
         F.monotonically_increasing_id().alias("_row"),
     )
     session = session_of_file(F.col("_file"))
-    part = F.coalesce(
-        F.regexp_extract("_file", r"/part-(\d+)-[^/]*$", 1).try_cast("bigint"), F.lit(0)
+    number = lambda pattern: F.coalesce(
+        F.regexp_extract("_file", pattern, 1).try_cast("bigint"), F.lit(0)
     )
     # One row per block: the number of lines before it in its log.
-    where = ["session_id", "_part", "_file", "_block"]
+    where = ["session_id", "_append", "_part", "_file", "_block"]
     placed = tagged.select(
-        session.alias("session_id"), part.alias("_part"), "_file", "_block", "_row", "line"
+        session.alias("session_id"),
+        number(r"/append=(\d+)/").alias("_append"),
+        number(r"/part-(\d+)-[^/]*$").alias("_part"),
+        "_file", "_block", "_row", "line",
     )
     blocks = placed.groupBy(*where).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first")
     )
     before = (
         Window.partitionBy("session_id")
-        .orderBy("_part", "_file", "_block")
+        .orderBy("_append", "_part", "_file", "_block")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     shifts = blocks.select(
@@ -192,7 +206,9 @@ def record_line() -> Column:
     ).otherwise(canonical_object({**fields, "schema": json_string(F.col("schema"))}))
 
 
-def write_audit(audit: DataFrame, path: str, keys: tuple[str, ...] = SESSION) -> None:
+def write_audit(
+    audit: DataFrame, path: str, keys: tuple[str, ...] = SESSION, mode: str = "errorifexists"
+) -> None:
     """One log per session under ``path/session_id=...``, records in ``seq`` order.
 
     Rows are range-partitioned, so a long log spreads over several part files whose numbers follow
@@ -203,7 +219,110 @@ def write_audit(audit: DataFrame, path: str, keys: tuple[str, ...] = SESSION) ->
         .repartitionByRange(*keys, "seq")
         .sortWithinPartitions(*keys, "seq")
         .select(*keys, "line")
-        .write.mode("errorifexists")
+        .write.mode(mode)
         .partitionBy(*keys)
         .text(path)
     )
+
+
+# ---------------------------------------------------------------- appending
+
+_STATE = "session_id string, n_records bigint, tail_sha256 string, append bigint"
+
+
+def _appends(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the finished appends, ascending. One folder each is listed, at the driver."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_state")
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(place):
+        return []
+    found = [s.getPath() for s in files.listStatus(place)]
+    done = [p for p in found if files.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return sorted(int(p.getName()) for p in done)
+
+
+def log_state(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
+    """``session_id, n_records, tail_sha256, append``: where each log of an appended folder ends, and in
+    which append its last record lies."""
+    numbers = [n for n in _appends(spark, path) if before is None or n < before]
+    if not numbers:
+        return spark.createDataFrame([], _STATE)
+    return spark.read.schema(_STATE).parquet(f"{path}/_state/{numbers[-1]:09d}")
+
+
+def changed_tails(spark: SparkSession, path: str, state: DataFrame) -> DataFrame:
+    """``session_id, reason`` of the logs in ``state`` that do not end in files as the state says.
+
+    Only the appends that hold these logs' last records are read, and of them the last record by log,
+    whose hashes are computed again.
+    """
+    numbers = [r["append"] for r in state.select("append").distinct().collect()]  # few: one an append
+    if not numbers:
+        return spark.createDataFrame([], "session_id string, reason string")
+    lines = read_lines(spark, [f"{path}/append={n:09d}" for n in sorted(numbers)])
+    lines = lines.join(state.select("session_id"), "session_id", "left_semi")
+    last = lines.where(has_text(F.col("line"))).groupBy("session_id").agg(F.max_by("line", "position").alias("line"))
+    parsed = parse_records(last.select("session_id", F.lit(0).cast("bigint").alias("position"), "line"))
+    payload_sha = sha256_hex(F.coalesce("payload", F.lit("null")))
+    entry = entry_sha256(F.col("prev_sha256"), payload_sha, F.col("seq"), F.col("operation"), F.col("audit"))
+    intact = (
+        (F.col("seq") == F.col("n_records") - 1)
+        & (F.col("entry_sha256") == F.col("tail_sha256"))
+        & (entry == F.col("tail_sha256"))
+    )
+    return (
+        state.join(parsed, "session_id", "left")
+        .where(~F.coalesce(intact, F.lit(False)))
+        .select("session_id", F.lit("the log's last record is not the one appended last").alias("reason"))
+    )
+
+
+def append_audit(
+    records: DataFrame, order: Sequence[str], path: str, append: int | None = None
+) -> DataFrame:
+    """Chain ``records`` (as for ``chain_build``) onto the logs under ``path``; return failures.
+
+    Every call writes one folder ``append=...`` of part files, which ``read_audit`` reads in order,
+    and then the state of all logs, which is the commit: a call that was interrupted is repeated with
+    the same number and replaces what it had written. ``append`` defaults to the next number; a
+    number that is finished is left as it is, so that a stream may pass its batch ids. Sessions are text.
+    A log whose last record in the files is not what the state says is not appended to; such
+    sessions are the failures (``session_id, reason``), and the rest goes on. One writer at a time.
+    """
+    spark = records.sparkSession
+    finished = _appends(spark, path)
+    number = append if append is not None else (finished[-1] + 1 if finished else 0)
+    none = spark.createDataFrame([], "session_id string, reason string")
+    if number in finished:
+        return none
+    if finished and number < finished[-1]:
+        raise ValueError(f"append {number} after append {finished[-1]}")
+    rows = records.withColumn("session_id", F.col("session_id").cast("string"))
+    state = log_state(spark, path, before=number)
+    open_ = state.join(rows.select("session_id").distinct(), "session_id", "left_semi")
+    failures = none
+    if finished:
+        open_ = materialize(open_, "log-tails")
+        failures = materialize(changed_tails(spark, path, open_), "log-failures")
+        rows = rows.join(failures.select("session_id"), "session_id", "left_anti")
+        open_ = open_.join(failures.select("session_id"), "session_id", "left_anti")
+    grown = materialize(chain_build(rows, order, tails=open_), "log-append")
+    write_audit(grown, f"{path}/append={number:09d}", mode="overwrite")
+    tails = chain_tails(grown).withColumn("append", F.lit(number).cast("bigint"))
+    others = state.join(tails.select("session_id"), "session_id", "left_anti")
+    others.unionByName(tails).write.mode("overwrite").parquet(f"{path}/_state/{number:09d}")
+    return failures
+
+
+def append_stream(stream: DataFrame, order: Sequence[str], path: str, checkpoint: str):
+    """Append a stream's records to the logs under ``path``, one append a micro-batch.
+
+    A micro-batch that is repeated after a failure has the same number, so nothing is logged twice.
+    Returns the writer, to be given a trigger and started. Failures are logged as warnings.
+    """
+
+    def step(batch: DataFrame, number: int) -> None:
+        for row in append_audit(batch, order, path, number).limit(10).collect():
+            logging.getLogger(__name__).warning("%s: %s", row["session_id"], row["reason"])
+
+    return stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -17,7 +17,7 @@ from spanweave.operators.audit import (
     BAD_SCHEMA,
     BAD_SEQ,
     SCHEMA_SUFFIX,
-    _entry_sha,
+    entry_sha256,
 )
 from spanweave.sources.logs import parse_records, session_of_file
 
@@ -83,28 +83,34 @@ def _advance(
     yield pd.DataFrame(found, columns=["session_id", "index", "seq", "reason"])
 
 
-def verify_audit_stream(stream: DataFrame) -> DataFrame:
-    """Violations of each session's chain, with the index and reason ``chain_breaks`` would give.
-
-    Both hashes are recomputed on the JVM before the stateful step, which then sees seven short
-    columns per record and keeps only (records seen, last hash) per session. Records of one
-    micro-batch are put in ``seq`` order; a gap or a late record is a violation and is not waited
-    for, so the trigger's size bounds what a session's step holds.
-    """
+def checked_records(stream: DataFrame, *more: Column | str) -> DataFrame:
+    """``seq``, the two stored hashes of the chain and whether schema, payload and entry are right."""
     payload_sha = sha256_hex(F.coalesce("payload", F.lit("null")))
-    checked = stream.select(
+    return stream.select(
         "session_id",
         "seq",
         "prev_sha256",
         "entry_sha256",
         F.coalesce("schema", F.lit(SCHEMA_SUFFIX)).endswith(SCHEMA_SUFFIX).alias("schema_ok"),
         payload_sha.eqNullSafe(F.col("payload_sha256")).alias("payload_ok"),
-        _entry_sha(
+        entry_sha256(
             F.col("prev_sha256"), payload_sha, F.col("seq"), F.col("operation"), F.col("audit")
         )
         .eqNullSafe(F.col("entry_sha256"))
         .alias("entry_ok"),
+        *more,
     )
+
+
+def verify_audit_stream(stream: DataFrame) -> DataFrame:
+    """Violations of each session's chain, with the index and reason ``chain_breaks`` would give.
+
+    Both hashes are recomputed on the JVM before the stateful step, which then sees seven short
+    columns per record and keeps only (records seen, last hash) per session. Records of one
+    micro-batch are put in ``seq`` order; a gap or a late record is a violation and is not waited
+    for, so the trigger's size bounds what a session's step holds.
+    """
+    checked = checked_records(stream)
     key_type = stream.schema["session_id"].dataType.simpleString()
     return checked.groupBy("session_id").applyInPandasWithState(
         _advance, _OUT.format(key=key_type), _STATE, "append", GroupStateTimeout.NoTimeout

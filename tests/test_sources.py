@@ -220,3 +220,70 @@ def test_sanitize(spark, tmp_path):
     assert sanitize_logs(spark, str(src), str(tmp_path / "out"), "anon").count() == 0
     (part,) = (tmp_path / "out" / "session_id=a").glob("part-*.txt")
     assert part.read_text().splitlines() == [r.line for r in got]
+
+
+def appended(spark, path):
+    found, failures = logs.read_audit(spark, path)
+    return sorted(found.drop("position").collect(), key=str), failures.collect()
+
+
+def test_two_appends_equal_one_build(spark, tmp_path):
+    whole = records(spark, {"a": 9, "b": 4, "c": 1, "d+e/f": 3})
+    want = au.chain_build(whole, ["n"])
+    path = str(tmp_path / "log")
+    first = whole.where("session_id = 'a' AND n < 5 OR session_id = 'b' AND n < 4")
+    assert logs.append_audit(first, ["n"], path).count() == 0
+    assert logs.append_audit(whole.subtract(first), ["n"], path).count() == 0
+    got, failures = appended(spark, path)
+    assert failures == [] and got == sorted(want.select(got[0].__fields__).collect(), key=str)
+    state = {r.session_id: (r.n_records, r["append"]) for r in logs.log_state(spark, path).collect()}
+    assert state == {"a": (9, 1), "b": (4, 0), "c": (1, 1), "d+e/f": (3, 1)}
+    assert {r.session_id: r.tail_sha256 for r in logs.log_state(spark, path).collect()} == {
+        r.session_id: r.tail_sha256 for r in au.chain_tails(want).collect()
+    }
+    # A finished append is left as it is, and none is inserted before it.
+    assert logs.append_audit(whole, ["n"], path, append=1).count() == 0 and appended(spark, path)[0] == got
+    logs.append_audit(whole.where("session_id = 'c'"), ["n"], path, append=5)
+    with pytest.raises(ValueError, match="append 3 after append 5"):
+        logs.append_audit(whole, ["n"], path, append=3)
+    assert all(r.valid for r in au.chain_verify(logs.read_audit(spark, path)[0], position="position").collect())
+
+
+def test_an_interrupted_append_is_repeated(spark, tmp_path):
+    whole = records(spark, {"a": 9, "b": 4})
+    path = str(tmp_path / "log")
+    logs.append_audit(whole.where("n < 3"), ["n"], path)
+    logs.append_audit(whole.where("n >= 3"), ["n"], path)
+    (tmp_path / "log" / "_state" / "000000001" / "_SUCCESS").unlink()  # ended before its commit
+    logs.append_audit(whole.where("n >= 3"), ["n"], path)
+    got, _ = appended(spark, path)
+    want = au.chain_build(whole, ["n"])
+    assert got == sorted(want.select(got[0].__fields__).collect(), key=str)
+
+
+def test_a_changed_log_is_not_appended_to(spark, tmp_path):
+    whole = records(spark, {"a": 4, "b": 4, "c": 4, "d": 4})
+    path = tmp_path / "log"
+    logs.append_audit(whole.where("n < 2"), ["n"], str(path))
+    for session, change in [("a", lambda t: t.rsplit("\n", 2)[0] + "\n"), ("b", lambda t: t.replace('"k"', '"q"')), ("c", lambda t: "")]:
+        for file in (path / "append=000000000" / f"session_id={session}").glob("part-*"):
+            file.write_text(change(file.read_text()))
+            for crc in file.parent.glob(f".{file.name}.crc"):
+                crc.unlink()
+    failures = logs.append_audit(whole.where("n >= 2"), ["n"], str(path))
+    assert {r.session_id for r in failures.collect()} == {"a", "b", "c"}
+    sizes = {r.session_id: r.n_records for r in logs.log_state(spark, str(path)).collect()}
+    assert sizes == {"a": 2, "b": 2, "c": 2, "d": 4}
+
+
+def test_appending_stream(spark, tmp_path):
+    whole = records(spark, {"a": 6, "b": 5})
+    for lo, hi in [(0, 2), (3, 9)]:
+        whole.where(F.col("n").between(lo, hi)).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    path = str(tmp_path / "log")
+    stream = spark.readStream.schema(whole.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    for _ in range(2):  # the second run finds nothing new
+        writer = logs.append_stream(stream, ["n"], path, str(tmp_path / "cp"))
+        writer.trigger(availableNow=True).start().awaitTermination(180)
+    got, _ = appended(spark, path)
+    assert got == sorted(au.chain_build(whole, ["n"]).select(got[0].__fields__).collect(), key=str)

@@ -1,10 +1,16 @@
+import time
+
+import pytest
 from pyspark.sql import functions as F
 
 from spanweave.operators import audit as au
 from spanweave.sources.logs import write_audit
-from spanweave.streaming import read_audit_stream, read_log_stream, verify_audit_stream
+from spanweave.streaming import read_audit_stream, read_log_stream, verify_audit_stream, verify_late_stream
+from spanweave.streaming.late import PROVIDER, ROCKSDB
 from tests.test_audit import records
 
+OUT = "session_id string, index bigint, seq bigint, reason string"
+
 
 def test_stream_finds_what_the_batch_check_finds(spark, tmp_path):
     chain = au.chain_build(records(spark, {"a": 12, "b": 4, "c": 9}), ["n"])
@@ -52,3 +58,90 @@ def test_stream_over_json_lines(spark, tmp_path):
     query.awaitTermination(180)
     got = [tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect()]
     assert got == [("b", 2, 2, "entry hash mismatch")]
+
+
+def late_session(spark):
+    own = spark.newSession()
+    own.conf.set(PROVIDER, ROCKSDB)
+    own.conf.set("spark.sql.shuffle.partitions", "2")
+    return own
+
+
+def drain(found, tmp_path):
+    query = (
+        found.writeStream.format("parquet").option("path", str(tmp_path / "out"))
+        .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination(240)
+    assert query.exception() is None
+
+
+def test_late_records_are_waited_for(spark, tmp_path):
+    chain = au.chain_build(records(spark, {"a": 14, "b": 4, "c": 9, "d": 3}), ["n"])
+    hit = lambda s, q: (F.col("session_id") == s) & (F.col("seq") == q)
+    edited = (
+        chain.withColumn("payload", F.when(hit("a", 3), '{"k":777}').otherwise(F.col("payload")))
+        .withColumn("audit", F.when(hit("a", 9), "{}").otherwise(F.col("audit")))
+        .withColumn("schema", F.when(hit("b", 0), "other").otherwise(F.col("schema")))
+        .where(~hit("c", 5) & ~hit("d", 0))
+        .withColumn("at", F.timestamp_seconds(F.col("seq") + 1000))
+        .checkpoint()
+    )
+    # Three files in no order; a record may come two files before its predecessors.
+    for i in range(3):
+        part = edited.where((F.col("seq") * 7 + 2) % 3 == i).coalesce(1)
+        part.write.mode("append").parquet(str(tmp_path / "log"))
+    own = late_session(spark)
+    stream = read_audit_stream(own, str(tmp_path / "log"), edited.schema, max_files=1)
+    drain(verify_late_stream(stream, 3_600_000, "at"), tmp_path)
+    early = [tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect()]
+    assert ("a", 3, 3, au.BAD_PAYLOAD) in early and not [r for r in early if r[0] == "d"]
+    # A heartbeat two hours later, and a record that comes after its gap was closed.
+    beat = edited.limit(1).withColumns({"session_id": F.lit(None).cast("string"), "at": F.timestamp_seconds(F.lit(9000))})
+    beat.write.mode("append").parquet(str(tmp_path / "log"))
+    drain(verify_late_stream(stream, 3_600_000, "at"), tmp_path)
+    got = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    want = sorted(tuple(r) for r in au.chain_breaks(edited.drop("at")).collect())
+    assert got == want and len(got) >= 7
+    late = chain.where(hit("c", 5)).withColumn("at", F.timestamp_seconds(F.lit(9001)))
+    again = chain.where(hit("a", 4)).withColumn("at", F.timestamp_seconds(F.lit(9001)))
+    late.unionByName(again).coalesce(1).write.mode("append").parquet(str(tmp_path / "log"))
+    drain(verify_late_stream(stream, 3_600_000, "at"), tmp_path)
+    more = [tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect()]
+    assert sorted(set(more) - set(got)) == [("a", None, 4, au.BAD_SEQ), ("c", None, 5, au.BAD_SEQ)]
+
+
+def test_late_records_by_the_clock(spark, tmp_path):
+    chain = au.chain_build(records(spark, {"a": 6, "b": 5}), ["n"]).checkpoint()
+    lacking = chain.where("NOT (session_id = 'b' AND seq = 2)")
+    for i in (1, 0):
+        lacking.where(F.col("seq") % 2 == i).coalesce(1).write.mode("append").parquet(str(tmp_path / "log"))
+    own = late_session(spark)
+    found = verify_late_stream(read_audit_stream(own, str(tmp_path / "log"), chain.schema, max_files=1), 4000)
+    query = (
+        found.writeStream.format("parquet").option("path", str(tmp_path / "out"))
+        .option("checkpointLocation", str(tmp_path / "cp")).trigger(processingTime="1 second").start()
+    )
+    want = sorted(tuple(r) for r in au.chain_breaks(lacking).collect())
+    got = []
+    try:
+        for _ in range(60):
+            time.sleep(1)
+            if query.exception() is not None:
+                raise query.exception()
+            if (tmp_path / "out" / "_spark_metadata").exists():
+                got = sorted(tuple(r) for r in spark.read.schema(OUT).parquet(str(tmp_path / "out")).collect())
+            if got == want:
+                break
+    finally:
+        query.stop()
+    assert got == want and got
+
+
+def test_late_stream_needs_its_state_store(spark, tmp_path):
+    plain = spark.newSession()
+    plain.conf.unset(PROVIDER)
+    chain = au.chain_build(records(spark, {"a": 2}), ["n"])
+    chain.write.parquet(str(tmp_path / "log"))
+    with pytest.raises(ValueError, match="RocksDB"):
+        verify_late_stream(read_audit_stream(plain, str(tmp_path / "log"), chain.schema), 10)

@@ -116,7 +116,8 @@ SELECT session_id, CASE WHEN session_id % 5 = 2 THEN seq - 1 ELSE seq END AS "in
 FROM recs WHERE (session_id % 5 IN (0, 1, 3) AND seq = 7) OR (session_id % 5 = 2 AND seq > 7)"""
 
 SQL["audit_stream"] = SQL["chain_breaks"]
-
+SQL["audit_stream_late"] = SQL["chain_breaks"]
+SQL["audit_log_append"] = SQL["audit_log_round_trip"]
 
 
 SQL["gate_sessions"] = """WITH files AS (SELECT doc_id, lang || '/' || doc_id || '.txt' AS path, sha256(text) AS sha FROM documents),

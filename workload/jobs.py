@@ -15,7 +15,8 @@ from spanweave.plans import compare as cp
 from spanweave.plans import sessions as ss
 from spanweave.plans import stages as st
 from spanweave.sources import logs
-from spanweave.streaming import read_audit_stream, verify_audit_stream
+from spanweave.streaming import read_audit_stream, verify_audit_stream, verify_late_stream
+from spanweave.streaming.late import PROVIDER, ROCKSDB
 from workload import views as v
 from workload.queries import _chain, _nested, _of, register
 
@@ -281,3 +282,53 @@ def audit_stream(spark, sf_dir):
     )
     query.awaitTermination()
     return spark.read.schema("session_id bigint, index bigint, seq bigint, reason string").parquet(sink)
+
+
+@register
+def audit_stream_late(spark, sf_dir):
+    """The same log in shuffled files: records wait for their predecessors, then a heartbeat ends the wait."""
+    source, sink, state = (scratch_path(spark, n) for n in ("late-in", "late-out", "late-state"))
+    day = 86_400
+    edited = _edited(spark, sf_dir).withColumn("at", F.timestamp_seconds(F.col("seq") % day + day))
+    schema = edited.schema
+    edited.repartition(8, (F.col("seq") * 5 + F.col("session_id")) % 8).write.parquet(source)
+    # The state store is a setting of the session in which a stream starts.
+    own = spark.newSession()
+    own.conf.set(PROVIDER, ROCKSDB)
+    own.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
+    stream = read_audit_stream(own, source, schema, max_files=3)
+
+    def drain() -> None:
+        query = (
+            verify_late_stream(stream, 2 * day * 1000, "at")
+            .writeStream.format("parquet")
+            .option("path", sink)
+            .option("checkpointLocation", state)
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+
+    drain()
+    beat = edited.limit(1).withColumns(
+        {"session_id": F.lit(None).cast(schema["session_id"].dataType), "at": F.timestamp_seconds(F.lit(9 * day))}
+    )
+    beat.write.mode("append").parquet(source)
+    drain()
+    return spark.read.parquet(sink)
+
+
+@register
+def audit_log_append(spark, sf_dir):
+    """Chains written in two appends and read back in order: the same log as in one go."""
+    path = scratch_path(spark, "logs-appended")
+    records = v.audit_records(spark, sf_dir)
+    middle = records.groupBy("session_id").agg(F.avg("ts_us").alias("_middle"))
+    split = records.join(middle, "session_id").withColumn("_first", F.col("ts_us") <= F.col("_middle"))
+    for first in (True, False):
+        part = split.where(F.col("_first") == first).select(*records.columns)
+        failures = logs.append_audit(part, v.AUDIT_ORDER, path)
+        if failures.head(1):
+            raise ValueError("a log changed between two appends")
+    found, _ = logs.read_audit(spark, path)
+    return found.select("session_id", "position", "seq", "operation", "payload", "entry_sha256")

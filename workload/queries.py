@@ -677,7 +677,7 @@ def _wav_index(spark, sf_dir):
     media.write_wav_files(whole, root)
     index, _ = media.read_clip_index(spark, root, v.PCM_RATE, digest=False)
     return index.select(
-        session_of_file(F.col("path")).alias("session_id"),
+        session_of_file(F.col("path"), uri=False).alias("session_id"),
         F.regexp_extract("path", r"clip(\d+)\.wav$", 1).cast("int").alias("file_index"),
         *index.columns,
     )
