@@ -218,3 +218,38 @@ def test_pieces_cut_no_word(size):
     assert "".join(parts) == text
     found = [w for p in parts for w in re.findall(resampling.WORD, p)]
     assert found == re.findall(resampling.WORD, text)
+
+
+def test_stops_are_cut_without_changing_ids():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from spanweave.llm import bpe, textbatch, token_files
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rng = random.Random(11)
+    bits = ["word", "It's", "e.g.", "x", "...", ".", ",", "!?", "1.5", "é.", "Σa.", "'s,", "<|endoftext|>", ":", "中.", "'", "-", " ", " ", "\n"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 25))) for _ in range(400)]
+    found, at = token_files.without_stops(*textbatch.words(*textbatch.text_buffer(pa.array(texts))))
+    assert len(found) > at[-1] - 1 and at[-1] == len(found)
+    ids, lengths = bpe.FragmentEncoder(path).encode(found)
+    ends = [0, *lengths.cumsum().tolist()]
+    library = Tokenizer.from_file(path)
+    got = [ids[ends[a] : ends[b]].tolist() for a, b in zip(at[:-1], at[1:])]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    empty, none = token_files.without_stops(*textbatch.words(*textbatch.text_buffer(pa.array(["", None], pa.string()))))
+    assert len(empty) == 0 and none.tolist() == [0, 0, 0]
+
+
+def test_token_files_are_read_by_many_tasks(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from spanweave.llm import token_files
+    from spanweave.operators.lineage import scratch_path
+
+    root = scratch_path(spark, "token-files")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").repartition(6)
+    manifest = token_files.write_token_files(docs, public_tokenizers.path("word_bpe_49k.json"), root, end_id=2)
+    read = token_files.read_token_files(manifest, root)
+    assert manifest.count() > 1
+    assert read.select(F.spark_partition_id()).distinct().count() > 1
