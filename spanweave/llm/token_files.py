@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanweave.llm.bpe import BATCH_BYTES, FragmentEncoder
-from spanweave.llm.textbatch import binary_array, slices, text_buffer, words
+from spanweave.llm.textbatch import binary_array, slices, span_sums, text_buffer, words
 from spanweave.operators.lineage import materialize
 
 NO_ID = -(2**63)
@@ -55,8 +55,9 @@ _LETTER = np.array([b < 128 and chr(b).isalpha() for b in range(256)])
 _STOP = np.isin(np.arange(256), np.frombuffer(b".,;:!?", np.uint8))
 
 
-def without_stops(found: pa.Array, at: np.ndarray) -> tuple[pa.Array, np.ndarray]:
-    """Cut words once more between an ASCII letter and one of ``.,;:!?``, so that more of them are equal."""
+def simpler_words(found: pa.Array, at: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """Cut words once more between an ASCII letter and one of ``.,;:!?``, and lower A-Z in pure ASCII, so
+    that more of them are equal. A special token's text, which has a bar, is left as it is."""
     offsets = np.frombuffer(found.buffers()[1], np.int64)[: len(found) + 1]
     raw = found.buffers()[2]
     flat = np.frombuffer(raw, np.uint8)[: offsets[-1]]
@@ -65,7 +66,9 @@ def without_stops(found: pa.Array, at: np.ndarray) -> tuple[pa.Array, np.ndarray
         begins[1:-1] = _LETTER[flat[:-1]] & _STOP[flat[1:]]
     begins[offsets] = True
     bounds = np.flatnonzero(begins)
-    return binary_array(flat, bounds), np.searchsorted(bounds, offsets)[at]
+    odd = span_sums((flat >= 128) | (flat == ord("|")), bounds) > 0
+    upper = (flat >= ord("A")) & (flat <= ord("Z")) & ~np.repeat(odd, np.diff(bounds))
+    return binary_array(flat + np.where(upper, np.uint8(32), np.uint8(0)), bounds), np.searchsorted(bounds, offsets)[at]
 
 
 def _open(root: str) -> tuple[fs.FileSystem, str]:
@@ -105,8 +108,8 @@ def write_token_files(
 ) -> DataFrame:
     """Encode every whole text, append ``end_id``, write the files under ``root``; return the manifest.
 
-    For vocabularies whose pre-tokens never contain white space, do not depend on it, and never hold an
-    ASCII letter before one of ``.,;:!?``. Documents
+    For vocabularies whose pre-tokens never contain white space, do not depend on it, never hold an
+    ASCII letter before one of ``.,;:!?``, and whose normaliser lowers letters. Documents
     are ordered by id (nulls first); rows of one id by a hash of the text. Repeated rows are all
     written. A null or empty text is the end id alone. An empty table gives an empty manifest.
     """
@@ -122,7 +125,7 @@ def write_token_files(
         for batch in batches:
             for piece in slices(batch, "text", BATCH_BYTES):
                 outs = outs or [files.create(n) for n in names]
-                found, at = without_stops(*words(*text_buffer(piece.column("text"))))
+                found, at = simpler_words(*words(*text_buffer(piece.column("text"))))
                 ids, lengths = encoder.encode(found)
                 ends = np.concatenate([[0], np.cumsum(lengths)])[at[1:]]
                 flat = np.insert(ids, ends, end_id).astype(dtype)
