@@ -353,7 +353,7 @@ def extract_segments(audit: DataFrame, keys: Sequence[str] = SESSION) -> DataFra
     kind = lambda name: F.schema_of_variant(
         F.try_variant_get(F.try_parse_json("_body"), "$." + name, "variant")
     )
-    whole = lambda name: _python_int(field(name), kind(name) == "STRING")
+    whole = lambda name: python_int(field(name), kind(name) == "STRING")
     names = F.json_object_keys("_body")
     extra = [c for c in ("seq",) if c in audit.columns]
     has_duration = F.array_contains(names, "duration_ms")
@@ -376,7 +376,7 @@ def extract_segments(audit: DataFrame, keys: Sequence[str] = SESSION) -> DataFra
     )
 
 
-def _python_int(text: Column, quoted: Column) -> Column:
+def python_int(text: Column, quoted: Column) -> Column:
     """A JSON scalar as an integer the way ``int()`` reads it, else null.
 
     Numbers truncate, booleans are 1 and 0; a string must hold a whole number.

@@ -6,10 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spanweave.functions.canonical import json_string
 from spanweave.functions.timecode import seconds_to_ms
+from spanweave.operators.audit import NULL_TYPE_TEXT, python_int
 from spanweave.operators.timeline import SESSION
+from spanweave.sources.logs import session_of_file
 
 _TURNS = (
     "session_id string, source string, model string, device string, seed bigint, "
@@ -50,6 +53,77 @@ def read_turns(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def parse_turns(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(turns, failures)`` of ``(session_id, value)`` rows that hold turn documents as JSON text.
+
+    ``turns``: ``session_id, speaker_id, start_ms, end_ms``, empty turns dropped; ``failures``: ``session_id,
+    reason`` of documents that are no JSON object, whose ``segments`` is no list, or that have a segment
+    without speaker or whole bounds. Such a document gives no turns; the others go on. Bounds are
+    read as ``int()`` reads them: numbers truncate, quoted ones must be whole. A document without
+    ``session_id`` takes the row's.
+    """
+    doc = F.try_parse_json("value")
+    kind = lambda c: F.schema_of_variant(c)
+
+    def whole(segment: Column, name: str) -> Column:
+        text = F.try_variant_get(segment, f"$.{name}", "string")
+        return python_int(text, kind(F.try_variant_get(segment, f"$.{name}", "variant")) == "STRING")
+
+    def turn(segment: Column) -> Column:
+        who = F.try_variant_get(segment, "$.speaker_id", "variant")
+        return F.struct(
+            F.when(kind(who) == "VOID", NULL_TYPE_TEXT).otherwise(who.cast("string")).alias("speaker_id"),
+            whole(segment, "start_ms").alias("start_ms"),
+            whole(segment, "end_ms").alias("end_ms"),
+            segment.cast("string").alias("text"),
+        )
+
+    given = F.try_variant_get(doc, "$.segments", "variant")
+    listed = F.coalesce(F.try_variant_get(doc, "$.segments", "array<variant>"), F.array().cast("array<variant>"))
+    read = docs.select(
+        F.coalesce(F.try_variant_get(doc, "$.session_id", "string"), F.col("session_id").cast("string")).alias("session_id"),
+        kind(doc).alias("_kind"),
+        kind(given).alias("_list"),
+        F.transform(listed, turn).alias("_turns"),
+    )
+    broken = F.filter("_turns", lambda t: t["speaker_id"].isNull() | t["start_ms"].isNull() | t["end_ms"].isNull())
+    reason = (
+        F.when(F.col("_kind").isNull(), "not valid JSON")
+        .when(~F.col("_kind").startswith("OBJECT"), "not a JSON object")
+        .when(~F.coalesce(F.col("_list").startswith("ARRAY"), F.lit(True)), "segments is no list")
+        .when(F.size(broken) > 0, F.concat(F.lit("malformed segment "), F.coalesce(F.try_element_at(broken, F.lit(1))["text"], F.lit("null"))))
+    )
+    judged = read.withColumn("reason", reason)
+    turns = (
+        judged.where(F.col("reason").isNull())
+        .select("session_id", F.inline("_turns"))
+        .where("end_ms > start_ms")
+        .select("session_id", "speaker_id", "start_ms", "end_ms")
+    )
+    return turns, judged.where(F.col("reason").isNotNull()).select("session_id", "reason")
+
+
+def load_turns(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """``(turns, failures)`` of a folder of turn documents, one JSON file each."""
+    docs = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_name").alias("_file"))
+    return parse_turns(docs.select(F.regexp_replace("_file", r"\.json$", "").alias("session_id"), "value"))
+
+
+def read_written_turns(spark: SparkSession, path: str) -> DataFrame:
+    """The turns of documents in parts, as ``write_turns`` leaves them, read line by line.
+
+    A turn is a line of its own, so a session's document of any size is read by many tasks.
+    """
+    lines = spark.read.option("recursiveFileLookup", "true").text(path)
+    body = F.regexp_extract("value", r'^,?(\{"end_ms":.*\})$', 1)
+    turn = F.from_json(body, "start_ms bigint, end_ms bigint, speaker_id string", {"mode": "FAILFAST"})
+    return (
+        lines.where(body != "")
+        .select(session_of_file(F.col("_metadata.file_path")).alias("session_id"), turn.alias("t"))
+        .select("session_id", "t.speaker_id", "t.start_ms", "t.end_ms")
+    )
+
+
 def turns_from_seconds(df: DataFrame) -> DataFrame:
     """Model turns in float seconds (``start_s``, ``end_s``, ``speaker_id``) in milliseconds."""
     rest = [c for c in df.columns if c not in ("start_s", "end_s", "speaker_id")]
@@ -61,9 +135,18 @@ def turns_from_seconds(df: DataFrame) -> DataFrame:
     )
 
 
-def turns_documents(turns: DataFrame, keys: Sequence[str] = SESSION, schema: str = "turns-output-v1") -> DataFrame:
+def turns_documents(
+    turns: DataFrame,
+    keys: Sequence[str] = SESSION,
+    schema: str = "turns-output-v1",
+    provenance: DataFrame | None = None,
+) -> DataFrame:
     """Turn documents as text lines: ``(keys, part, start_ms, end_ms, speaker_id, line)``.
 
+    ``provenance`` has one row per session: its other columns (source, wav_sha256, model, seed, ...) become
+    fields of the document, in their order; text, numbers, booleans, and maps or structs as
+    objects. Its sessions have a document even without turns.
+
     Sorting a session's lines by those columns and joining them with newlines gives one JSON
     object: sorted segments, distinct speakers, counts and the raw total (overlap counted twice).
     Lines rather than one row per document, so that a session of any size can be written.
@@ -81,6 +164,13 @@ def turns_documents(turns: DataFrame, keys: Sequence[str] = SESSION, schema: str
         F.min(F.struct("start_ms", "end_ms", "speaker_id")).alias("_first"),
     )
     heads = totals.join(n_speakers, keys)
+    fields = F.lit("")
+    if provenance is not None:
+        zero = F.lit(0).cast("bigint")
+        counts = ["n_segments", "speech_ms", "n_speakers"]
+        heads = heads.join(provenance, keys, "right").withColumns({c: F.coalesce(c, zero) for c in counts})
+        for field in (f for f in provenance.schema.fields if f.name not in keys):
+            fields = F.concat(fields, F.lit(f',"{field.name}":'), _json(F.col(field.name), field.dataType))
 
     def line(df: DataFrame, part: int, text: Column, start=null_int, end=null_int, who=null_text):
         return df.select(
@@ -101,6 +191,7 @@ def turns_documents(turns: DataFrame, keys: Sequence[str] = SESSION, schema: str
         json_string(F.col(keys[0]).cast("string")),
         F.lit(',"total_speech_ms":'),
         F.col("speech_ms"),
+        fields,
         F.lit(',"speakers":['),
     )
     comma = lambda first: F.when(first, F.lit("")).otherwise(F.lit(","))
@@ -150,15 +241,34 @@ def turns_documents(turns: DataFrame, keys: Sequence[str] = SESSION, schema: str
     )
 
 
-def write_turns(turns: DataFrame, path: str, schema: str = "turns-output-v1") -> None:
-    """One JSON document per session under ``path/session_id=...``, streamed in sorted order."""
-    lines = turns_documents(turns, schema=schema)
+def _json(value: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.StringType):
+        text = json_string(value)
+    elif isinstance(kind, (T.MapType, T.StructType, T.ArrayType)):
+        text = F.to_json(value)
+    elif isinstance(kind, (T.IntegralType, T.FractionalType, T.BooleanType)):
+        text = value.cast("string")
+    else:
+        text = json_string(value.cast("string"))
+    return F.coalesce(text, F.lit("null"))
+
+
+def write_turns(
+    turns: DataFrame, path: str, schema: str = "turns-output-v1", provenance: DataFrame | None = None
+) -> None:
+    """One JSON document per session under ``path/session_id=...``, in numbered part files.
+
+    The parts of a session, end to end in the order of their numbers, are the document. Lines are
+    range-partitioned, so that a session of any size is written by many tasks; a small one is one part.
+    ``read_written_turns`` reads the turns back.
+    """
+    lines = turns_documents(turns, schema=schema, provenance=provenance)
     # The copy with the leading comma must follow the one without.
-    order = ["part", "start_ms", "end_ms", "speaker_id", "line"]
+    order = ["session_id", "part", "start_ms", "end_ms", "speaker_id", "_c", "line"]
     (
         lines.withColumn("_c", F.col("line").startswith(","))
-        .repartition("session_id")
-        .sortWithinPartitions("session_id", *order[:-1], "_c", "line")
+        .repartitionByRange(*order[:-1])
+        .sortWithinPartitions(*order)
         .select("session_id", "line")
         .write.mode("errorifexists")
         .partitionBy("session_id")
@@ -180,29 +290,72 @@ def read_clicks(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _clicks(docs: DataFrame) -> DataFrame:
+    """``session_id, reason, speaking, anti`` of ``(session_id, value)``; the clicks are structs of integers."""
+    doc = F.try_parse_json("value")
+
+    def click(name: str) -> Column:
+        def whole(field: str) -> Column:
+            at = f"$.{name}.{field}"
+            quoted = F.schema_of_variant(F.try_variant_get(doc, at, "variant")) == "STRING"
+            return python_int(F.try_variant_get(doc, at, "string"), quoted)
+
+        return F.struct(
+            *[whole(f).try_cast("int").alias(f) for f in ("file_index", "x", "y")], whole("pts_ms").alias("pts_ms")
+        )
+
+    def lacks(name: str) -> Column:
+        return F.exists(F.array(*[F.col(name)[f].isNull() for f in ("file_index", "x", "y", "pts_ms")]), lambda x: x)
+
+    anti_given = F.coalesce(F.schema_of_variant(F.try_variant_get(doc, "$.anti_click", "variant")).startswith("OBJECT"), F.lit(False))
+    kind = F.schema_of_variant(doc)
+    read = docs.select(
+        "session_id", kind.alias("_kind"), anti_given.alias("_has_anti"),
+        click("speaking_click").alias("speaking"), click("anti_click").alias("anti"),
+    )
+    reason = (
+        F.when(F.col("_kind").isNull(), "not valid JSON")
+        .when(~F.col("_kind").startswith("OBJECT"), "not a JSON object")
+        .when(lacks("speaking"), "malformed click: speaking_click")
+        .when(F.col("_has_anti") & lacks("anti"), "malformed click: anti_click")
+    )
+    return read.select("session_id", reason.alias("reason"), "speaking", F.when(F.col("_has_anti"), F.col("anti")).alias("anti"))
+
+
+def judge_clicks(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(clicks, failures)`` of ``(session_id, value)`` rows holding the JSON text.
+
+    Numbers are read as ``int()`` reads them, so a quoted fraction is malformed. A document that is no
+    JSON object or lacks the speaking click gives no clicks and one failure; the others go on.
+    """
+    judged = _clicks(docs)
+    both = F.array(
+        F.struct(F.lit("speaking").alias("kind"), F.col("speaking").alias("c")),
+        F.struct(F.lit("anti").alias("kind"), F.col("anti").alias("c")),
+    )
+    clicks = (
+        judged.where(F.col("reason").isNull())
+        .select("session_id", F.inline(both))
+        .where(F.col("c").isNotNull())
+        .select("session_id", "kind", "c.file_index", "c.x", "c.y", "c.pts_ms")
+    )
+    return clicks, judged.where(F.col("reason").isNotNull()).select("session_id", "reason")
+
+
 def parse_clicks(docs: DataFrame) -> DataFrame:
-    """The same from ``(session_id, value)`` rows holding the JSON text."""
-    click = lambda name: F.get_json_object("value", "$." + name)
-    both = docs.select(
-        "session_id",
-        F.explode(
-            F.array(
-                F.struct(F.lit("speaking").alias("kind"), click("speaking_click").alias("j")),
-                F.struct(F.lit("anti").alias("kind"), click("anti_click").alias("j")),
-            )
-        ).alias("c"),
-    ).select("session_id", "c.kind", "c.j")
-    present = both.where((F.col("kind") == "speaking") | F.col("j").startswith("{"))
-    whole = lambda name: _required(
-        F.get_json_object("j", "$." + name).try_cast("double").try_cast("bigint"), "click"
-    )
-    return present.select(
-        "session_id",
-        "kind",
-        whole("file_index").cast("int").alias("file_index"),
-        whole("x").cast("int").alias("x"),
-        whole("y").cast("int").alias("y"),
-        whole("pts_ms").alias("pts_ms"),
+    """The clicks of :func:`judge_clicks`; a document that fails is an error."""
+    judged = _clicks(docs)
+    checked = F.when(F.col("reason").isNull(), F.col("session_id")).otherwise(
+        F.raise_error(F.concat(F.col("session_id").cast("string"), F.lit(": "), F.col("reason"))).cast(docs.schema["session_id"].dataType)
+    )
+    both = F.array(
+        F.struct(F.lit("speaking").alias("kind"), F.col("speaking").alias("c")),
+        F.struct(F.lit("anti").alias("kind"), F.col("anti").alias("c")),
+    )
+    return (
+        judged.select(checked.alias("session_id"), F.inline(both))
+        .where(F.col("c").isNotNull())
+        .select("session_id", "kind", "c.file_index", "c.x", "c.y", "c.pts_ms")
     )
 
 

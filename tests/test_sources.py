@@ -287,3 +287,66 @@ def test_appending_stream(spark, tmp_path):
         writer.trigger(availableNow=True).start().awaitTermination(180)
     got, _ = appended(spark, path)
     assert got == sorted(au.chain_build(whole, ["n"]).select(got[0].__fields__).collect(), key=str)
+
+
+def test_broken_turn_documents_are_failures(spark, tmp_path):
+    good = {"segments": [{"start_ms": 1.9, "end_ms": "7", "speaker_id": 3}, {"start_ms": 5, "end_ms": 5, "speaker_id": "a"}, {"start_ms": True, "end_ms": 4, "speaker_id": None}]}
+    docs_ = {
+        "good": good, "named": {"session_id": "other", "segments": [{"start_ms": 9007199254740993, "end_ms": 9007199254740994, "speaker_id": "é"}]},
+        "none": {}, "list": [1], "seg": {"segments": 4}, "fraction": {"segments": [{"start_ms": "1.5", "end_ms": 3, "speaker_id": "a"}]},
+        "lacking": {"segments": [{"start_ms": 1, "end_ms": 3}]}, "inner": {"segments": [7]},
+    }
+    for name, doc in docs_.items():
+        (tmp_path / f"{name}.json").write_text(json.dumps(doc, indent=1))
+    (tmp_path / "text.json").write_text("{")
+    turns, failures = docs.load_turns(spark, str(tmp_path))
+    assert sorted(tuple(r) for r in turns.collect()) == [
+        ("good", "3", 1, 7), ("good", "None", 1, 4), ("other", "é", 9007199254740993, 9007199254740994),
+    ]
+    got = {r.session_id: r.reason for r in failures.collect()}
+    assert got == {
+        "list": "not a JSON object", "seg": "segments is no list", "text": "not valid JSON",
+        "fraction": 'malformed segment {"end_ms":3,"speaker_id":"a","start_ms":"1.5"}',
+        "lacking": 'malformed segment {"end_ms":3,"start_ms":1}', "inner": "malformed segment 7",
+    }
+
+
+def test_broken_clicks_are_failures(spark):
+    click = {"file_index": 0, "x": "150", "y": 150.7, "pts_ms": 9007199254740993}
+    rows = {
+        "ok": {"speaking_click": click, "anti_click": click}, "no_anti": {"speaking_click": click, "anti_click": 5},
+        "bad_anti": {"speaking_click": click, "anti_click": {"x": 1}}, "quoted": {"speaking_click": {**click, "x": "3.7"}},
+        "null": {"speaking_click": None}, "list": [],
+    }
+    df = spark.createDataFrame([(k, json.dumps(d)) for k, d in rows.items()] + [("text", "no"), ("nothing", None)], "session_id string, value string")
+    clicks, failures = docs.judge_clicks(df)
+    assert sorted(tuple(r) for r in clicks.collect()) == [
+        (s, k, 0, 150, 150, 9007199254740993) for s, k in [("no_anti", "speaking"), ("ok", "anti"), ("ok", "speaking")]
+    ]
+    assert {r.session_id: r.reason for r in failures.collect()} == {
+        "bad_anti": "malformed click: anti_click", "quoted": "malformed click: speaking_click", "null": "malformed click: speaking_click",
+        "list": "not a JSON object", "text": "not valid JSON", "nothing": "not valid JSON",
+    }
+
+
+def test_a_long_turn_document_has_many_parts(spark, tmp_path):
+    rows = [("hot", f"s{i % 3}", i, i + 5) for i in range(3000)] + [("a+b/c", "x", 1, 2), ("a+b/c", "x", 1, 2)]
+    turns = spark.createDataFrame(rows, "session_id string, speaker_id string, start_ms bigint, end_ms bigint")
+    about = spark.createDataFrame(
+        [("hot", "in.wav", 16000, {"torch": "2"}, None), ("a+b/c", None, 8000, {}, "m"), ("silent", "s", 1, {}, "m")],
+        "session_id string, source string, sample_rate int, library_versions map<string,string>, model string",
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        docs.write_turns(turns, str(tmp_path / "out"), provenance=about)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = sorted((tmp_path / "out" / "session_id=hot").glob("part-*"))
+    assert len(parts) > 1
+    doc = json.loads("".join(p.read_text() for p in parts))
+    assert doc["num_segments"] == 3000 and doc["speakers"] == ["s0", "s1", "s2"]
+    assert (doc["source"], doc["sample_rate"], doc["library_versions"], doc["model"]) == ("in.wav", 16000, {"torch": "2"}, None)
+    assert [s["start_ms"] for s in doc["segments"]] == list(range(3000))
+    silent = json.loads("".join(p.read_text() for p in sorted((tmp_path / "out" / "session_id=silent").glob("part-*"))))
+    assert silent["segments"] == [] and silent["speakers"] == [] and silent["total_speech_ms"] == 0
+    assert sorted(tuple(r) for r in docs.read_written_turns(spark, str(tmp_path / "out")).collect()) == sorted(rows)

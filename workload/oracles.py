@@ -468,6 +468,27 @@ SELECT session_id, 'speaking' AS kind, file_index, x, y, pts_ms FROM c
 UNION ALL
 SELECT session_id, 'anti', file_index, x + 5, y, pts_ms FROM c WHERE pts_ms % 3 = 0"""
 
+SQL["click_failures"] = """SELECT o_orderkey AS session_id,
+  CASE WHEN o_orderkey % 5 = 0 THEN 'speaking' END AS kind,
+  CAST(CASE WHEN o_orderkey % 5 = 0 THEN 0 END AS INTEGER) AS file_index,
+  CAST(CASE WHEN o_orderkey % 5 = 0 THEN 1 END AS INTEGER) AS x, CAST(CASE WHEN o_orderkey % 5 = 0 THEN 2 END AS INTEGER) AS y,
+  CASE WHEN o_orderkey % 5 = 0 THEN o_orderkey + 9007199254740993 END AS pts_ms,
+  CASE o_orderkey % 5 WHEN 3 THEN 'not a JSON object' WHEN 4 THEN 'not valid JSON' WHEN 0 THEN NULL
+    ELSE 'malformed click: speaking_click' END AS reason FROM orders"""
+
+SQL["read_turns"] = """WITH o AS (SELECT o_orderkey AS k, o_orderkey::VARCHAR AS t, o_custkey % 50 AS p, o_orderkey % 11 AS r,
+  o_orderkey % 7 = 3 AS bad FROM orders)
+SELECT 's' || t AS session_id, 'a' AS speaker_id, k AS start_ms, k + p AS end_ms, NULL AS reason
+FROM o WHERE r NOT IN (5, 6, 7, 8) AND NOT bad AND p > 0
+UNION ALL SELECT 's' || t, '12', k, k + 5, NULL FROM o WHERE r NOT IN (5, 6, 7, 8) AND NOT bad
+UNION ALL SELECT 's' || t, NULL, NULL, NULL, 'malformed segment {"end_ms":null,"speaker_id":12,"start_ms":' || t || '.9}'
+FROM o WHERE r NOT IN (5, 6, 7, 8) AND bad
+UNION ALL SELECT t, NULL, NULL, NULL, CASE r WHEN 5 THEN 'not valid JSON' WHEN 6 THEN 'not a JSON object' ELSE 'segments is no list' END
+FROM o WHERE r IN (5, 6, 7)"""
+
+SQL["turns_round_trip"] = f"""WITH {_CLIPS}
+SELECT session_id::VARCHAR AS session_id, source AS speaker_id, offset_ms AS start_ms, offset_ms + duration_ms AS end_ms FROM clock"""
+
 SQL["turns_documents"] = f"""WITH {_CLIPS},
 t AS (SELECT session_id, source AS speaker_id, offset_ms AS start_ms, offset_ms + duration_ms AS end_ms FROM clock),
 h AS (SELECT session_id, count(*) AS n, count(DISTINCT speaker_id) AS k, sum(end_ms - start_ms) AS ms,

@@ -621,18 +621,68 @@ def click_documents(spark, sf_dir):
     )
 
 
+@register
+def click_failures(spark, sf_dir):
+    """Clicks of the documents that are sound, and why the others are not."""
+    o = v.table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    x = F.when(key % 5 == 1, F.lit('"3.7"')).when(key % 5 == 2, F.lit("null")).otherwise((key + 9007199254740993).cast("string"))
+    text = F.when(key % 5 == 3, F.lit("[1]")).when(key % 5 == 4, F.lit("{")).otherwise(
+        F.concat(F.lit('{"speaking_click":{"file_index":0,"x":1.9,"y":"2","pts_ms":'), x, F.lit('},"anti_click":7}'))
+    )
+    clicks, failures = docs.judge_clicks(o.select(key.alias("session_id"), text.alias("value")))
+    return clicks.withColumn("reason", F.lit(None).cast("string")).unionByName(failures, allowMissingColumns=True)
+
+
+@register
+def read_turns(spark, sf_dir):
+    """Turn documents from orders: turns of the sound ones, and why the others are not."""
+    o = v.table(spark, sf_dir, "orders")
+    key, part = F.col("o_orderkey"), F.col("o_custkey") % 50
+    segment = lambda start, end, who: F.concat(
+        F.lit('{"start_ms":'), start, F.lit(',"end_ms":'), end, F.lit(',"speaker_id":'), who, F.lit("}")
+    )
+    quoted = F.concat(F.lit('"'), (key + 5).cast("string"), F.lit('"'))
+    segments = F.concat(
+        segment(key.cast("string"), (key + part).cast("string"), F.lit('"a"')), F.lit(","),
+        segment(F.concat(key.cast("string"), F.lit(".9")), F.when(key % 7 == 3, F.lit("null")).otherwise(quoted), F.lit("12")),
+    )
+    text = (
+        F.when(key % 11 == 5, F.lit("no json"))
+        .when(key % 11 == 6, F.lit("[]"))
+        .when(key % 11 == 7, F.lit('{"segments":5}'))
+        .when(key % 11 == 8, F.lit("{}"))
+        .otherwise(F.concat(F.lit('{"session_id":"s'), key.cast("string"), F.lit('","segments":['), segments, F.lit("]}")))
+    )
+    turns, failures = docs.parse_turns(o.select(key.cast("string").alias("session_id"), text.alias("value")))
+    return turns.withColumn("reason", F.lit(None).cast("string")).unionByName(failures, allowMissingColumns=True)
+
+
+@register
+def turns_round_trip(spark, sf_dir):
+    """Turn documents with provenance written in parts, and their turns read back."""
+    path = scratch_path(spark, "turns")
+    turns = _turns(spark, sf_dir)
+    about = turns.select("session_id").distinct().select("session_id", F.lit("model").alias("model"), F.lit(0).alias("seed"))
+    docs.write_turns(turns, path, provenance=about)
+    return docs.read_written_turns(spark, path)
+
+
 @register
 def turns_documents(spark, sf_dir):
     """One turn document per conversation as text lines."""
+    return docs.turns_documents(_turns(spark, sf_dir)).select("session_id", "part", "start_ms", "end_ms", "line")
+
+
+def _turns(spark, sf_dir):
     clips = v.clips(spark, sf_dir)
-    turns = tl.session_clock(clips).join(
+    return tl.session_clock(clips).join(
         clips.select("session_id", "file_index", F.col("source").alias("speaker_id")),
         ["session_id", "file_index"],
     ).select(
         "session_id", "speaker_id", F.col("offset_ms").alias("start_ms"),
         (F.col("offset_ms") + F.col("duration_ms")).alias("end_ms"),
     )
-    return docs.turns_documents(turns).select("session_id", "part", "start_ms", "end_ms", "line")
 
 
 def _segments(spark, sf_dir):
