@@ -6,7 +6,8 @@ import hashlib
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,12 +69,17 @@ def is_target(target_cosine: Column, anti_cosine: Column, threshold: float) -> C
     )
 
 
-@F.pandas_udf(T.StringType())
-def vector_sha256(v: pd.Series) -> pd.Series:
-    """SHA-256 of the little-endian float64 packing (the JVM has no packer)."""
-    return v.map(
-        lambda x: None if x is None else hashlib.sha256(np.asarray(x, "<f8").tobytes()).hexdigest()
-    )
+@F.arrow_udf(T.StringType())
+def vector_sha256(v: pa.Array) -> pa.Array:
+    """SHA-256 of the little-endian float64 packing (the JVM has no packer).
+
+    All vectors of a batch lie end to end in one buffer, of which each is a span.
+    """
+    values = pc.fill_null(v.flatten().cast(pa.float64()), float("nan")).to_numpy(zero_copy_only=False)
+    raw = memoryview(np.ascontiguousarray(values, "<f8")).cast("B")
+    ends = 8 * np.cumsum(pc.fill_null(pc.list_value_length(v), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    spans = zip([0, *ends[:-1].tolist()], ends.tolist(), v.is_valid().to_pylist())
+    return pa.array([hashlib.sha256(raw[a:b]).hexdigest() if valid else None for a, b, valid in spans], pa.string())
 
 
 def feature_frames(valid_samples: Column, n_frames: Column) -> Column:

@@ -145,13 +145,13 @@ def chain_build(
     )
 
 
-def chain_breaks(
+def chain_checks(
     audit: DataFrame,
     keys: Sequence[str] = SESSION,
     position: str = "seq",
     bits: int = CHUNK_BITS,
 ) -> DataFrame:
-    """Every record that fails a check, with its 0-based index in the log and the reason.
+    """Every record with its 0-based index in the log, and why it fails a check or null.
 
     ``position`` is the record's place in the file (line number); it need only be ordered and
     unique. Each record is checked from its own columns and the stored hash of its predecessor,
@@ -210,9 +210,17 @@ def chain_breaks(
         .when(~entry.eqNullSafe(F.col("entry_sha256")), BAD_ENTRY)
         .when(~F.col("seq").eqNullSafe(F.col("index")), BAD_SEQ)
     )
-    return checked.select(*keys, "index", "seq", reason.alias("reason")).where(
-        F.col("reason").isNotNull()
-    )
+    return checked.select(*keys, "index", "seq", reason.alias("reason"))
+
+
+def chain_breaks(
+    audit: DataFrame,
+    keys: Sequence[str] = SESSION,
+    position: str = "seq",
+    bits: int = CHUNK_BITS,
+) -> DataFrame:
+    """Every record that fails a check, with its 0-based index in the log and the reason."""
+    return chain_checks(audit, keys, position, bits).where(F.col("reason").isNotNull())
 
 
 def chain_verify(
@@ -223,13 +231,11 @@ def chain_verify(
 ) -> DataFrame:
     """One verdict per session: record count, ``valid``, and the first break if there is one."""
     keys = list(keys)
-    first = (
-        chain_breaks(audit, keys, position, bits)
-        .groupBy(*keys)
-        .agg(F.min(F.struct("index", "seq", "reason")).alias("_b"))
+    broken = F.when(F.col("reason").isNotNull(), F.struct("index", "seq", "reason"))
+    verdicts = chain_checks(audit, keys, position, bits).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_records"), F.min(broken).alias("_b")
     )
-    counts = audit.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_records"))
-    return counts.join(first, keys, "left").select(
+    return verdicts.select(
         *keys,
         "n_records",
         F.col("_b").isNull().alias("valid"),

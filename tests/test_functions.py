@@ -103,3 +103,16 @@ def test_redaction(spark):
     assert [tuple(r) for r in got] == [("$1\\x and $1\\x in my-tool", 2), ("plain", 0)]
     for schema, want in [("abc-manifest-v1", "abc"), ("abc-manifest-vx", None), ("-manifest-v1", None)]:
         assert value(spark, fn.detect_token(F.lit(schema))) == want
+
+
+def test_vector_sha256_of_odd_vectors(spark):
+    import hashlib
+    import struct
+
+    rows = [([1.5, -2.0],), (None,), ([],), ([0.0] * 700,), ([3.0],)]
+    df = spark.createDataFrame(rows, "v array<double>").coalesce(1)
+    got = [r[0] for r in df.select(fn.vector_sha256(F.col("v"))).collect()]
+    want = [None if v is None else hashlib.sha256(struct.pack(f"<{len(v)}d", *v)).hexdigest() for v, in rows]
+    assert got == want
+    floats = df.select(fn.vector_sha256(F.col("v").cast("array<float>"))).collect()
+    assert [r[0] for r in floats] == want
