@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from workload.oracles import _CLIPS, _LOG, _NESTED, FX, OTHERS, SQL, big, merged, of
+from workload.oracles import _CLIPS, _LANES, _LOG, _NESTED, FX, OTHERS, SQL, big, merged, of
 
 SQL["preprocess_sessions"] = f"""WITH {_CLIPS},
 n AS (SELECT session_id, file_index, offset_ms, duration_ms * 8 AS n FROM clock),
@@ -92,6 +92,40 @@ SELECT best.session_id, speaker_id, overlap_ms, {big("coalesce(a, 0)", "a_ms")},
   overlap_ms AS intersection_ms, {big("coalesce(a, 0) + b - overlap_ms", "union_ms")}
 FROM best JOIN sb USING (session_id) LEFT JOIN ta USING (session_id)"""
 
+_COMPARED = SQL["compare_sessions"].partition("ta AS (")[0]
+
+SQL["compare_segments"] = f"""{_COMPARED}
+n AS (SELECT *, row_number() OVER () AS id FROM t0),
+m AS (SELECT s.* FROM s JOIN best USING (session_id, speaker_id)),
+c AS (SELECT n.id, sum(least(n.end_ms, m.end_ms) - greatest(n.start_ms, m.start_ms)) AS ms
+  FROM n JOIN m ON n.session_id = m.session_id AND n.start_ms < m.end_ms AND m.start_ms < n.end_ms GROUP BY n.id),
+p AS (SELECT n.*, {big("coalesce(ms, 0)", "covered_ms")} FROM n LEFT JOIN c USING (id))
+SELECT session_id, start_ms, end_ms, covered_ms, CASE WHEN 100.0::DOUBLE * covered_ms / (end_ms - start_ms) >= 80 THEN 'AGREE'
+  WHEN 100.0::DOUBLE * covered_ms / (end_ms - start_ms) >= 20 THEN 'PARTIAL' ELSE 'MISS' END AS verdict FROM p"""
+
+SQL["compare_inventory"] = f"""{_COMPARED}
+inv AS (SELECT session_id, speaker_id, {big("sum(end_ms - start_ms)", "speech_ms")}, count(*) AS n_turns
+  FROM s GROUP BY session_id, speaker_id)
+SELECT inv.session_id, inv.speaker_id, speech_ms, n_turns, inv.speaker_id = best.speaker_id AS matched
+FROM inv JOIN best USING (session_id)"""
+
+_GRID = "grid AS" + _LANES.partition("grid AS")[2].replace("40", "20")
+
+_COLUMNS = f"""{_COMPARED}
+l AS (SELECT session_id, 'target' AS lane, start_ms, end_ms FROM t0
+  UNION ALL SELECT session_id, 'speaker:' || speaker_id, start_ms, end_ms FROM fx
+  UNION ALL SELECT fx.session_id, 'matched', fx.start_ms, fx.end_ms FROM fx JOIN best USING (session_id, speaker_id)),
+b AS (SELECT session_id, min(start_ms) AS t0, max(end_ms) - min(start_ms) AS span FROM l GROUP BY session_id),
+{_GRID}"""
+
+SQL["compare_lanes"] = f"{_COLUMNS} SELECT session_id, lane, CAST(col AS INTEGER) AS col FROM lanes WHERE active"
+
+SQL["compare_diff"] = f"""{_COLUMNS},
+w AS (SELECT session_id, col, coalesce(bool_or(active) FILTER (lane = 'target'), false) AS a,
+  coalesce(bool_or(active) FILTER (lane = 'matched'), false) AS b FROM lanes GROUP BY session_id, col)
+SELECT session_id, CAST(col AS INTEGER) AS col, CASE WHEN a AND b THEN 'both' WHEN a THEN 'a' WHEN b THEN 'b' ELSE 'neither' END AS verdict
+FROM w"""
+
 SQL["sanitize_lines"] = """WITH t AS (SELECT user_id, arg_min(event_type, event_id) AS token FROM events
   WHERE user_id % 10 <> 3 GROUP BY user_id),
 l AS (SELECT user_id AS session_id, event_id AS position, token, '{"note":"' || upper(event_type) || '","operation":"'

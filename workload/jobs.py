@@ -214,11 +214,36 @@ def run_sessions(spark, sf_dir):
     )
 
 
+def _compared(spark, sf_dir):
+    return cp.compare(_nested(spark, sf_dir), v.intervals(spark, sf_dir), width=20)
+
+
+@register
+def compare_segments(spark, sf_dir):
+    """Every recorded segment with its time covered by the matched speaker, and the verdict."""
+    return _compared(spark, sf_dir).segments.select("session_id", "start_ms", "end_ms", "covered_ms", "verdict")
+
+
+@register
+def compare_inventory(spark, sf_dir):
+    return _compared(spark, sf_dir).inventory
+
+
+@register
+def compare_lanes(spark, sf_dir):
+    """Columns of all lanes in which something is active."""
+    return _compared(spark, sf_dir).lanes.where("active").select("session_id", "lane", "col")
+
+
+@register
+def compare_diff(spark, sf_dir):
+    return _compared(spark, sf_dir).diff
+
+
 @register
 def compare_sessions(spark, sf_dir):
     """Segments from logs against the turns of all event types."""
-    turns = v.intervals(spark, sf_dir)
-    out = cp.compare(_nested(spark, sf_dir), turns, width=20)
+    out = _compared(spark, sf_dir)
     return out.agreement.join(out.matched, "session_id").select(
         "session_id", "speaker_id", "overlap_ms", "a_ms", "b_ms", "intersection_ms", "union_ms"
     )
