@@ -33,6 +33,8 @@ from spanweave.sources.wav import TARGET_RATE, split_wavs
 
 #: Bytes of media that a task hands over at once (one range may be longer), and reads at once for a hash.
 BATCH_BYTES, BLOCK_BYTES = 1 << 25, 1 << 20
+#: Tasks per core at most that read headers.
+FILE_TASKS = 16
 #: Fixed values of RIFF: format codes that mean plain PCM.
 PCM_FORMATS = (0x0001, 0xFFFE)
 FORMAT = "spanweave-wav"
@@ -134,14 +136,16 @@ def index_wavs(files: DataFrame, digest: bool = True) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
-    return files.select("path", "length").mapInArrow(run, _INDEX).withColumn("duration_ms", samples_to_ms("n_frames", "sample_rate"))
+    # Spark plans a task for every few small files; a Python task each would mostly be start-up.
+    most = FILE_TASKS * files.sparkSession.sparkContext.defaultParallelism
+    return files.select("path", "length").coalesce(most).mapInArrow(run, _INDEX).withColumn("duration_ms", samples_to_ms("n_frames", "sample_rate"))
 
 
 def read_clip_index(spark: SparkSession, path: str, rate: int = TARGET_RATE, digest: bool = True) -> tuple[DataFrame, DataFrame]:
     """``(clips, errors)`` of a folder of WAV files: like ``read_clips``, with places instead of PCM.
 
-    Spark lists the folder and prunes ``session_id=...`` folders and filters on ``path``; no content
-    passes through it.
+    Spark lists the folder and filters on ``path``; no content passes through it. Headers are read
+    whenever the index is computed, so write it (``operators.lineage.materialize``) if it is used often.
     """
     files = (
         spark.read.format("binaryFile").option("pathGlobFilter", "*.wav").option("recursiveFileLookup", "true").load(path)
@@ -240,6 +244,8 @@ class _WavWriter(DataSourceArrowWriter):
             for batch in iterator:
                 rows = []
                 for session, name, header, data in self._rows(batch, opened):
+                    if session is None or name is None:
+                        raise ValueError("a clip needs a session and a name")
                     state = hashlib.sha256(header)
                     state.update(data)
                     sha, inside = state.hexdigest(), f"session_id={quote(session, safe='')}"
@@ -328,8 +334,6 @@ def write_wav_files(files: DataFrame, path: str) -> DataFrame:
     """
     spark = files.sparkSession
     spark.dataSource.register(WavSink)
-    if files.where(F.col("session_id").isNull() | F.col("name").isNull()).head(1):
-        raise ValueError("a clip needs a session and a name")
     wanted = ["session_id", "name", *(["wav"] if "wav" in files.columns else _RANGE)]
     rows = files.select(F.col("session_id").cast("string").alias("session_id"), *wanted[1:])
     rows.write.format(FORMAT).mode("append").option("path", path).save()

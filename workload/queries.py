@@ -37,7 +37,7 @@ from spanweave.operators import identity as ident
 from spanweave.operators import intervals as iv
 from spanweave.operators import registry as rg
 from spanweave.operators import timeline as tl
-from spanweave.operators.lineage import scratch_path
+from spanweave.operators.lineage import materialize, scratch_path
 from spanweave.operators.numbering import number_rows
 from spanweave.sources import documents as docs
 from spanweave.sources import media, wav
@@ -726,6 +726,7 @@ def _wav_index(spark, sf_dir):
     root = scratch_path(spark, "wav")
     media.write_wav_files(whole, root)
     index, _ = media.read_clip_index(spark, root, v.PCM_RATE, digest=False)
+    index = materialize(index, "wav-index")
     return index.select(
         session_of_file(F.col("path"), uri=False).alias("session_id"),
         F.regexp_extract("path", r"clip(\d+)\.wav$", 1).cast("int").alias("file_index"),
