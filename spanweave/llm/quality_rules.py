@@ -4,10 +4,12 @@ Lines are normalised (lower case, digits as 0, white space as single spaces) and
 host; a shuffle counts in how many distinct documents of the host each occurs. Lines above the limit
 are removed, and a document of which too little is left is rejected.
 
-Copies are one document here: equal texts count once, and texts that nearly all consist of lines which also
-stand elsewhere count once per smallest such line. Without that, the lines of an article with a
-thousand copies would count as boilerplate and all its copies would go. A text with more of its own, as a
-page with a menu and a licence around it, is a document of its own.
+Copies are one document here: equal texts of a host count once, and so do texts without anything of their
+own. Otherwise the lines of an article with a thousand edited copies would count as boilerplate and all its
+copies would go. What tells is never how much a text shares, but what is left beside it: lines that stand in
+no other text of the host. If these are versions of shared lines (the first or last five words are
+those of a shared line), the text is an edited copy; if they are new, it is a document of its own, however
+small they are. An article that differs from its copies by new lines is therefore a document too.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,9 +44,13 @@ MAX_REPEAT_PERCENT = 50
 MAX_DOCS_PER_LINE = 20
 #: A document of which a smaller share of words is left is rejected.
 MIN_WORDS_LEFT = 0.3
-#: From this share of words on lines found elsewhere, a document counts as a copy. Above what frequent lines
-#: make of a document that is rejected for them, or depleted documents would count as copies.
-COPY_SHARE = 0.9
+#: A text is an edited copy if of the words on its own lines at least this share is on versions of shared lines.
+EDITED_SHARE = 0.5
+#: Two lines of this many words or more are versions of each other if they begin or end with the same ones.
+VERSION_WORDS = 5
+#: A copy votes as its shared line at this place of its words, from the rarest line to the commonest: those of the
+#: article come before those of the host.
+ANCHOR_AT = 0.25
 BATCH_BYTES = 1 << 19
 
 _DIGITS = re.compile(r"[0-9]")
@@ -65,10 +71,22 @@ def repeated_words(ids: np.ndarray) -> int:
     return int(inside.sum())
 
 
+def _key(plain: list[str]) -> int:
+    return xxhash.xxh64_intdigest(" ".join(plain).encode()) - (1 << 63)
+
+
+def line_keys(line: bytes) -> tuple[int, int, int]:
+    """Signed 64-bit hashes of a normalised line, of its first words and of its last; the line's own for
+    these if it is short."""
+    plain = _DIGITS.sub("0", line.decode("utf-8", "replace").lower()).split()
+    whole = _key(plain)
+    if len(plain) < VERSION_WORDS:
+        return whole, whole, whole
+    return whole, _key(["first", *plain[:VERSION_WORDS]]), _key(["last", *plain[-VERSION_WORDS:]])
+
+
 def line_key(line: bytes) -> int:
-    """Signed 64-bit hash of a normalised line."""
-    plain = " ".join(_DIGITS.sub("0", line.decode("utf-8", "replace").lower()).split())
-    return xxhash.xxh64_intdigest(plain.encode()) - (1 << 63)
+    return line_keys(line)[0]
 
 
 def line_table(text: bytes) -> tuple[int, dict[bytes, int]]:
@@ -86,6 +104,8 @@ MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 LINE_FIELDS = [T.StructField(m, T.LongType(), False) for m in MEASURES] + [
     T.StructField("_keys", T.ArrayType(T.LongType(), False), False),
     T.StructField("_line_words", T.ArrayType(T.LongType(), False), False),
+    T.StructField("_firsts", T.ArrayType(T.LongType(), False), False),
+    T.StructField("_lasts", T.ArrayType(T.LongType(), False), False),
 ]
 
 
@@ -105,12 +125,15 @@ def measure(df: DataFrame, text: str = "text") -> DataFrame:
                 code_points = (flat & 0xC0) != 0x80
                 edges, spans = offsets.tolist(), at.tolist()
                 repeats = [repeated_words(ids[a:b]) for a, b in zip(spans[:-1], spans[1:])]
-                duplicates, keys, counts, ends = [], [], [], [0]
+                duplicates, keys, counts, firsts, lasts, ends = [], [], [], [], [], [0]
                 for a, b in zip(edges[:-1], edges[1:]):
                     n, lines = line_table(raw[a:b])
                     merged: dict[int, int] = {}
                     for line, n_words in lines.items():
-                        key = line_key(line)
+                        key, first, last = line_keys(line)
+                        if key not in merged:
+                            firsts.append(first)
+                            lasts.append(last)
                         merged[key] = merged.get(key, 0) + n_words
                     duplicates.append(n)
                     keys += merged.keys()
@@ -126,6 +149,8 @@ def measure(df: DataFrame, text: str = "text") -> DataFrame:
                     pa.array(repeats, pa.int64()),
                     list_array(np.array(keys, np.int64), bounds, pa.int64()),
                     list_array(np.array(counts, np.int64), bounds, pa.int64()),
+                    list_array(np.array(firsts, np.int64), bounds, pa.int64()),
+                    list_array(np.array(lasts, np.int64), bounds, pa.int64()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, [*names, *new_names])
 
@@ -149,7 +174,8 @@ def judge(
     ``removed_keys`` (lines above the limit), ``words_left``, ``base_failed`` and ``kept``.
 
     Null hosts are one host. A null or empty text has no words and fails the base rule. Equal lines
-    of one document count once, repeated rows are copies. An empty table stays empty.
+    of one document count once, repeated rows are copies. Texts of any length are read whole. An empty table stays
+    empty.
     """
     wanted = df.select(
         *carry, F.col(host).cast("string").alias("host"), F.col(text).cast("string").alias("_text"),
@@ -158,23 +184,50 @@ def judge(
     docs = materialize(
         measure(wanted, "_text").drop("_text").withColumn("_row", F.monotonically_increasing_id()), "quality-lines"
     )
+    of_host = (F.coalesce("host", F.lit("")), F.col("host").isNull())
     lines = docs.select(
-        "_row", "_text_hash", "n_words", "host", F.explode(F.arrays_zip("_keys", "_line_words")).alias("l")
+        "_row", "host", F.xxhash64(*of_host, F.col("_text_hash")).alias("_text"),
+        F.explode(F.arrays_zip("_keys", "_line_words", "_firsts", "_lasts")).alias("l"),
     ).select(
-        "_row", "_text_hash", "n_words", F.xxhash64(F.coalesce("host", F.lit("")), F.col("host").isNull(), "l._keys").alias("line"),
-        F.col("l._keys").alias("key"), F.col("l._line_words").alias("words"),
+        "_row", "_text", F.xxhash64(*of_host, "l._keys").alias("line"), F.col("l._keys").alias("key"), F.col("l._line_words").alias("words"),
+        F.array(F.xxhash64(*of_host, "l._firsts"), F.xxhash64(*of_host, "l._lasts")).alias("versions"),
     )
     # Lines in two different texts or more: the extremes of the texts' hashes tell, at any group size.
-    shared = lines.groupBy("line").agg(F.min("_text_hash").alias("lo"), F.max("_text_hash").alias("hi")).where("lo <> hi")
-    shared = materialize(shared.select("line"), "quality-shared")
-    on_shared = materialize(lines.join(shared, "line", "left_semi"), "quality-shared-lines")
-    copies = on_shared.groupBy("_row").agg(
-        F.sum("words").alias("shared_words"), F.min("line").alias("anchor"), F.first("n_words").alias("n_words")
-    ).where(F.col("shared_words") >= COPY_SHARE * F.col("n_words")).select("_row", "anchor")
-    identity = F.coalesce("anchor", "_text_hash")
+    shared = lines.groupBy("line").agg(F.min("_text").alias("lo"), F.max("_text").alias("hi"), F.first("versions").alias("versions")).where("lo <> hi")
+    shared = materialize(shared.select("line", "versions"), "quality-shared")
+    on_shared = materialize(lines.drop("versions").join(shared, "line", "left_semi"), "quality-shared-lines")
+    texts = on_shared.select("line", "_text").distinct().groupBy("line").agg(F.count(F.lit(1)).alias("n_texts"))
+    texts = materialize(texts, "quality-line-texts")
+    common = texts.where(F.col("n_texts") > max_docs)
+    # Only texts with lines that may be too frequent have a vote that matters; equal texts have one.
+    voters = on_shared.join(common.select("line"), "line", "left_semi").groupBy("_text").agg(F.min("_row").alias("_row"))
+    voters = materialize(voters, "quality-voters")
+    rows = voters.select("_row")
+    own = lines.join(rows, "_row", "left_semi").join(shared.select("line"), "line", "left_anti")
+    own = materialize(own.select("_row", "line", "words", "versions"), "quality-own-lines")
+    known = shared.select(F.explode("versions").alias("version")).distinct()
+    edited = (
+        own.select("_row", "line", "words", F.explode("versions").alias("version")).join(known, "version", "left_semi")
+        .select("_row", "line", "words").distinct().groupBy("_row").agg(F.sum("words").alias("edited"))
+    )
+    originals = (
+        own.groupBy("_row").agg(F.sum("words").alias("own")).join(edited, "_row", "left")
+        .where(F.coalesce("edited", F.lit(0)) < EDITED_SHARE * F.col("own")).select("_row")
+    )
+    copies = voters.join(originals, "_row", "left_anti")
+    # A window over the lines of one text.
+    up = Window.partitionBy("_text").orderBy("n_texts", "line")
+    anchors = (
+        on_shared.join(copies, ["_row", "_text"], "left_semi").join(texts, "line")
+        .withColumn("up_to", F.sum("words").over(up))
+        .withColumn("all", F.sum("words").over(Window.partitionBy("_text")))
+        .where(F.col("up_to") >= ANCHOR_AT * F.col("all"))
+        .groupBy("_text").agg(F.min_by("line", F.struct("n_texts", "line")).alias("anchor"))
+    )
     frequent = (
-        on_shared.join(copies, "_row", "left")
-        .select("line", identity.alias("document"))
+        on_shared.join(common.select("line"), "line", "left_semi").select("line", "_text").distinct()
+        .join(materialize(anchors, "quality-anchors"), "_text", "left")
+        .select("line", F.coalesce("anchor", "_text").alias("document"))
         .distinct()
         .groupBy("line").agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") > max_docs)

@@ -122,3 +122,50 @@ def measures(text):
     failed = len(found) < 50 or 100 * len(inside) > 50 * len(found)
     symbols = len(re.findall(r"[#*$%&|<>]", text or ""))
     return len(found), sum(map(len, found)), symbols, duplicates, len(inside), failed
+
+
+def line_verdicts(rows, max_docs=20, min_left=0.3):
+    """``(host, text) -> (set of removed lines, kept)``: every pair of texts and lines is looked at."""
+    def plain(line):
+        return tuple(re.sub("[0-9]", "0", line.lower()).split())
+
+    texts = {(h, t or ""): {} for h, t in rows}
+    for (h, t), lines in texts.items():
+        for x in t.split("\n"):
+            if x.split():
+                lines[plain(x)] = lines.get(plain(x), 0) + len(x.split())
+    inside = {}
+    for (h, t), lines in texts.items():
+        for x in lines:
+            inside.setdefault((h, x), set()).add(t)
+    shared = {}
+    for (h, x), ts in inside.items():
+        if len(ts) > 1:
+            shared.setdefault(h, []).append(x)
+
+    def is_version(h, x):
+        return len(x) >= 5 and any(len(y) >= 5 and (x[:5] == y[:5] or x[-5:] == y[-5:]) for y in shared.get(h, []))
+
+    votes = {}
+    for (h, t), lines in texts.items():
+        common = [x for x in lines if len(inside[h, x]) > max_docs]
+        own = {x: n for x, n in lines.items() if len(inside[h, x]) == 1}
+        edited = sum(n for x, n in own.items() if is_version(h, x))
+        document = ("text", t)
+        if not own or 2 * edited >= sum(own.values()):
+            order = sorted((len(inside[h, x]), x) for x in lines if x not in own)
+            total, up_to = sum(lines[x] for _, x in order), 0
+            for _, x in order:
+                up_to += lines[x]
+                if 4 * up_to >= total:
+                    document = ("copy", x)
+                    break
+        for x in common:
+            votes.setdefault((h, x), set()).add(document)
+    found = {}
+    for (h, t), lines in texts.items():
+        gone = {x for x in lines if len(votes.get((h, x), ())) > max_docs}
+        n = sum(lines.values())
+        n_words, _, _, _, repeated, failed = measures(t)
+        found[h, t] = (gone, not failed and n - sum(lines[x] for x in gone) >= min_left * n)
+    return found

@@ -374,6 +374,42 @@ def test_pages_that_share_boilerplate_are_different_documents(spark):
     assert all(set(r.removed_keys) == keys and 4 * r.words_left == r.n_words and not r.kept for r in got)
 
 
+@pytest.mark.parametrize("percent", [80, 90, 95, 99])
+def test_boilerplate_of_any_share_is_found(spark, percent):
+    rng = random.Random(percent)
+    menu = sentences(rng, 16)
+    rows = []
+    for i in range(200):  # own texts of unequal length around the given share
+        own = round(192 * (100 - percent) / percent) + rng.choice([-1, 0, 1])
+        words = ["".join(rng.choices("abcdefgh", k=8)) for _ in range(max(own, 1))]
+        rows.append((i, "h", "\n".join([*menu[:9], " ".join(words), *menu[9:]])))
+    got = quality_rules.judge(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()
+    keys = {quality_rules.line_key(x.encode()) for x in menu}
+    assert len(got) == 200
+    assert all(set(r.removed_keys) == keys and not r.kept for r in got)
+
+
+def test_line_verdicts_by_brute_force(spark):
+    rng = random.Random(12)
+    rows = []
+    for h in ("a", "b", None):
+        menu, article = sentences(rng, 4), sentences(rng, 8)
+        for i in range(30):
+            rows.append((h, "\n".join([*rng.sample(menu, 3), *sentences(rng, rng.randint(0, 3))])))
+            words = [x.split() for x in article]  # copies with up to three words changed
+            for _ in range(rng.randint(0, 3)):
+                rng.choice(words)[rng.randrange(12)] = rng.choice(["other", f"new{i}"])
+            rows.append((h, "\n".join([*map(" ".join, words), *(menu[:1] if i % 2 else [])])))
+        rows += [(h, "\n".join(article))] * 25 + [(h, None), (h, ""), (h, "one line only")]
+    df = spark.createDataFrame([(i, h, t) for i, (h, t) in enumerate(rows)], "doc_id long, source string, text string")
+    expected = brute.line_verdicts(rows)
+    assert {bool(gone) for gone, _ in expected.values()} == {kept for _, kept in expected.values()} == {True, False}
+    for r in quality_rules.judge(df, carry=("doc_id", "text")).collect():
+        gone, kept = expected[r.host, r.text or ""]
+        assert set(r.removed_keys) == {quality_rules.line_key(" ".join(x).encode()) for x in gone}
+        assert r.kept == kept
+
+
 def test_removed_lines_leave_the_text(spark):
     keys = [quality_rules.line_key(b"Drop  me 7")]
     df = spark.createDataFrame([(1, "keep\ndrop me 3\n\nkeep too", keys), (2, None, keys), (3, "drop me 1", [])], "doc_id long, text string, removed_keys array<long>")
