@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: The bytes between words, everywhere in this subpackage.
 SPACES = b" \t\n\x0b\x0c\r"
@@ -89,3 +89,11 @@ def gather_spans(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> n
 
 def list_array(values: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values, kind))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
