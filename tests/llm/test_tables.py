@@ -90,6 +90,27 @@ def test_nn_descent_equals_brute_force(spark, monkeypatch):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got.values())
 
 
+def test_a_thin_search_is_noticed_and_extended(spark, monkeypatch):
+    """One set of hyperplanes and small blocks lose isolated pairs and split groups of 13 to 47."""
+    for name, value in {"TABLES": 1, "BLOCK": 16, "MAX_BLOCK": 16, "FROM_BLOCK": 4, "TARGET_RECALL": 0.99}.items():
+        monkeypatch.setattr(embedding_dedup, name, value)
+    rng = np.random.default_rng(5)
+    sizes = [1] * 300 + [2] * 150 + [13, 20, 30, 47]
+    centres = [c for c, size in zip(rng.standard_normal((len(sizes), 16)), sizes) for _ in range(size)]
+    units = np.array(centres) + 0.1 * rng.standard_normal((sum(sizes), 16))
+    units /= np.linalg.norm(units, axis=1)[:, None]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(units)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in embedding_dedup.near_duplicates(df).collect()}
+    linked = units @ units.T >= 0.95
+    np.fill_diagonal(linked, False)
+    true = linked.sum(axis=1)
+    assert np.mean([got[i] / n for i, n in enumerate(true) if n]) >= 0.99
+    assert all(got[i] <= n for i, n in enumerate(true))
+    monkeypatch.setattr(embedding_dedup, "EXTENSIONS", 0)
+    with pytest.warns(UserWarning, match="of the links"):
+        embedding_dedup.near_duplicates(df)
+
+
 def test_nn_descent_on_nothing(spark):
     assert embedding_dedup.near_duplicates(spark.createDataFrame([], VECTORS)).count() == 0
     odd = [(None, [1.0, 0.0], 0, "", 0, ""), (None, [1.0, 0.0], 0, "", 0, ""), (3, [1.0, 0.001], 0, "", 0, ""), (3, [1.0, 0.001], 0, "", 0, ""), (4, None, 0, "", 0, "")]
