@@ -193,9 +193,9 @@ def judge(
         F.array(F.xxhash64(*of_host, "l._firsts"), F.xxhash64(*of_host, "l._lasts")).alias("versions"),
     )
     # Lines in two different texts or more: the extremes of the texts' hashes tell, at any group size.
-    shared = lines.groupBy("line").agg(F.min("_text").alias("lo"), F.max("_text").alias("hi"), F.first("versions").alias("versions")).where("lo <> hi")
-    shared = materialize(shared.select("line", "versions"), "quality-shared")
-    on_shared = materialize(lines.drop("versions").join(shared, "line", "left_semi"), "quality-shared-lines")
+    shared = lines.groupBy("line").agg(F.min("_text").alias("lo"), F.max("_text").alias("hi")).where("lo <> hi")
+    shared = materialize(shared.select("line"), "quality-shared")
+    on_shared = materialize(lines.join(shared, "line", "left_semi"), "quality-shared-lines")
     texts = on_shared.select("line", "_text").distinct().groupBy("line").agg(F.count(F.lit(1)).alias("n_texts"))
     texts = materialize(texts, "quality-line-texts")
     common = texts.where(F.col("n_texts") > max_docs)
@@ -203,9 +203,9 @@ def judge(
     voters = on_shared.join(common.select("line"), "line", "left_semi").groupBy("_text").agg(F.min("_row").alias("_row"))
     voters = materialize(voters, "quality-voters")
     rows = voters.select("_row")
-    own = lines.join(rows, "_row", "left_semi").join(shared.select("line"), "line", "left_anti")
+    own = lines.join(rows, "_row", "left_semi").join(shared, "line", "left_anti")
     own = materialize(own.select("_row", "line", "words", "versions"), "quality-own-lines")
-    known = shared.select(F.explode("versions").alias("version")).distinct()
+    known = materialize(on_shared.select(F.explode("versions").alias("version")).distinct(), "quality-versions")
     edited = (
         own.select("_row", "line", "words", F.explode("versions").alias("version")).join(known, "version", "left_semi")
         .select("_row", "line", "words").distinct().groupBy("_row").agg(F.sum("words").alias("edited"))
