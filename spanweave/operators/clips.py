@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark.resource import ResourceProfile
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -114,6 +115,80 @@ def map_model(
     return df.mapInPandas(run, schema)
 
 
+def length_batches(sizes: Sequence[int], max_bytes: int) -> list[np.ndarray]:
+    """Positions dealt into batches of similar size, shortest first.
+
+    A padded batch costs its rows times its largest row, which stays within ``max_bytes``; a larger row
+    is a batch of its own. Rows of equal size keep their order.
+    """
+    sizes = np.asarray(sizes, np.int64)
+    order = np.argsort(sizes, kind="stable")
+    batches, first = [], 0
+    for at in range(1, len(order) + 1):
+        if at == len(order) or (at + 1 - first) * int(sizes[order[at]]) > max_bytes:
+            batches.append(order[first:at])
+            first = at
+    return batches
+
+
+def map_model_batched(
+    df: DataFrame,
+    factory: Callable[[], Callable[[pd.DataFrame], pd.DataFrame]],
+    schema: T.StructType | str,
+    size: str,
+    max_bytes: int = 16 << 20,
+    window_bytes: int = 64 << 20,
+    profile: ResourceProfile | None = None,
+) -> DataFrame:
+    """:func:`map_model` in batches of rows of similar length; the output is in the order of the input.
+
+    ``size`` names a column with the bytes of a row (null counts as 0). A task holds the rows of about
+    ``window_bytes``, deals them by :func:`length_batches` and restores their order, so that a long row pads
+    few others and a batch needs no more memory than ``max_bytes``, or its one row. A function that treats
+    rows one by one gives the same result in any batches. Size both to the executor; rows arrive in Arrow
+    batches of ``spark.sql.execution.arrow.maxRecordsPerBatch``, which should be short for wide rows.
+
+    ``profile`` asks for executors with given resources for this stage alone, such as one accelerator a
+    task; cluster managers need dynamic allocation for it.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = factory()
+
+        def flush(held: list[pd.DataFrame]) -> pd.DataFrame:
+            rows = pd.concat(held, ignore_index=True)
+            parts, places = [], length_batches(rows[size].fillna(0), max_bytes)
+            for place in places:
+                out = model(rows.iloc[place].reset_index(drop=True))
+                if len(out) != len(place):
+                    raise ValueError(f"model returned {len(out)} rows for a batch of {len(place)}")
+                parts.append(out)
+            back = np.argsort(np.concatenate(places), kind="stable")
+            return pd.concat(parts, ignore_index=True).iloc[back].reset_index(drop=True)
+
+        held, total = [], 0
+        for pdf in batches:
+            ends = pdf[size].fillna(0).astype("int64").cumsum().to_numpy()
+            first = 0
+            while first < len(pdf):
+                # Rows until the window is full, one at least.
+                base = ends[first - 1] if first else 0
+                last = int(np.searchsorted(ends, base + window_bytes - total, side="right"))
+                if last <= first:
+                    last = first if held else first + 1
+                if last > first:
+                    held.append(pdf.iloc[first:last])
+                    total += int(ends[last - 1] - base)
+                first = last
+                if first < len(pdf) or total >= window_bytes:
+                    yield flush(held)
+                    held, total = [], 0
+        if held:
+            yield flush(held)
+
+    return df.mapInPandas(run, schema, profile=profile)
+
+
 def cut_slices(intervals: DataFrame, clips: DataFrame, keys: Sequence[str] = FILE) -> DataFrame:
     """Attach each interval's raw PCM (``slice``) and its ``valid_samples``."""
     source = clips.select(*keys, "pcm", "sample_rate", "channels")

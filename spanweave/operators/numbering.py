@@ -43,3 +43,44 @@ def number_rows(
         .join(offsets, [*keys, "_part"])
         .select(*df.columns, (F.col("_pos") + F.col("_shift") + start).alias(name))
     )
+
+
+def rank_rows(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, start: int = 1
+) -> DataFrame:
+    """Add SQL's ``rank()`` within ``keys`` by ``order``: equal rows share a number, the next one skips.
+
+    Only different keys and orders, with how often they occur, are placed and written; the other columns
+    (vectors, texts) move once, in the join that gives each row its rank. ``df`` is therefore read twice and
+    should be cheap to read. Nulls are keys and come first. Equal rows are counted before they are placed, so
+    neither a hot key nor a hot tie is one task's work.
+    """
+    keys, order = list(keys), list(order)
+    counted = df.groupBy(*dict.fromkeys([*keys, *order])).agg(F.count(F.lit(1)).alias("_n"))
+    placed = materialize(
+        counted.repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id()), "ranked"
+    )
+    # Ranges come in the order of their partitions: what is in those before is one row for a key and range.
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed.groupBy(*keys, "_part").agg(F.sum("_n").alias("_n")).select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+        F.col("_part").alias("_at"),
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"),
+    )
+    inside = Window.partitionBy(*keys, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    same = F.col("_part") == F.col("_at")
+    for i, k in enumerate(keys):
+        same &= F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    names = list(dict.fromkeys([*keys, *order]))
+    ranks = (
+        placed.withColumn("_within", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+        .join(offsets, same)
+        .select(
+            *[F.col(c).alias(f"_c{i}") for i, c in enumerate(names)],
+            (F.col("_within") + F.col("_shift") + start).alias("_rank"),
+        )
+    )
+    found = F.lit(True)
+    for i, c in enumerate(names):
+        found &= df[c].eqNullSafe(F.col(f"_c{i}"))
+    return df.join(ranks, found).select(*[df[c] for c in df.columns if c != name], F.col("_rank").alias(name))

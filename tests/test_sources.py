@@ -66,6 +66,35 @@ def test_cut_clips_are_byte_exact(spark):
         assert bytes(row.wav) == buf.getvalue()
 
 
+def test_batches_by_length():
+    sizes = [5, 100, 1, 5, 7, 0, 40]
+    batches = [list(b) for b in cl.length_batches(sizes, 30)]
+    assert sorted(sum(batches, [])) == list(range(7)) and batches[-1] == [1] and batches[-2] == [6]
+    assert all(len(b) == 1 or len(b) * max(sizes[i] for i in b) <= 30 for b in batches)
+    assert cl.length_batches([], 30) == []
+
+
+@pytest.mark.parametrize("window", [1, 50, 10_000])
+def test_batched_model_keeps_order_and_bounds(spark, window):
+    rows = [(i, "y" * ((i * 37) % 23) if i % 9 else None) for i in range(120)]
+    df = spark.createDataFrame(rows, "id bigint, s string").coalesce(1).withColumn("size", F.octet_length("s"))
+
+    def factory():
+        def run(pdf):
+            sizes = pdf["size"].fillna(0)
+            assert len(pdf) == 1 or len(pdf) * sizes.max() <= 60
+            return pdf[["id"]].assign(y=sizes.astype("int64") + pdf["id"])
+
+        return run
+
+    batched = cl.map_model_batched(df, factory, "id bigint, y bigint", "size", 60, window).collect()
+    assert [tuple(r) for r in batched] == [(i, i + len(s or "")) for i, s in rows]  # as row by row, in input order
+    assert cl.map_model_batched(df.limit(0), factory, "id bigint, y bigint", "size").count() == 0
+    short = lambda: lambda p: p.iloc[:0][["id"]].assign(y=0)
+    with pytest.raises(Exception, match="returned 0 rows"):
+        cl.map_model_batched(df, short, "id bigint, y bigint", "size").collect()
+
+
 def test_pad_batch_and_map_model(spark):
     batch, valid = cl.pad_batch([b"\x00\x40" * 3, b"", b"\x01\x00" * 700])
     assert batch.shape == (3, 700) and list(valid) == [3, 0, 700]

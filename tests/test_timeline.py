@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from spanweave.operators import agreement as ag
 from spanweave.operators import timeline as tl
-from spanweave.operators.numbering import number_rows
+from spanweave.operators.numbering import number_rows, rank_rows
 
 IV = "session_id string, start_ms bigint, end_ms bigint"
 
@@ -147,3 +147,18 @@ def test_number_rows(spark):
     for k, v in sorted(rows):
         want[k, v] = 1 + sum(1 for q, w in rows if q == k and w < v)
     assert {(r.k, r.v): r.n for r in number_rows(df, ["k"], ["v"], "n").collect()} == want
+
+
+def test_rank_rows(spark):
+    """Ties, nulls, a hot tie and a hot key; wide columns are not in what is written."""
+    rng = random.Random(4)
+    rows = [(rng.choice(["a", "b", "b", None]), rng.choice([None, 1, 2, 5]), rng.randrange(9), "x" * 50) for _ in range(400)]
+    rows += [("b", 3, 3, "hot")] * 300
+    df = spark.createDataFrame(rows, "k string, v int, w int, payload string").withColumn("n", F.lit("old"))
+    got = rank_rows(df.repartition(5), ["k"], ["v", "w"], "n").collect()
+    low = lambda x: (x is not None, x or 0)
+    place = lambda r: (low(r[1]), low(r[2]))
+    want = sorted((str(r[0]), place(r), r[3], 1 + sum(q[0] == r[0] and place(q) < place(r) for q in rows)) for r in rows)
+    assert sorted((str(r.k), place(r), r.payload, r.n) for r in got) == want
+    assert [r.n for r in rank_rows(df.limit(3).select("w"), [], ["w"], "n", start=0).orderBy("n").collect()][0] == 0
+    assert rank_rows(df.limit(0), ["k"], ["v"], "n").count() == 0

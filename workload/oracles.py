@@ -140,6 +140,12 @@ SELECT session_id, start_ms, end_ms, duration_ms, covered_ms, round(f, 6) AS cov
 SQL["segment_ordinals"] = f"""WITH {FX}, {_RECORDED}
 SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY start_ms, end_ms) AS ordinal FROM rec"""
 
+SQL["vector_ranks"] = """SELECT label AS session_id, vec_id,
+  rank() OVER (PARTITION BY label ORDER BY vec_id // 10) AS rank, CAST(len(embedding) AS INTEGER) AS dim FROM embeddings"""
+
+SQL["model_batches"] = """SELECT doc_id, CAST(len(regexp_extract_all(coalesce(text, ''), '[^ ]+')) AS BIGINT) AS n_words,
+  text[1:3] AS head FROM documents"""
+
 _MATCH = f"""{of("t0", "click")}, {merged("t", "t0")},
 {of("s0", *OTHERS, cols="session_id, speaker_id, start_ms, end_ms")},
 {merged("s", "s0", "session_id, speaker_id")},

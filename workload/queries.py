@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,7 +39,7 @@ from spanweave.operators import intervals as iv
 from spanweave.operators import registry as rg
 from spanweave.operators import timeline as tl
 from spanweave.operators.lineage import materialize, scratch_path
-from spanweave.operators.numbering import number_rows
+from spanweave.operators.numbering import number_rows, rank_rows
 from spanweave.sources import documents as docs
 from spanweave.sources import media, wav
 from spanweave.sources.logs import session_of_file
@@ -189,6 +190,13 @@ def segment_ordinals(spark, sf_dir):
     )
 
 
+@register
+def vector_ranks(spark, sf_dir):
+    """Vectors of a session in the order of their windows; those of one window share a rank."""
+    ranked = rank_rows(v.vectors(spark, sf_dir), USER, ["window_start_ms"], "rank")
+    return ranked.select("session_id", "vec_id", "rank", F.size("embedding").alias("dim"))
+
+
 @register
 def match_best_overlap(spark, sf_dir):
     fx = v.intervals(spark, sf_dir)
@@ -781,6 +789,21 @@ def slice_batches(spark, sf_dir):
     )
 
 
+@register
+def model_batches(spark, sf_dir):
+    """A stand-in model over whole texts in batches of similar length: words, and the first characters."""
+    docs = v.table(spark, sf_dir, "documents").select("doc_id", "text", F.octet_length("text").alias("size"))
+
+    def factory():
+        def model(pdf):
+            words = pdf["text"].fillna("").str.count(r"[^ ]+")
+            return pd.DataFrame({"doc_id": pdf["doc_id"], "n_words": words, "head": pdf["text"].str.slice(0, 3)})
+
+        return model
+
+    return cl.map_model_batched(docs, factory, "doc_id bigint, n_words bigint, head string", "size", 1 << 18, 1 << 20)
+
+
 @register
 def feature_mean(spark, sf_dir):
     """Masked mean over each session window of ten vectors taken as feature frames."""
