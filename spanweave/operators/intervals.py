@@ -303,8 +303,8 @@ def coverage(
     )
 
 
-# Grids for overlap_join: cell widths 2**12 ms (4 s) to 2**40 ms (35 years), 16-fold apart.
-LEVEL_BITS = tuple(range(12, 41, 4))
+# Grids for overlap_join: cell widths 2**4 ms to 2**40 ms (35 years), 16-fold apart.
+LEVEL_BITS = tuple(range(4, 41, 4))
 
 
 def _own_level(levels: Sequence[int]) -> Column:
@@ -316,19 +316,14 @@ def _own_level(levels: Sequence[int]) -> Column:
     return own
 
 
-def _levels_in_use(a: DataFrame, b: DataFrame, levels: Sequence[int]) -> tuple[list[int], list[int]]:
-    """Grids on which each side has intervals: at most ``len(levels)`` numbers per side."""
-    own = _own_level(levels)
-    side = lambda df, name: valid_intervals(df).select(own.alias("l"), F.lit(name).alias("s"))
-    found = side(a, "a").unionByName(side(b, "b")).distinct().collect()
-    return (
-        sorted(r["l"] for r in found if r["s"] == "a"),
-        sorted(r["l"] for r in found if r["s"] == "b"),
-    )
+def _levels_in_use(df: DataFrame, levels: Sequence[int]) -> Column:
+    """Grids on which intervals sit, at most ``len(levels)`` numbers: a subquery of the plan, not an action."""
+    used = valid_intervals(df).select(_own_level(levels).alias("_own"))
+    return used.agg(F.collect_set("_own").alias("_used")).scalar()
 
 
 def _cells(
-    df: DataFrame, levels: Sequence[int], visits: Sequence[int], probe_role: int
+    df: DataFrame, levels: Sequence[int], visits: Column, probe_role: int
 ) -> DataFrame:
     """One row per grid cell an interval is registered in.
 
@@ -340,12 +335,12 @@ def _cells(
     reach = (lambda b: b >= own) if probe_role == 0 else (lambda b: b > own)
     placed = F.concat(
         F.transform(
-            F.filter(F.array(*[F.lit(b) for b in visits]).cast("array<int>"), reach),
+            F.filter("_visits", reach),
             lambda b: F.struct(F.lit(probe_role).alias("role"), b.alias("bits")),
         ),
         F.array(F.struct(F.lit(1 - probe_role).alias("role"), own.alias("bits"))),
     )
-    spread = df.withColumn("_own", _own_level(levels)).select("*", F.explode(placed).alias("_g"))
+    spread = df.withColumns({"_own": _own_level(levels), "_visits": visits}).select("*", F.explode(placed).alias("_g"))
     cell = lambda c: F.call_function("shiftright", c.cast("bigint"), F.col("_g.bits"))
     # Only an interval longer than the coarsest cell lies in more than two.
     return spread.select(
@@ -370,13 +365,14 @@ def overlap_join(
     row are bounded by the number of grids and not by interval length, and only neighbours of
     comparable scale are tested. AQE splits a cell that is still too full.
 
-    ``measure_levels`` first runs one aggregate over both sides to learn which grids are in use (a
-    handful of integers), and no row then visits a grid on which nobody sits.
+    With ``measure_levels`` the plan has one more aggregate over each side, which learns the grids in use (a
+    handful of integers), and no row then visits a grid on which nobody sits. Nothing runs when this is called.
     """
     keys, levels = list(keys), list(levels)
-    a_levels, b_levels = _levels_in_use(a, b, levels) if measure_levels else (levels, levels)
+    every = F.array(*[F.lit(b) for b in levels]).cast("array<int>")
+    a_levels, b_levels = (_levels_in_use(a, levels), _levels_in_use(b, levels)) if measure_levels else (every, every)
 
-    def side(df: DataFrame, prefix: str, visits: Sequence[int], role: int) -> DataFrame:
+    def side(df: DataFrame, prefix: str, visits: Column, role: int) -> DataFrame:
         rest = [c for c in df.columns if c not in keys]
         cells = _cells(valid_intervals(df), levels, visits, role)
         return cells.select(

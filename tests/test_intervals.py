@@ -115,6 +115,32 @@ def test_overlap_join_is_exact(spark, levels):
     assert plain.count() == len(want)
 
 
+def test_overlap_join_of_mixed_lengths_runs_nothing_when_called(spark):
+    """Lengths from 1 ms to a day; empty sides have no grids and no pairs."""
+    rng = random.Random(8)
+    lengths = (1, 3, 20, 900, 60_000, 86_400_000)
+
+    def some(n):
+        out = set()
+        while len(out) < n:
+            start = rng.randrange(200_000)
+            out.add((start, start + rng.choice(lengths)))
+        return out
+
+    a, b = some(150), some(150)
+    da, db = frame(spark, {"x": a}), frame(spark, {"x": b})
+    group = "overlap-join-call"
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        joined = iv.overlap_join(da, db, ["k"])
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    got = sorted((r.a_start_ms, r.a_end_ms, r.b_start_ms, r.b_end_ms) for r in joined.collect())
+    assert got == sorted((s, e, p, q) for s, e in a for p, q in b if s < q and p < e)
+    assert iv.overlap_join(da.limit(0), db, ["k"]).count() == iv.overlap_join(da, db.limit(0), ["k"]).count() == 0
+
+
 def plan_of(df):
     df.collect()
     text = df._jdf.queryExecution().executedPlan().toString()
