@@ -11,6 +11,8 @@ round is cut off by a written table.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,15 +43,29 @@ def style_topic(text: Column, words: Column) -> Column:
     return topic
 
 
-def targets(cells: DataFrame, axis: str, keep: float = KEEP, temperature: float = TEMPERATURE) -> DataFrame:
+def targets(
+    cells: DataFrame, axis: str, keep: float = KEEP, temperature: float = TEMPERATURE, weights: DataFrame | None = None
+) -> DataFrame:
     """``axis, target``: tokens to keep of each category.
 
-    Proportional to ``tokens ** temperature``. A category that has less than its target gives all it has
-    and the others share the rest, until no target exceeds what there is.
+    Proportional to ``weights`` (a table ``axis, weight``; of a category without a row there, null or 0, nothing is
+    kept, and rows of one category add up), else to ``tokens ** temperature``. A category that has less than
+    its target gives all it has and the others share the rest, until no target exceeds what there is.
     """
-    sums = materialize(cells.groupBy(axis).agg(F.sum("tokens").cast("double").alias("have")), "mix-targets")
+    sums = cells.groupBy(axis).agg(F.sum("tokens").cast("double").alias("have"))
+    if weights is None:
+        sums = sums.withColumn("part", F.pow("have", F.lit(temperature)))
+    else:
+        named = weights.groupBy(F.col(axis).cast("string").alias("_named")).agg(F.sum("weight").cast("double").alias("_part"))
+        # A weight says nothing of a category without tokens.
+        part = F.when(F.col("have") > 0, F.coalesce("_part", F.lit(0.0))).otherwise(0.0)
+        sums = sums.join(named, sums[axis].eqNullSafe(named["_named"]), "left").select(axis, "have", part.alias("part"))
+    sums = materialize(sums, "mix-targets")
+    lowest = sums.agg(F.min("part")).first()[0]
+    if lowest is not None and lowest < 0:
+        raise ValueError(f"a target weight of {axis} is below zero")
     total = sums.agg(F.sum("have").alias("s")).first().s or 0.0
-    power = F.pow("have", F.lit(temperature))
+    power = F.col("part")
     scale = 0.0
     while total:
         full = power * scale >= F.col("have")
@@ -68,13 +84,15 @@ def rake(cells: DataFrame, goals: dict[str, DataFrame], rounds: int = MAX_ROUNDS
     """``cells`` (axes and ``tokens``) with ``weight``: the tokens to keep of each cell.
 
     Each step multiplies the cells of a category by target over sum and cuts at what the cell has; cut
-    cells are made up for in later rounds. Targets that cannot be met together are approached.
+    cells are made up for in later rounds. Targets that cannot be met together are approached, and a warning tells
+    how far the worst sum is from its target after the last round.
     """
     axes = list(goals)
     weighted = cells
     for axis in axes:
         weighted = weighted.join(goals[axis].withColumnRenamed("target", f"_{axis}"), cells[axis].eqNullSafe(goals[axis][axis])).drop(goals[axis][axis])
     weighted = materialize(weighted.withColumn("weight", F.col("tokens").cast("double")), "mix-cells")
+    worst = None
     for _ in range(rounds):
         for axis in axes:
             sums = weighted.groupBy(F.col(axis).alias("_axis")).agg(F.sum("weight").alias("_sum"), F.first(f"_{axis}").alias("_goal"))
@@ -90,6 +108,8 @@ def rake(cells: DataFrame, goals: dict[str, DataFrame], rounds: int = MAX_ROUNDS
         worst = weighted.agg(F.max(F.greatest(*[F.col(f"_off{axis}") for axis in axes]))).first()[0]
         if worst is None or worst <= tolerance:
             break
+    if worst is not None and worst > tolerance:
+        warnings.warn(f"raking ended after {rounds} rounds with a sum {worst:.2%} from its target", stacklevel=2)
     return weighted.select(*cells.columns, "weight")
 
 
@@ -109,13 +129,22 @@ def mix(
     keep: float = KEEP,
     temperature: float = TEMPERATURE,
     seed: str = "mix",
+    weights: dict[str, dict[str | None, float]] | None = None,
 ) -> DataFrame:
     """``df``'s rows with ``_source, _lang, _topic, n_words, probability`` and ``sampled``.
 
-    Null sources, languages and topics are categories of their own. A text without words weighs nothing;
+    ``weights`` states target weights of categories for any of ``source``, ``language`` and ``topic``; a category
+    left out there is not kept. Axes without them follow ``temperature``. Both are relative: ``keep`` is the
+    share of all tokens kept, as far as the stated categories have so many.
+
+    Null sources, languages and topics are categories of their own. Texts of any length are counted whole. A text without words weighs nothing;
     its cell's probability is that of its tokens, or 1 in a cell without any. Rows with equal ids and
     texts share one draw. An empty table stays empty. Columns with the new names are replaced.
     """
+    stated = {"_source": "source", "_lang": "language", "_topic": "topic"}
+    unknown = set(weights or {}) - set(stated.values())
+    if unknown:
+        raise ValueError(f"no such axis: {', '.join(sorted(unknown))}")
     df = df.drop("_source", "_lang", "_topic", "n_words", "probability", "sampled")
     rows = df.withColumn("n_words", n_words(F.col(text)))
     rows = rows.withColumns(
@@ -127,12 +156,19 @@ def mix(
     )
     axes = ["_source", "_lang", "_topic"]
     cells = materialize(rows.groupBy(*axes).agg(F.sum("n_words").alias("tokens")), "mix-counts")
-    raked = rake(cells, {a: targets(cells, a, keep, temperature) for a in axes})
+
+    def asked(axis: str) -> DataFrame | None:
+        given = (weights or {}).get(stated[axis])
+        if given is None:
+            return None
+        return df.sparkSession.createDataFrame([(k, float(w)) for k, w in given.items()], f"{axis} string, weight double")
+
+    raked = rake(cells, {a: targets(cells, a, keep, temperature, asked(a)) for a in axes})
     share = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(1.0)
     odds = materialize(raked.select(*[F.col(a).alias(f"c{a}") for a in axes], share.alias("probability")), "mix-odds")
     same = [rows[a].eqNullSafe(odds[f"c{a}"]) for a in axes]
     return (
         rows.join(odds, same[0] & same[1] & same[2])
-        .drop(*[f"c{a}" for a in axes])
+        .select(*[rows[c] for c in rows.columns], odds["probability"])
         .withColumn("sampled", uniform(F.col(doc_id), F.col(text), seed) < F.col("probability"))
     )

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanweave.llm.components import connected_components
-from spanweave.llm.textbatch import slices, text_buffer, words
+from spanweave.llm.textbatch import free_name, slices, text_buffer, words
 from spanweave.operators.lineage import materialize
 
 #: Fixed value: seed of the shingles' XXH64.
@@ -298,9 +298,10 @@ def near_duplicates(
     Columns of ``df`` with these names are replaced. An empty table stays empty.
     """
     df = df.drop("fingerprint", "component_id", "kept")
-    marked = fingerprints(df, text, size, lanes).withColumn("_row", F.monotonically_increasing_id())
+    row = free_name(df, "_row")
+    marked = fingerprints(df, text, size, lanes).withColumn(row, F.monotonically_increasing_id())
     marked = materialize(marked if keep_text else marked.drop(text), "simhash")
-    member = F.struct(F.col(doc_id).isNull().alias("no_id"), F.col(doc_id).alias("doc"), F.col("_row").alias("row"))
+    member = F.struct(F.col(doc_id).isNull().alias("no_id"), F.col(doc_id).alias("doc"), F.col(row).alias("row"))
     classes = materialize(
         marked.groupBy("fingerprint").agg(F.min(member).alias("first"))
         .select(F.col("fingerprint").alias("fp"), F.col("first.row").alias("id"), "first"),
@@ -317,8 +318,8 @@ def near_duplicates(
     return (
         marked.join(by_print, marked["fingerprint"] == by_print["fp"])
         .select(
-            *[marked[c] for c in marked.columns if c != "_row"],
-            F.col("head.doc").alias("component_id"),
-            (F.col("_row") == F.col("head.row")).alias("kept"),
+            *[marked[c] for c in marked.columns if c != row],
+            by_print["head"]["doc"].alias("component_id"),
+            (marked[row] == by_print["head"]["row"]).alias("kept"),
         )
     )

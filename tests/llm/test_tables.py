@@ -8,6 +8,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tests.llm import brute
 
 from spanweave.llm import chat_format, embedding_dedup, mixing, quality_kn, queries
@@ -310,6 +311,28 @@ def test_mixture_meets_its_targets(spark):
     assert mixing.mix(df.limit(0)).count() == 0
 
 
+def test_mixture_meets_stated_weights(spark):
+    df = spark.createDataFrame(mixed_rows(), MIXED).withColumn("c_source", F.lit("mine")).repartition(3)
+    have = Counter()
+    for r in mixing.mix(df).collect():
+        have[r["_lang"]] += r.n_words
+    langs = sorted((k for k in have if k and have[k]), key=have.get)[:2]
+    stated = {langs[0]: 1.0, langs[1]: 3.0, "absent": 7.0}
+    keep = 0.5 * have[langs[0]] / sum(have.values())
+    got = mixing.mix(df, keep=keep, weights={"language": stated}, temperature=1.0).collect()
+    expected = Counter()
+    for r in got:
+        expected[r["_lang"]] += r.n_words * r.probability
+        assert r.c_source == "mine"
+        assert r["_lang"] in langs or not r.n_words or not r.sampled
+    assert expected[langs[1]] == pytest.approx(3 * expected[langs[0]], rel=0.02)
+    assert sum(expected.values()) == pytest.approx(keep * sum(have.values()), rel=0.02)
+    with pytest.raises(ValueError, match="no such axis"):
+        mixing.mix(df, weights={"host": {}})
+    with pytest.raises(ValueError, match="below zero"):
+        mixing.mix(df, weights={"topic": {None: -1.0}, "source": {"a": -1.0}, "language": {langs[0]: -1.0}})
+
+
 def plain_targets(have, keep, temperature):
     """By bisection of the one scale."""
     lo, hi = 0.0, sum(have.values())

@@ -1,6 +1,8 @@
 """Operators on texts: against plain versions, on the driver's tables and on odd ones."""
 
+import math
 import random
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -223,6 +225,10 @@ def test_simhash_on_odd_rows(odd, empty):
     assert sorted(heads) == sorted({r.component_id for r in got})
     assert all(r.doc_id == r.component_id for r in got if r.kept)
     assert simhash.near_duplicates(empty).count() == 0
+    clash = odd.select("doc_id", "text", "_row", F.lit("h").alias("head"), F.lit("f").alias("fp"))
+    found = simhash.near_duplicates(clash)
+    assert found.columns == ["doc_id", "_row", "head", "fp", "fingerprint", "component_id", "kept"]
+    assert sorted((r.doc_id, r["_row"]) for r in found.collect()) == sorted((r[0], r[7]) for r in odd_rows())
 
 
 def test_long_fingerprints_find_less_similar_texts(spark):
@@ -252,6 +258,53 @@ def test_language_id(spark, sf_dir):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_language_predictions_equal_plain_ones(spark, sf_dir, monkeypatch):
+    """Against counts of n-grams in plain dictionaries and sums of logarithms; in batches of any size."""
+    def plain_buckets(text):
+        spaced = " " + " ".join("".join(c if c.isalpha() else " " for c in (text or "").lower()).split()) + " "
+        for n in language_id.ORDERS:
+            for i in range(len(spaced) - n + 1 if spaced.strip() else 0):
+                h = n
+                for c in spaced[i : i + n]:
+                    h = (h ^ ord(c)) * 0x9E3779B97F4A7C15 % 2**64
+                    h ^= h >> 29
+                yield h % language_id.BUCKETS
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang").orderBy("doc_id").limit(60)
+    short = docs.select("doc_id", F.substring("text", 1, 12).alias("text"), "lang")
+    rows = docs.collect()
+    counts, priors = {}, Counter(r.lang for r in rows if r.lang is not None)
+    for r in rows:
+        if r.lang is not None:
+            counts.setdefault(r.lang, Counter()).update(plain_buckets(r.text))
+
+    def plain(text):
+        used = Counter(plain_buckets(text))
+        if not used:
+            return "und", 0.0
+        logs = {}
+        for lang in sorted(counts):
+            total = sum(counts[lang].values()) + language_id.ALPHA * language_id.BUCKETS
+            logs[lang] = math.log(priors[lang] / sum(priors.values())) + math.fsum(
+                n * math.log((counts[lang][b] + language_id.ALPHA) / total) for b, n in used.items()
+            )
+        best = max(logs, key=logs.get)
+        return best, 1 / math.fsum(math.exp(x - logs[best]) for x in logs.values())
+
+    model = language_id.train(docs)
+    for size in (1, 1 << 18):
+        monkeypatch.setattr(language_id, "SPARSE_ENTRIES", size)
+        for table in (docs, short):
+            own = [r.text for r in table.collect()] + [None, "", "12 !"]
+            labels, scores = model.predict(own)
+            for text, label, score in zip(own, labels, scores):
+                want = plain(text)
+                assert label == want[0] and score == pytest.approx(want[1], rel=1e-6)
+    monkeypatch.setattr(language_id, "MAX_LANGUAGES", 2)
+    with pytest.raises(ValueError, match="more than 2 languages"):
+        language_id.train(docs)
+
+
 def test_language_counts_equal_plain_ones():
     text = "Über alles – déjà-vu!"
     codes, _ = language_id._codes(text)
