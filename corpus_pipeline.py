@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanweave.llm import bpe, mixing, quality_kn, quality_rules, queries, simhash
-from spanweave.llm.textbatch import short_batches
+from spanweave.llm.textbatch import free_name, short_batches
 from spanweave.operators.lineage import discard_written, scratch_path, tables_written
 
 SHINGLE_WORDS, LANES, WORD_BITS, MAX_BITS = 5, 4, 32, 39
@@ -44,20 +44,22 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def rule_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Equal rows share a verdict, so that it is found again by what it was made from."""
     _begin(spark, docs)
-    text_hash = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    hashed_as, keys_as = free_name(docs, "_hash"), free_name(docs, "removed_keys")
     verdicts = (
         quality_rules.judge(docs).where("kept")
         .groupBy(F.col("doc_id").alias("_id"), F.col("host").alias("_host"), "_text_hash")
         .agg(F.first("removed_keys").alias("removed_keys"))
     )
-    hashed = docs.withColumn("_hash", text_hash)
+    hashed = docs.withColumn(hashed_as, F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
     same = (
-        (F.col("_hash") == F.col("_text_hash"))
+        (hashed[hashed_as] == verdicts["_text_hash"])
         & hashed["doc_id"].eqNullSafe(verdicts["_id"])
         & hashed["source"].cast("string").eqNullSafe(verdicts["_host"])
     )
-    kept = hashed.join(verdicts, same).select(*docs.columns, "removed_keys")
-    cleaned = quality_rules.without_lines(kept)
+    kept = hashed.join(verdicts, same).select(
+        *[hashed[c] for c in docs.columns], verdicts["removed_keys"].alias(keys_as)
+    )
+    cleaned = quality_rules.without_lines(kept, keys=keys_as)
     return cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
