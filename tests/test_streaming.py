@@ -1,3 +1,4 @@
+import random
 import time
 
 import pytest
@@ -5,7 +6,7 @@ from pyspark.sql import functions as F
 
 from spanweave.operators import audit as au
 from spanweave.sources.logs import write_audit
-from spanweave.streaming import read_audit_stream, read_log_stream, verify_audit_stream, verify_late_stream
+from spanweave.streaming import late, read_audit_stream, read_log_stream, verify_audit_stream, verify_late_stream
 from spanweave.streaming.late import PROVIDER, ROCKSDB
 from tests.test_audit import records
 
@@ -145,3 +146,96 @@ def test_late_stream_needs_its_state_store(spark, tmp_path):
     chain.write.parquet(str(tmp_path / "log"))
     with pytest.raises(ValueError, match="RocksDB"):
         verify_late_stream(read_audit_stream(plain, str(tmp_path / "log"), chain.schema), 10)
+
+
+class _Calls:
+    """The state of one session in memory, which counts the calls made to it."""
+
+    def __init__(self):
+        self.calls, self.value, self.map, self.timers = 0, None, {}, set()
+
+    def getValueState(self, *schema):
+        return self
+
+    getMapState = getValueState
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls += 1
+        self.value = value
+
+    def getValue(self, key):
+        self.calls += 1
+        return self.map.get(key)
+
+    def containsKey(self, key):
+        self.calls += 1
+        return key in self.map
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self.map[key] = value
+
+    def removeKey(self, key):
+        self.calls += 1
+        self.map.pop(key, None)
+
+    def iterator(self):
+        return iter(list(self.map.items()))
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.calls += 1
+        self.timers.discard(at)
+
+
+class _Now:
+    def __init__(self, at):
+        self.at = at
+
+    def getCurrentWatermarkInMs(self):
+        return self.at
+
+    getExpiryTimeInMs = getCurrentWatermarkInMs
+
+
+@pytest.mark.parametrize("held", [50, 100_000])
+def test_waiting_records_are_kept_with_few_calls(held, monkeypatch):
+    monkeypatch.setattr(late, "HELD", held)
+    state, session = _Calls(), late._Session("session_id", True, 10)
+    session.init(state)
+    lacking = {0, 500, 501, 1700}
+
+    def row(i):
+        good = {"schema_ok": True, "payload_ok": i != 900, "entry_ok": True}
+        return {"seq": i, "prev_sha256": str(i - 1) if i else late.GENESIS, "entry_sha256": str(i), "at_ms": 1000 + i, **good}
+
+    rows = [row(i) for i in range(2000) if i not in lacking]
+    random.Random(5).shuffle(rows)
+    got = []
+    for i in range(0, len(rows), 700):
+        got += session.handleInputRows(("a",), iter(rows[i : i + 700]), None)
+    got += session.handleInputRows(("a",), iter([row(3), {**row(3), "seq": None}]), None)
+    assert [(r["index"], r["seq"], r["reason"]) for r in got] == [(None, 3, late.BAD_SEQ), (None, None, late.BAD_SEQ)]
+    if held > 2000:
+        assert state.calls < 100 and len(state.timers) == 1
+    # The watermark passes the records up to 1099, which those up to the next gap follow; then all of them.
+    got = []
+    for now in (2100, 9000):
+        while due := sorted(t for t in state.timers if t < now):
+            state.timers.discard(due[0])
+            got += session.handleExpiredTimer(("a",), _Now(now), _Now(due[0]))
+        assert not [r for r in got if now == 2100 and r["seq"] > 1700]
+    # A gap breaks the chain at the record after it; the numbers differ from the places from there on.
+    want = [(i - sum(j < i for j in lacking), i) for i in range(2000) if i not in lacking]
+    assert [(r["index"], r["seq"]) for r in got] == want
+    reasons = {r["seq"]: r["reason"] for r in got}
+    assert reasons[900] == late.BAD_PAYLOAD and reasons[502] == late.BAD_PREVIOUS and reasons[503] == late.BAD_SEQ
+    assert not state.map and not state.timers
+    assert [*session.handleInputRows(("a",), iter([row(2000)]), None)][0]["index"] == 1996
