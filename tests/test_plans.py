@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from spanweave.functions.canonical import canonical_text
 from spanweave.operators import audit as au
 from spanweave.operators import registry as rg
+from spanweave.operators.lineage import materialize
 from spanweave.plans import sessions as ss
 from spanweave.plans import stages as st
 from spanweave.plans.compare import compare
@@ -288,3 +289,23 @@ def test_contaminate_from_files(spark, tmp_path):
         assert rows(out.session_summary, "*") == rows(want.session_summary, "*")
         assert rows(out.clips, "name", "sha256", "segment_start_ms") == rows(want.clips, "name", "sha256", "segment_start_ms")
     assert len(list((tmp_path / "out").rglob("target_*.wav"))) == 1
+
+
+def test_the_log_is_made_of_kept_records(spark):
+    """No plan joins for all kinds of records at once, whose join sides would be at the driver together."""
+    clips = spark.createDataFrame([("ok", 0, "clip0.wav", 16000, 1, 96000, "sha", bytearray(PCM))], CLIPS)
+    joins = []
+
+    def keep(df):
+        if {"stage", "operation", "payload"} <= set(df.columns):
+            joins.append(df._jdf.queryExecution().optimizedPlan().toString().count("Join "))
+        return materialize(df)
+
+    faces = [("ok", 0, pts, 0, 120, 120, 180, 180, 0.9, T) for pts in [1000, *range(125, 4000, 250)]]
+    out = ss.run_sessions(
+        clips, spark.createDataFrame([("ok", 0, 0, 64000)], VAD),
+        spark.createDataFrame([("ok", "speaking", 0, 150, 150, 1000)], CLICK), spark.createDataFrame(faces, DET),
+        mask_model([[True] * 200]), voice(0, 3000), voice(0, 3000), unverified=True, seed_min_ms=100, keep=keep,
+    )
+    assert max(joins) <= 8 and 0 in joins
+    assert "session_end" in {r.operation for r in out.audit.collect()}
