@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanweave.functions.timecode import int_div
@@ -15,6 +15,8 @@ from spanweave.operators.salting import salted_join
 SESSION = ("session_id",)
 FILE = ("session_id", "file_index")
 WINDOW = ("session_id", "file_index", "window_start_ms", "window_end_ms")
+#: Columns of lanes in one number, and in one row of a lane.
+WORD, LANE_BLOCK = 64, 1024
 
 
 def _big(value: int) -> Column:
@@ -145,62 +147,48 @@ def active_speakers(masks: DataFrame, min_active_ms: int) -> DataFrame:
     )
 
 
+def _frames(masks: DataFrame, keys: Sequence[str], frames: str) -> DataFrame:
+    """One row per window with ``_masks``, all its masks, and ``_index``, the frames of speaker 0.
+
+    Masks meet as arrays, so that a shuffle has no row per frame; a window is as long as one model's input.
+    """
+    first = F.filter("_masks", lambda m: m["first"])
+    n = getattr(F, f"array_{frames}")(F.transform(first, lambda m: F.coalesce(F.size(m["activity"]), F.lit(0))))
+    mask = F.struct((F.col("speaker_idx") == 0).alias("first"), "activity")
+    return (
+        masks.groupBy(*keys, "frame_ms")
+        .agg(F.collect_list(mask).alias("_masks"))
+        .withColumn("_n", n)
+        .where(F.col("_n") > 0)
+        .select(*keys, "frame_ms", "_masks", F.sequence(F.lit(0), F.col("_n") - 1).alias("_index"))
+    )
+
+
 def frame_depth(masks: DataFrame, keys: Sequence[str] = WINDOW) -> DataFrame:
     """Active speakers per frame of one window; ``overlapped`` iff two or more.
 
     Masks are anonymous per window, so depth is never counted across windows. The frame axis is
     speaker 0's.
     """
+    at = lambda m, i: F.get(m["activity"], i).cast("bigint")
+    none = F.lit(None).cast("bigint")
+    total = lambda i: F.aggregate(
+        "_masks", none, lambda acc, m: F.coalesce(F.coalesce(acc, _big(0)) + at(m, i), acc)
+    )
     return (
-        frames_of(masks)
-        .groupBy(*keys, "frame_ms", "frame")
-        .agg(
-            F.sum(F.col("active").cast("bigint")).alias("depth"),
-            F.max(F.col("speaker_idx") == 0).alias("_axis"),
-        )
-        .where("_axis")
-        .drop("_axis")
+        _frames(masks, keys, "max")
+        .select(*keys, "frame_ms", F.posexplode(F.transform("_index", total)).alias("frame", "depth"))
         .withColumn("overlapped", F.col("depth") >= 2)
     )
 
 
 def window_overlaps(masks: DataFrame, keys: Sequence[str] = WINDOW) -> DataFrame:
-    """Overlap intervals inside each window.
-
-    Only active frames are shuffled; the frame axis of speaker 0 travels as one mark just past its
-    last frame. A window holds no more rows than one mask has frames, whatever the session's size.
-    """
-    keys = [*keys, "frame_ms"]
-    marked = F.when(
-        F.col("speaker_idx") == 0, F.array_append("activity", F.lit(-1).cast("tinyint"))
-    ).otherwise(F.col("activity"))
-    by_window = Window.partitionBy(*keys)
-    frames = (
-        masks.select(*keys, F.posexplode(marked).alias("frame", "_on"))
-        .where(F.col("_on") != 0)
-        .groupBy(*keys, "frame")
-        .agg(
-            F.count_if(F.col("_on") > 0).alias("_depth"),
-            F.max(F.col("_on") < 0).alias("_mark"),
-        )
-        .where((F.col("_depth") >= 2) | F.col("_mark"))
-        .withColumn("_axis", F.min(F.when(F.col("_mark"), F.col("frame"))).over(by_window))
-        .where((F.col("_depth") >= 2) & (F.col("frame") < F.col("_axis")))
-    )
-    start = F.col("window_start_ms")
-    frame = F.col("frame_ms").cast("bigint")
-    return (
-        frames.withColumn(
-            "_island", F.col("frame") - F.row_number().over(by_window.orderBy("frame"))
-        )
-        .groupBy(*keys, "_island")
-        .agg(F.min("frame").alias("_f0"), F.max("frame").alias("_f1"))
-        .select(
-            *keys[:-1],
-            (start + F.col("_f0") * frame).alias(START),
-            (start + (F.col("_f1") + 1) * frame).alias(END),
-        )
-    )
+    """Overlap intervals inside each window, on the frame axis of speaker 0."""
+    on = lambda m, i: F.coalesce(F.get(m["activity"], i) > 0, F.lit(False)).cast("int")
+    depth = lambda i: F.aggregate("_masks", F.lit(0), lambda acc, m: acc + on(m, i))
+    crossed = F.transform("_index", lambda i: (depth(i) >= 2).cast("tinyint"))
+    found = _frames(masks, keys, "min").select(*keys, "frame_ms", crossed.alias("activity"))
+    return mask_runs(found).select(*keys, START, END)
 
 
 def edge_trim(df: DataFrame, trim_ms: int, min_ms: int) -> DataFrame:
@@ -238,65 +226,71 @@ def bucket_lanes(
 ) -> DataFrame:
     """``(keys, lane, col, active)``: each session's bounds in ``width`` columns.
 
-    A column is active iff any interval of the lane touches its span (at least 1 ms). Intervals
-    become +1/-1 marks on their first and next-to-last column, combined before the shuffle; a lane
-    then has at most ``width + 1`` rows to scan.
+    A column is active iff any interval of the lane touches its span (at least 1 ms). The columns of an
+    interval are bits, which a lane's row gathers by ``or``: a shuffle has one row per lane and 1,024 columns.
     """
     keys, width = list(keys), max(1, int(width))
     w = _big(width)
     span = F.col("t1_ms") - F.col("t0_ms")
+    wide = F.greatest(span, _big(1))
     ceil_div = lambda x, y: int_div(x + y - 1, y)  # noqa: E731  (x >= 0)
     a = F.greatest(_big(0), F.col(START) - F.col("t0_ms"))
     b = F.least(span, F.col(END) - F.col("t0_ms"))
     # Column c spans [span*c/w, max(span*(c+1)/w, that + 1)) in floor divisions.
-    first = F.least(ceil_div((a + 1) * w, span) - 1, ceil_div(a * w, span))
-    last = F.least(w - 1, ceil_div(b * w, span) - 1)
-    marks = (
+    first = F.least(ceil_div((a + 1) * w, wide) - 1, ceil_div(a * w, wide))
+    last = F.least(w - 1, ceil_div(b * w, wide) - 1)
+    shown = (span > 0) & (F.col(END) > F.col(START)) & (b > 0) & (a < span)
+    block = min(LANE_BLOCK, width)
+    words = range((block + WORD - 1) // WORD)
+
+    def bits(word: int) -> Column:
+        """The interval's columns within a word of 64."""
+        base = F.col("_block") * block + word * WORD
+        low = F.greatest(F.col("_first") - base, _big(0)).cast("int")
+        high = F.least(F.col("_last") - base, _big(min(WORD, block - word * WORD) - 1)).cast("int")
+        ones = F.call_function("shiftrightunsigned", _big(-1), F.lit(WORD - 1) - (high - low))
+        some = F.col("_first").isNotNull() & (low <= high) & (low < WORD)
+        return F.when(some, F.call_function("shiftleft", ones, low)).otherwise(_big(0))
+
+    placed = (
         salted_join(intervals, bounds, keys, [lane, START, END])
-        .where((span > 0) & (F.col(END) > F.col(START)) & (b > 0) & (a < span))
-        .select(*keys, lane, first.alias("_first"), last.alias("_last"))
-        .where("_first <= _last")
-        .select(
-            *keys,
-            lane,
-            F.explode(
-                F.array(
-                    F.struct(F.col("_first").alias("col"), _big(1).alias("d")),
-                    F.struct((F.col("_last") + 1).alias("col"), _big(-1).alias("d")),
-                )
-            ).alias("m"),
-        )
-        .groupBy(*keys, lane, F.col("m.col").alias("col"))
-        .agg(F.sum("m.d").alias("d"))
+        .select(*keys, lane, F.when(shown, first).alias("_first"), F.when(shown, last).alias("_last"))
+        .select("*", F.explode(F.sequence(_big(0), _big((width - 1) // block))).alias("_block"))
     )
-    lanes = intervals.select(*keys, lane).distinct().join(bounds.select(*keys), keys)
-    grid = lanes.select(
-        *keys, lane, F.explode(F.sequence(_big(0), w - 1)).alias("col"), _big(0).alias("d")
+    masks = placed.groupBy(*keys, lane, "_block").agg(*[F.bit_or(bits(i)).alias(f"_w{i}") for i in words])
+    col = F.col("col")
+    inside = col - F.col("_block") * block
+    word = F.get(F.array(*[F.col(f"_w{i}") for i in words]), int_div(inside, _big(WORD)).cast("int"))
+    start = F.col("_block") * block
+    columns = F.sequence(start, F.least(start + block, w) - 1)
+    return masks.select("*", F.explode(columns).alias("col")).select(
+        *keys, lane, "col", (F.getbit(word, (inside % WORD).cast("int")) == 1).alias("active")
     )
-    dense = (
-        grid.unionByName(marks.where(F.col("col") < width))
-        .groupBy(*keys, lane, "col")
-        .agg(F.sum("d").alias("d"))
-    )
-    by_lane = (
-        Window.partitionBy(*keys, lane)
-        .orderBy("col")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    return dense.select(*keys, lane, "col", (F.sum("d").over(by_lane) > 0).alias("active"))
 
 
 def bucket_diff(
     lanes: DataFrame, lane_a: str, lane_b: str, keys: Sequence[str] = SESSION, lane: str = "lane"
 ) -> DataFrame:
     """Per column ``verdict``: ``both``, ``a``, ``b`` or ``neither``."""
-    pick = lambda name: F.coalesce(
-        F.max(F.when(F.col(lane) == name, F.col("active"))), F.lit(False)
+    place = (F.col("col") % WORD).cast("int")
+    bit = F.call_function("shiftleft", _big(1), place)
+    of = lambda name: F.bit_or(F.when((F.col(lane) == name) & F.col("active"), bit).otherwise(_big(0)))
+    # Columns meet as the bits of words of 64, so that a session has few rows to group.
+    words = (
+        lanes.where(F.col(lane).isin(lane_a, lane_b))
+        .groupBy(*keys, int_div(F.col("col"), _big(WORD)).alias("_word"))
+        .agg(of(lane_a).alias("_in_a"), of(lane_b).alias("_in_b"), F.bit_or(bit).alias("_in"))
     )
+    has = lambda name, i: F.getbit(F.col(name), i) == 1
+    places = F.filter(F.sequence(F.lit(0), F.lit(WORD - 1)), lambda i: has("_in", i))
     return (
-        lanes.where(F.col(lane).isin(lane_a, lane_b))
-        .groupBy(*keys, "col")
-        .agg(pick(lane_a).alias("_a"), pick(lane_b).alias("_b"))
+        words.select("*", F.explode(places).alias("_i"))
+        .select(
+            *keys,
+            (F.col("_word") * WORD + F.col("_i")).alias("col"),
+            has("_in_a", F.col("_i")).alias("_a"),
+            has("_in_b", F.col("_i")).alias("_b"),
+        )
         .select(
             *keys,
             "col",

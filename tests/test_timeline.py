@@ -162,3 +162,33 @@ def test_rank_rows(spark):
     assert sorted((str(r.k), place(r), r.payload, r.n) for r in got) == want
     assert [r.n for r in rank_rows(df.limit(3).select("w"), [], ["w"], "n", start=0).orderBy("n").collect()][0] == 0
     assert rank_rows(df.limit(0), ["k"], ["v"], "n").count() == 0
+
+
+def _frames_leave_last(df):
+    """Whether rows are multiplied only above every aggregate of the plan."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return plan.index("Generate") < plan.index("Aggregate") and "Window" not in plan
+
+
+def test_frames_and_columns_are_not_grouped_row_by_row(spark):
+    schema = "session_id string, file_index int, window_start_ms bigint, window_end_ms bigint, speaker_idx int, frame_ms int, activity array<tinyint>"
+    masks = spark.createDataFrame(
+        [("s", 0, 0, 50, 0, 10, [1, None, 0, 1, 1]), ("s", 0, 0, 50, 1, 10, [1, None, 1, 1]), ("s", 0, 0, 50, 2, 10, [0, None, 1, 0, 1, 1, 1]),
+         ("s", 0, 50, 90, 1, 10, [1, 1]), ("s", 0, 90, 99, 0, 10, []), ("s", 0, 90, 99, 1, 10, [1])],
+        schema,
+    )
+    depth = tl.frame_depth(masks)
+    assert _frames_leave_last(depth) and _frames_leave_last(tl.window_overlaps(masks))
+    got = [(r.frame, r.depth, r.overlapped) for r in depth.orderBy("frame").collect()]
+    assert got == [(0, 2, True), (1, None, None), (2, 2, True), (3, 2, True), (4, 2, True)]
+    assert sorted((r.start_ms, r.end_ms) for r in tl.window_overlaps(masks).collect()) == [(0, 10), (20, 50)]
+    lanes = tl.bucket_lanes(
+        spark.createDataFrame([("s", "x", 0, 5), ("s", "x", 3000, 3000), ("s", "x", None, 7), ("s", "y", 2499, 2501), ("s", "z", 9, 8)], "session_id string, lane string, start_ms bigint, end_ms bigint"),
+        spark.createDataFrame([("s", 0, 3000)], "session_id string, t0_ms bigint, t1_ms bigint"), 3000,
+    )
+    assert _frames_leave_last(lanes)
+    found = lanes.collect()
+    assert len(found) == 9000
+    assert sorted((r.lane, r.col) for r in found if r.active) == [*(("x", c) for c in range(5)), ("y", 2499), ("y", 2500)]
+    verdicts = {r.col: r.verdict for r in tl.bucket_diff(lanes, "x", "y").collect()}
+    assert len(verdicts) == 3000 and (verdicts[4], verdicts[5], verdicts[2500]) == ("a", "neither", "b")
