@@ -1,32 +1,48 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney trigram model.
 
-The model is fitted to trusted text. Its counts, continuation counts, discounts and probabilities are
-aggregates, windows and joins over tables that Spark shards by the hash of a trigram's middle word, so that counts,
-contexts and lower orders meet without another shuffle. The trusted sample is bounded (``MAX_TRAINING_DOCS`` texts
-of ``MAX_TRAINING_TOKENS`` tokens together, by order of a hash), so the finished tables are too; they are
-broadcast, and every whole text is scored where it is. Documents whose mean log probability is below
-a quantile of trusted documents of their language, outside of the sample, are rejected. A language with too
-few of these has no quantile and nothing of it is rejected.
+The model is fitted to trusted text, of which nothing is left out: a hash of the id puts a trusted document into
+one of two halves; all texts of one half are counted, and all of the other give the thresholds. Documents whose mean
+log probability is below a quantile of the trusted documents of their language that were not counted are rejected.
+A language with too few of these has no quantile and nothing of it is rejected.
+
+Neither counts nor model ever meet in one place. Texts are read once and packed into blocks of about
+``BLOCK_TOKENS`` tokens. For every order, from trigrams down, a block sends its distinct n-grams, as sorted hashes
+with what it knows of their counts, to shards of the hash space; a shard adds up all blocks' counts and answers each
+block for the n-grams it asked for. Lower orders count different contexts: of the blocks that hold an n-gram, the
+shard names one that counts it for the next order. A block then has all counts that its texts need. What is shuffled
+is one entry per block and distinct n-gram, and an n-gram of any frequency is one entry per block.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spanweave.llm.textbatch import free_name, gather_spans, slices, text_buffer, words
+from spanweave.llm.lm_score import (
+    BATCH_BYTES,
+    BLOCK_TOKENS,
+    END_KEY,
+    KEY_BITS,
+    START_KEY,
+    bigram_keys,
+    pack_counts,
+    pack_keys,
+    shard_count,
+    unpack_counts,
+    unpack_keys,
+)
+from spanweave.llm.textbatch import free_name, slices, text_buffer, words
 from spanweave.operators.lineage import materialize
 
-MAX_TRAINING_DOCS = 3000
-#: The sample's words and ends, which bounds the different trigrams; a text that does not fit in any more is left out.
-MAX_TRAINING_TOKENS = 4_000_000
 #: Trusted documents below this share of their language's distribution would be rejected.
 QUANTILE = 0.01
 #: In a language with fewer trusted documents to calibrate on nothing is rejected: the model hardly knows its
@@ -35,195 +51,280 @@ MIN_TRUSTED = 50
 #: Short texts are drawn to their language's mean by so many average tokens.
 PRIOR_TOKENS = 20
 MAX_LANGUAGES = 10_000
-BATCH_BYTES = 1 << 19
-#: Fixed keys of a text's start and end; words cannot hold a space.
-START_KEY = xxhash.xxh64_intdigest(b" start") - (1 << 63)
-END_KEY = xxhash.xxh64_intdigest(b" end") - (1 << 63)
-
-
-def trigrams(raw: bytes, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """n x 3 keys of all trigrams, one for each word and one for each end, and offsets by text."""
-    found, at = words(raw, offsets)
-    coded = found.dictionary_encode()
-    known = np.fromiter((xxhash.xxh64_intdigest(w) - (1 << 63) for w in coded.dictionary.to_pylist()), np.int64, len(coded.dictionary))
-    keys = known[coded.indices.to_numpy()]
-    n = len(at) - 1
-    # Two starts before and one end behind each text.
-    spans = at + 3 * np.arange(n + 1)
-    rows = np.full(int(spans[-1]), START_KEY)
-    rows[spans[1:] - 1] = END_KEY
-    rows[np.arange(len(keys)) + np.repeat(3 * np.arange(n) + 2, np.diff(at))] = keys
-    first = gather_spans(np.arange(len(rows)), spans[:-1], np.diff(spans) - 2)
-    return np.stack([rows[first], rows[first + 1], rows[first + 2]], axis=1), np.concatenate([[0], np.cumsum(np.diff(at) + 1)])
-
-
-def mixed(*parts: np.ndarray) -> np.ndarray:
-    """One key for several."""
-    total = np.zeros(len(parts[0]), np.uint64)
-    for p in parts:
-        total = (total ^ p.view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-        total ^= total >> np.uint64(32)
-    return total
-
-
-def _discounts(counts: DataFrame) -> tuple[float, float, float]:
-    """Chen and Goodman's D1, D2 and D3+ from the numbers of n-grams seen 1 to 4 times."""
-    row = counts.agg(*[F.count_if(F.col("c") == i).alias(f"n{i}") for i in (1, 2, 3, 4)]).first()
-    n1, n2, n3, n4 = (max(row[f"n{i}"], 1) for i in (1, 2, 3, 4))
-    y = n1 / (n1 + 2 * n2)
-    return tuple(min(max(d, 0.1), i) for i, d in ((1, 1 - 2 * y * n2 / n1), (2, 2 - 3 * y * n3 / n2), (3, 3 - 4 * y * n4 / n3)))
-
-
-def _left(c: str, d: tuple[float, float, float]) -> Column:
-    """A count after its discount."""
-    taken = F.when(F.col(c) == 1, d[0]).when(F.col(c) == 2, d[1]).otherwise(d[2])
-    return F.greatest(F.col(c) - taken, F.lit(0.0))
-
-
-def _taken(c: Column, d: tuple[float, float, float], window: WindowSpec | None = None) -> Column:
-    """What is discounted from all counts of a group or window; from numbers of counts, so that it is the same in
-    any order. Null counts are left out."""
-    numbers = (F.count_if(c == 1), F.count_if(c == 2), F.count_if(c > 2))
-    return sum((n if window is None else n.over(window)) * x for n, x in zip(numbers, d))
-
-
-@dataclass
-class KneserNey:
-    """Sorted keys with log10 values: probabilities by order, and back-off weights of contexts."""
+WORD, PAIR, TRIGRAM = 1, 2, 3
+#: Of an n-gram: its count, and as a context the numbers of n-grams that follow once, twice and more often, and all.
+COUNTS = ("c", "n1", "n2", "n3", "total")
+BLOCK_SCHEMA = "block long, keys array<binary>, ids array<bigint>, ends binary, tokens binary, vocabulary binary"
+ASKED_SCHEMA = "block long, shard int, keys binary, " + ", ".join(f"{c} binary" for c in COUNTS)
+#: With the totals of the shard: how many counts are 1 to 4, how many there are, and their sum.
+TOTALS = ("seen1", "seen2", "seen3", "seen4", "kinds", "seen")
+REPLY_SCHEMA = "block long, shard int, " + ", ".join([*(f"{c} binary" for c in COUNTS), *(f"{t} long" for t in TOTALS)])
+
+
+def text_key(text: Column) -> Column:
+    """What equal texts share, and others don't."""
+    return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary")))
+
+
+def to_blocks(rows: DataFrame) -> DataFrame:
+    """Rows ``key, id, text`` as blocks: tokens are numbers of a block's words, of which 0 ends a text."""
+
+    def packed(number: int, held: list) -> pa.RecordBatch:
+        keys, ids, lengths, found = (sum((list(h[i]) for h in held), []) for i in range(4))
+        coded = pa.chunked_array(found).combine_chunks().dictionary_encode()
+        at, known = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        # Frequent words first: small numbers compress better.
+        order = np.argsort(-np.bincount(at, minlength=len(known)), kind="stable")
+        rank = np.empty(len(known), np.int64)
+        rank[order] = np.arange(1, len(known) + 1)
+        ends = np.cumsum(np.array(lengths, np.int64))
+        tokens = np.insert(rank[at], ends - np.arange(1, len(ends) + 1), 0)
+        vocabulary = [END_KEY] + [xxhash.xxh64_intdigest(known[i]) >> (64 - KEY_BITS) for i in order]
+        planes = tokens.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+        out = {
+            "block": [number], "keys": pa.array([keys], pa.list_(pa.binary())), "ids": pa.array([ids], pa.list_(pa.int64())),
+            "ends": [ends.astype("<i8").tobytes()], "tokens": [pa.compress(planes, "zstd", asbytes=True)],
+            "vocabulary": [np.array(vocabulary, "<u8").tobytes()],
+        }
+        return pa.RecordBatch.from_pydict(out)
 
-    probability: dict[int, tuple[np.ndarray, np.ndarray]]
-    backoff: dict[int, tuple[np.ndarray, np.ndarray]]
-    unknown: float
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held, size = TaskContext.get().partitionId() << 32, [], 0
+        for batch in batches:
+            for part in slices(batch, "text", BATCH_BYTES):
+                found, at = words(*text_buffer(part.column("text")))
+                held.append((part.column("key").to_pylist(), part.column("id").to_pylist(), np.diff(at) + 1, [found]))
+                size += len(found) + part.num_rows
+                if size >= BLOCK_TOKENS:
+                    yield packed(number, held)
+                    number, held, size = number + 1, [], 0
+        if size:
+            yield packed(number, held)
 
-    @staticmethod
-    def _find(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray, default: float) -> np.ndarray:
-        known, values = table
-        if not len(known) or not len(keys):
-            return np.full(len(keys), default)
-        order = np.argsort(keys)  # in key order the search stays in the cache
-        at = np.minimum(np.searchsorted(known, keys[order]), len(known) - 1)
-        out = np.empty(len(keys))
-        out[order] = np.where(known[at] == keys[order], values[at], default)
-        return out
-
-    def log_probabilities(self, grams: np.ndarray) -> np.ndarray:
-        u, v, w = (np.ascontiguousarray(grams[:, i]) for i in range(3))
-        logs = self._find(self.probability[3], mixed(u, v, w), np.nan)
-        rest = np.flatnonzero(np.isnan(logs))
-        u, v, w = u[rest], v[rest], w[rest]
-        lower = self._find(self.probability[2], mixed(v, w), np.nan)
-        last = np.flatnonzero(np.isnan(lower))
-        lower[last] = self._find(self.probability[1], mixed(w[last]), self.unknown) + self._find(self.backoff[1], mixed(v[last]), 0.0)
-        logs[rest] = lower + self._find(self.backoff[2], mixed(u, v), 0.0)
-        return logs
+    return rows.select("key", "id", "text").mapInArrow(run, BLOCK_SCHEMA)
 
 
-def fit(trusted: DataFrame, text: str = "text") -> KneserNey:
-    """Fit to all rows given; null texts are empty. No rows give a model that knows no word."""
-    schema = "u long, v long, w long, c long"
+class BlockGrams:
+    """A block's tokens with the contexts of one and two words, and its distinct n-grams in key order.
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text", BATCH_BYTES):
-                grams, _ = trigrams(*text_buffer(part.column("text")))
-                rows, n = np.unique(grams, axis=0, return_counts=True)
-                yield pa.RecordBatch.from_arrays([*map(pa.array, rows.T), pa.array(n)], ["u", "v", "w", "c"])
-
-    spark = trusted.sparkSession
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counted = trusted.select(F.col(text).cast("string").alias("text")).mapInArrow(count, schema)
-    # Kept with its partitioning, which a written table would lose. What a lost executor held is counted again.
-    c3 = counted.repartition(shards, "v").groupBy("u", "v", "w").agg(F.sum("c").alias("c")).persist()
+    ``keys`` has the n-grams of an order, ``at`` the number of each token's n-gram, ``context`` that of the n-gram
+    without its last word, ``first`` a token of every n-gram.
+    """
+
+    def __init__(self, row: dict):
+        self.ends = np.frombuffer(row["ends"], "<i8")
+        n = int(self.ends[-1])
+        planes = np.frombuffer(pa.decompress(row["tokens"], 4 * n, "zstd", asbytes=True), np.uint8).reshape(4, -1)
+        tokens = np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+        vocabulary = np.frombuffer(row["vocabulary"], "<u8")
+        self.starts = np.concatenate([[0], self.ends[:-1]])
+        # Before a text are two starts, which have the number behind all words.
+        before = np.concatenate([[0], tokens[:-1]])
+        before[self.starts] = len(vocabulary)
+        word_keys, word_at = np.unique(np.append(vocabulary, np.uint64(START_KEY)), return_inverse=True)
+        start = np.array([START_KEY], np.uint64)
+        pair = bigram_keys(word_keys[word_at[before]], word_keys[word_at[tokens]])
+        # The two starts are a context, but no n-gram of a text.
+        pair_keys, pair_at = np.unique(np.append(pair, bigram_keys(start, start)), return_inverse=True)
+        pair_at, starts_at = pair_at[:-1], pair_at[-1]
+        context = np.concatenate([[0], pair_at[:-1]])
+        context[self.starts] = starts_at
+        gram_keys, gram_first, gram_at = np.unique(
+            bigram_keys(pair_keys[context], word_keys[word_at[tokens]]), return_index=True, return_inverse=True
+        )
+        pair_first = np.zeros(len(pair_keys), np.int64)
+        pair_first[pair_at] = np.arange(n)
+        self.keys = {WORD: word_keys, PAIR: pair_keys, TRIGRAM: gram_keys}
+        self.at = {WORD: word_at[tokens], PAIR: pair_at, TRIGRAM: gram_at}
+        self.context = {PAIR: word_at[before], TRIGRAM: context}
+        self.first = {PAIR: pair_first, TRIGRAM: gram_first}
+        learned = np.zeros(len(self.ends), bool)
+        learned[[] if row["learned"] is None else row["learned"]] = True
+        self.learned = np.repeat(learned, np.diff(self.ends, prepend=0))
+
+    def told(self, order: int, answers: pd.DataFrame | None) -> dict[str, np.ndarray]:
+        """What the block knows of the counts of an order, given the counts of the order above."""
+        n = len(self.keys[order])
+        if order == TRIGRAM:
+            c = np.bincount(self.at[TRIGRAM][self.learned], minlength=n)
+            return {k: c if k == "c" else np.zeros(n, np.int64) for k in COUNTS}
+        above = answered(answers)
+        own = np.flatnonzero(above["own"] & (above["c"] > 0))
+        c, first = above["c"][own], self.first[order + 1][own]
+        follows = self.context[order + 1][first]
+        return {
+            "c": np.bincount(self.at[order][first], minlength=n),
+            **{f"n{i}": np.bincount(follows[np.minimum(c, 3) == i], minlength=n) for i in (1, 2, 3)},
+            "total": np.bincount(follows, c, minlength=n).astype(np.int64),
+        }
+
+
+def answered(answers: pd.DataFrame) -> dict[str, np.ndarray]:
+    """The counts of a block's n-grams of one order, and whether the block is the one to count an n-gram."""
+    parts = answers.sort_values("shard")
+    out = {c: np.concatenate([unpack_counts(x) for x in parts[c]]) for c in COUNTS}
+    return {**out, "c": out["c"] >> 1, "own": (out["c"] & 1) == 1}
+
+
+def _asks(order: int, shards: int) -> Callable[[pd.DataFrame, pd.DataFrame | None], pd.DataFrame]:
+    """One block's distinct n-grams of an order, a row a shard."""
+    shift = np.uint64(KEY_BITS - (shards.bit_length() - 1))
+
+    def ask(block: pd.DataFrame, answers: pd.DataFrame | None) -> pd.DataFrame:
+        row = block.iloc[0].to_dict()
+        grams = BlockGrams(row)
+        keys, told = grams.keys[order], grams.told(order, answers)
+        bounds = np.searchsorted((keys >> shift).astype(np.int64), np.arange(shards + 1))
+        spans = [(s, slice(bounds[s], bounds[s + 1])) for s in np.flatnonzero(np.diff(bounds))]
+        out = [(row["block"], int(s), pack_keys(keys[at]), *(pack_counts(told[c][at]) for c in COUNTS)) for s, at in spans]
+        return pd.DataFrame(out, columns=["block", "shard", "keys", *COUNTS])
+
+    return ask
+
+
+def _answer(asked: pd.DataFrame) -> pd.DataFrame:
+    """One shard: add up the counts of all blocks, give each block those of its keys, and mark one block for each."""
+    parts = [unpack_keys(k) for k in asked["keys"]]
+    keys, first, at = np.unique(np.concatenate(parts), return_index=True, return_inverse=True)
+    edges = np.cumsum([0] + [len(p) for p in parts])
+    del parts
+    out = asked[["block", "shard"]].copy()
+    for name in COUNTS:
+        sums = np.zeros(len(keys), np.int64)
+        np.add.at(sums, at, np.concatenate([unpack_counts(c) for c in asked[name]]))
+        values = sums[at]
+        if name == "c":
+            seen = [int((sums == i).sum()) for i in (1, 2, 3, 4)] + [int((sums > 0).sum()), int(sums.sum())]
+            own = np.zeros(len(at), np.int64)
+            own[first] = 1
+            values = 2 * values + own
+        out[name] = [pack_counts(values[a:b]) for a, b in zip(edges[:-1], edges[1:])]
+    for name, total in zip(TOTALS, seen):
+        out[name] = 0
+        out.loc[out.index[0], name] = total
+    return out
+
+
+@dataclass(frozen=True)
+class Order:
+    """Of one order: Chen and Goodman's D1, D2 and D3+, and the numbers they come from."""
+
+    discounts: tuple[float, float, float]
+    seen1: int
+    seen2: int
+    kinds: int
+    seen: int
+
+    @staticmethod
+    def of(replies: DataFrame) -> Order:
+        """From the shards' totals; only these few numbers come to the driver."""
+        row = replies.agg(*[F.coalesce(F.sum(t), F.lit(0)).alias(t) for t in TOTALS]).first()
+        n1, n2, n3, n4 = (max(row[f"seen{i}"], 1) for i in (1, 2, 3, 4))
+        y = n1 / (n1 + 2 * n2)
+        found = tuple(min(max(d, 0.1), i) for i, d in ((1, 1 - 2 * y * n2 / n1), (2, 2 - 3 * y * n3 / n2), (3, 3 - 4 * y * n4 / n3)))
+        return Order(found, row.seen1, row.seen2, row.kinds, row.seen)
+
+    def left(self, c: np.ndarray) -> np.ndarray:
+        """Counts after their discount."""
+        d1, d2, d3 = self.discounts
+        return np.maximum(c - np.where(c == 1, d1, np.where(c == 2, d2, d3)), 0.0)
+
+    def taken(self, n1, n2, n3):
+        """What is discounted from so many counts of one, two and more."""
+        return n1 * self.discounts[0] + n2 * self.discounts[1] + n3 * self.discounts[2]
+
+
+def log_probabilities(grams: BlockGrams, counts: dict[int, dict[str, np.ndarray]], orders: dict[int, Order]) -> np.ndarray:
+    """log10 of every token's probability: each order's discounted share, and what it takes times the order below."""
+    words_ = orders[WORD]
+    total = words_.seen or 1
+    taken = words_.taken(words_.seen1, words_.seen2, words_.kinds - words_.seen1 - words_.seen2)
+    uniform = (taken / total if words_.kinds else 1.0) / (words_.kinds + 1)
+    p = words_.left(counts[WORD]["c"])[grams.at[WORD]] / total + uniform
+    for n in (PAIR, TRIGRAM):
+        context = {c: values[grams.context[n]] for c, values in counts[n - 1].items()}
+        gone = orders[n].taken(context["n1"], context["n2"], context["n3"])
+        within = np.maximum(context["total"], 1)
+        own = orders[n].left(counts[n]["c"])[grams.at[n]]
+        p = np.where(context["total"] > 0, own / within + gone / within * p, p)
+    return np.log10(p)
+
+
+def text_scores(rows: DataFrame, training: DataFrame) -> DataFrame:
+    """``key, n_tokens, log_prob`` of every distinct ``key`` of ``rows`` (``key, id, text``): words and one end, and
+    the text's log10 probability under the model of all rows whose id is one of ``training``'s ``_id``."""
+    spark = rows.sparkSession
+    shards = shard_count(spark)
+    found = materialize(to_blocks(rows), "kn-blocks")
+    learned = (
+        found.select("block", F.posexplode("ids").alias("n", "_id"))
+        .join(training, "_id", "left_semi")
+        .groupBy("block").agg(F.collect_list("n").alias("learned"))
+    )
+    # Kept with its partitioning, which a written table would lose: the steps below group by block.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks = found.repartition(parts, "block").join(learned, "block", "left").persist()
     try:
-        return _fitted(c3)
+        replies: dict[int, DataFrame] = {}
+        for order in (TRIGRAM, PAIR, WORD):
+            ask, each = _asks(order, shards), blocks.groupBy("block")
+            if order == TRIGRAM:
+
+                def count(block: pd.DataFrame) -> pd.DataFrame:
+                    return _asks(TRIGRAM, shards)(block, None)
+
+                asked = each.applyInPandas(count, ASKED_SCHEMA)
+            else:
+                above = replies[order + 1].select("block", "shard", *COUNTS)
+                asked = each.cogroup(above.groupBy("block")).applyInPandas(ask, ASKED_SCHEMA)
+            replies[order] = materialize(asked.groupBy("shard").applyInPandas(_answer, REPLY_SCHEMA), f"kn-replies-{order}")
+        orders = {n: Order.of(r) for n, r in replies.items()}
+
+        def scored(block: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+            row = block.iloc[0].to_dict()
+            grams = BlockGrams(row)
+            logs = log_probabilities(grams, {n: answered(part) for n, part in answers.groupby("n")}, orders)
+            lengths = np.diff(grams.ends, prepend=0)
+            return pd.DataFrame({"key": list(row["keys"]), "n_tokens": lengths, "log_prob": np.add.reduceat(logs, grams.starts)})
+
+        answers = None
+        for n, reply in replies.items():
+            part = reply.select(F.lit(n).alias("n"), "block", "shard", *COUNTS)
+            answers = part if answers is None else answers.unionByName(part)
+        by_text = (
+            blocks.groupBy("block").cogroup(answers.groupBy("block"))
+            .applyInPandas(scored, "key binary, n_tokens long, log_prob double")
+        )
+        return materialize(by_text.groupBy("key").agg(F.max("n_tokens").alias("n_tokens"), F.max("log_prob").alias("log_prob")), "kn-scores")
     finally:
-        c3.unpersist()
-
-
-def _fitted(c3: DataFrame) -> KneserNey:
-    """The model of trigram counts that are partitioned by ``v``."""
-    if (n := c3.count()) > MAX_TRAINING_TOKENS:
-        raise ValueError(f"{n} trigrams; MAX_TRAINING_TOKENS is {MAX_TRAINING_TOKENS}: fit to fewer texts")
-    # Lower orders count in how many contexts an n-gram was seen.
-    c2 = c3.groupBy("v", "w").agg(F.count(F.lit(1)).alias("c"))
-    c1 = materialize(c2.groupBy("w").agg(F.count(F.lit(1)).alias("c")), "kn-words")
-    d3, d2, d1 = _discounts(c3), _discounts(c2), _discounts(c1)
-    row = c1.agg(F.sum("c").alias("total"), _taken(F.col("c"), d1).alias("taken"), F.count(F.lit(1)).alias("n")).first()
-    total, n_words = row.total or 1, row.n
-    uniform = (row.taken / total if n_words else 1.0) / (n_words + 1)
-    p1 = c1.select("w", (_left("c", d1) / total + uniform).alias("p1"))
-    g2 = c2.groupBy("v").agg((_taken(F.col("c"), d2) / F.sum("c")).alias("g"))
-    g3 = c3.groupBy("u", "v").agg((_taken(F.col("c"), d3) / F.sum("c")).alias("g"))
-    # Of the sums over a word or a context every trigram takes part in, none leaves its shard; the longest is bounded
-    # by the sample. Words are fewer than trigrams, which were counted above.
-    context, pair, word = (Window.partitionBy(*by) for by in (["u", "v"], ["v", "w"], ["v"]))
-    one = F.col("first") == 1
-    whole = (
-        c3.withColumn("first", F.row_number().over(pair.orderBy("u")))
-        .withColumn("c2", F.count(F.lit(1)).over(pair))
-        .join(F.broadcast(p1), "w")
-        .withColumn("p2", (_left("c2", d2) + _taken(F.when(one, F.col("c2")), d2, word) * F.col("p1")) / F.count(F.lit(1)).over(word))
-        .withColumn("p3", (_left("c", d3) + _taken(F.col("c"), d3, context) * F.col("p2")) / F.sum("c").over(context))
-    )
-    p2, p3 = whole.where(one), whole
-
-    def collected(table: DataFrame, keys: list[str], value: str) -> tuple[np.ndarray, np.ndarray]:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                key = mixed(*[b.column(k).to_numpy() for k in keys])
-                value32 = np.log10(b.column(value).to_numpy()).astype(np.float32)
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(value32)], ["key", "value"])
-
-        got = table.select(*keys, value).mapInArrow(run, "key long, value float").toArrow()
-        key, values = got["key"].to_numpy().view(np.uint64), got["value"].to_numpy()
-        order = np.argsort(key)
-        return key[order], values[order]
-
-    return KneserNey(
-        {3: collected(p3, ["u", "v", "w"], "p3"), 2: collected(p2, ["v", "w"], "p2"), 1: collected(p1, ["w"], "p1")},
-        {2: collected(g3, ["u", "v"], "g"), 1: collected(g2, ["v"], "g")},
-        float(np.log10(uniform)),
-    )
+        blocks.unpersist()
+
+
+@dataclass(frozen=True)
+class KneserNey:
+    """The model of all ``text``s of a table."""
+
+    texts: DataFrame
+
+
+def fit(trusted: DataFrame, text: str = "text") -> KneserNey:
+    """Fit to all rows given; null texts are empty. No rows give a model that knows no word."""
+    return KneserNey(trusted.select(F.col(text).cast("string").alias("text")))
 
 
 def score(df: DataFrame, model: KneserNey, text: str = "text") -> DataFrame:
     """Add ``n_tokens`` (words and one end) and ``log_prob`` (log10) of every whole text."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
-    new = [T.StructField("n_tokens", T.LongType(), False), T.StructField("log_prob", T.DoubleType(), False)]
-    kept = [f for f in df.schema.fields if f.name not in ("n_tokens", "log_prob")]
-    names = [f.name for f in kept]
+    key = free_name(df, "_key")
+    keyed = df.drop("n_tokens", "log_prob").withColumn(key, text_key(F.col(text)))
+    own = keyed.select(F.col(key).alias("key"), F.lit(None).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
+    learned = model.texts.select(text_key(F.col("text")).alias("key"), F.lit(1).cast("long").alias("id"), "text")
+    scores = text_scores(own.unionByName(learned), df.sparkSession.range(1, 2).select(F.col("id").alias("_id")))
+    return keyed.join(scores.withColumnRenamed("key", key), key).select(*[c for c in keyed.columns if c != key], "n_tokens", "log_prob")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, text, BATCH_BYTES):
-                grams, at = trigrams(*text_buffer(part.column(text)))
-                logs = shared.value.log_probabilities(grams)
-                columns = [*(part.column(n) for n in names), pa.array(np.diff(at)), pa.array(np.add.reduceat(logs, at[:-1]))]
-                yield pa.RecordBatch.from_arrays(columns, [*names, "n_tokens", "log_prob"])
-
-    return df.select(*names).mapInArrow(run, T.StructType(kept + new))
-
-
-def _training(texts: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The sample's ids, and its texts: at most ``MAX_TRAINING_DOCS`` and ``MAX_TRAINING_TOKENS``, by order
-    of a hash, and half of all ids at most, so that others are left to calibrate on."""
-    order = F.xxhash64(F.lit("training"), F.col("_id"))
-    half = ids.where(F.pmod(F.xxhash64(F.lit("fold"), F.col("_id")), F.lit(2)) == 0)
-    asked = materialize(half.orderBy(order, "_id").limit(MAX_TRAINING_DOCS), "kn-candidates")
-    # Bounded: MAX_TRAINING_DOCS ids.
-    found = materialize(
-        texts.join(F.broadcast(asked), "_id", "left_semi")
-        .withColumn("n", F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)) + 1),
-        "kn-candidate-texts",
-    )
-    left, taken = MAX_TRAINING_TOKENS, []
-    sizes = found.groupBy("_id").agg(F.sum("n").alias("n")).withColumn("order", order).orderBy("order", "_id")
-    for r in sizes.collect():  # a row an id
-        if r.n <= left:
-            left -= r.n
-            taken.append((r["_id"],))
-    training = texts.sparkSession.createDataFrame(taken, "_id long")
-    return training, found.join(F.broadcast(training), "_id", "left_semi")
+
+def learned_from(doc_id: Column) -> Column:
+    """Whether a trusted document is counted; the others give the thresholds."""
+    return F.pmod(F.xxhash64(F.lit("fold"), doc_id), F.lit(2)) == 0
 
 
 def classify(
@@ -245,19 +346,22 @@ def classify(
     threshold, and nothing of it is rejected. Columns with the new names are replaced. A document that equals the
     cut is kept, and texts of any length are scored whole. No rows give no rows.
     """
-    ids = trusted.select(F.col("doc_id").cast("long").alias("_id")).where("_id IS NOT NULL").distinct()
-    training, sample = _training(df.select(F.col(doc_id).cast("long").alias("_id"), F.col(text).cast("string").alias("text")), ids)
-    model = fit(sample)
+    spark = df.sparkSession
+    ids = materialize(trusted.select(F.col("doc_id").cast("long").alias("_id")).where("_id IS NOT NULL").distinct(), "kn-trusted")
     new = ["n_tokens", "log_prob", "perplexity", "threshold", "kept"]
-    scored = score(df.drop(*new), model, text)
-    scored = materialize(scored if keep_text else scored.drop(text), "kn-scored")
-    judged_by = scored.select(F.col(doc_id).cast("long").alias("_id"), F.col(language).alias("_lang"), "n_tokens", "log_prob")
-    held = materialize(judged_by.join(ids.join(training, "_id", "left_anti"), "_id", "left_semi"), "kn-held")
+    key = free_name(df, "_key")
+    keyed = df.drop(*new).withColumn(key, text_key(F.col(text)))
+    rows = keyed.select(F.col(key).alias("key"), F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
+    scores = text_scores(rows, ids.where(learned_from(F.col("_id")))).withColumnRenamed("key", key)
+    scored = (keyed if keep_text else keyed.drop(text)).join(scores, key)
+    # One row a document, without its text.
+    judged_by = keyed.select(F.col(doc_id).cast("long").alias("_id"), F.col(language).alias("_lang"), key)
+    judged_by = judged_by.join(ids.where(~learned_from(F.col("_id"))), "_id", "left_semi")
+    held = materialize(judged_by.join(scores, key).select("_lang", "n_tokens", "log_prob"), "kn-held")
     means = held.groupBy("_lang").agg((F.sum("log_prob") / F.sum("n_tokens")).alias("_mean"), F.count(F.lit(1)).alias("n"))
     rows = means.limit(MAX_LANGUAGES + 1).collect()
     if len(rows) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    spark = df.sparkSession
     lang_type = scored.schema[language].dataType
     lang, mean, cut = (free_name(scored, n) for n in ("_lang", "_mean", "_cut"))
 
@@ -277,7 +381,7 @@ def classify(
     limits = by_language([(r["_lang"], known[r["_lang"]], r.cut) for r in cuts], lang, mean, cut)
     found = scored.join(limits, scored[language].eqNullSafe(limits[lang]), "left")
     return found.select(
-        *(scored[c] for c in scored.columns),
+        *(scored[c] for c in scored.columns if c != key),
         F.pow(F.lit(10.0), -scored["log_prob"] / scored["n_tokens"]).alias("perplexity"),
         limits[cut].alias("threshold"),
         F.coalesce(drawn(limits[mean]) >= limits[cut], F.lit(True)).alias("kept"),

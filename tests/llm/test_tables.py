@@ -232,6 +232,20 @@ def test_kneser_ney_equals_plain_one(spark):
         assert sum(p3(*context, w) for w in [*known, "unseen"]) == pytest.approx(1)
 
 
+def test_classifier_learns_from_every_trusted_text(spark):
+    """7,000 trusted texts: all that one half of the ids holds are counted, however many."""
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choice("abcdefgh") + str(i % 97) for _ in range(4)), "en") for i in range(7000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(7)
+    fold = df.where(F.expr("pmod(xxhash64('fold', doc_id), 2) = 0")).collect()
+    assert len(fold) > 3000
+    plain, _, _ = plain_kneser_ney([r.text for r in fold])
+    got = quality_kn.classify(df, df.select("doc_id"), keep_text=True).collect()
+    assert len(got) == 7000
+    for r in got[::50]:
+        assert r.log_prob == pytest.approx(plain(r.text), rel=1e-5)
+
+
 def quality_rows():
     rng = random.Random(3)
     words = [f"word{i}" for i in range(300)]
