@@ -171,6 +171,9 @@ def track(
     placed = clips.select(*FILE, "duration_ms", "offset_ms").join(
         seeds.select(*SESSION), SESSION, "left_semi"
     )
+    # Few bytes of clips become many rows of windows, masks and edges, so that tasks by size would be too few.
+    parts = int(clips.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = placed.repartition(parts, *FILE)
     windows = tl.window_schedule(placed, window_ms, hop_ms).select(*WINDOW)
     masks = keep(infer(windows))
     overlaps = keep(tl.window_overlaps(masks))

@@ -85,6 +85,23 @@ def test_track(spark):
     assert (w.target_speaker_idx, w.target_cosine, w.target_ms, w.overlap_ms) == (0, 1.0, 5000, 1000)
 
 
+def test_track_deals_clips_over_tasks(spark):
+    """Clips are few bytes, but their windows, masks and edges are not."""
+    clips = spark.createDataFrame(
+        [(f"s{i % 5}", i, 10000, 0) for i in range(40)], "session_id string, file_index int, duration_ms bigint, offset_ms bigint"
+    ).coalesce(1)
+    seeds = spark.createDataFrame([(f"s{i}", T) for i in range(5)], "session_id string, embedding array<double>").coalesce(1)
+    seen = []
+
+    def infer(windows):
+        seen.append(windows.rdd.getNumPartitions())
+        return mask_model([[True] * 500])(windows)
+
+    out = st.track(clips, seeds, infer, voice(0))
+    assert seen == [int(spark.conf.get("spark.sql.shuffle.partitions"))] and seen[0] > 1
+    assert sum(r.target_ms for r in out.file_summary.collect()) == 40 * 10000
+
+
 def test_contaminate(spark):
     cols = "session_id string, file_index int, start_ms bigint, end_ms bigint"
     target = spark.createDataFrame([("s", 0, a, b) for a, b in [(0, 2000), (3000, 5000), (5500, 5800)]], cols)
