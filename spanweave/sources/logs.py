@@ -20,6 +20,8 @@ _RECORD = (
     "payload_sha256 string, entry_sha256 string, schema string, error string"
 )
 _RECORD_NAMES = [f.split(" ")[0] for f in _RECORD.split(", ")]
+#: Folder of part files that hold many logs each, and what a null or empty session is called, as by Spark's writer.
+BUNDLE, NO_SESSION = "bundle=all", "__HIVE_DEFAULT_PARTITION__"
 
 
 def _decoded(name: Column) -> Column:
@@ -42,6 +44,10 @@ def session_of_file(path: Column, uri: bool = True) -> Column:
     return F.when(folder != "", _decoded(folder)).otherwise(stem)
 
 
+def _is_bundle(path: Column) -> Column:
+    return path.rlike(f"/{BUNDLE}/[^/]+$")
+
+
 def has_text(line: Column) -> Column:
     """Whether a line holds more than white space."""
     return line.rlike(r"(?U)\S")
@@ -52,17 +58,22 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
     Large files stay splittable: a line's place is (append, part number in the file's name, file, block
     offset, order within the block). ``position`` orders lines within a log and is unique; blank lines are
-    counted. One log is a file, or a folder ``session_id=...`` of ordered part files.
+    counted. One log is a file, a folder ``session_id=...`` of ordered part files, or the lines of its session in
+    a folder of bundled logs (see ``write_audit``).
     """
     raw = spark.read.option("recursiveFileLookup", "true").text(path)
     # monotonically_increasing_id follows the order in which a task reads its blocks.
     tagged = raw.select(
-        F.col("value").alias("line"),
+        "value",
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_row"),
     )
-    session = session_of_file(F.col("_file"))
+    # In a bundle a line is the escaped session, a tab and the log's line; a log's lines follow each other.
+    mixed = _is_bundle(F.col("_file"))
+    head = F.substring_index("value", "\t", 1)
+    session = F.when(mixed, F.url_decode(head)).otherwise(session_of_file(F.col("_file")))
+    line = F.when(mixed, F.expr("substring(value, locate('\\t', value) + 1)")).otherwise(F.col("value"))
     number = lambda pattern: F.coalesce(
         F.regexp_extract("_file", pattern, 1).try_cast("bigint"), F.lit(0)
     )
@@ -72,7 +83,7 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
         session.alias("session_id"),
         number(r"/append=(\d+)/").alias("_append"),
         number(r"/part-(\d+)-[^/]*$").alias("_part"),
-        "_file", "_block", "_row", "line",
+        "_file", "_block", "_row", line.alias("line"),
     )
     blocks = placed.groupBy(*where).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first")
@@ -154,7 +165,8 @@ def read_audit(spark: SparkSession, path: str, strict: bool = False) -> tuple[Da
     # which the reader has made at the driver anyway.
     listed = spark.read.option("recursiveFileLookup", "true").text(path).inputFiles()
     files = spark.createDataFrame([(f,) for f in listed], "path string")
-    logs = files.select(session_of_file(F.col("path")).alias("session_id")).distinct()
+    single = files.where(~_is_bundle(F.col("path")))
+    logs = single.select(session_of_file(F.col("path")).alias("session_id")).distinct()
     lineless = logs.join(lines.select("session_id"), "session_id", "left_anti").select(
         "session_id", F.lit("log is empty").alias("reason")
     )
@@ -207,22 +219,28 @@ def record_line() -> Column:
 
 
 def write_audit(
-    audit: DataFrame, path: str, keys: tuple[str, ...] = SESSION, mode: str = "errorifexists"
+    audit: DataFrame,
+    path: str,
+    keys: tuple[str, ...] = SESSION,
+    mode: str = "errorifexists",
+    bundled: bool = False,
 ) -> None:
     """One log per session under ``path/session_id=...``, records in ``seq`` order.
 
     Rows are range-partitioned, so a long log spreads over several part files whose numbers follow
-    ``seq``; read in that order they are the log.
+    ``seq``; read in that order they are the log. Many short logs make as many files, which cost more than their
+    records: ``bundled`` writes them (by one key) into shared part files under ``path/bundle=all``, in the same order,
+    each line after its session, escaped as in an URL, and a tab. Readers here take both.
     """
-    (
-        audit.withColumn("line", record_line())
-        .repartitionByRange(*keys, "seq")
-        .sortWithinPartitions(*keys, "seq")
-        .select(*keys, "line")
-        .write.mode(mode)
-        .partitionBy(*keys)
-        .text(path)
-    )
+    rows = audit.withColumn("line", record_line()).repartitionByRange(*keys, "seq").sortWithinPartitions(*keys, "seq")
+    if bundled:
+        (key,) = keys
+        session = F.coalesce(F.nullif(F.url_encode(F.col(key).cast("string")), F.lit("")), F.lit(NO_SESSION))
+        folder, value = BUNDLE.split("=")
+        rows = rows.select(F.lit(value).alias(folder), F.concat_ws("\t", session, "line").alias("line"))
+        rows.write.mode(mode).partitionBy(folder).text(path)
+    else:
+        rows.select(*keys, "line").write.mode(mode).partitionBy(*keys).text(path)
 
 
 # ---------------------------------------------------------------- appending
@@ -278,7 +296,7 @@ def changed_tails(spark: SparkSession, path: str, state: DataFrame) -> DataFrame
 
 
 def append_audit(
-    records: DataFrame, order: Sequence[str], path: str, append: int | None = None
+    records: DataFrame, order: Sequence[str], path: str, append: int | None = None, bundled: bool = False
 ) -> DataFrame:
     """Chain ``records`` (as for ``chain_build``) onto the logs under ``path``; return failures.
 
@@ -288,6 +306,7 @@ def append_audit(
     number that is finished is left as it is, so that a stream may pass its batch ids. Sessions are text.
     A log whose last record in the files is not what the state says is not appended to; such
     sessions are the failures (``session_id, reason``), and the rest goes on. One writer at a time.
+    ``bundled`` is passed on to ``write_audit``; appends of one folder may differ in it.
     """
     spark = records.sparkSession
     finished = _appends(spark, path)
@@ -307,7 +326,7 @@ def append_audit(
         rows = rows.join(failures.select("session_id"), "session_id", "left_anti")
         open_ = open_.join(failures.select("session_id"), "session_id", "left_anti")
     grown = materialize(chain_build(rows, order, tails=open_), "log-append")
-    write_audit(grown, f"{path}/append={number:09d}", mode="overwrite")
+    write_audit(grown, f"{path}/append={number:09d}", mode="overwrite", bundled=bundled)
     tails = chain_tails(grown).withColumn("append", F.lit(number).cast("bigint"))
     others = state.join(tails.select("session_id"), "session_id", "left_anti")
     others.unionByName(tails).write.mode("overwrite").parquet(f"{path}/_state/{number:09d}")

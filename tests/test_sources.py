@@ -204,6 +204,27 @@ def test_audit_log_round_trip(spark, tmp_path):
     assert sorted(map(str, back.select(*same).collect())) == sorted(map(str, chain.select(*same).collect()))
 
 
+def test_many_logs_share_files(spark, tmp_path):
+    """Two hundred logs in few files, one of them long, with sessions that need escaping; then one append more."""
+    sizes = {f"s{i}": 2 for i in range(200)} | {"long": 300, "d+e/f": 3, "tab\there %41": 2}
+    whole, path = records(spark, sizes), str(tmp_path / "log")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        logs.append_audit(whole.where("n < 1"), ["n"], path, bundled=True)
+        assert logs.append_audit(whole.where("n >= 1"), ["n"], path, bundled=True).count() == 0
+        got, failures = appended(spark, path)
+        found = logs.read_audit(spark, path)[0].select("session_id", "position", "seq").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    want = au.chain_build(whole, ["n"])
+    assert failures == [] and got == sorted(want.select(got[0].__fields__).collect(), key=str)
+    assert sorted((r.session_id, r.seq) for r in found) == sorted((s, i) for s, n in sizes.items() for i in range(n))
+    assert all(r.position == r.seq for r in found)
+    assert len(list((tmp_path / "log").glob("append=*/**/part-*"))) <= 16
+
+
 def test_read_audit_reports_bad_logs(spark, tmp_path):
     rec = {"schema": "x-manifest-v1", "seq": 0, "operation": "o", "payload": {"b": 1.50, "a": 1e-5}}
     (tmp_path / "good.manifest.jsonl").write_text("\n" + json.dumps(rec) + "\n\n" + "{broken\n[1]\n")
