@@ -113,6 +113,10 @@ def _sha256(file, size: int) -> str:
     return state.hexdigest()
 
 
+def _file_tasks(spark: SparkSession) -> int:
+    return FILE_TASKS * spark.sparkContext.defaultParallelism
+
+
 def index_wavs(files: DataFrame, digest: bool = True) -> DataFrame:
     """Headers of the files named by ``path`` and ``length``; an unreadable file gets nulls.
 
@@ -137,8 +141,7 @@ def index_wavs(files: DataFrame, digest: bool = True) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     # Spark plans a task for every few small files; a Python task each would mostly be start-up.
-    most = FILE_TASKS * files.sparkSession.sparkContext.defaultParallelism
-    return files.select("path", "length").coalesce(most).mapInArrow(run, _INDEX).withColumn("duration_ms", samples_to_ms("n_frames", "sample_rate"))
+    return files.select("path", "length").coalesce(_file_tasks(files.sparkSession)).mapInArrow(run, _INDEX).withColumn("duration_ms", samples_to_ms("n_frames", "sample_rate"))
 
 
 def read_clip_index(spark: SparkSession, path: str, rate: int = TARGET_RATE, digest: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -352,7 +355,20 @@ def written_clips(spark: SparkSession, path: str) -> DataFrame:
     store, place = store_of(path)
     if store.get_file_info(f"{place}/_SUCCESS").type == fs.FileType.NotFound:
         raise ValueError(f"no committed clips under {path}")
+    # Only the folders of the parts are listed here: their files may be millions.
+    parts = sorted(f.base_name for f in store.get_file_info(fs.FileSelector(place)) if f.base_name.startswith("part-"))
     schema = "session_id string, name string, file string, n_bytes bigint, sha256 string"
-    return (
-        spark.read.schema(schema).option("recursiveFileLookup", "true").option("pathGlobFilter", MANIFEST).parquet(path)
-    )
+    if not parts:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*[f"{path.rstrip('/')}/{p}/{MANIFEST}" for p in parts])
+
+
+def written_clip_index(
+    spark: SparkSession, path: str, rate: int = TARGET_RATE, digest: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """:func:`read_clip_index` of the files of a committed job, which its parts' tables name: no folder is listed."""
+    written = written_clips(spark, path)
+    folder = F.regexp_replace(F.col("_metadata.file_path"), "[^/]+$", "") if written.inputFiles() else F.lit("")
+    place = F.concat(F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B"))), "file")
+    files = written.select(place.alias("path"), F.col("n_bytes").alias("length"))
+    return split_wavs(index_wavs(files.repartition(_file_tasks(spark)), digest), rate)

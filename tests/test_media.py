@@ -130,6 +130,21 @@ def test_clips_of_one_name_that_differ_are_refused(spark, tmp_path):
         media.write_wav_files(df.withColumn("session_id", F.lit(None).cast("string")), str(tmp_path / "out"))
 
 
+def test_index_of_written_files_equals_that_of_their_folder(spark, tmp_path):
+    """The parts' tables name the files, so that a folder of millions is not listed."""
+    out = tmp_path / "a folder+%41"
+    rows = [(s, f"clip{i}.wav", bytearray(media.wav_header(2 * i, RATE, 1) + bytes(2 * i))) for s in ("s", "d+e/f %2B") for i in range(9)]
+    written = media.write_wav_files(spark.createDataFrame(rows, "session_id string, name string, wav binary"), str(out))
+    assert all(f.endswith(media.MANIFEST) for f in written.inputFiles()) and written.count() == 18
+    found, _ = media.written_clip_index(spark, str(out), RATE)
+    listed, _ = media.read_clip_index(spark, str(out), RATE)
+    # Spark lists local paths as URIs of its own spelling.
+    bare = lambda df: sorted((r.path.replace("file:", "").replace("//", ""), r.n_frames, r.data_offset, r.sha256) for r in df.collect())
+    assert bare(found) == bare(listed) and len(bare(found)) >= 16
+    none = media.write_wav_files(spark.createDataFrame([], "session_id string, name string, wav binary"), str(tmp_path / "none"))
+    assert none.count() == 0 and media.written_clip_index(spark, str(tmp_path / "none"), RATE)[0].count() == 0
+
+
 def test_empty_tables(spark, folder, tmp_path):
     index = index_of(spark, folder)
     assert media.clips_from_files(segments(spark).limit(0), index).count() == 0
