@@ -5,18 +5,20 @@ one of two halves; all texts of one half are counted, and all of the other give
 log probability is below a quantile of the trusted documents of their language that were not counted are rejected.
 A language with too few of these has no quantile and nothing of it is rejected.
 
-Neither counts nor model ever meet in one place. Texts are read once and packed into blocks of about
-``BLOCK_TOKENS`` tokens. For every order, from trigrams down, a block sends its distinct n-grams, as sorted hashes
-with what it knows of their counts, to shards of the hash space; a shard adds up all blocks' counts and answers each
-block for the n-grams it asked for. Lower orders count different contexts: of the blocks that hold an n-gram, the
-shard names one that counts it for the next order. A block then has all counts that its texts need. What is shuffled
-is one entry per block and distinct n-gram, and an n-gram of any frequency is one entry per block.
+Neither counts nor model ever meet in one place. Learned texts are packed into blocks of about ``BLOCK_TOKENS``
+tokens. For every order, from trigrams down, a block sends its distinct n-grams, as sorted hashes with what it knows
+of their counts, to shards of the hash space; a shard adds up all blocks' counts. Lower orders count different
+contexts: of the blocks that hold an n-gram, the shard names one that counts it for the next order. The shards' sums
+are the model. All texts are then scored in at most ``ROUNDS`` rounds: their blocks ask the shards for the counts of
+all their n-grams. What is shuffled is one entry per block and distinct n-gram, and an n-gram of any frequency is one
+entry per block; a round's files are gone before the next, so that the disk never holds all of these at once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -41,7 +43,7 @@ from spanweave.llm.lm_score import (
     unpack_keys,
 )
 from spanweave.llm.textbatch import free_name, slices, text_buffer, words
-from spanweave.operators.lineage import materialize
+from spanweave.operators.lineage import discard, materialize
 
 #: Trusted documents below this share of their language's distribution would be rejected.
 QUANTILE = 0.01
@@ -51,14 +53,20 @@ MIN_TRUSTED = 50
 #: Short texts are drawn to their language's mean by so many average tokens.
 PRIOR_TOKENS = 20
 MAX_LANGUAGES = 10_000
+#: Texts are scored in a round for every so many bytes, at most in ``ROUNDS``.
+ROUND_BYTES, ROUNDS = 16 << 20, 8
 WORD, PAIR, TRIGRAM = 1, 2, 3
 #: Of an n-gram: its count, and as a context the numbers of n-grams that follow once, twice and more often, and all.
 COUNTS = ("c", "n1", "n2", "n3", "total")
-BLOCK_SCHEMA = "block long, keys array<binary>, ids array<bigint>, ends binary, tokens binary, vocabulary binary"
-ASKED_SCHEMA = "block long, shard int, keys binary, " + ", ".join(f"{c} binary" for c in COUNTS)
-#: With the totals of the shard: how many counts are 1 to 4, how many there are, and their sum.
+#: With the totals of a shard: how many counts are 1 to 4, how many there are, and their sum.
 TOTALS = ("seen1", "seen2", "seen3", "seen4", "kinds", "seen")
-REPLY_SCHEMA = "block long, shard int, " + ", ".join([*(f"{c} binary" for c in COUNTS), *(f"{t} long" for t in TOTALS)])
+BLOCK_SCHEMA = "block long, keys array<binary>, ends binary, tokens binary, vocabulary binary"
+ASK_SCHEMA = "block long, n int, shard int, keys binary"
+COUNT_SCHEMA = ", ".join(f"{c} binary" for c in COUNTS)
+TOLD_SCHEMA = f"{ASK_SCHEMA}, {COUNT_SCHEMA}"
+#: Replies to blocks, and one row a shard without a block: all its n-grams and their counts.
+SUM_SCHEMA = f"{TOLD_SCHEMA}, " + ", ".join(f"{t} long" for t in TOTALS)
+REPLY_SCHEMA = f"block long, n int, shard int, {COUNT_SCHEMA}"
 
 
 def text_key(text: Column) -> Column:
@@ -66,11 +74,29 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary")))
 
 
+def packed(raw: bytes) -> bytes:
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def unpacked(raw: bytes) -> bytes:
+    return pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), "zstd", asbytes=True)
+
+
+def planes(values: np.ndarray) -> bytes:
+    """Numbers with the lowest bytes of all first, so that the empty bytes compress."""
+    return packed(np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T).tobytes())
+
+
+def from_planes(raw: bytes, dtype: str) -> np.ndarray:
+    width = np.dtype(dtype).itemsize
+    return np.ascontiguousarray(np.frombuffer(unpacked(raw), np.uint8).reshape(width, -1).T).view(dtype).ravel()
+
+
 def to_blocks(rows: DataFrame) -> DataFrame:
-    """Rows ``key, id, text`` as blocks: tokens are numbers of a block's words, of which 0 ends a text."""
+    """Rows ``key, text`` as blocks: tokens are numbers of a block's words, of which 0 ends a text."""
 
-    def packed(number: int, held: list) -> pa.RecordBatch:
-        keys, ids, lengths, found = (sum((list(h[i]) for h in held), []) for i in range(4))
+    def block(number: int, held: list) -> pa.RecordBatch:
+        keys, lengths, found = (sum((list(h[i]) for h in held), []) for i in range(3))
         coded = pa.chunked_array(found).combine_chunks().dictionary_encode()
         at, known = coded.indices.to_numpy(), coded.dictionary.to_pylist()
         # Frequent words first: small numbers compress better.
@@ -80,11 +106,9 @@ def to_blocks(rows: DataFrame) -> DataFrame:
         ends = np.cumsum(np.array(lengths, np.int64))
         tokens = np.insert(rank[at], ends - np.arange(1, len(ends) + 1), 0)
         vocabulary = [END_KEY] + [xxhash.xxh64_intdigest(known[i]) >> (64 - KEY_BITS) for i in order]
-        planes = tokens.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
         out = {
-            "block": [number], "keys": pa.array([keys], pa.list_(pa.binary())), "ids": pa.array([ids], pa.list_(pa.int64())),
-            "ends": [ends.astype("<i8").tobytes()], "tokens": [pa.compress(planes, "zstd", asbytes=True)],
-            "vocabulary": [np.array(vocabulary, "<u8").tobytes()],
+            "block": [number], "keys": pa.array([keys], pa.list_(pa.binary())), "ends": [planes(ends.astype("<i8"))],
+            "tokens": [planes(tokens.astype("<u4"))], "vocabulary": [planes(np.array(vocabulary, "<u8"))],
         }
         return pa.RecordBatch.from_pydict(out)
 
@@ -93,15 +117,15 @@ def to_blocks(rows: DataFrame) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "text", BATCH_BYTES):
                 found, at = words(*text_buffer(part.column("text")))
-                held.append((part.column("key").to_pylist(), part.column("id").to_pylist(), np.diff(at) + 1, [found]))
+                held.append((part.column("key").to_pylist(), np.diff(at) + 1, [found]))
                 size += len(found) + part.num_rows
                 if size >= BLOCK_TOKENS:
-                    yield packed(number, held)
+                    yield block(number, held)
                     number, held, size = number + 1, [], 0
         if size:
-            yield packed(number, held)
+            yield block(number, held)
 
-    return rows.select("key", "id", "text").mapInArrow(run, BLOCK_SCHEMA)
+    return rows.select("key", "text").mapInArrow(run, BLOCK_SCHEMA)
 
 
 class BlockGrams:
@@ -112,11 +136,9 @@ class BlockGrams:
     """
 
     def __init__(self, row: dict):
-        self.ends = np.frombuffer(row["ends"], "<i8")
-        n = int(self.ends[-1])
-        planes = np.frombuffer(pa.decompress(row["tokens"], 4 * n, "zstd", asbytes=True), np.uint8).reshape(4, -1)
-        tokens = np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
-        vocabulary = np.frombuffer(row["vocabulary"], "<u8")
+        self.ends = from_planes(row["ends"], "<i8")
+        tokens = from_planes(row["tokens"], "<u4").astype(np.int64)
+        vocabulary = from_planes(row["vocabulary"], "<u8")
         self.starts = np.concatenate([[0], self.ends[:-1]])
         # Before a text are two starts, which have the number behind all words.
         before = np.concatenate([[0], tokens[:-1]])
@@ -133,24 +155,20 @@ class BlockGrams:
             bigram_keys(pair_keys[context], word_keys[word_at[tokens]]), return_index=True, return_inverse=True
         )
         pair_first = np.zeros(len(pair_keys), np.int64)
-        pair_first[pair_at] = np.arange(n)
+        pair_first[pair_at] = np.arange(len(tokens))
         self.keys = {WORD: word_keys, PAIR: pair_keys, TRIGRAM: gram_keys}
         self.at = {WORD: word_at[tokens], PAIR: pair_at, TRIGRAM: gram_at}
         self.context = {PAIR: word_at[before], TRIGRAM: context}
         self.first = {PAIR: pair_first, TRIGRAM: gram_first}
-        learned = np.zeros(len(self.ends), bool)
-        learned[[] if row["learned"] is None else row["learned"]] = True
-        self.learned = np.repeat(learned, np.diff(self.ends, prepend=0))
 
     def told(self, order: int, answers: pd.DataFrame | None) -> dict[str, np.ndarray]:
-        """What the block knows of the counts of an order, given the counts of the order above."""
+        """What a learned block knows of the counts of an order, given the counts of the order above."""
         n = len(self.keys[order])
         if order == TRIGRAM:
-            c = np.bincount(self.at[TRIGRAM][self.learned], minlength=n)
-            return {k: c if k == "c" else np.zeros(n, np.int64) for k in COUNTS}
+            return {"c": np.bincount(self.at[TRIGRAM], minlength=n)}
         above = answered(answers)
-        own = np.flatnonzero(above["own"] & (above["c"] > 0))
-        c, first = above["c"][own], self.first[order + 1][own]
+        own = np.flatnonzero(above["c"] & 1)
+        c, first = above["c"][own] >> 1, self.first[order + 1][own]
         follows = self.context[order + 1][first]
         return {
             "c": np.bincount(self.at[order][first], minlength=n),
@@ -158,50 +176,103 @@ class BlockGrams:
             "total": np.bincount(follows, c, minlength=n).astype(np.int64),
         }
 
+    def by_shard(self, order: int, shards: int) -> Iterator[tuple[int, slice]]:
+        """The shards of an order's n-grams, which are ranges of keys."""
+        at = (self.keys[order] >> np.uint64(KEY_BITS - (shards.bit_length() - 1))).astype(np.int64)
+        bounds = np.searchsorted(at, np.arange(shards + 1))
+        return ((int(s), slice(bounds[s], bounds[s + 1])) for s in np.flatnonzero(np.diff(bounds)))
+
+
+def packed_counts(counts: dict[str, np.ndarray], at: slice) -> list[bytes | None]:
+    """Counts that an order does not have are null."""
+    return [packed(pack_counts(counts[c][at])) if c in counts else None for c in COUNTS]
+
+
+def summed_counts(parts: pd.DataFrame) -> dict[str, np.ndarray]:
+    """The counts of all rows, end to end."""
+    known = [c for c in COUNTS if len(parts) and parts[c].iloc[0] is not None]
+    return {c: np.concatenate([unpack_counts(unpacked(x)) for x in parts[c]]) for c in known}
+
 
 def answered(answers: pd.DataFrame) -> dict[str, np.ndarray]:
-    """The counts of a block's n-grams of one order, and whether the block is the one to count an n-gram."""
-    parts = answers.sort_values("shard")
-    out = {c: np.concatenate([unpack_counts(x) for x in parts[c]]) for c in COUNTS}
-    return {**out, "c": out["c"] >> 1, "own": (out["c"] & 1) == 1}
+    """The counts of a block's n-grams of one order."""
+    return summed_counts(answers.sort_values("shard"))
 
 
-def _asks(order: int, shards: int) -> Callable[[pd.DataFrame, pd.DataFrame | None], pd.DataFrame]:
-    """One block's distinct n-grams of an order, a row a shard."""
-    shift = np.uint64(KEY_BITS - (shards.bit_length() - 1))
+def _tell(order: int, shards: int) -> Callable[[pd.DataFrame, pd.DataFrame | None], pd.DataFrame]:
+    """One learned block's distinct n-grams of an order and what it knows of their counts, a row a shard."""
 
-    def ask(block: pd.DataFrame, answers: pd.DataFrame | None) -> pd.DataFrame:
-        row = block.iloc[0].to_dict()
-        grams = BlockGrams(row)
-        keys, told = grams.keys[order], grams.told(order, answers)
-        bounds = np.searchsorted((keys >> shift).astype(np.int64), np.arange(shards + 1))
-        spans = [(s, slice(bounds[s], bounds[s + 1])) for s in np.flatnonzero(np.diff(bounds))]
-        out = [(row["block"], int(s), pack_keys(keys[at]), *(pack_counts(told[c][at]) for c in COUNTS)) for s, at in spans]
-        return pd.DataFrame(out, columns=["block", "shard", "keys", *COUNTS])
+    def tell(block: pd.DataFrame, answers: pd.DataFrame | None) -> pd.DataFrame:
+        grams = BlockGrams(block.iloc[0].to_dict())
+        told = grams.told(order, answers)
+        out = [
+            (block["block"].iloc[0], order, s, packed(pack_keys(grams.keys[order][at])), *packed_counts(told, at))
+            for s, at in grams.by_shard(order, shards)
+        ]
+        return pd.DataFrame(out, columns=["block", "n", "shard", "keys", *COUNTS])
 
-    return ask
+    return tell
 
 
-def _answer(asked: pd.DataFrame) -> pd.DataFrame:
-    """One shard: add up the counts of all blocks, give each block those of its keys, and mark one block for each."""
-    parts = [unpack_keys(k) for k in asked["keys"]]
+def _sum(told: pd.DataFrame) -> pd.DataFrame:
+    """One shard: add up the counts of all blocks, give each block the count of its keys, twice and one more for the
+    one block that is to count a key for the next order, and keep the sums of all keys."""
+    parts = [unpack_keys(unpacked(k)) for k in told["keys"]]
     keys, first, at = np.unique(np.concatenate(parts), return_index=True, return_inverse=True)
     edges = np.cumsum([0] + [len(p) for p in parts])
     del parts
-    out = asked[["block", "shard"]].copy()
-    for name in COUNTS:
-        sums = np.zeros(len(keys), np.int64)
-        np.add.at(sums, at, np.concatenate([unpack_counts(c) for c in asked[name]]))
-        values = sums[at]
-        if name == "c":
-            seen = [int((sums == i).sum()) for i in (1, 2, 3, 4)] + [int((sums > 0).sum()), int(sums.sum())]
-            own = np.zeros(len(at), np.int64)
-            own[first] = 1
-            values = 2 * values + own
-        out[name] = [pack_counts(values[a:b]) for a, b in zip(edges[:-1], edges[1:])]
-    for name, total in zip(TOTALS, seen):
-        out[name] = 0
-        out.loc[out.index[0], name] = total
+    sums = {}
+    for name, values in summed_counts(told).items():
+        sums[name] = np.zeros(len(keys), np.int64)
+        np.add.at(sums[name], at, values)
+    c = sums["c"]
+    values = 2 * c[at]
+    values[first] += c > 0
+    replies = told[["block", "n", "shard"]].astype({"block": "Int64"})
+    replies["c"] = [packed(pack_counts(values[a:b])) for a, b in zip(edges[:-1], edges[1:])]
+    whole = {"n": told["n"].iloc[0], "shard": told["shard"].iloc[0], "keys": packed(pack_keys(keys))}
+    whole |= dict(zip(COUNTS, packed_counts(sums, slice(None))))
+    whole |= dict(zip(TOTALS, [*(int((c == i).sum()) for i in (1, 2, 3, 4)), int((c > 0).sum()), int(c.sum())]))
+    columns = ["block", "n", "shard", "keys", *COUNTS, *TOTALS]
+    out = pd.concat([replies, pd.DataFrame([whole])], ignore_index=True).reindex(columns=columns)
+    out = out.astype({t: "Int64" for t in TOTALS} | {b: object for b in ("keys", *COUNTS)})
+    return out.where(out.notna(), None).astype({t: "Int64" for t in ("block", *TOTALS)})
+
+
+def _ask(shards: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """All distinct n-grams of every block, a row an order and shard."""
+    schema = pa.schema([("block", pa.int64()), ("n", pa.int32()), ("shard", pa.int32()), ("keys", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                grams = BlockGrams(row)
+                for n in (WORD, PAIR, TRIGRAM):
+                    out = [(row["block"], n, s, packed(pack_keys(grams.keys[n][at]))) for s, at in grams.by_shard(n, shards)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+
+    return run
+
+
+def _reply(asked: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
+    """One shard and order: the counts of every block's n-grams."""
+    out = asked[["block", "n", "shard"]].copy()
+    if len(model):
+        keys, counts = unpack_keys(unpacked(model["keys"].iloc[0])), summed_counts(model)
+    else:
+        keys, counts = np.zeros(0, np.uint64), {}
+    replies = []
+    for raw in asked["keys"]:
+        own = unpack_keys(unpacked(raw))
+        at = np.minimum(np.searchsorted(keys, own), max(len(keys) - 1, 0))
+        known = keys[at] == own if len(keys) else np.zeros(len(own), bool)
+        found = {c: np.where(known, values[at], 0) for c, values in counts.items()} if len(keys) else {}
+        missing = COUNTS if asked["n"].iloc[0] != TRIGRAM else COUNTS[:1]
+        found |= {c: np.zeros(len(own), np.int64) for c in missing if c not in found}
+        replies.append(packed_counts(found, slice(None)))
+    for i, name in enumerate(COUNTS):
+        out[name] = [r[i] for r in replies]
     return out
 
 
@@ -250,54 +321,65 @@ def log_probabilities(grams: BlockGrams, counts: dict[int, dict[str, np.ndarray]
     return np.log10(p)
 
 
+def learn(training: DataFrame) -> tuple[DataFrame, dict[int, Order]]:
+    """The model of all rows (``key, text``): a row an order and shard, and each order's numbers."""
+    shards = shard_count(training.sparkSession)
+    blocks = materialize(to_blocks(training), "kn-learned", once=True)
+    sums: dict[int, DataFrame] = {}
+    for order in (TRIGRAM, PAIR, WORD):
+        tell, each = _tell(order, shards), blocks.groupBy("block")
+        if order == TRIGRAM:
+
+            def count(block: pd.DataFrame) -> pd.DataFrame:
+                return _tell(TRIGRAM, shards)(block, None)
+
+            told = each.applyInPandas(count, TOLD_SCHEMA)
+        else:
+            above = sums[order + 1].where("block IS NOT NULL").select("block", "n", "shard", *COUNTS)
+            told = each.cogroup(above.groupBy("block")).applyInPandas(tell, TOLD_SCHEMA)
+        sums[order] = materialize(told.groupBy("shard").applyInPandas(_sum, SUM_SCHEMA), f"kn-sums-{order}", once=True)
+    orders = {n: Order.of(part) for n, part in sums.items()}
+    whole = reduce(DataFrame.unionByName, sums.values()).where("block IS NULL")
+    model = materialize(whole.select("n", "shard", "keys", *COUNTS), "kn-model", once=True)
+    discard(blocks, *sums.values())
+    return model, orders
+
+
 def text_scores(rows: DataFrame, training: DataFrame) -> DataFrame:
-    """``key, n_tokens, log_prob`` of every distinct ``key`` of ``rows`` (``key, id, text``): words and one end, and
-    the text's log10 probability under the model of all rows whose id is one of ``training``'s ``_id``."""
+    """``key, n_tokens, log_prob`` of every distinct ``key`` of ``rows`` (``key, text``): words and one end, and
+    the text's log10 probability under the model of all rows of ``training`` (``key, text``)."""
     spark = rows.sparkSession
     shards = shard_count(spark)
-    found = materialize(to_blocks(rows), "kn-blocks")
-    learned = (
-        found.select("block", F.posexplode("ids").alias("n", "_id"))
-        .join(training, "_id", "left_semi")
-        .groupBy("block").agg(F.collect_list("n").alias("learned"))
-    )
-    # Kept with its partitioning, which a written table would lose: the steps below group by block.
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = found.repartition(parts, "block").join(learned, "block", "left").persist()
-    try:
-        replies: dict[int, DataFrame] = {}
-        for order in (TRIGRAM, PAIR, WORD):
-            ask, each = _asks(order, shards), blocks.groupBy("block")
-            if order == TRIGRAM:
-
-                def count(block: pd.DataFrame) -> pd.DataFrame:
-                    return _asks(TRIGRAM, shards)(block, None)
-
-                asked = each.applyInPandas(count, ASKED_SCHEMA)
-            else:
-                above = replies[order + 1].select("block", "shard", *COUNTS)
-                asked = each.cogroup(above.groupBy("block")).applyInPandas(ask, ASKED_SCHEMA)
-            replies[order] = materialize(asked.groupBy("shard").applyInPandas(_answer, REPLY_SCHEMA), f"kn-replies-{order}")
-        orders = {n: Order.of(r) for n, r in replies.items()}
-
-        def scored(block: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-            row = block.iloc[0].to_dict()
-            grams = BlockGrams(row)
-            logs = log_probabilities(grams, {n: answered(part) for n, part in answers.groupby("n")}, orders)
-            lengths = np.diff(grams.ends, prepend=0)
-            return pd.DataFrame({"key": list(row["keys"]), "n_tokens": lengths, "log_prob": np.add.reduceat(logs, grams.starts)})
-
-        answers = None
-        for n, reply in replies.items():
-            part = reply.select(F.lit(n).alias("n"), "block", "shard", *COUNTS)
-            answers = part if answers is None else answers.unionByName(part)
+    model, orders = learn(training)
+
+    def scored(block: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        row = block.iloc[0].to_dict()
+        grams = BlockGrams(row)
+        logs = log_probabilities(grams, {n: answered(part) for n, part in answers.groupby("n")}, orders)
+        lengths = np.diff(grams.ends, prepend=0)
+        return pd.DataFrame({"key": list(row["keys"]), "n_tokens": lengths, "log_prob": np.add.reduceat(logs, grams.starts)})
+
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    rounds = min(max(size // ROUND_BYTES, 1), ROUNDS)
+    scores = []
+    for i in range(rounds):
+        # Equal texts meet in one round.
+        own = rows.where(F.pmod(F.xxhash64("key"), F.lit(rounds)) == i) if rounds > 1 else rows
+        blocks = materialize(to_blocks(own), "kn-blocks", once=True)
+        asked = blocks.mapInArrow(_ask(shards), ASK_SCHEMA)
+        replies = materialize(
+            asked.groupBy("n", "shard").cogroup(model.groupBy("n", "shard")).applyInPandas(_reply, REPLY_SCHEMA),
+            "kn-replies", once=True,
+        )
         by_text = (
-            blocks.groupBy("block").cogroup(answers.groupBy("block"))
+            blocks.groupBy("block").cogroup(replies.groupBy("block"))
             .applyInPandas(scored, "key binary, n_tokens long, log_prob double")
         )
-        return materialize(by_text.groupBy("key").agg(F.max("n_tokens").alias("n_tokens"), F.max("log_prob").alias("log_prob")), "kn-scores")
-    finally:
-        blocks.unpersist()
+        best = by_text.groupBy("key").agg(F.max("n_tokens").alias("n_tokens"), F.max("log_prob").alias("log_prob"))
+        scores.append(materialize(best, "kn-scores", once=True))
+        discard(blocks, replies)
+    discard(model)
+    return reduce(DataFrame.unionByName, scores)
 
 
 @dataclass(frozen=True)
@@ -316,9 +398,8 @@ def score(df: DataFrame, model: KneserNey, text: str = "text") -> DataFrame:
     """Add ``n_tokens`` (words and one end) and ``log_prob`` (log10) of every whole text."""
     key = free_name(df, "_key")
     keyed = df.drop("n_tokens", "log_prob").withColumn(key, text_key(F.col(text)))
-    own = keyed.select(F.col(key).alias("key"), F.lit(None).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    learned = model.texts.select(text_key(F.col("text")).alias("key"), F.lit(1).cast("long").alias("id"), "text")
-    scores = text_scores(own.unionByName(learned), df.sparkSession.range(1, 2).select(F.col("id").alias("_id")))
+    own = keyed.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    scores = text_scores(own, model.texts.select(text_key(F.col("text")).alias("key"), "text"))
     return keyed.join(scores.withColumnRenamed("key", key), key).select(*[c for c in keyed.columns if c != key], "n_tokens", "log_prob")
 
 
@@ -351,8 +432,9 @@ def classify(
     new = ["n_tokens", "log_prob", "perplexity", "threshold", "kept"]
     key = free_name(df, "_key")
     keyed = df.drop(*new).withColumn(key, text_key(F.col(text)))
-    rows = keyed.select(F.col(key).alias("key"), F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    scores = text_scores(rows, ids.where(learned_from(F.col("_id")))).withColumnRenamed("key", key)
+    rows = keyed.select(F.col(key).alias("key"), F.col(doc_id).cast("long").alias("_id"), F.col(text).cast("string").alias("text"))
+    training = rows.join(ids.where(learned_from(F.col("_id"))), "_id", "left_semi")
+    scores = text_scores(rows.drop("_id"), training.drop("_id")).withColumnRenamed("key", key)
     scored = (keyed if keep_text else keyed.drop(text)).join(scores, key)
     # One row a document, without its text.
     judged_by = keyed.select(F.col(doc_id).cast("long").alias("_id"), F.col(language).alias("_lang"), key)

@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _written: list[str] = []
 
 
@@ -47,13 +49,34 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/spanweave/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialize`` returned and that nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        folders = {file.rpartition("/")[0].rpartition("/")[2] for file in table.inputFiles()}
+        for path in _written:
+            if path.rpartition("/")[2] in folders:
+                place = spark._jvm.org.apache.hadoop.fs.Path(path)
+                place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def materialize(df: DataFrame, name: str = "table", once: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder as Parquet and read it back.
 
     Unlike a cached plan this survives the loss of executors, and unlike an RDD checkpoint readers
-    still prune columns, push filters down and know the true size when choosing a join.
+    still prune columns, push filters down and know the true size when choosing a join. With ``once`` the
+    shuffles of the write are removed when it ends, and not whenever the driver collects garbage.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    before = df.sparkSession.conf.get(SHUFFLE_CLEANUP, None)
+    if once:
+        df.sparkSession.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if once and before is None:
+            df.sparkSession.conf.unset(SHUFFLE_CLEANUP)
+        elif once:
+            df.sparkSession.conf.set(SHUFFLE_CLEANUP, before)
     _written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

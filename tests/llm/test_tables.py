@@ -3,6 +3,7 @@
 import math
 import random
 import sys
+import time
 from collections import Counter
 from pathlib import Path
 
@@ -13,6 +14,7 @@ from tests.llm import brute
 
 from spanweave.llm import chat_format, embedding_dedup, mixing, quality_kn, queries
 from spanweave.llm.components import connected_components
+from spanweave.operators.lineage import discard, materialize
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2] / "tools"))
 
@@ -246,6 +248,47 @@ def test_classifier_learns_from_every_trusted_text(spark):
         assert r.log_prob == pytest.approx(plain(r.text), rel=1e-5)
 
 
+def test_classifier_scores_in_rounds_and_keeps_no_large_table(spark, monkeypatch):
+    """Rounds change no figure, and of what they write only the scores are left."""
+    texts = some_texts(4, 300)
+    df = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    figures = ("doc_id", "n_tokens", "log_prob", "threshold", "kept")
+    root = Path(spark.conf.get("spark.checkpoint.dir")) / "spanweave"
+
+    def run():
+        before = set(root.glob("*"))
+        judged = quality_kn.classify(df, df.select("doc_id"))
+        left = {p.name.rpartition("-")[0] for p in set(root.glob("*")) - before}
+        return sorted(tuple(r[c] for c in figures) for r in judged.collect()), left
+
+    whole, left = run()
+    assert left == {"kn-trusted", "kn-scores", "kn-held"}
+    monkeypatch.setattr(quality_kn, "ROUND_BYTES", 1000)
+    monkeypatch.setattr(quality_kn, "ROUNDS", 3)
+    assert run() == (whole, left)
+
+
+def test_table_written_once_leaves_no_shuffle(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        blocks = disk.getAllBlocks()
+        return {n for n in (blocks.apply(i).name() for i in range(blocks.size())) if n.startswith("shuffle_")}
+
+    before = shuffles()
+    table = materialize(spark.range(1000).repartition(5).groupBy((F.col("id") % 7).alias("k")).count(), once=True)
+    assert table.agg(F.sum("count")).first()[0] == 1000
+    written = {n.split("_")[1] for n in shuffles() - before}
+    for _ in range(40):
+        if len(written) <= 1:  # of the sum, which is collected
+            break
+        time.sleep(0.25)
+        written = {n.split("_")[1] for n in shuffles() - before}
+    assert len(written) <= 1
+    discard(table)
+    assert not [f for f in table.inputFiles() if Path(f.removeprefix("file:")).exists()]
+
+
 def quality_rows():
     rng = random.Random(3)
     words = [f"word{i}" for i in range(300)]
