@@ -1,11 +1,12 @@
 """Importance resampling towards a target corpus, by hashed word n-grams.
 
-Words come from an untrained pre-tokeniser of the tokenizers library: a split on a regular expression over
-the text with A-Z lowered, which returns every word with its offsets. A feature is a run of one to
-three words, joined by one space; its bucket is a CRC of its bytes. Two histograms over the buckets,
-of the raw corpus and of the target, give every bucket a gain (the logarithm of the ratio of smoothed
-shares), and a document's weight is the sum of the gains of its features. A draw without
-replacement by these weights is a top-k of weight plus a Gumbel variable hashed from the document's id.
+Words come from an untrained pre-tokeniser of the tokenizers library: a split at spaces over the text with
+A-Z lowered and whatever parts words made a space, which returns every word with its offsets. A feature is
+a run of one to three words, joined by one space; its bucket is a CRC of its bytes, put together from the
+CRCs of its words. Two histograms over the buckets, of the raw corpus and of the target, give every bucket
+a gain (the logarithm of the ratio of smoothed shares), and a document's weight is the sum of the gains of
+its features. A draw without replacement by these weights is a top-k of weight plus a Gumbel variable hashed
+from the document's id.
 
 Texts are read once. Their buckets, two bytes a feature, are written and serve both the histogram and
 the sums. What reaches the driver is one histogram of ``n_buckets`` counts a corpus.
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spanweave.llm.textbatch import slices
+from spanweave.llm.textbatch import binary_array, slices
 from spanweave.operators.lineage import materialize
 from spanweave.operators.numbering import number_rows
 
@@ -40,7 +41,8 @@ BATCH_BYTES = 1 << 20
 #: Rows of one id are dealt over so many sort keys at most.
 SPREAD = 4096
 
-_LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(ord("A"), ord("Z") + 1)})
+#: Bytes of A-Z become a-z, those between words a space; bytes over 0x7F, of wider characters, stay.
+_FOLDED = bytes(b if b > 0x7F or re.match(WORD, chr(b).lower()) else 0x20 for b in range(256)).lower()
 _GAP = re.compile(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]")
 
 
@@ -48,9 +50,9 @@ _GAP = re.compile(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]")
 def splitter():
     """One per worker process."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Regex, pre_tokenizers
+    from tokenizers import pre_tokenizers
 
-    return pre_tokenizers.Split(Regex(WORD), behavior="removed", invert=True)
+    return pre_tokenizers.CharDelimiterSplit(" ")
 
 
 def pieces(text: str, size: int = PIECE_CHARS) -> Iterator[str]:
@@ -65,10 +67,10 @@ def pieces(text: str, size: int = PIECE_CHARS) -> Iterator[str]:
     yield text[start:]
 
 
-def words_of(text: str) -> tuple[bytes, np.ndarray, np.ndarray]:
-    """The words of a text joined by one space, and the offsets in bytes where each starts and ends."""
-    joined, widths = [], []
-    for piece in pieces(text.translate(_LOWER)):
+def words_of(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The CRCs of a text's words and their bytes."""
+    crcs, widths = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+    for piece in pieces(text.encode().translate(_FOLDED).decode()):
         found = splitter().pre_tokenize_str(piece)
         if not found:
             continue
@@ -77,23 +79,51 @@ def words_of(text: str) -> tuple[bytes, np.ndarray, np.ndarray]:
             codes = np.frombuffer(piece.encode("utf-32-le"), np.uint32)
             sizes = 1 + (codes > 0x7F).astype(np.int64) + (codes > 0x7FF) + (codes > 0xFFFF)
             spans = np.concatenate([[0], np.cumsum(sizes)])[spans]
+        words = " ".join([word for word, _ in found]).encode().split(b" ")
+        crcs.append(np.fromiter(map(crc32, words), np.uint32, len(words)))
         widths.append(spans[:, 1] - spans[:, 0])
-        joined.append(" ".join([word for word, _ in found]))
-    if not widths:
-        return b"", np.zeros(0, np.int64), np.zeros(0, np.int64)
-    width = np.concatenate(widths)
-    ends = np.cumsum(width + 1) - 1
-    return " ".join(joined).encode(), ends - width, ends
+    return np.concatenate(crcs), np.concatenate(widths)
 
 
-def buckets_of(text: str | None, n_buckets: int) -> tuple[int, np.ndarray]:
-    """How many words a text has, and the buckets of its features, repeats included."""
-    raw, starts, ends = words_of(text) if text else (b"", (), ())
-    view, found = memoryview(raw), []
-    for n in range(min(MAX_WORDS, len(starts))):
-        windows = zip(starts[: len(starts) - n].tolist(), ends[n:].tolist())
-        found.append(np.array([crc32(view[a:b]) for a, b in windows], np.uint32) % np.uint32(n_buckets))
-    return len(starts), (np.concatenate(found) if found else np.zeros(0, np.uint32)).astype("<u2")
+def moved(crcs: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """CRCs after the zero bytes that ``table`` stands for."""
+    return table[0][crcs & 255] ^ table[1][crcs >> 8 & 255] ^ table[2][crcs >> 16 & 255] ^ table[3][crcs >> 24]
+
+
+@lru_cache(maxsize=64)
+def zeros(k: int) -> np.ndarray:
+    """What moves a CRC over ``2**k`` zero bytes, by each of its four bytes: CRCs are linear in their bits."""
+    if k == 0:
+        return np.array([[crc32(b"\0", b << 8 * i) ^ crc32(b"\0") for b in range(256)] for i in range(4)], np.uint32)
+    return moved(zeros(k - 1), zeros(k - 1))
+
+
+def joined(left: np.ndarray, right: np.ndarray, widths: np.ndarray) -> np.ndarray:
+    """The CRCs of strings set end to end, from their CRCs and the right ones' bytes, as zlib's crc32_combine."""
+    left = left.copy()
+    for k in range(int(widths.max(initial=0)).bit_length()):
+        at = np.flatnonzero(widths >> k & 1)
+        left[at] = moved(left[at], zeros(k))
+    return left ^ right
+
+
+def buckets_of(texts: list[str | None], n_buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """How many words and features every text has, and the features' buckets, text by text, repeats included.
+
+    Only words are hashed; the CRCs of longer features follow from those.
+    """
+    made = [words_of(text or "") for text in texts]
+    n_words = np.array([len(crcs) for crcs, _ in made], np.int64)
+    crcs, widths = (np.concatenate(parts) for parts in zip(*made))
+    runs = np.zeros((len(crcs), MAX_WORDS), "<u2")  # row: the first word; column: how many follow
+    run = crcs
+    for n in range(min(MAX_WORDS, len(crcs))):
+        if n:
+            run = joined(moved(run[:-1], zeros(0)) ^ np.uint32(crc32(b" ")), crcs[n:], widths[n:])
+        runs[: len(run), n] = run % np.uint32(n_buckets)
+    left = np.repeat(np.cumsum(n_words), n_words) - np.arange(len(crcs))  # words up to the text's end
+    n_features = sum(np.maximum(n_words - n, 0) for n in range(MAX_WORDS))
+    return n_words, n_features, runs[np.arange(MAX_WORDS) < left[:, None]]
 
 
 def featurize(df: DataFrame, n_buckets: int, doc_id: str | None, text: str) -> DataFrame:
@@ -106,12 +136,13 @@ def featurize(df: DataFrame, n_buckets: int, doc_id: str | None, text: str) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", BATCH_BYTES):
-                made = [buckets_of(t, n_buckets) for t in part.column("text").to_pylist()]
+                n_words, n_features, found = buckets_of(part.column("text").to_pylist(), n_buckets)
+                bounds = found.itemsize * np.concatenate([[0], np.cumsum(n_features)])
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
-                        pa.array([n for n, _ in made], pa.int64()),
-                        pa.array([b.tobytes() for _, b in made], pa.binary()),
+                        pa.array(n_words),
+                        binary_array(found, bounds).cast(pa.binary()),
                     ],
                     ["doc_id", "n_words", "buckets"],
                 )

@@ -220,6 +220,20 @@ def test_pieces_cut_no_word(size):
     assert found == re.findall(resampling.WORD, text)
 
 
+def test_buckets_of_runs_hash_words_only(monkeypatch):
+    texts = ["One two,THREE four one two", None, "é 中文 \U0001f600x a\x00B", "", "one", " . ", "x" * 70_000 + " y " + "é" * 40_000 + " z"]
+    plain = [re.findall(resampling.WORD, (t or "").lower()) for t in texts]
+    runs = [sorted(crc32(" ".join(w[i : i + n]).encode()) % 997 for n in (1, 2, 3) for i in range(len(w) - n + 1)) for w in plain]
+    resampling.zeros(20)  # the tables, once a worker
+    hashed = []
+    monkeypatch.setattr(resampling, "crc32", lambda raw: hashed.append(raw) or crc32(raw))
+    n_words, n_features, found = resampling.buckets_of(texts, 997)
+    ends = n_features.cumsum().tolist()
+    assert n_words.tolist() == [len(w) for w in plain]
+    assert [sorted(found[a:b].tolist()) for a, b in zip([0, *ends], ends)] == runs
+    assert len(hashed) <= sum(map(len, plain)) + resampling.MAX_WORDS  # and the spaces
+
+
 def test_stops_are_cut_without_changing_ids():
     import pyarrow as pa
     from tokenizers import Tokenizer
