@@ -26,10 +26,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
-from spanweave.functions.timecode import ms_to_samples, samples_to_ms
+from spanweave.functions.timecode import ms_to_samples
 from spanweave.operators.clips import SAMPLE_WIDTH, clip_name
 from spanweave.operators.timeline import FILE
-from spanweave.sources.wav import TARGET_RATE, split_wavs
+from spanweave.sources.wav import TARGET_RATE, duration_ms, split_wavs
 
 #: Bytes of media that a task hands over at once (one range may be longer), and reads at once for a hash.
 BATCH_BYTES, BLOCK_BYTES = 1 << 25, 1 << 20
@@ -141,7 +141,7 @@ def index_wavs(files: DataFrame, digest: bool = True) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     # Spark plans a task for every few small files; a Python task each would mostly be start-up.
-    return files.select("path", "length").coalesce(_file_tasks(files.sparkSession)).mapInArrow(run, _INDEX).withColumn("duration_ms", samples_to_ms("n_frames", "sample_rate"))
+    return files.select("path", "length").coalesce(_file_tasks(files.sparkSession)).mapInArrow(run, _INDEX).withColumn("duration_ms", duration_ms())
 
 
 def read_clip_index(spark: SparkSession, path: str, rate: int = TARGET_RATE, digest: bool = True) -> tuple[DataFrame, DataFrame]:

@@ -7,7 +7,7 @@ import wave
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanweave.functions.timecode import samples_to_ms
@@ -41,9 +41,12 @@ def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def parse_wavs(files: DataFrame) -> DataFrame:
     """Header, duration, hash and PCM of ``(path, content)`` rows; unreadable files get nulls."""
     hashed = files.select("path", "content", F.sha2("content", 256).alias("sha256"))
-    return hashed.mapInPandas(_parse, _PARSED).withColumn(
-        "duration_ms", samples_to_ms("n_frames", "sample_rate")
-    )
+    return hashed.mapInPandas(_parse, _PARSED).withColumn("duration_ms", duration_ms())
+
+
+def duration_ms() -> Column:
+    """Null without a rate: a duration of an unreadable file would be an error before it is named."""
+    return F.when(F.col("sample_rate") > 0, samples_to_ms("n_frames", "sample_rate"))
 
 
 def split_wavs(parsed: DataFrame, rate: int = TARGET_RATE) -> tuple[DataFrame, DataFrame]:

@@ -10,7 +10,7 @@ from spanweave.operators import clips as cl
 from spanweave.operators import registry as rg
 from spanweave.plans.compare import sanitize, sanitize_logs
 from spanweave.sources import documents as docs
-from spanweave.sources import logs
+from spanweave.sources import logs, media
 from spanweave.sources import wav as wavs
 from tests.test_audit import records
 
@@ -43,6 +43,15 @@ def test_read_clips(spark, tmp_path):
         wavs.read_clips(spark, str(tmp_path), strict=True)[0].collect()
 
 
+def test_unreadable_clips_have_null_durations(spark, tmp_path):
+    (tmp_path / "f.wav").write_bytes(b"no")
+    files = spark.read.format("binaryFile").load(str(tmp_path))
+    for parsed in (wavs.parse_wavs(files), media.index_wavs(files)):
+        assert [(r.sample_rate, r.duration_ms) for r in parsed.collect()] == [(None, None)]
+    with pytest.raises(Exception, match="f.wav: not a 16-bit"):
+        wavs.read_clips(spark, str(tmp_path), strict=True)[0].collect()
+
+
 def test_cut_clips_are_byte_exact(spark):
     data = wav(96000)
     clips = spark.createDataFrame(
