@@ -13,7 +13,9 @@ set-oriented job over all of them, and a trie of depth D takes log2 D levels eac
   the nodes above in its upper trie, no further; the next level carries it on.
 
 No step handles a conversation or a group as a whole: rows are single turns or blocks, groups are
-pre-aggregated, and joins on a name are salted.
+pre-aggregated, and joins on a name are salted. Both sides of every join grow with the conversations, and their
+files say little of it (a few bytes hold a row of numbers), so all joins are sort-merge joins by hint: a side
+that looks small would be built at the driver.
 """
 
 from __future__ import annotations
@@ -52,7 +54,7 @@ def number_turns(df: DataFrame) -> DataFrame:
     shifts = sizes.select("conv_id", "_part", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift"))
     return (
         placed.withColumn("_part", part)
-        .join(shifts, ["conv_id", "_part"])
+        .join(shifts.hint("merge"), ["conv_id", "_part"])
         .select("conv_id", (F.col("_at") + F.col("shift")).alias("i"), "symbol", "words")
     )
 
@@ -69,14 +71,14 @@ def rebuild(turns: DataFrame, family: int, most: int) -> tuple[DataFrame, DataFr
     heads = lengths.select(F.col("conv_id").alias("head"), F.col("own").alias("there"))
     convs = (
         lengths.withColumns({"head": head, "h": taken})
-        .join(heads, "head", "left")
+        .join(heads.hint("merge"), "head", "left")
         .withColumn("k", F.least(F.col("h"), F.coalesce("there", F.lit(0))))
         .withColumn("length", F.col("k") + F.greatest(F.col("own") - F.col("h"), F.lit(0)))
     )
     convs = materialize(convs.select("conv_id", "head", "h", "k", "length"), "trie-conversations")
     # At most most - 1 turns of a head, for at most ``family`` conversations.
     opening = turns.where(F.col("i") < most - 1).withColumnRenamed("conv_id", "head")
-    given = convs.join(opening, "head").where("i < k").select("conv_id", "i", "symbol", "words")
+    given = convs.join(opening.hint("merge"), "head").where("i < k").select("conv_id", "i", "symbol", "words")
     own = salted_join(turns, convs.select("conv_id", "h", "k"), ["conv_id"], ["i"]).where("i >= h")
     own = own.select("conv_id", (F.col("i") - F.col("h") + F.col("k")).alias("i"), "symbol", "words")
     return given.unionByName(own), convs.select("conv_id", "length")
@@ -106,7 +108,7 @@ def name_prefixes(levels: Sequence[DataFrame], convs: DataFrame) -> DataFrame:
     for level, blocks in reversed(list(enumerate(levels))):
         h = 1 << level
         cut = blocks.where(F.col("j") % 2 == 0).select("conv_id", (F.col("j") * h).alias("depth"), "symbol")
-        below = cut.join(known, ["conv_id", "depth"]).select("conv_id", (F.col("depth") + h).alias("depth"), F.col("name").alias("above"), "symbol")
+        below = cut.join(known.hint("merge"), ["conv_id", "depth"]).select("conv_id", (F.col("depth") + h).alias("depth"), F.col("name").alias("above"), "symbol")
         below = materialize(below, "trie-cut")
         smallest = below.groupBy("depth", "above", "symbol").agg(F.min("conv_id").alias("name"))
         named = salted_join(below, smallest, ["depth", "above", "symbol"], ["conv_id"]).select("conv_id", "depth", "name")
@@ -141,7 +143,7 @@ def graft(paths: DataFrame, nodes: DataFrame, sums: Sequence[str], height: int)
             .agg(*[F.sum(c).alias(c) for c in sums])
         )
         parents = nodes.select("name", "depth", "parent")
-        totals = materialize(parents.join(given, ["name", "depth"]), "trie-totals")
+        totals = materialize(parents.join(given.hint("merge"), ["name", "depth"]), "trie-totals")
         h *= 2
     # Depth 0 hangs above the topmost trie.
     top = totals.where("depth <= 1").agg(F.min(F.when(F.col("depth") == 0, F.col("name"))).alias("name"), *[F.sum(c).alias(c) for c in sums])
@@ -230,13 +232,13 @@ def trie(symbols: DataFrame, convs: DataFrame) -> DataFrame:
     last = symbols.select(F.col("conv_id").alias("name"), (F.col("i") + 1).alias("depth"), "words")
     nodes = (
         own.select("name", "depth")
-        .join(members, ["name", "depth"])
-        .join(shorter, ["name", "depth"], "left")
-        .join(last, ["name", "depth"], "left")
+        .join(members.hint("merge"), ["name", "depth"])
+        .join(shorter.hint("merge"), ["name", "depth"], "left")
+        .join(last.hint("merge"), ["name", "depth"], "left")
     )
     nodes = materialize(nodes, "trie-nodes")
     children = nodes.where("depth > 0").groupBy(F.col("parent").alias("name"), (F.col("depth") - 1).alias("depth")).agg(F.count(F.lit(1)).alias("n_children"))
-    nodes = nodes.join(children, ["name", "depth"], "left").withColumn("n_children", F.coalesce("n_children", F.lit(0).cast("long")))
+    nodes = nodes.join(children.hint("merge"), ["name", "depth"], "left").withColumn("n_children", F.coalesce("n_children", F.lit(0).cast("long")))
     alone = nodes.withColumns(
         {
             "n_leaves": F.when(F.col("n_children") == 0, 1).otherwise(0).cast("long"),
@@ -246,12 +248,12 @@ def trie(symbols: DataFrame, convs: DataFrame) -> DataFrame:
     alone = materialize(alone, "trie-alone")
     sums = ["n_leaves", "saved_words"]
     totals = graft(paths, alone.select("name", "depth", "parent", *sums), sums, height)
-    ends = paths.join(convs.select("conv_id", F.col("length").alias("depth")), ["conv_id", "depth"])
+    ends = paths.join(convs.select("conv_id", F.col("length").alias("depth")).hint("merge"), ["conv_id", "depth"])
     empty = hashlib.sha256(b"").hexdigest()
     return (
         alone.drop(*sums, "parent", "words")
-        .join(totals, ["name", "depth"])
-        .join(ends_digest(ends), ["name", "depth"], "left")
+        .join(totals.hint("merge"), ["name", "depth"])
+        .join(ends_digest(ends).hint("merge"), ["name", "depth"], "left")
         .select(
             F.col("name").alias("conv_id"), "depth", F.col("parent").alias("parent_conv_id"), "n_convs", "n_children", *sums,
             F.coalesce("n_ends", F.lit(0).cast("long")).alias("n_ends"), F.coalesce("ends", F.lit(empty)).alias("ends_sha256"),

@@ -153,6 +153,20 @@ def test_trie_without_turns_and_without_rows(spark):
     assert trie_rows(df, family=1) == plain_trie(rows, family=1)
 
 
+def test_trie_broadcasts_nothing(spark, monkeypatch):
+    plans, keep = [], prefix_trie.materialize
+
+    def plan(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    monkeypatch.setattr(prefix_trie, "materialize", lambda df, *a, **kw: keep(plan(df), *a, **kw))
+    rows = [(c, t, "user", f"{c % 3} {t}") for c in range(12) for t in range(5)]
+    plan(prefix_trie.conversation_trie(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")))
+    assert sum(p.count("SortMergeJoin") for p in plans) >= 10
+    assert not [p for p in plans if "Broadcast" in p]
+
+
 def test_trie_hash_in_pieces(spark, monkeypatch):
     rows = [(c, t, "u", "same") for c in range(-50, 300) for t in range(3)]
     monkeypatch.setattr(prefix_trie, "PIECE_IDS", 7)
