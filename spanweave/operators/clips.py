@@ -79,7 +79,7 @@ def cut_clips(segments: DataFrame, clips: DataFrame, keys: Sequence[str] = FILE)
         F.col("channels"),
     )
     return (
-        segments.join(source, list(keys))
+        segments.join(source.hint("merge"), list(keys))
         .select(
             *segments.columns,
             clip_name(

@@ -55,7 +55,7 @@ def session_totals(clips: DataFrame, keys: Sequence[str] = SESSION) -> DataFrame
 
 def to_global(df: DataFrame, clock: DataFrame, keys: Sequence[str] = FILE) -> DataFrame:
     """Local intervals of each file on the session clock (``start_ms``/``end_ms`` replaced)."""
-    return df.join(clock.select(*keys, "offset_ms"), list(keys)).select(
+    return df.join(clock.select(*keys, "offset_ms").hint("merge"), list(keys)).select(
         *[
             (F.col(c) + F.col("offset_ms")).alias(c) if c in (START, END) else F.col(c)
             for c in df.columns

@@ -3,6 +3,9 @@
 Models stay outside: a stage takes functions from DataFrame to DataFrame (usually a
 :func:`spanweave.operators.clips.map_model`) at the places where one is needed, after the filters
 that decide what must be computed at all. A session that cannot go on becomes a row in ``failures``.
+
+Tables of sessions, files, windows or segments all grow with the input, and the files they are kept in say little
+of their rows in memory. They meet by sort-merge joins, by hint: a side that looks small would be built at the driver.
 """
 
 from __future__ import annotations
@@ -67,8 +70,8 @@ def preprocess(clips: DataFrame, vad_segments: DataFrame, keep: Model = lazily)
     """
     timed = clips.withColumn("duration_ms", samples_to_ms("n_frames", "sample_rate"))
     clock = keep(tl.session_clock(timed))
-    placed = timed.join(clock.select(*FILE, "offset_ms"), FILE)
-    in_ms = vad_segments.join(clips.select(*FILE, "sample_rate"), FILE).select(
+    placed = timed.join(clock.select(*FILE, "offset_ms").hint("merge"), FILE)
+    in_ms = vad_segments.join(clips.select(*FILE, "sample_rate").hint("merge"), FILE).select(
         *FILE,
         samples_to_ms("start_sample", "sample_rate").alias("start_ms"),
         samples_to_ms("end_sample", "sample_rate").alias("end_ms"),
@@ -78,13 +81,13 @@ def preprocess(clips: DataFrame, vad_segments: DataFrame, keep: Model = lazily)
     per_file = speech.groupBy(*FILE).agg(
         F.count(F.lit(1)).alias("n_segments"), F.sum(_length()).alias("speech_ms")
     )
-    file_summary = clock.join(per_file, FILE, "left").select(
+    file_summary = clock.join(per_file.hint("merge"), FILE, "left").select(
         *FILE, "duration_ms", "offset_ms", _zero("n_segments"), _zero("speech_ms")
     )
     spoken = speech_global.groupBy(*SESSION).agg(F.sum(_length()).alias("speech_ms"))
     session_summary = (
         tl.session_totals(timed)
-        .join(spoken, SESSION, "left")
+        .join(spoken.hint("merge"), SESSION, "left")
         .select(*SESSION, "n_files", "session_ms", _zero("speech_ms"))
     )
     return Preprocessed(placed, speech, speech_global, file_summary, session_summary)
@@ -118,7 +121,7 @@ def enroll(
     """
     resolved = keep(ident.resolve_clicks(clicks, detections, carry=("score", "embedding")))
     missed = ident.click_failures(resolved)
-    lacking = ident.target_failures(pre.clips, resolved).join(missed.select(*SESSION), list(SESSION), "left_anti")
+    lacking = ident.target_failures(pre.clips, resolved).join(missed.select(*SESSION).hint("merge"), list(SESSION), "left_anti")
     references = (
         resolved.groupBy(*SESSION)
         .agg(
@@ -131,7 +134,7 @@ def enroll(
     windows = keep(ident.clean_windows(pre.speech, frames, sample_ms))
     guard = keep(ident.seed_guard(references, windows, seed_min_ms))
     passed = guard.where(F.col("reason").isNull()).select(*SESSION)
-    vectors = embed(windows.join(passed, SESSION, "left_semi"))
+    vectors = embed(windows.join(passed.hint("merge"), SESSION, "left_semi"))
     seeds = keep(ident.pool_vectors(vectors, SESSION))
     failures = missed.unionByName(lacking).unionByName(
         guard.where(F.col("reason").isNotNull()).select(*SESSION, "reason")
@@ -169,7 +172,7 @@ def track(
     ``embed`` adds ``embedding`` to the runs of speakers with enough activity.
     """
     placed = clips.select(*FILE, "duration_ms", "offset_ms").join(
-        seeds.select(*SESSION), SESSION, "left_semi"
+        seeds.select(*SESSION).hint("merge"), SESSION, "left_semi"
     )
     # Few bytes of clips become many rows of windows, masks and edges, so that tasks by size would be too few.
     parts = int(clips.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -187,7 +190,7 @@ def track(
         )
     )
     chosen = matched.select(*WINDOW, F.col("target_speaker_idx").alias("speaker_idx"))
-    target_runs = runs.join(chosen, speaker, "left_semi")
+    target_runs = runs.join(chosen.hint("merge"), speaker, "left_semi")
 
     shape = masks.groupBy(*WINDOW).agg(
         F.max("frame_ms").alias("frame_ms"), F.count(F.lit(1)).alias("n_speakers")
@@ -195,10 +198,10 @@ def track(
     spoken = target_runs.groupBy(*WINDOW).agg(F.sum(_length()).alias("target_ms"))
     crossed = overlaps.groupBy(*WINDOW).agg(F.sum(_length()).alias("overlap_ms"))
     report = (
-        windows.join(shape, WINDOW, "left")
-        .join(matched, WINDOW, "left")
-        .join(spoken, WINDOW, "left")
-        .join(crossed, WINDOW, "left")
+        windows.join(shape.hint("merge"), WINDOW, "left")
+        .join(matched.hint("merge"), WINDOW, "left")
+        .join(spoken.hint("merge"), WINDOW, "left")
+        .join(crossed.hint("merge"), WINDOW, "left")
         .select(
             *WINDOW,
             "frame_ms",
@@ -215,11 +218,11 @@ def track(
     overlap_global = keep(iv.merge_intervals(tl.to_global(overlap, placed), SESSION))
 
     def length_of(df: DataFrame, keys: list[str], name: str) -> DataFrame:
-        return df.groupBy(*keys).agg(F.sum(_length()).alias(name))
+        return df.groupBy(*keys).agg(F.sum(_length()).alias(name)).hint("merge")
 
     file_summary = (
         placed.select(*FILE)
-        .join(windows.groupBy(*FILE).agg(F.count(F.lit(1)).alias("n_windows")), FILE, "left")
+        .join(windows.groupBy(*FILE).agg(F.count(F.lit(1)).alias("n_windows")).hint("merge"), FILE, "left")
         .join(length_of(target, FILE, "target_ms"), FILE, "left")
         .join(length_of(overlap, FILE, "overlap_ms"), FILE, "left")
         .select(*FILE, _zero("n_windows"), _zero("target_ms"), _zero("overlap_ms"))
@@ -252,12 +255,14 @@ def contaminate(
     min_clean_ms: int = MIN_CLEAN_MS,
     keep: Model = lazily,
     clips_to: str | None = None,
+    source: DataFrame | None = None,
 ) -> Judged:
     """Drop every target segment that touches overlap, trim the others, drop what is then short.
 
     Works per file, on local time. ``clips`` carries ``offset_ms`` and ``pcm``, or the places of a WAV
     index (``sources.media``); without either no clips are cut and there is no fingerprint. From an
-    index, ``clips_to`` writes WAV files there instead of returning their bytes.
+    index, ``clips_to`` writes WAV files there instead of returning their bytes. ``source`` has the ``pcm`` where
+    ``clips`` goes without, so that a single join moves it.
     """
     parts = tl.edge_trim(iv.partition_contaminated(target, overlap, FILE), trim_ms, min_clean_ms)
     bad = F.col("contaminated")
@@ -265,7 +270,7 @@ def contaminate(
     start = F.when(clean, F.col("trim_start_ms")).otherwise(F.col("start_ms"))
     end = F.when(clean, F.col("trim_end_ms")).otherwise(F.col("end_ms"))
     segments = keep(
-        parts.join(clips.select(*FILE, "offset_ms"), FILE)
+        parts.join(clips.select(*FILE, "offset_ms").hint("merge"), FILE)
         .select(
             *FILE,
             F.when(bad, "NaN").when(clean, "CLEAN").otherwise("DISCARD").alias("decision"),
@@ -282,8 +287,9 @@ def contaminate(
         )
     )
     cut = None
-    if "pcm" in clips.columns:
-        cut = keep(cut_clips(segments.where(F.col("decision") == "CLEAN"), clips))
+    source = clips if source is None else source
+    if "pcm" in source.columns:
+        cut = keep(cut_clips(segments.where(F.col("decision") == "CLEAN"), source))
     elif "data_offset" in clips.columns:
         kept = segments.where(F.col("decision") == "CLEAN")
         if clips_to is None:
@@ -294,12 +300,12 @@ def contaminate(
             key = F.col("session_id").cast("string")
             cut = (
                 kept.withColumns({"name": name, "_key": key})
-                .join(files.withColumnRenamed("session_id", "_key"), ["_key", "name"])
+                .join(files.withColumnRenamed("session_id", "_key").hint("merge"), ["_key", "name"])
                 .drop("_key")
             )
     if cut is not None:
         segments = segments.join(
-            cut.select(*FILE, "segment_start_ms", "name", "sha256"),
+            cut.select(*FILE, "segment_start_ms", "name", "sha256").hint("merge"),
             [*FILE, "segment_start_ms"],
             "left",
         )
@@ -316,7 +322,7 @@ def contaminate(
     ]
     names = ["n_clean", "n_nan", "n_short", "clean_ms", "contaminated_ms"]
     per_file = segments.groupBy(*FILE).agg(*measures)
-    file_summary = clips.select(*FILE).join(per_file, FILE, "left").select(
+    file_summary = clips.select(*FILE).join(per_file.hint("merge"), FILE, "left").select(
         *FILE, *[_zero(n) for n in names]
     )
     session_summary = file_summary.groupBy(*SESSION).agg(
@@ -325,7 +331,7 @@ def contaminate(
     if cut is not None:
         prints = au.output_fingerprint(segments.where(is_("CLEAN")))
         empty = F.sha2(F.lit("[]"), 256)
-        session_summary = session_summary.join(prints, SESSION, "left").select(
+        session_summary = session_summary.join(prints.hint("merge"), SESSION, "left").select(
             *SESSION,
             *names,
             _zero("n_outputs"),

@@ -326,3 +326,23 @@ def test_the_log_is_made_of_kept_records(spark):
     )
     assert max(joins) <= 8 and 0 in joins
     assert "session_end" in {r.operation for r in out.audit.collect()}
+
+
+def test_no_kept_table_is_broadcast(spark):
+    """What joins grows with the sessions, even if it looks small: no side goes to the driver but the totals of chunks."""
+    clips = spark.createDataFrame([("ok", 0, "clip0.wav", 16000, 1, 96000, "sha", bytearray(PCM))], CLIPS)
+    plans = []
+
+    def keep(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return materialize(df)
+
+    faces = [("ok", 0, pts, 0, 120, 120, 180, 180, 0.9, T) for pts in [1000, *range(125, 4000, 250)]]
+    ss.run_sessions(
+        clips, spark.createDataFrame([("ok", 0, 0, 64000)], VAD),
+        spark.createDataFrame([("ok", "speaking", 0, 150, 150, 1000)], CLICK), spark.createDataFrame(faces, DET),
+        mask_model([[True] * 200]), voice(0, 3000), voice(0, 3000), unverified=True, seed_min_ms=100, keep=keep,
+    )
+    assert sum(p.count("SortMergeJoin") for p in plans) >= 20
+    joins = [line for p in plans for line in p.splitlines() if "Broadcast" in line and "Join" in line]
+    assert not [j for j in joins if "_chunk" not in j]
