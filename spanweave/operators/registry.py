@@ -79,7 +79,9 @@ def verify_registry(
 def missing_names(required: DataFrame, present: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Required names that are not present, by key."""
     on = [*keys, "name"]
-    return required.select(*on).distinct().join(present.select(*on), on, "left_anti")
+    present = present.select(*on)
+    # One registry is small; those of all keys grow with the keys.
+    return required.select(*on).distinct().join(present.hint("merge") if keys else present, on, "left_anti")
 
 
 def _enforce(report: DataFrame) -> DataFrame:

@@ -346,3 +346,10 @@ def test_no_kept_table_is_broadcast(spark):
     assert sum(p.count("SortMergeJoin") for p in plans) >= 20
     joins = [line for p in plans for line in p.splitlines() if "Broadcast" in line and "Join" in line]
     assert not [j for j in joins if "_chunk" not in j]
+
+
+def test_registries_of_all_sessions_are_not_broadcast(spark):
+    listed = spark.createDataFrame([("a", "m"), ("b", "m"), ("b", "n")], "session_id string, name string")
+    absent = rg.missing_names(listed, listed.where("name = 'm'"), ["session_id"])
+    assert "Broadcast" not in absent._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in absent.collect()] == [("b", "n")]
