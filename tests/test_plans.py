@@ -349,7 +349,7 @@ def test_no_kept_table_is_broadcast(spark):
 
 
 def test_registries_of_all_sessions_are_not_broadcast(spark):
-    listed = spark.createDataFrame([("a", "m"), ("b", "m"), ("b", "n")], "session_id string, name string")
+    listed = materialize(spark.createDataFrame([("a", "m"), ("b", "m"), ("b", "n")], "session_id string, name string"))
     absent = rg.missing_names(listed, listed.where("name = 'm'"), ["session_id"])
     assert "Broadcast" not in absent._jdf.queryExecution().executedPlan().toString()
     assert [tuple(r) for r in absent.collect()] == [("b", "n")]
